@@ -11,16 +11,17 @@ Spark work, end to end:
   survivor per key with its duplicate count, and staged as Parquet in the
   shared checkpoint folder. Staging cuts the lineage: a lost executor
   re-reads the staged files instead of re-running the shuffle;
-* the staged table is read twice without any shuffle: once for the stage 2-4
-  counts and the class split (one aggregation), once for the output
-  write (features are a projection; the partitioned write sorts per task).
+* the staged table is read once, without any shuffle, for the output write
+  (features are a projection; the partitioned write sorts per task). The
+  stage 2-4 counts and the class split are observed on the staging write,
+  so they cost no extra pass.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.predicates import all_of, is_valid, label_consistent, null_or_empty, validation_rules
@@ -95,25 +96,28 @@ def prepare(spark: SparkSession, source, output_path: str, cols: TxColumns = DEF
         hi = min(q["q3"] + IQR_FACTOR * iqr, q["p99"])
     bounds = Row(n=n_valid, **q, lo=lo, hi=hi, applied=applied)
 
-    # pass 2: filters pushed to the scan, one shuffle on the key, staged
+    # pass 2: filters pushed to the scan, one shuffle on the key, staged.
+    # The stage 2-4 counts and the class split are observed on the staging
+    # write: after the shuffle, so in its result stage, where Spark applies
+    # each task's metrics once even when tasks are retried.
     fenced = raw.filter(all_of(validation_rules(cols)))
     if applied:
         fenced = fenced.filter(in_bounds(bounds, cols, typ))
     others = [c for c in raw.columns if c != cols.id]
-    keyed = fenced.groupBy(cols.id).agg(F.count(F.lit(1)).alias("_dups"),
-                                        F.min(F.struct(*others)).alias("_s"))
+    keyed = (fenced.groupBy(cols.id)
+             .agg(F.count(F.lit(1)).alias("_dups"), F.min(F.struct(*others)).alias("_s"))
+             .select(F.col(cols.id), "_dups", *[F.col(f"_s.{c}").alias(c) for c in others]))
+    keyed = keyed.select(*keyed.columns, F.coalesce(label_consistent(cols), F.lit(False)).alias("_ok"))
+    label = F.col(cols.label)
+    obs = Observation("txprep_prepare_counts")
+    keyed = keyed.observe(obs, F.sum("_dups").alias("s2"), F.count(F.lit(1)).alias("s3"),
+                          F.count_if("_ok").alias("s4"),
+                          F.count_if(F.col("_ok") & (label == 0)).alias("c0"),
+                          F.count_if(F.col("_ok") & (label == 1)).alias("c1"))
     stage = staging_path or scratch_path(spark, "prepare-keyed")
     keyed.write.mode("overwrite").parquet(stage)
-    staged = spark.read.parquet(stage)
-    survivors = staged.select(F.col(cols.id), "_dups", *[F.col(f"_s.{c}").alias(c) for c in others])
-    survivors = survivors.withColumn("_ok", F.coalesce(label_consistent(cols), F.lit(False)))
-
-    # stage 2-4 counts + class split: one aggregation over the staged table
-    label = F.col(cols.label)
-    counts = survivors.agg(F.sum("_dups").alias("s2"), F.count(F.lit(1)).alias("s3"),
-                           F.count_if("_ok").alias("s4"),
-                           F.count_if(F.col("_ok") & (label == 0)).alias("c0"),
-                           F.count_if(F.col("_ok") & (label == 1)).alias("c1")).first()
+    counts = obs.get
+    survivors = spark.read.parquet(stage)
     s2 = int(counts["s2"] or 0)
     rows_out = int(counts["s4"])
 
