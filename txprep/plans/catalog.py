@@ -26,6 +26,7 @@ from ..sinks import write_json, write_partitioned, write_text_report
 from ..sources import (inventory, inventory_totals, read_delimited, read_json, read_parquet,
                        read_untyped)
 from .prepare import ml_ready
+from .report import analyze
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -469,3 +470,35 @@ def q_sink_text_report(spark, sf_dir):
     path = scratch_path(spark, "report_txt")
     write_text_report(orders_metrics(spark, sf_dir), path)
     return spark.read.text(path)
+
+
+# ------------------------------------------------------------------ profile job
+def basename_items(metrics: DataFrame) -> DataFrame:
+    """Paths in ``item`` reduced to their last segment (paths depend on sf_dir)."""
+    item = F.col("item")
+    return metrics.withColumn("item", F.when(item.contains("/"), F.element_at(F.split(F.rtrim(item), "/"), -1))
+                              .otherwise(item))
+
+
+ANALYZE_INVENTORY_SQL = f"""WITH i AS ({INVENTORY_SQL})
+SELECT 'inventory' AS section, file AS item, 'rows' AS metric, CAST(rows AS DOUBLE) AS value, format AS text FROM i
+UNION ALL SELECT 'general', format, 'rows', CAST(sum(rows) AS DOUBLE), NULL FROM i GROUP BY format
+UNION ALL SELECT 'general', format, 'files', CAST(count(*) AS DOUBLE), NULL FROM i GROUP BY format
+UNION ALL SELECT 'general', '', 'total_rows', CAST(sum(rows) AS DOUBLE), NULL FROM i
+UNION ALL SELECT 'general', '', 'files_processed', CAST(count(*) AS DOUBLE), NULL FROM i"""
+
+
+@register("analyze_inventory", ANALYZE_INVENTORY_SQL)
+def q_analyze_inventory(spark, sf_dir):
+    return basename_items(analyze(spark, sf_dir))
+
+
+ANALYZE_DATASET_SQL = PROFILE_SQL + \
+    "\nUNION ALL SELECT 'general', 'ml_ready_data', 'dataset', CAST(1 AS DOUBLE), 'ML_PARQUET'"
+
+
+@register("analyze_dataset", ANALYZE_DATASET_SQL)
+def q_analyze_dataset(spark, sf_dir):
+    path = scratch_path(spark, "job") + "/ml_ready_data"
+    write_partitioned(ml(spark, sf_dir), path, label="tx_fraud", partitions=4)
+    return basename_items(analyze(spark, path, digits=6, include_partitions=False))
