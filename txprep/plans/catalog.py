@@ -502,3 +502,23 @@ def q_analyze_dataset(spark, sf_dir):
     path = scratch_path(spark, "job") + "/ml_ready_data"
     write_partitioned(ml(spark, sf_dir), path, label="tx_fraud", partitions=4)
     return basename_items(analyze(spark, path, digits=6, include_partitions=False))
+
+
+# ------------------------------------------------------------------ streaming
+STREAM_CTES = [V, Q, B, FENCE, ("c", f"SELECT * FROM f WHERE {CONSISTENT}")] + feature_ctes("c") + [
+    ("ml", f"SELECT {ML_SELECT} FROM fe WHERE tx_amount_log IS NOT NULL")]
+STREAM_SQL = oracle_with_tx(
+    "SELECT " + ", ".join("round(tx_amount_log, 9) AS tx_amount_log" if c == "tx_amount_log" else c
+                          for c in ROUNDTRIP_COLS)
+    + ", CAST(tx_fraud AS INTEGER) AS tx_fraud FROM ml", STREAM_CTES)
+
+
+@register("stream_ready", STREAM_SQL)
+def q_stream_ready(spark, sf_dir):
+    from ..streaming import stream_prepare
+    src = scratch_path(spark, "stream-in")
+    tx(spark, sf_dir).repartition(4).write.option("header", True).csv(src)
+    out = scratch_path(spark, "stream-out")
+    q = stream_prepare(spark, src, out, bounds=exact_bounds(spark, sf_dir), max_files_per_trigger=2)
+    q.awaitTermination()
+    return read_parquet(spark, out).withColumn("tx_amount_log", F.round("tx_amount_log", 9))

@@ -1,20 +1,20 @@
 """The preparation job: raw transactions -> profile -> clean -> features ->
 label-partitioned Parquet, with per-stage accounting.
 
-Spark work, end to end:
+Two passes over the input, two Spark jobs (three with exact percentiles):
 
 * pass 1 (one scan, global aggregation, no shuffle): input rows, NULL
   profile, per-rule failures, validated rows and the amount quantile sketch
   of validated rows (``percentile_approx`` over ``when(valid, amount)``);
 * pass 2 (one scan with the validation and fence filters pushed to the
-  reader, one shuffle on the key): validated, fenced rows are reduced to one
-  survivor per key with its duplicate count, and staged as Parquet in the
-  shared checkpoint folder. Staging cuts the lineage: a lost executor
-  re-reads the staged files instead of re-running the shuffle;
-* the staged table is read once, without any shuffle, for the output write
-  (features are a projection; the partitioned write sorts per task). The
-  stage 2-4 counts and the class split are observed on the staging write,
-  so they cost no extra pass.
+  reader, one shuffle on the key): one survivor per key, consistency,
+  features (a projection), label-partitioned write. The stage 2-4 counts
+  and the class split are ``observe``d in the write's result stage, where
+  Spark applies each task's metrics once even when tasks are retried, so
+  they cost no extra pass.
+
+Nothing is cached or staged: a lost executor costs Spark's usual recompute
+of its shuffle output, not a second copy of the data on storage.
 """
 
 from __future__ import annotations
@@ -31,7 +31,6 @@ from ..operators.features import add_features, select_ml_ready
 from ..operators.partitioning import plan_partitions
 from ..operators.quantiles import exact_quantiles
 from ..schema import DEFAULT_COLUMNS, TX_SCHEMA, TxColumns
-from ..scratch import scratch_path
 from ..sinks import write_partitioned
 from ..sources import read_delimited
 
@@ -72,8 +71,8 @@ def _profile_pass(raw: DataFrame, cols: TxColumns, accuracy: int) -> Row:
 
 
 def prepare(spark: SparkSession, source, output_path: str, cols: TxColumns = DEFAULT_COLUMNS,
-            method: str = "approx", accuracy: int = 10000, max_output_partitions: int | None = None,
-            staging_path: str | None = None) -> PrepareResult:
+            method: str = "approx", accuracy: int = 10000,
+            max_output_partitions: int | None = None) -> PrepareResult:
     """Run the whole preparation job; ``source`` is a path/glob of delimited
     files (read with the raw schema) or a DataFrame."""
     if isinstance(source, str) and source.rstrip("/") == output_path.rstrip("/"):
@@ -96,10 +95,7 @@ def prepare(spark: SparkSession, source, output_path: str, cols: TxColumns = DEF
         hi = min(q["q3"] + IQR_FACTOR * iqr, q["p99"])
     bounds = Row(n=n_valid, **q, lo=lo, hi=hi, applied=applied)
 
-    # pass 2: filters pushed to the scan, one shuffle on the key, staged.
-    # The stage 2-4 counts and the class split are observed on the staging
-    # write: after the shuffle, so in its result stage, where Spark applies
-    # each task's metrics once even when tasks are retried.
+    # pass 2: filters pushed to the scan, one shuffle on the key, one write
     fenced = raw.filter(all_of(validation_rules(cols)))
     if applied:
         fenced = fenced.filter(in_bounds(bounds, cols, typ))
@@ -107,24 +103,22 @@ def prepare(spark: SparkSession, source, output_path: str, cols: TxColumns = DEF
     keyed = (fenced.groupBy(cols.id)
              .agg(F.count(F.lit(1)).alias("_dups"), F.min(F.struct(*others)).alias("_s"))
              .select(F.col(cols.id), "_dups", *[F.col(f"_s.{c}").alias(c) for c in others]))
-    keyed = keyed.select(*keyed.columns, F.coalesce(label_consistent(cols), F.lit(False)).alias("_ok"))
+    ok = F.coalesce(label_consistent(cols), F.lit(False))
     label = F.col(cols.label)
     obs = Observation("txprep_prepare_counts")
     keyed = keyed.observe(obs, F.sum("_dups").alias("s2"), F.count(F.lit(1)).alias("s3"),
-                          F.count_if("_ok").alias("s4"),
-                          F.count_if(F.col("_ok") & (label == 0)).alias("c0"),
-                          F.count_if(F.col("_ok") & (label == 1)).alias("c1"))
-    stage = staging_path or scratch_path(spark, "prepare-keyed")
-    keyed.write.mode("overwrite").parquet(stage)
+                          F.count_if(ok).alias("s4"),
+                          F.count_if(ok & (label == 0)).alias("c0"),
+                          F.count_if(ok & (label == 1)).alias("c1"))
+    out = select_ml_ready(add_features(keyed.filter(ok).select(*raw.columns), cols))
+    # sized before the write from the validated rows, an upper bound of the
+    # output rows; coalesce only ever lowers the partition count
+    k = plan_partitions(n_valid, max_partitions=max_output_partitions)
+    write_partitioned(out, output_path, label=cols.label, partitions=k)
     counts = obs.get
-    survivors = spark.read.parquet(stage)
     s2 = int(counts["s2"] or 0)
     rows_out = int(counts["s4"])
 
-    out = select_ml_ready(add_features(survivors.filter("_ok").select(*raw.columns), cols))
-    k = plan_partitions(rows_out, max_partitions=max_output_partitions)
-    write_partitioned(out, output_path, label=cols.label, partitions=k)
-
     names = list(validation_rules(cols))
     return PrepareResult(
         output_path=output_path, input_rows=int(p["rows"]), output_rows=rows_out, partitions=k,

@@ -1,0 +1,48 @@
+"""Row-wise preparation stages over delimited files as they arrive.
+
+Validation, the outlier fence (bounds supplied, e.g. from a batch profile),
+label consistency and the features are stateless, so they run unchanged on
+a streaming DataFrame. The output goes to Spark's file sink, which is
+exactly-once (its commit log lives next to the data and the offsets in the
+checkpoint), partitioned by label like the batch job. Deduplication and the
+fence statistics need the whole table and stay in the batch job.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from ..operators.cleaning import check_consistency, remove_outliers, validate
+from ..operators.features import add_features, select_ml_ready
+from ..schema import DEFAULT_COLUMNS, TX_SCHEMA, TxColumns
+from ..scratch import scratch_path
+from ..sinks import MAX_RECORDS_PER_FILE
+
+
+def stream_rows(stream: DataFrame, bounds: Row | None, cols: TxColumns = DEFAULT_COLUMNS) -> DataFrame:
+    """The stateless stages on a (streaming or batch) DataFrame."""
+    valid = validate(stream, cols)
+    fenced = remove_outliers(valid, bounds, cols) if bounds is not None else valid
+    return select_ml_ready(add_features(check_consistency(fenced, cols), cols))
+
+
+def stream_prepare(spark: SparkSession, source_dir: str, output_path: str, bounds: Row | None = None,
+                   cols: TxColumns = DEFAULT_COLUMNS, checkpoint: str | None = None,
+                   available_now: bool = True, max_files_per_trigger: int | None = None,
+                   processing_time: str | None = None) -> StreamingQuery:
+    """Start the stream; ``available_now`` processes what is there and stops."""
+    reader = (spark.readStream.schema(TX_SCHEMA).option("header", True).option("escape", '"')
+              .option("mode", "PERMISSIVE"))
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    rows = stream_rows(reader.csv(source_dir), bounds, cols)
+    writer = (rows.writeStream.format("parquet").outputMode("append")
+              .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-ckpt"))
+              .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+              .partitionBy(cols.label))
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif processing_time:
+        writer = writer.trigger(processingTime=processing_time)
+    return writer.start(output_path)
