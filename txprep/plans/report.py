@@ -25,7 +25,10 @@ def is_dataset_path(path: str) -> bool:
 
 
 def inventory_metrics(files: DataFrame) -> DataFrame:
-    """Inventory as metric rows: one per file plus totals per format and overall."""
+    """Inventory as metric rows: one per file plus totals per format and overall.
+
+    Files are those holding rows (as the reference counted only non-empty
+    patterns); an empty location reports zero totals."""
     per_file = files.select(F.lit("inventory").alias("section"), F.col("path").alias("item"),
                             F.lit("rows").alias("metric"), F.col("rows").cast("double").alias("value"),
                             F.col("format").alias("text"))
@@ -35,7 +38,8 @@ def inventory_metrics(files: DataFrame) -> DataFrame:
                  F.col("rows").cast("double").alias("value"), F.lit(None).cast("string").alias("text")),
         F.struct(F.lit("general").alias("section"), F.col("format").alias("item"), F.lit("files").alias("metric"),
                  F.col("files").cast("double").alias("value"), F.lit(None).cast("string").alias("text")))))
-    overall = per_format.agg(F.sum("rows").alias("rows"), F.sum("files").alias("files")).select(F.inline(F.array(
+    overall = per_format.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+                             F.coalesce(F.sum("files"), F.lit(0)).alias("files")).select(F.inline(F.array(
         F.struct(F.lit("general").alias("section"), F.lit("").alias("item"), F.lit("total_rows").alias("metric"),
                  F.col("rows").cast("double").alias("value"), F.lit(None).cast("string").alias("text")),
         F.struct(F.lit("general").alias("section"), F.lit("").alias("item"),
