@@ -75,3 +75,28 @@ def test_approx_and_exact_share_a_schema(spark):
     assert a.dtypes == e.dtypes == [("n", "bigint"), ("m", "decimal(10,2)")]
     with pytest.raises(ValueError):
         quantiles(df, "x", {"m": 0.5}, method="nope")
+
+
+def test_sketch_tree_accuracy_and_plan(spark):
+    import bisect
+    from conftest import SF
+    li = spark.read.parquet(f"{SF['0.01']}/lineitem.parquet").repartition(16)
+    probs = {"p1": 0.01, "q1": 0.25, "q3": 0.75, "p99": 0.99}
+    df = quantiles(li, "l_extendedprice", probs, method="sketch")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_g" not in plan    # 16 partitions: one level is enough
+    many = li.repartition(300)
+    tree = quantiles(many, "l_extendedprice", probs, method="sketch")
+    plan = tree._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_g" in plan        # merged per task group, then once more
+    assert tree.first()["n"] == li.count()
+    got = df.first()
+    vals = sorted(r[0] for r in li.select("l_extendedprice").collect())
+    assert got["n"] == len(vals)
+    for k, p in probs.items():
+        rank = bisect.bisect_right(vals, got[k]) / len(vals)
+        assert abs(rank - p) < 2e-3, (k, rank, p)
+    dec = spark.createDataFrame([(Decimal(i) / 100,) for i in range(1, 2001)], "x decimal(10,2)")
+    q = quantiles(dec, "x", {"m": 0.5}, method="sketch").first()
+    assert isinstance(q["m"], Decimal) and abs(q["m"] - Decimal("10.00")) <= Decimal("0.05")
+    assert quantiles(dec.limit(0), "x", {"m": 0.5}, method="sketch").first() == (0, None)

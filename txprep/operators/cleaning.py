@@ -47,7 +47,7 @@ def rule_failures(df: DataFrame, cols: TxColumns = DEFAULT_COLUMNS) -> DataFrame
 
 
 # ---------------------------------------------------------------- stage 2
-def outlier_bounds(valid: DataFrame, cols: TxColumns = DEFAULT_COLUMNS, method: str = "approx",
+def outlier_bounds(valid: DataFrame, cols: TxColumns = DEFAULT_COLUMNS, method: str = "sketch",
                    accuracy: int = 10000, min_rows: int = MIN_ROWS_FOR_OUTLIERS,
                    iqr_factor=IQR_FACTOR) -> DataFrame:
     """One row: ``n, q1, q3, p1, p99, lo, hi, applied`` over validated rows.
@@ -113,7 +113,7 @@ def check_consistency(df: DataFrame, cols: TxColumns = DEFAULT_COLUMNS) -> DataF
 
 
 # ---------------------------------------------------------------- composite
-def clean(df: DataFrame, cols: TxColumns = DEFAULT_COLUMNS, method: str = "approx",
+def clean(df: DataFrame, cols: TxColumns = DEFAULT_COLUMNS, method: str = "sketch",
           bounds: Row | None = None, deterministic: bool = True, accuracy: int = 10000) -> DataFrame:
     """validation -> outlier fence -> dedup -> consistency, as one plan."""
     valid = validate(df, cols)

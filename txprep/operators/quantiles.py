@@ -1,14 +1,22 @@
-"""Percentiles of one numeric column, approximate or exact.
+"""Percentiles of one numeric column: sketch, approximate or exact.
 
-``approx`` is one pass with Spark's mergeable quantile sketch
-(``percentile_approx``): partial sketches per task, merged once.
+``sketch`` (default) is one pass with a KLL sketch. Above ``fan_in`` input
+partitions it is merged as a two-level tree: rows are grouped by
+``spark_partition_id() % fan_in``, a key that is constant within a task, so
+every task emits exactly one partial sketch; those are merged by up to
+``fan_in`` reducers, and only ``fan_in`` sketches reach the final merge. No single task receives one sketch per input split,
+which is what a global ``percentile_approx`` does (hundreds of thousands of
+partial sketches of a few hundred KB each at 100 TB).
+
+``approx`` is the reference's ``percentile_approx`` (global merge), kept for
+fidelity on moderate task counts.
 
 ``exact`` returns SQL ``percentile_disc`` values (the smallest v with
 ``#(x <= v) >= ceil(p * n)``) without gathering the values of the column in
 any one task. It is a distributed selection:
 
-1. one aggregation pass: n, min, max and an approximate bracket
-   ``[approx(p - d), approx(p + d)]`` around each requested rank;
+1. one pass (the sketch tree above): n, min, max and an approximate bracket
+   ``[q(p - d), q(p + d)]`` around each requested rank;
 2. each later pass is a partial+final aggregation of an equal-width
    histogram of the rows inside the current bracket (``width_bucket``), with
    count, min and max per bucket. Only that histogram (at most
@@ -32,8 +40,77 @@ import math
 from collections import defaultdict
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# KLL parameter: k = 8000 gives a normalized rank error of about 1e-4, the
+# accuracy of percentile_approx's default; sketches stay under ~0.5 MB.
+SKETCH_K = 8000
+FAN_IN = 128
+
+
+def kll_family(dtype: T.DataType):
+    """(sketch agg, merge agg, quantile getter, input cast) for a column type;
+    integral columns keep exact 64-bit values, others go through double."""
+    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return F.kll_sketch_agg_bigint, F.kll_merge_agg_bigint, F.kll_sketch_get_quantile_bigint, "bigint"
+    if isinstance(dtype, T.FloatType):
+        return F.kll_sketch_agg_float, F.kll_merge_agg_float, F.kll_sketch_get_quantile_float, "float"
+    return F.kll_sketch_agg_double, F.kll_merge_agg_double, F.kll_sketch_get_quantile_double, "double"
+
+
+def task_group(fan_in: int = FAN_IN) -> Column:
+    """A grouping key constant within a task (stable across task retries)."""
+    return (F.spark_partition_id() % F.lit(fan_in)).alias("_g")
+
+
+def input_partitions(df: DataFrame) -> int | None:
+    """Partitions feeding an aggregation of ``df`` (planning only, no job);
+    None where the RDD API is unavailable (Spark Connect)."""
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:
+        return None
+
+
+def tree_agg(df: DataFrame, x: Column, dtype: T.DataType, aggs: dict[str, tuple[Column, str]],
+             sketch_k: int = SKETCH_K, fan_in: int = FAN_IN) -> DataFrame:
+    """A KLL sketch of ``x`` (as ``_sk``) plus ``aggs``, in one row.
+
+    ``aggs`` maps a name to ``(partial aggregate, combiner)`` with combiner
+    ``sum``, ``min`` or ``max``. With more input partitions than ``fan_in``
+    the aggregation is a two-level tree: per task group, then across groups,
+    so the final merge sees at most ``fan_in`` sketches. With fewer, one
+    global aggregation already sees at most ``fan_in`` partial sketches and
+    the extra stage is skipped.
+    """
+    agg, merge, _, cast = kll_family(dtype)
+    sketch = agg(x.cast(cast), sketch_k).alias("_sk")
+    n = input_partitions(df)
+    if n is not None and n <= fan_in:
+        return df.agg(sketch, *[c.alias(k) for k, (c, _) in aggs.items()])
+    combine = {"sum": F.sum, "min": F.min, "max": F.max}
+    grouped = df.groupBy(task_group(fan_in)).agg(sketch, *[c.alias(k) for k, (c, _) in aggs.items()])
+    return grouped.agg(merge("_sk").alias("_sk"), *[combine[f](k).alias(k) for k, (_, f) in aggs.items()])
+
+
+def sketch_get(dtype: T.DataType, probs) -> Column:
+    """Quantiles of the merged ``_sk`` sketch at ``probs`` (an array). A sketch
+    of no values cannot be read: guard with the count (CASE short-circuits)."""
+    get = kll_family(dtype)[2]
+    return get(F.col("_sk"), F.array(*[F.lit(float(p)) for p in probs]))
+
+
+def sketch_quantiles(df: DataFrame, col: str, probs: Mapping[str, float], k: int = SKETCH_K,
+                     fan_in: int = FAN_IN) -> DataFrame:
+    """One row: ``n`` and one column per named probability, typed like ``col``."""
+    typ = df.schema[col].dataType
+    names = list(probs)
+    merged = tree_agg(df, F.col(col), typ, {"n": (F.count(F.col(col)), "sum")}, k, fan_in)
+    q = sketch_get(typ, [probs[n] for n in names])
+    return merged.select(F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"),
+                         *[F.when(F.col("n") > 0, q[i]).cast(typ).alias(n) for i, n in enumerate(names)])
 
 
 def approx_quantiles(df: DataFrame, col: str, probs: Mapping[str, float],
@@ -69,10 +146,25 @@ def _rank_in_range(base: DataFrame, lo, hi, rank: int, typ):
     return None if row is None else row[0]
 
 
+def to_column_type(v, typ):
+    """A sketch value (double/bigint) as a value of the column's type."""
+    if v is None:
+        return None
+    if isinstance(typ, T.DecimalType):
+        from decimal import Decimal
+        return Decimal(repr(float(v))).quantize(Decimal(1).scaleb(-typ.scale))
+    if isinstance(typ, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return int(v)
+    return float(v)
+
+
 def exact_quantiles(df: DataFrame, col: str, probs: Mapping[str, float],
                     accuracy: int = 10000, buckets: int = 4096,
-                    max_rounds: int = 64) -> tuple[int, dict]:
-    """Return ``(n, {name: value})`` with SQL ``percentile_disc`` semantics."""
+                    max_rounds: int = 64, sketch_k: int = SKETCH_K,
+                    fan_in: int = FAN_IN) -> tuple[int, dict]:
+    """Return ``(n, {name: value})`` with SQL ``percentile_disc`` semantics.
+
+    ``accuracy`` sets the bracket half-width (2 / accuracy in rank)."""
     typ = df.schema[col].dataType
     base = df.select(F.col(col).alias("x")).where(F.col("x").isNotNull())
     x = F.col("x")
@@ -82,12 +174,15 @@ def exact_quantiles(df: DataFrame, col: str, probs: Mapping[str, float],
     for k in names:
         p = float(probs[k])
         brackets += [max(0.0, p - d), min(1.0, p + d)]
-    first = base.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx"),
-                     F.percentile_approx("x", brackets, accuracy).alias("b")).first()
-    n = int(first["n"])
+    first = tree_agg(base, F.col("x"), typ,
+                     {"n": (F.count(F.lit(1)), "sum"), "mn": (F.min("x"), "min"), "mx": (F.max("x"), "max")},
+                     sketch_k, fan_in)
+    first = first.select("n", "mn", "mx", F.when(F.col("n") > 0, sketch_get(typ, brackets)).alias("b")).first()
+    n = int(first["n"] or 0)
     if n == 0:
         return 0, {k: None for k in names}
-    gmin, gmax, approx = first["mn"], first["mx"], first["b"]
+    gmin, gmax = first["mn"], first["mx"]
+    approx = [to_column_type(v, typ) for v in first["b"]]
     state = {}
     for i, k in enumerate(names):
         lo, hi = approx[2 * i], approx[2 * i + 1]
@@ -146,13 +241,18 @@ def exact_quantiles(df: DataFrame, col: str, probs: Mapping[str, float],
     return n, result
 
 
-def quantiles(df: DataFrame, col: str, probs: Mapping[str, float], method: str = "approx",
+METHODS = ("sketch", "approx", "exact")
+
+
+def quantiles(df: DataFrame, col: str, probs: Mapping[str, float], method: str = "sketch",
               accuracy: int = 10000) -> DataFrame:
-    """One-row frame ``n, <name>...`` for either method (same schema)."""
+    """One-row frame ``n, <name>...`` for any method (same schema)."""
+    if method == "sketch":
+        return sketch_quantiles(df, col, probs)
     if method == "approx":
         return approx_quantiles(df, col, probs, accuracy)
     if method != "exact":
-        raise ValueError(f"method must be 'approx' or 'exact', not {method!r}")
+        raise ValueError(f"method must be one of {METHODS}, not {method!r}")
     typ = df.schema[col].dataType
     n, vals = exact_quantiles(df, col, probs, accuracy)
     spark = df.sparkSession

@@ -3,9 +3,9 @@ label-partitioned Parquet, with per-stage accounting.
 
 Two passes over the input, two Spark jobs (three with exact percentiles):
 
-* pass 1 (one scan, global aggregation, no shuffle): input rows, NULL
-  profile, per-rule failures, validated rows and the amount quantile sketch
-  of validated rows (``percentile_approx`` over ``when(valid, amount)``);
+* pass 1 (one scan; per-task partial aggregates merged as a two-level
+  tree): input rows, NULL profile, per-rule failures, validated rows and
+  the KLL quantile sketch of validated amounts (``when(valid, amount)``);
 * pass 2 (one scan with the validation and fence filters pushed to the
   reader, one shuffle on the key): one survivor per key, consistency,
   features (a projection), label-partitioned write. The stage 2-4 counts
@@ -29,13 +29,13 @@ from ..operators.cleaning import (IQR_FACTOR, MIN_ROWS_FOR_OUTLIERS, OUTLIER_PRO
                                   in_bounds, outlier_bounds, resolve_bounds)
 from ..operators.features import add_features, select_ml_ready
 from ..operators.partitioning import plan_partitions
-from ..operators.quantiles import exact_quantiles
+from ..operators.quantiles import to_column_type, exact_quantiles, sketch_get, tree_agg
 from ..schema import DEFAULT_COLUMNS, TX_SCHEMA, TxColumns
 from ..sinks import write_partitioned
 from ..sources import read_delimited
 
 
-def ml_ready(df: DataFrame, cols: TxColumns = DEFAULT_COLUMNS, method: str = "approx",
+def ml_ready(df: DataFrame, cols: TxColumns = DEFAULT_COLUMNS, method: str = "sketch",
              bounds: Row | None = None, deterministic: bool = True) -> DataFrame:
     """Lazy ML-ready table: clean -> features -> fixed columns."""
     cleaned = clean(df, cols, method=method, bounds=bounds, deterministic=deterministic)
@@ -59,19 +59,32 @@ class PrepareResult:
         return None if not self.input_rows else 100.0 * self.output_rows / self.input_rows
 
 
-def _profile_pass(raw: DataFrame, cols: TxColumns, accuracy: int) -> Row:
+def _profile_pass(raw: DataFrame, cols: TxColumns, method: str, accuracy: int) -> tuple[Row, dict | None]:
+    """All pass-1 numbers from one scan. With ``method="sketch"`` the counts
+    and the amount sketch are combined per task group and then merged (no
+    single task sees every task's sketch); with ``"approx"`` it is one
+    global aggregation around ``percentile_approx``."""
     rules = validation_rules(cols)
     valid = is_valid(cols)
-    aggs = [F.count(F.lit(1)).alias("rows"), F.count_if(valid).alias("valid")]
-    aggs += [F.count_if(null_or_empty(raw, c)).alias(f"n_{c}") for c in raw.columns]
-    aggs += [F.count_if(~F.coalesce(r, F.lit(False))).alias(f"r_{i}") for i, r in enumerate(rules.values())]
+    counts = {"rows": F.count(F.lit(1)), "valid": F.count_if(valid)}
+    counts.update({f"n_{c}": F.count_if(null_or_empty(raw, c)) for c in raw.columns})
+    counts.update({f"r_{i}": F.count_if(~F.coalesce(r, F.lit(False))) for i, r in enumerate(rules.values())})
     probs = [float(p) for p in OUTLIER_PROBS.values()]
-    aggs.append(F.percentile_approx(F.when(valid, F.col(cols.amount)), probs, accuracy).alias("q"))
-    return raw.agg(*aggs).first()
+    amount = F.when(valid, F.col(cols.amount))
+    typ = raw.schema[cols.amount].dataType
+    if method == "sketch":
+        merged = tree_agg(raw, amount, typ, {k: (c, "sum") for k, c in counts.items()})
+        row = merged.select(*counts, F.when(F.col("valid") > 0, sketch_get(typ, probs)).alias("q")).first()
+        q = None if not row["valid"] else [to_column_type(v, typ) for v in row["q"]]
+    else:
+        row = raw.agg(*[c.alias(k) for k, c in counts.items()],
+                      F.percentile_approx(amount, probs, accuracy).alias("q")).first()
+        q = row["q"]
+    return row, (dict(zip(OUTLIER_PROBS, q)) if q else None)
 
 
 def prepare(spark: SparkSession, source, output_path: str, cols: TxColumns = DEFAULT_COLUMNS,
-            method: str = "approx", accuracy: int = 10000,
+            method: str = "sketch", accuracy: int = 10000,
             max_output_partitions: int | None = None) -> PrepareResult:
     """Run the whole preparation job; ``source`` is a path/glob of delimited
     files (read with the raw schema) or a DataFrame."""
@@ -80,13 +93,12 @@ def prepare(spark: SparkSession, source, output_path: str, cols: TxColumns = DEF
     raw = read_delimited(spark, source, TX_SCHEMA) if isinstance(source, (str, list)) else source
     typ = raw.schema[cols.amount].dataType
 
-    # pass 1: profile + rule failures + sketch, one global aggregation
-    p = _profile_pass(raw, cols, accuracy)
-    n_valid = int(p["valid"])
+    # pass 1: profile + rule failures + amount sketch, one scan
+    p, q = _profile_pass(raw, cols, method, accuracy)
+    n_valid = int(p["valid"] or 0)
     if method == "exact":
         _, q = exact_quantiles(raw.filter(all_of(validation_rules(cols))), cols.amount, OUTLIER_PROBS, accuracy)
-    else:
-        q = dict(zip(OUTLIER_PROBS, p["q"] or [None] * len(OUTLIER_PROBS)))
+    q = q or dict.fromkeys(OUTLIER_PROBS)
     applied = n_valid >= MIN_ROWS_FOR_OUTLIERS and q["q1"] is not None
     lo = hi = None
     if q["q1"] is not None:
