@@ -30,7 +30,8 @@ def test_dataset_route(spark, tmp):
     cols = {k[1] for k in got if k[0] == "numeric_statistics"}
     assert cols == {"transaction_id", "customer_id", "terminal_id", "tx_amount", "tx_amount_log"}
     paths = write_reports(m, f"{tmp}/report")
-    assert spark.read.text(paths["text"]).count() == m.count()
+    sections = m.select("section").distinct().count()
+    assert spark.read.text(paths["text"]).count() == m.count() + sections
 
 
 def test_empty_dataset_falls_through_to_inventory(spark, tmp):
@@ -68,3 +69,25 @@ def test_stream_matches_batch_stages(spark, tmp):
     q2.awaitTermination()
     assert spark.read.parquet(f"{tmp}/out").count() == batch.count()
     assert out.filter(F.col("tx_fraud").isNull()).count() == 0
+
+
+def test_unreadable_dataset_reports_error(spark, tmp):
+    path = f"{tmp}/ml_ready_data"
+    import os
+    os.makedirs(path)
+    with open(f"{path}/part-0.parquet", "w") as f:
+        f.write("not parquet")
+    import warnings
+    with warnings.catch_warnings(record=True):
+        warnings.simplefilter("always")
+        rows = analyze(spark, path).collect()
+    errs = [r for r in rows if r["section"] == "errors"]
+    assert len(errs) == 1 and errs[0]["text"].startswith(f"reading {path}")
+    assert [r["value"] for r in rows if r["metric"] == "total_rows"] == [0]
+
+
+def test_null_profile_on_sample(spark):
+    from txprep.operators import null_profile
+    tx = fixtures.tx(spark, SF["0.01"])
+    got = null_profile(tx, sample=1000).collect()
+    assert 700 < got[0]["rows"] < 1300

@@ -67,8 +67,10 @@ def test_report_sinks(spark, tmp):
     m = report_metrics(fixtures.tx(spark, SF["0.001"]), label="tx_fraud")
     write_json(m, f"{tmp}/j")
     assert spark.read.json(f"{tmp}/j").count() == m.count()
-    write_text_report(m, f"{tmp}/t")
+    write_text_report(m, f"{tmp}/t", title="REPORT")
     lines = [r["value"] for r in spark.read.text(f"{tmp}/t").collect()]
-    assert len(lines) == m.count()
-    assert lines[0].startswith("general")
-    assert any(line.startswith("class_distribution") and "class_1" in line for line in lines)
+    sections = m.select("section").distinct().count()
+    assert len(lines) == m.count() + sections + 1
+    assert lines[:2] == ["REPORT", "== GENERAL =="]
+    at = lines.index("== CLASS_DISTRIBUTION ==")
+    assert "class_0" in lines[at + 1]

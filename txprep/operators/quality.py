@@ -17,12 +17,17 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows"))
 
 
-def null_profile(df: DataFrame, skip_prefix: str = "row_") -> DataFrame:
+def null_profile(df: DataFrame, skip_prefix: str = "row_", sample: int | None = None,
+                 seed: int = SAMPLE_SEED) -> DataFrame:
     """NULL (and, for strings, empty) count per column in one aggregation.
 
     Columns: ``ordinal, column, nulls, rows, null_pct``. Columns whose name
-    starts with ``skip_prefix`` are left out.
+    starts with ``skip_prefix`` are left out. ``sample`` profiles a
+    ``sample_cap`` sample of at most about that many rows instead of all rows
+    (the reference's quality check); ``rows`` is then the sample's size.
     """
+    if sample is not None:
+        df = sample_cap(df, sample, seed)
     names = [c for c in df.columns if not c.startswith(skip_prefix)]
     wide = df.agg(F.count(F.lit(1)).alias("rows"),
                   *[F.count_if(null_or_empty(df, c)).alias(f"_n{i}") for i, c in enumerate(names)])

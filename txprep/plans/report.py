@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators.profile import METRIC_SCHEMA, report_metrics
 from ..sinks import write_json, write_text_report
-from ..sources import inventory, read_parquet
+from ..sources import first_line, inventory, read_parquet
 
 # The reference's routing markers.
 DATASET_MARKER = "ml_ready_data"
@@ -52,20 +52,30 @@ def analyze(spark: SparkSession, path: str, kind: str = "auto", label: str | Non
             digits: int | None = None, include_partitions: bool = True) -> DataFrame:
     """Metric rows (``section, item, metric, value, text``) for ``path``."""
     dataset = kind == "dataset" or (kind == "auto" and is_dataset_path(path))
+    errors = []
     if dataset:
-        df = read_parquet(spark, path)
-        # one bounded probe (a row, not a count) decides the fall-through
-        if df.limit(1).count() > 0:
+        try:
+            df = read_parquet(spark, path)
+            # one bounded probe (a row, not a count) decides the fall-through
+            found = df.limit(1).count() > 0
+        except Exception as e:  # recorded in the report, as the reference does
+            errors.append(f"reading {path} as a dataset: {first_line(e)}")
+            found = False
+        if found:
             meta = spark.createDataFrame(
                 [("general", path, "dataset", 1.0, "ML_PARQUET")], METRIC_SCHEMA)
             return report_metrics(df, label=label, digits=digits,
                                   include_partitions=include_partitions).unionByName(meta)
-    return inventory_metrics(inventory(spark, path))
+    out = inventory_metrics(inventory(spark, path))
+    if errors:
+        out = out.unionByName(spark.createDataFrame(
+            [("errors", path, "error", None, msg) for msg in errors], METRIC_SCHEMA))
+    return out
 
 
-def write_reports(metrics: DataFrame, out_dir: str) -> dict:
+def write_reports(metrics: DataFrame, out_dir: str, title: str | None = None) -> dict:
     """JSON rows and the text report under ``out_dir``."""
     out = out_dir.rstrip("/")
     write_json(metrics, f"{out}/json")
-    write_text_report(metrics, f"{out}/text")
+    write_text_report(metrics, f"{out}/text", title=title)
     return {"json": f"{out}/json", "text": f"{out}/text"}

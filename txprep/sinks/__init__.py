@@ -41,25 +41,35 @@ def write_json(metrics: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 # Section order of the text report.
 REPORT_SECTIONS = ("general", "inventory", "schema", "partitions", "class_distribution",
-                   "numeric_statistics")
+                   "numeric_statistics", "errors")
 
 
-def report_lines(metrics: DataFrame) -> DataFrame:
-    """One formatted text line per metric row, with a sort key."""
+def report_lines(metrics: DataFrame, title: str | None = None) -> DataFrame:
+    """Formatted text lines with sort keys: an optional title, a header per
+    section present, then one line per metric row."""
     order = F.coalesce(F.array_position(F.array(*[F.lit(s) for s in REPORT_SECTIONS]), F.col("section")),
                        F.lit(len(REPORT_SECTIONS) + 1))
     value = F.when(F.col("value") == F.floor("value"), F.format_number("value", 0)).otherwise(
         F.format_number("value", 2))
-    shown = F.when(F.col("text").isNotNull(), F.col("text")).otherwise(value)
-    line = F.format_string("%-20s %-24s %-12s %s", F.col("section"), F.coalesce(F.col("item"), F.lit("")),
-                           F.col("metric"), shown)
-    return metrics.select(order.alias("_o"), "section", "item", "metric", line.alias("value"))
-
-
-def write_text_report(metrics: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Text report, lines grouped by section. A report holds a bounded number
-    of metric rows (per column / per class / per file), so it is written as
-    one sorted file."""
-    lines = report_lines(metrics)
-    (lines.repartition(1).sortWithinPartitions("_o", "section", "item", "metric")
+    shown = F.when(F.col("text").isNotNull() & F.col("value").isNotNull(),
+                   F.concat_ws(" ", value, F.col("text"))).otherwise(F.coalesce(F.col("text"), value))
+    line = F.format_string("  %-24s %-12s %s", F.coalesce(F.col("item"), F.lit("")), F.col("metric"), shown)
+    body = metrics.select(order.alias("_o"), F.lit(1).alias("_h"), F.coalesce(F.col("item"), F.lit("")).alias("_i"),
+                          F.col("metric").alias("_m"), line.alias("value"))
+    heads = metrics.select("section").distinct().select(
+        order.alias("_o"), F.lit(0).alias("_h"), F.lit("").alias("_i"), F.lit("").alias("_m"),
+        F.concat(F.lit("== "), F.upper("section"), F.lit(" ==")).alias("value"))
+    lines = heads.unionByName(body)
+    if title is not None:
+        top = metrics.sparkSession.createDataFrame([(0, 0, "", "", title)], "_o int, _h int, _i string, _m string, value string")
+        lines = top.unionByName(lines)
+    return lines
+
+
+def write_text_report(metrics: DataFrame, path: str, title: str | None = None, mode: str = "overwrite") -> None:
+    """Text report, one header per section then its lines. A report holds a
+    bounded number of metric rows (per column / per class / per file), so it
+    is written as one sorted file."""
+    lines = report_lines(metrics, title)
+    (lines.repartition(1).sortWithinPartitions("_o", "_h", "_i", "_m", "value")
           .select("value").write.mode(mode).text(path))

@@ -55,6 +55,14 @@ INVENTORY_FORMATS = {
 }
 
 
+def first_line(e: Exception, limit: int = 300) -> str:
+    """A short, one-line description of an error."""
+    if isinstance(e, AnalysisException) and e.getCondition():
+        return e.getCondition()
+    text = str(e).strip().splitlines()
+    return (text[0] if text else type(e).__name__)[:limit]
+
+
 def _files_of(spark: SparkSession, root: str, glob: str, reader: str) -> DataFrame | None:
     r = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob))
     if reader == "csv":
@@ -64,7 +72,10 @@ def _files_of(spark: SparkSession, root: str, glob: str, reader: str) -> DataFra
     except AnalysisException as e:
         cond = e.getCondition() or ""
         if cond not in _EMPTY_CONDITIONS:
-            warnings.warn(f"inventory: skipping {glob} under {root}: {cond or e}")
+            warnings.warn(f"inventory: skipping {glob} under {root}: {first_line(e)}")
+        return None
+    except Exception as e:  # unreadable files: warned and skipped, as the reference does
+        warnings.warn(f"inventory: skipping {glob} under {root}: {first_line(e)}")
         return None
     return df
 
