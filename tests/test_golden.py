@@ -60,6 +60,11 @@ def test_prepare_job(spark, sf, tmp):
     assert back.count() == g["stages"][-1] == res.output_rows
     assert res.partitions == 50
     assert res.retention_pct == pytest.approx(100.0 * g["stages"][-1] / g["stages"][0])
+    m = {(r["section"], r["item"], r["metric"]): r for r in res.to_metrics(spark).collect()}
+    assert m[("waterfall", "consistency", "rows")]["value"] == g["stages"][-1]
+    assert m[("waterfall", "dedup", "removed")]["value"] == g["stages"][2] - g["stages"][3]
+    assert m[("null_profile", "customer_id", "nulls")]["value"] == g["nulls"][0]
+    assert m[("general", "", "output_path")]["text"] == f"{tmp}/out"
 
 
 def test_prepare_approx_matches_exact_on_fixture(spark, tmp):

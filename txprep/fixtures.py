@@ -62,14 +62,12 @@ def register_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
 def tx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw transaction fixture derived from ``events`` of ``sf_dir``.
 
-    Temp views are session-global, so the ``events`` view is (re)pointed at
-    ``sf_dir`` before the fixture text is analysed; the returned plan keeps
-    its own resolved reference to that scan.
+    The ``events`` DataFrame is bound to the SQL text as a parameter, so no
+    session-global view is created or replaced (safe for concurrent callers
+    on one session).
     """
-    table(spark, sf_dir, "events").createOrReplaceTempView("events")
-    df = spark.sql(TX_FIXTURE_SQL)
-    df.createOrReplaceTempView("tx")
-    return df
+    text = TX_FIXTURE_SQL.replace("FROM events", "FROM {events}")
+    return spark.sql(text, events=table(spark, sf_dir, "events"))
 
 
 def oracle_with_tx(body: str, ctes=()) -> str:

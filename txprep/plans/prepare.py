@@ -29,6 +29,7 @@ from ..operators.cleaning import (IQR_FACTOR, MIN_ROWS_FOR_OUTLIERS, OUTLIER_PRO
                                   in_bounds, outlier_bounds, resolve_bounds)
 from ..operators.features import add_features, select_ml_ready
 from ..operators.partitioning import plan_partitions
+from ..operators.profile import METRIC_SCHEMA
 from ..operators.quantiles import to_column_type, exact_quantiles, sketch_get, tree_agg
 from ..schema import DEFAULT_COLUMNS, TX_SCHEMA, TxColumns
 from ..sinks import write_partitioned
@@ -58,6 +59,32 @@ class PrepareResult:
     def retention_pct(self) -> float | None:
         return None if not self.input_rows else 100.0 * self.output_rows / self.input_rows
 
+    def to_metrics(self, spark: SparkSession) -> DataFrame:
+        """The job's accounting as metric rows (``section, item, metric,
+        value, text``), for ``write_reports``. A fixed, small number of rows:
+        one per stage, column, rule, class and bound."""
+        rows = [("general", "", "input_rows", float(self.input_rows), None),
+                ("general", "", "output_rows", float(self.output_rows), None),
+                ("general", "", "retention_pct", self.retention_pct, None),
+                ("general", "", "partitions", float(self.partitions), None),
+                ("general", "", "output_path", None, self.output_path)]
+        prev = None
+        for stage, step, n in self.waterfall:
+            rows.append(("waterfall", step, "rows", float(n), None))
+            if prev is not None:
+                rows.append(("waterfall", step, "removed", float(prev - n), None))
+            prev = n
+        for k, v in self.bounds.items():
+            rows.append(("outlier_bounds", k, "value", None if v is None else float(v), None))
+        rows += [("null_profile", c, "nulls", float(v), None) for c, v in self.null_profile.items()]
+        rows += [("rule_failures", r, "failed", float(v), None) for r, v in self.rule_failures.items()]
+        total = sum(self.class_counts.values())
+        for label, n in self.class_counts.items():
+            rows.append(("class_distribution", f"class_{label}", "count", float(n), None))
+            rows.append(("class_distribution", f"class_{label}", "percentage",
+                         100.0 * n / total if total else None, None))
+        return spark.createDataFrame(rows, METRIC_SCHEMA)
+
 
 def _profile_pass(raw: DataFrame, cols: TxColumns, method: str, accuracy: int) -> tuple[Row, dict | None]:
     """All pass-1 numbers from one scan. With ``method="sketch"`` the counts
