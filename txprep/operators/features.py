@@ -33,7 +33,17 @@ def add_features(df: DataFrame, cols: TxColumns = DEFAULT_COLUMNS) -> DataFrame:
     })
 
 
-def select_ml_ready(features: DataFrame, columns=ML_READY_COLUMNS) -> DataFrame:
+def ml_ready_columns(cols: TxColumns, available) -> list[str]:
+    """The output layout with role columns renamed through ``cols``; plain
+    pass-through columns are kept when the input has them."""
+    role = {"transaction_id": cols.id, "customer_id": cols.customer, "terminal_id": cols.terminal,
+            "tx_amount": cols.amount, "tx_fraud": cols.label, "tx_fraud_scenario": cols.scenario}
+    out = [role.get(c, c) for c in ML_READY_COLUMNS]
+    return [c for c in out if c in available]
+
+
+def select_ml_ready(features: DataFrame, cols: TxColumns = DEFAULT_COLUMNS) -> DataFrame:
     """Fixed output columns; rows without a log amount are dropped (a contract:
     the log is never NULL after validation)."""
-    return features.select(*columns).filter(F.col("tx_amount_log").isNotNull())
+    return (features.select(*ml_ready_columns(cols, features.columns))
+            .filter(F.col("tx_amount_log").isNotNull()))

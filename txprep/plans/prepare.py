@@ -40,7 +40,7 @@ def ml_ready(df: DataFrame, cols: TxColumns = DEFAULT_COLUMNS, method: str = "sk
              bounds: Row | None = None, deterministic: bool = True) -> DataFrame:
     """Lazy ML-ready table: clean -> features -> fixed columns."""
     cleaned = clean(df, cols, method=method, bounds=bounds, deterministic=deterministic)
-    return select_ml_ready(add_features(cleaned, cols))
+    return select_ml_ready(add_features(cleaned, cols), cols)
 
 
 @dataclass
@@ -149,7 +149,7 @@ def prepare(spark: SparkSession, source, output_path: str, cols: TxColumns = DEF
                           F.count_if(ok).alias("s4"),
                           F.count_if(ok & (label == 0)).alias("c0"),
                           F.count_if(ok & (label == 1)).alias("c1"))
-    out = select_ml_ready(add_features(keyed.filter(ok).select(*raw.columns), cols))
+    out = select_ml_ready(add_features(keyed.filter(ok).select(*raw.columns), cols), cols)
     # sized before the write from the validated rows, an upper bound of the
     # output rows; coalesce only ever lowers the partition count
     k = plan_partitions(n_valid, max_partitions=max_output_partitions)

@@ -24,7 +24,7 @@ def stream_rows(stream: DataFrame, bounds: Row | None, cols: TxColumns = DEFAULT
     """The stateless stages on a (streaming or batch) DataFrame."""
     valid = validate(stream, cols)
     fenced = remove_outliers(valid, bounds, cols) if bounds is not None else valid
-    return select_ml_ready(add_features(check_consistency(fenced, cols), cols))
+    return select_ml_ready(add_features(check_consistency(fenced, cols), cols), cols)
 
 
 def stream_prepare(spark: SparkSession, source_dir: str, output_path: str, bounds: Row | None = None,
