@@ -55,6 +55,9 @@ def test_prepare_job(spark, sf, tmp):
     assert (res.class_counts[0], res.class_counts[1]) == g["classes"]
     n = res.null_profile
     assert (n["customer_id"], n["tx_amount"], n["tx_fraud_scenario"]) == g["nulls"]
+    c = res.clean_null_profile
+    assert c["customer_id"] == c["tx_amount"] == c["tx_fraud_scenario"] == 0
+    assert c["tx_datetime"] == 0 and set(c) == set(n)
     back = spark.read.parquet(f"{tmp}/out")
     assert back.columns[-1] == "tx_fraud" and dict(back.dtypes)["tx_fraud"] == "int"
     assert back.count() == g["stages"][-1] == res.output_rows

@@ -51,7 +51,8 @@ class PrepareResult:
     partitions: int
     bounds: dict
     waterfall: list = field(default_factory=list)      # (stage, step, rows)
-    null_profile: dict = field(default_factory=dict)   # column -> nulls
+    null_profile: dict = field(default_factory=dict)   # column -> nulls (input)
+    clean_null_profile: dict = field(default_factory=dict)  # column -> nulls (cleaned rows)
     rule_failures: dict = field(default_factory=dict)  # rule -> failed rows
     class_counts: dict = field(default_factory=dict)   # label -> rows
 
@@ -76,7 +77,8 @@ class PrepareResult:
             prev = n
         for k, v in self.bounds.items():
             rows.append(("outlier_bounds", k, "value", None if v is None else float(v), None))
-        rows += [("null_profile", c, "nulls", float(v), None) for c, v in self.null_profile.items()]
+        rows += [("null_profile", c, "nulls", float(v), "input") for c, v in self.null_profile.items()]
+        rows += [("null_profile", c, "nulls_clean", float(v), "cleaned") for c, v in self.clean_null_profile.items()]
         rows += [("rule_failures", r, "failed", float(v), None) for r, v in self.rule_failures.items()]
         total = sum(self.class_counts.values())
         for label, n in self.class_counts.items():
@@ -148,7 +150,8 @@ def prepare(spark: SparkSession, source, output_path: str, cols: TxColumns = DEF
     keyed = keyed.observe(obs, F.sum("_dups").alias("s2"), F.count(F.lit(1)).alias("s3"),
                           F.count_if(ok).alias("s4"),
                           F.count_if(ok & (label == 0)).alias("c0"),
-                          F.count_if(ok & (label == 1)).alias("c1"))
+                          F.count_if(ok & (label == 1)).alias("c1"),
+                          *[F.count_if(ok & null_or_empty(raw, c)).alias(f"n_{c}") for c in raw.columns])
     out = select_ml_ready(add_features(keyed.filter(ok).select(*raw.columns), cols), cols)
     # sized before the write from the validated rows, an upper bound of the
     # output rows; coalesce only ever lowers the partition count
@@ -164,6 +167,7 @@ def prepare(spark: SparkSession, source, output_path: str, cols: TxColumns = DEF
         bounds=bounds.asDict(),
         waterfall=list(zip(range(5), STAGES, [int(p["rows"]), n_valid, s2, int(counts["s3"]), rows_out])),
         null_profile={c: int(p[f"n_{c}"]) for c in raw.columns},
+        clean_null_profile={c: int(counts[f"n_{c}"]) for c in raw.columns},
         rule_failures={names[i]: int(p[f"r_{i}"]) for i in range(len(names))},
         class_counts={0: int(counts["c0"]), 1: int(counts["c1"])},
     )
