@@ -144,3 +144,16 @@ def test_plan_partitions_rule():
     assert plan_partitions(120_000_000) == 120
     assert plan_partitions(1_563_638_244) == 200
     assert plan_partitions(1_563_638_244, max_partitions=None) == 1563
+
+
+def test_outlier_bounds_on_a_stats_sample(spark):
+    from conftest import SF
+    from txprep import fixtures
+    from txprep.operators import outlier_bounds, resolve_bounds
+    valid = validate(fixtures.tx(spark, SF["0.01"]))
+    full = resolve_bounds(outlier_bounds(valid, method="exact"))
+    sampled = resolve_bounds(outlier_bounds(valid, method="exact", stats_sample=3000))
+    same = resolve_bounds(outlier_bounds(valid, method="exact", stats_sample=10**6))
+    assert sampled["n"] == full["n"] == 9756 and sampled["applied"]
+    assert same == full                       # below the cap: all rows
+    assert abs(float(sampled["q1"]) - float(full["q1"])) < 3

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.predicates import all_of, is_valid, label_consistent, validation_rules
 from ..schema import DEFAULT_COLUMNS, TxColumns
 from ._long import melt_row, ratio_pct
+from .quality import sample_cap
 from .quantiles import quantiles
 
 # The outlier fence of the reference job.
@@ -49,15 +50,24 @@ def rule_failures(df: DataFrame, cols: TxColumns = DEFAULT_COLUMNS) -> DataFrame
 # ---------------------------------------------------------------- stage 2
 def outlier_bounds(valid: DataFrame, cols: TxColumns = DEFAULT_COLUMNS, method: str = "sketch",
                    accuracy: int = 10000, min_rows: int = MIN_ROWS_FOR_OUTLIERS,
-                   iqr_factor=IQR_FACTOR) -> DataFrame:
+                   iqr_factor=IQR_FACTOR, stats_sample: int | None = None) -> DataFrame:
     """One row: ``n, q1, q3, p1, p99, lo, hi, applied`` over validated rows.
 
     ``lo = max(q1 - f*iqr, p1)``, ``hi = min(q3 + f*iqr, p99)``; the fence is
     applied only when there are at least ``min_rows`` validated rows. The
     clamp keeps lo/hi inside the data's range, so they fit the column type.
+
+    ``stats_sample`` reproduces the reference's procedure: above that many
+    validated rows the percentiles come from a seed-42 Bernoulli sample of
+    about that size (one extra count); ``n`` stays the full count.
     """
     typ = valid.schema[cols.amount].dataType
-    q = quantiles(valid, cols.amount, OUTLIER_PROBS, method=method, accuracy=accuracy)
+    if stats_sample is not None:
+        n = valid.count()
+        q = quantiles(sample_cap(valid, stats_sample, rows=n), cols.amount, OUTLIER_PROBS, method=method,
+                      accuracy=accuracy).withColumn("n", F.lit(n).cast("bigint"))
+    else:
+        q = quantiles(valid, cols.amount, OUTLIER_PROBS, method=method, accuracy=accuracy)
     q1, q3, p1, p99 = (F.col(k) for k in OUTLIER_PROBS)
     f = F.lit(iqr_factor)
     return q.select(

@@ -4,9 +4,10 @@
 partitions it is merged as a two-level tree: rows are grouped by
 ``spark_partition_id() % fan_in``, a key that is constant within a task, so
 every task emits exactly one partial sketch; those are merged by up to
-``fan_in`` reducers, and only ``fan_in`` sketches reach the final merge. No single task receives one sketch per input split,
-which is what a global ``percentile_approx`` does (hundreds of thousands of
-partial sketches of a few hundred KB each at 100 TB).
+``fan_in`` reducers, and only ``fan_in`` sketches reach the final merge.
+No single task receives one sketch per input split, which is what a global
+``percentile_approx`` does (hundreds of thousands of partial sketches of a
+few hundred KB each at 100 TB).
 
 ``approx`` is the reference's ``percentile_approx`` (global merge), kept for
 fidelity on moderate task counts.
