@@ -8,7 +8,7 @@ import __spark_entry__ as entry
 from conftest import SF
 from oracle_harness import compare, duck
 
-ROWS_ONLY = {"src_limit", "profile_partitions", "sink_text_report"}
+ROWS_ONLY = {"profile_partitions", "sink_text_report"}
 
 
 @pytest.fixture(scope="module")

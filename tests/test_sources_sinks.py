@@ -40,10 +40,11 @@ def test_inventory_counts_each_file_once(spark, tmp):
     tx.coalesce(1).write.option("header", True).csv(f"{tmp}/c")         # csv with header
     with open(f"{tmp}/notes.txt", "w") as f:
         f.write("h\n1\n2\n3\n")
+    tx.coalesce(2).write.json(f"{tmp}/j")
     inv = inventory(spark, tmp)
     by_fmt = {r["format"]: (r["files"], r["rows"]) for r in inventory_totals(inv).collect()}
     assert by_fmt["parquet"][1] == 1020 and by_fmt["csv"] == (1, 1020) and by_fmt["txt"] == (1, 3)
-    assert "json" not in by_fmt
+    assert by_fmt["json"][1] == 1020
     assert inv.filter(F.col("format") == "parquet").count() == by_fmt["parquet"][0]
 
 

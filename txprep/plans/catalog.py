@@ -159,7 +159,7 @@ def q_src_json(spark, sf_dir):
     return read_json(spark, path, TX_SCHEMA)
 
 
-@register("src_limit")
+@register("src_limit", oracle_with_tx(f"SELECT {TX_COLS} FROM tx LIMIT 100000"))
 def q_src_limit(spark, sf_dir):
     path = scratch_path(spark, "tx_csv")
     tx(spark, sf_dir).write.option("header", True).csv(path)
