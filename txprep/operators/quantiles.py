@@ -159,31 +159,41 @@ def to_column_type(v, typ):
     return float(v)
 
 
+def bracket_probs(probs: Mapping[str, float], accuracy: int = 10000) -> list[float]:
+    """Ranks ``p - d, p + d`` (d = 2 / accuracy) around each probability."""
+    d = 2.0 / accuracy
+    out = []
+    for p in probs.values():
+        out += [max(0.0, float(p) - d), min(1.0, float(p) + d)]
+    return out
+
+
 def exact_quantiles(df: DataFrame, col: str, probs: Mapping[str, float],
                     accuracy: int = 10000, buckets: int = 4096,
                     max_rounds: int = 64, sketch_k: int = SKETCH_K,
-                    fan_in: int = FAN_IN) -> tuple[int, dict]:
+                    fan_in: int = FAN_IN, start: tuple | None = None) -> tuple[int, dict]:
     """Return ``(n, {name: value})`` with SQL ``percentile_disc`` semantics.
 
-    ``accuracy`` sets the bracket half-width (2 / accuracy in rank)."""
+    ``accuracy`` sets the bracket half-width (2 / accuracy in rank).
+    ``start = (n, min, max, bracket values)`` (values at ``bracket_probs``)
+    skips the first pass when a caller's own pass already produced them;
+    the brackets are verified like the sketch's own."""
     typ = df.schema[col].dataType
     base = df.select(F.col(col).alias("x")).where(F.col("x").isNotNull())
     x = F.col("x")
     names = list(probs)
-    d = 2.0 / accuracy
-    brackets = []
-    for k in names:
-        p = float(probs[k])
-        brackets += [max(0.0, p - d), min(1.0, p + d)]
-    first = tree_agg(base, F.col("x"), typ,
-                     {"n": (F.count(F.lit(1)), "sum"), "mn": (F.min("x"), "min"), "mx": (F.max("x"), "max")},
-                     sketch_k, fan_in)
-    first = first.select("n", "mn", "mx", F.when(F.col("n") > 0, sketch_get(typ, brackets)).alias("b")).first()
-    n = int(first["n"] or 0)
+    brackets = bracket_probs(probs, accuracy)
+    if start is None:
+        first = tree_agg(base, F.col("x"), typ,
+                         {"n": (F.count(F.lit(1)), "sum"), "mn": (F.min("x"), "min"), "mx": (F.max("x"), "max")},
+                         sketch_k, fan_in)
+        first = first.select("n", "mn", "mx", F.when(F.col("n") > 0, sketch_get(typ, brackets)).alias("b")).first()
+        start = (first["n"], first["mn"], first["mx"], first["b"])
+    n = int(start[0] or 0)
     if n == 0:
         return 0, {k: None for k in names}
-    gmin, gmax = first["mn"], first["mx"]
-    approx = [to_column_type(v, typ) for v in first["b"]]
+    gmin, gmax = start[1], start[2]
+    approx = [to_column_type(v, typ) for v in start[3]]
     state = {}
     for i, k in enumerate(names):
         lo, hi = approx[2 * i], approx[2 * i + 1]

@@ -30,7 +30,7 @@ from ..operators.cleaning import (IQR_FACTOR, MIN_ROWS_FOR_OUTLIERS, OUTLIER_PRO
 from ..operators.features import add_features, select_ml_ready
 from ..operators.partitioning import plan_partitions
 from ..operators.profile import METRIC_SCHEMA
-from ..operators.quantiles import to_column_type, exact_quantiles, sketch_get, tree_agg
+from ..operators.quantiles import bracket_probs, exact_quantiles, sketch_get, to_column_type, tree_agg
 from ..schema import DEFAULT_COLUMNS, TX_SCHEMA, TxColumns
 from ..sinks import write_partitioned
 from ..sources import read_delimited
@@ -88,10 +88,11 @@ class PrepareResult:
         return spark.createDataFrame(rows, METRIC_SCHEMA)
 
 
-def _profile_pass(raw: DataFrame, cols: TxColumns, method: str, accuracy: int) -> tuple[Row, dict | None]:
-    """All pass-1 numbers from one scan. With ``method="sketch"`` the counts
-    and the amount sketch are combined per task group and then merged (no
-    single task sees every task's sketch); with ``"approx"`` it is one
+def _profile_pass(raw: DataFrame, cols: TxColumns, method: str, accuracy: int) -> tuple[Row, dict | None, tuple]:
+    """All pass-1 numbers from one scan. With ``method="sketch"`` (and
+    ``"exact"``, whose selection starts from this pass's sketch brackets) the
+    counts and the amount sketch are combined per task group and then merged
+    (no single task sees every task's sketch); with ``"approx"`` it is one
     global aggregation around ``percentile_approx``."""
     rules = validation_rules(cols)
     valid = is_valid(cols)
@@ -101,15 +102,21 @@ def _profile_pass(raw: DataFrame, cols: TxColumns, method: str, accuracy: int) -
     probs = [float(p) for p in OUTLIER_PROBS.values()]
     amount = F.when(valid, F.col(cols.amount))
     typ = raw.schema[cols.amount].dataType
-    if method == "sketch":
-        merged = tree_agg(raw, amount, typ, {k: (c, "sum") for k, c in counts.items()})
-        row = merged.select(*counts, F.when(F.col("valid") > 0, sketch_get(typ, probs)).alias("q")).first()
-        q = None if not row["valid"] else [to_column_type(v, typ) for v in row["q"]]
-    else:
+    if method == "approx":
         row = raw.agg(*[c.alias(k) for k, c in counts.items()],
                       F.percentile_approx(amount, probs, accuracy).alias("q")).first()
         q = row["q"]
-    return row, (dict(zip(OUTLIER_PROBS, q)) if q else None)
+        return row, (dict(zip(OUTLIER_PROBS, q)) if q else None), None
+    aggs = {k: (c, "sum") for k, c in counts.items()}
+    aggs.update({"amin": (F.min(amount), "min"), "amax": (F.max(amount), "max")})
+    brackets = bracket_probs(OUTLIER_PROBS, accuracy)
+    has = F.col("valid") > 0
+    row = tree_agg(raw, amount, typ, aggs).select(
+        *counts, "amin", "amax", F.when(has, sketch_get(typ, probs)).alias("q"),
+        F.when(has, sketch_get(typ, brackets)).alias("b")).first()
+    q = None if not row["valid"] else [to_column_type(v, typ) for v in row["q"]]
+    start = (row["valid"], row["amin"], row["amax"], row["b"] or [])
+    return row, (dict(zip(OUTLIER_PROBS, q)) if q else None), start
 
 
 def prepare(spark: SparkSession, source, output_path: str, cols: TxColumns = DEFAULT_COLUMNS,
@@ -123,10 +130,11 @@ def prepare(spark: SparkSession, source, output_path: str, cols: TxColumns = DEF
     typ = raw.schema[cols.amount].dataType
 
     # pass 1: profile + rule failures + amount sketch, one scan
-    p, q = _profile_pass(raw, cols, method, accuracy)
+    p, q, start = _profile_pass(raw, cols, method, accuracy)
     n_valid = int(p["valid"] or 0)
     if method == "exact":
-        _, q = exact_quantiles(raw.filter(all_of(validation_rules(cols))), cols.amount, OUTLIER_PROBS, accuracy)
+        _, q = exact_quantiles(raw.filter(all_of(validation_rules(cols))), cols.amount, OUTLIER_PROBS, accuracy,
+                               start=start)
     q = q or dict.fromkeys(OUTLIER_PROBS)
     applied = n_valid >= MIN_ROWS_FOR_OUTLIERS and q["q1"] is not None
     lo = hi = None
