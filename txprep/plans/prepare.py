@@ -25,8 +25,7 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.predicates import all_of, is_valid, label_consistent, null_or_empty, validation_rules
-from ..operators.cleaning import (IQR_FACTOR, MIN_ROWS_FOR_OUTLIERS, OUTLIER_PROBS, STAGES, clean,
-                                  in_bounds, outlier_bounds, resolve_bounds)
+from ..operators.cleaning import IQR_FACTOR, MIN_ROWS_FOR_OUTLIERS, OUTLIER_PROBS, STAGES, clean, in_bounds
 from ..operators.features import add_features, select_ml_ready
 from ..operators.partitioning import plan_partitions
 from ..operators.profile import METRIC_SCHEMA
@@ -88,7 +87,8 @@ class PrepareResult:
         return spark.createDataFrame(rows, METRIC_SCHEMA)
 
 
-def _profile_pass(raw: DataFrame, cols: TxColumns, method: str, accuracy: int) -> tuple[Row, dict | None, tuple]:
+def _profile_pass(raw: DataFrame, cols: TxColumns, method: str,
+                  accuracy: int) -> tuple[Row, dict | None, tuple | None]:
     """All pass-1 numbers from one scan. With ``method="sketch"`` (and
     ``"exact"``, whose selection starts from this pass's sketch brackets) the
     counts and the amount sketch are combined per task group and then merged
