@@ -17,13 +17,20 @@ _EMPTY_CONDITIONS = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def read_delimited(spark: SparkSession, path, schema: T.StructType = TX_SCHEMA,
-                   limit: int | None = None, sep: str = ",", header: bool = True) -> DataFrame:
+                   limit: int | None = None, sep: str = ",", header: bool = True,
+                   corrupt_column: str | None = None) -> DataFrame:
     """Typed delimited text: header line skipped, columns by position,
     ``"`` escape, one record per line, permissive (bad fields -> NULL).
 
     ``path`` may be a glob or a list of paths. ``limit`` bounds a dev read.
+    ``corrupt_column`` adds a string column holding the raw text of lines
+    that did not parse cleanly (NULL for clean lines).
     """
-    df = (spark.read.schema(schema)
+    reader = spark.read
+    if corrupt_column is not None:
+        schema = T.StructType(list(schema.fields) + [T.StructField(corrupt_column, T.StringType(), True)])
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
+    df = (reader.schema(schema)
           .option("sep", sep).option("header", header)
           .option("escape", '"').option("multiLine", False)
           .option("mode", "PERMISSIVE")
