@@ -24,7 +24,8 @@ def read_delimited(spark: SparkSession, path, schema: T.StructType = TX_SCHEMA,
 
     ``path`` may be a glob or a list of paths. ``limit`` bounds a dev read.
     ``corrupt_column`` adds a string column holding the raw text of lines
-    that did not parse cleanly (NULL for clean lines).
+    that did not parse cleanly (NULL for clean lines). Spark parses only the
+    columns a query reads, so the marker reflects those columns.
     """
     reader = spark.read
     if corrupt_column is not None:
