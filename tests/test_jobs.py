@@ -91,3 +91,18 @@ def test_null_profile_on_sample(spark):
     tx = fixtures.tx(spark, SF["0.01"])
     got = null_profile(tx, sample=1000).collect()
     assert 700 < got[0]["rows"] < 1300
+
+
+def test_command_line(spark, tmp):
+    from txprep.__main__ import main
+    src = f"{tmp}/raw"
+    fixtures.tx(spark, SF["0.001"]).write.option("header", True).csv(src)
+    out = main(["prepare", "--input", f"{src}/*.csv", "--output", f"{tmp}/ml_ready_data", "--method", "exact",
+                "--report", f"{tmp}/r1"], spark=spark)
+    assert out["output_rows"] == 934 and [w[2] for w in out["waterfall"]] == [1020, 971, 971, 953, 934]
+    lines = [r["value"] for r in spark.read.text(out["report"]["text"]).collect()]
+    assert lines[0].startswith("PREPARE") and "== RUN ==" in lines and "== WATERFALL ==" in lines
+    prof = main(["profile", "--path", f"{tmp}/ml_ready_data", "--report", f"{tmp}/r2"], spark=spark)
+    got = {(r["section"], r["item"], r["metric"]): r["value"]
+           for r in spark.read.json(prof["report"]["json"]).collect()}
+    assert got[("general", "", "total_rows")] == 934

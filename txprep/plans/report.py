@@ -51,6 +51,8 @@ def inventory_metrics(files: DataFrame) -> DataFrame:
 def analyze(spark: SparkSession, path: str, kind: str = "auto", label: str | None = "tx_fraud",
             digits: int | None = None, include_partitions: bool = True) -> DataFrame:
     """Metric rows (``section, item, metric, value, text``) for ``path``."""
+    if kind not in ("auto", "dataset", "inventory"):
+        raise ValueError(f"kind must be auto, dataset or inventory, not {kind!r}")
     dataset = kind == "dataset" or (kind == "auto" and is_dataset_path(path))
     errors = []
     if dataset:
