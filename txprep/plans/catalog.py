@@ -390,6 +390,28 @@ def q_numeric_stats(spark, sf_dir):
     return numeric_stats(tx(spark, sf_dir), digits=6)
 
 
+LINEITEM_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                 "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+@register("dedup_lineitem", "SELECT " + ", ".join(LINEITEM_COLS) + " FROM (SELECT *, row_number() OVER ("
+          "PARTITION BY l_orderkey ORDER BY " + ", ".join(f"{c} NULLS FIRST" for c in LINEITEM_COLS[1:])
+          + ") AS rn FROM lineitem) s WHERE rn = 1")
+def q_dedup_lineitem(spark, sf_dir):
+    # several different lines per order: the survivor is the smallest by the
+    # remaining columns in order, the same rule as the SQL window
+    return dedup(fixtures.table(spark, sf_dir, "lineitem"), "l_orderkey")
+
+
+LINEITEM_PROBS = {"p1": 0.01, "q1": 0.25, "median": 0.5, "q3": 0.75, "p99": 0.99}
+
+
+@register("percentiles_lineitem", "SELECT count(l_extendedprice) AS n, " + ", ".join(
+    f"quantile_disc(l_extendedprice, {p}) AS {k}" for k, p in LINEITEM_PROBS.items()) + " FROM lineitem")
+def q_percentiles_lineitem(spark, sf_dir):
+    return quantiles(fixtures.table(spark, sf_dir, "lineitem"), "l_extendedprice", LINEITEM_PROBS, method="exact")
+
+
 @register("numeric_stats_lineitem", numeric_stats_sql(
     "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"]))
 def q_numeric_stats_lineitem(spark, sf_dir):
