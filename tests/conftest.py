@@ -14,10 +14,12 @@ SF = {s: f"/root/testdata/sf{s}" for s in ("0.001", "0.01", "0.1")}
 def spark():
     from pyspark.sql import SparkSession
     ckpt = tempfile.mkdtemp(prefix="txprep-test-ckpt-")
+    warehouse = tempfile.mkdtemp(prefix="txprep-test-wh-")
     s = (SparkSession.builder.master("local[8]")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
          .config("spark.checkpoint.dir", ckpt)
+         .config("spark.sql.warehouse.dir", warehouse)
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     yield s

@@ -65,3 +65,11 @@ def test_no_pairwise_or_broadcast_joins(spark, name):
     plan = plan_of(QUERIES[name](spark, SF["0.001"]))
     for bad in ("BroadcastNestedLoopJoin", "CartesianProduct", "BroadcastExchange"):
         assert bad not in plan
+
+
+def test_bucketed_input_needs_no_key_shuffle(spark):
+    fixtures.tx(spark, SF["0.001"]).write.mode("overwrite").bucketBy(8, "transaction_id") \
+        .saveAsTable("tx_bucketed_by_id")
+    df = dedup(validate(spark.table("tx_bucketed_by_id")), "transaction_id")
+    assert "Exchange hashpartitioning(transaction_id" not in plan_of(df)
+    assert df.count() == 953
