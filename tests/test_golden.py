@@ -70,13 +70,16 @@ def test_prepare_job(spark, sf, tmp):
     assert m[("general", "", "output_path")]["text"] == f"{tmp}/out"
 
 
-def test_prepare_approx_matches_exact_on_fixture(spark, tmp):
-    # the sketch is exact enough here to give the same fence and output
+@pytest.mark.parametrize("method", ["sketch", "approx"])
+def test_prepare_sketch_methods_near_exact(spark, tmp, method):
+    from decimal import Decimal
     src = f"{tmp}/in"
     fixtures.tx(spark, SF["0.01"]).write.option("header", True).csv(src)
-    res = prepare(spark, src, f"{tmp}/out", method="approx")
-    assert res.waterfall[0][2] == 10200 and res.waterfall[1][2] == 9756
-    assert res.output_rows > 9000
+    res = prepare(spark, src, f"{tmp}/out", method=method)
+    assert [w[2] for w in res.waterfall[:2]] == [10200, 9756]
+    assert abs(res.bounds["lo"] - Decimal("0.31")) <= Decimal("0.05")
+    assert abs(res.bounds["hi"] - Decimal("234.88")) <= Decimal("3")
+    assert abs(res.waterfall[2][2] - 9533) <= 25 and abs(res.output_rows - 9179) <= 25
 
 
 def test_prepare_refuses_overwriting_input(spark, tmp):
