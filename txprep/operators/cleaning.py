@@ -97,8 +97,8 @@ def remove_outliers(valid: DataFrame, bounds: Row, cols: TxColumns = DEFAULT_COL
 
 # ---------------------------------------------------------------- stage 3
 def dedup(df: DataFrame, key: str, order_by: Sequence[str] | None = None,
-          deterministic: bool = True) -> DataFrame:
-    """One row per ``key``.
+          deterministic: bool = True, count_as: str | None = None) -> DataFrame:
+    """One row per ``key``; ``count_as`` adds the number of rows the key had.
 
     ``deterministic=False`` is ``dropDuplicates``: an arbitrary survivor.
     The default keeps the smallest row by ``order_by`` then the remaining
@@ -107,14 +107,15 @@ def dedup(df: DataFrame, key: str, order_by: Sequence[str] | None = None,
     task, not a sort of all its rows in one task (as a row_number window
     would). The survivor is the same on every run and every retry.
     """
-    if not deterministic:
+    if not deterministic and count_as is None:
         return df.dropDuplicates([key])
     others = [c for c in df.columns if c != key]
     first = [c for c in (order_by or []) if c != key]
     ordered = first + [c for c in others if c not in first]
     best = F.min(F.struct(*[F.col(c) for c in ordered])).alias("_s")
-    return df.groupBy(key).agg(best).select(*[F.col(key) if c == key else F.col(f"_s.{c}").alias(c)
-                                              for c in df.columns])
+    extra = [F.count(F.lit(1)).alias(count_as)] if count_as else []
+    out = [F.col(key) if c == key else F.col(f"_s.{c}").alias(c) for c in df.columns]
+    return df.groupBy(key).agg(best, *extra).select(*out, *([count_as] if count_as else []))
 
 
 # ---------------------------------------------------------------- stage 4

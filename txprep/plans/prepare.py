@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.predicates import all_of, is_valid, label_consistent, null_or_empty, validation_rules
-from ..operators.cleaning import IQR_FACTOR, MIN_ROWS_FOR_OUTLIERS, OUTLIER_PROBS, STAGES, clean, in_bounds
+from ..operators.cleaning import (IQR_FACTOR, MIN_ROWS_FOR_OUTLIERS, OUTLIER_PROBS, STAGES, clean, dedup,
+                                  in_bounds)
 from ..operators.features import add_features, select_ml_ready
 from ..operators.partitioning import plan_partitions
 from ..operators.profile import METRIC_SCHEMA
@@ -148,10 +149,7 @@ def prepare(spark: SparkSession, source, output_path: str, cols: TxColumns = DEF
     fenced = raw.filter(all_of(validation_rules(cols)))
     if applied:
         fenced = fenced.filter(in_bounds(bounds, cols, typ))
-    others = [c for c in raw.columns if c != cols.id]
-    keyed = (fenced.groupBy(cols.id)
-             .agg(F.count(F.lit(1)).alias("_dups"), F.min(F.struct(*others)).alias("_s"))
-             .select(F.col(cols.id), "_dups", *[F.col(f"_s.{c}").alias(c) for c in others]))
+    keyed = dedup(fenced, cols.id, count_as="_dups")
     ok = F.coalesce(label_consistent(cols), F.lit(False))
     label = F.col(cols.label)
     obs = Observation("txprep_prepare_counts")
