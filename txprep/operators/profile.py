@@ -85,8 +85,8 @@ def _metric(section, item, metric, value=None, text=None):
 
 def report_metrics(df: DataFrame, label: str | None = "tx_fraud", max_columns: int | None = MAX_NUMERIC_COLUMNS,
                    digits: int | None = None, include_partitions: bool = True) -> DataFrame:
-    """Profile of a dataset as metric rows (sections: general, schema,
-    partitions, class_distribution, numeric_statistics).
+    """Profile of a dataset as metric rows (sections: general, incl. the
+    partition count; schema; class_distribution; numeric_statistics).
 
     The class section appears only when ``label`` is a column. Data metrics
     come from two aggregations (grouped by label, and global numeric stats)

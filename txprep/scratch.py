@@ -1,6 +1,7 @@
-"""Shared scratch space for staged tables.
+"""Shared scratch space for files written by one step and read by another
+(round-trip checks, stream checkpoints, materialised inputs).
 
-Staged data must live on storage every executor (and a replacement
+Such files must live on storage every executor (and a replacement
 executor) can read, so the location is taken from the session's
 ``spark.checkpoint.dir``: on a cluster that is the shared folder the
 operator configured. Only when it is unset (local tests) a temporary folder

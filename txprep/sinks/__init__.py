@@ -41,7 +41,7 @@ def write_json(metrics: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 # Section order of the text report.
 REPORT_SECTIONS = ("run", "general", "inventory", "waterfall", "outlier_bounds", "null_profile", "rule_failures",
-                   "schema", "partitions", "class_distribution", "numeric_statistics", "errors")
+                   "schema", "class_distribution", "numeric_statistics", "errors")
 
 
 def report_lines(metrics: DataFrame, title: str | None = None) -> DataFrame:
