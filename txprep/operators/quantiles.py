@@ -123,15 +123,23 @@ def approx_quantiles(df: DataFrame, col: str, probs: Mapping[str, float],
     return wide.select("n", *[F.col("_q")[i].alias(k) for i, k in enumerate(names)])
 
 
-def _bucket_expr(x, lo, hi, buckets: int, with_below: bool, typ):
+def _bucket_expr(x, lo, hi, buckets: int, typ):
+    """Bucket 1..buckets of ``x`` inside ``[lo, hi]``, NULL outside."""
     lo_l, hi_l = F.lit(lo).cast(typ), F.lit(hi).cast(typ)
     if float(lo) == float(hi):
         inside = F.lit(1)
     else:
         inside = F.least(F.width_bucket(x.cast("double"), F.lit(float(lo)), F.lit(float(hi)),
                                         F.lit(buckets)), F.lit(buckets))
-    below = F.lit(0) if with_below else F.lit(None).cast("int")
-    return F.when(x < lo_l, below).when(x > hi_l, F.lit(None).cast("int")).otherwise(inside)
+    return F.when(x.between(lo_l, hi_l), inside)
+
+
+def _position_expr(x, bounds, typ):
+    """How many of the sorted ``bounds`` are <= x (0..len(bounds))."""
+    expr = F.lit(0)
+    for b in bounds:
+        expr = expr + F.when(x >= F.lit(b).cast(typ), F.lit(1)).otherwise(F.lit(0))
+    return expr
 
 
 def _rank_in_range(base: DataFrame, lo, hi, rank: int, typ):
@@ -205,17 +213,19 @@ def exact_quantiles(df: DataFrame, col: str, probs: Mapping[str, float],
         active = [k for k in names if k not in result]
         if not active:
             break
-        parts, keep = [], []
+        # rows below a bracket are counted once per row through their
+        # position among the bracket lower bounds (one entry per row, t = -1);
+        # rows inside a bracket add one entry per bracket holding them
+        lows = sorted({state[k]["lo"] for k in active if state[k]["below"] is None})
+        parts = [F.struct(F.lit(-1).alias("t"), _position_expr(x, lows, typ).alias("b"))] if lows else []
+        inside_any = None
         for i, k in enumerate(active):
             s = state[k]
-            b = _bucket_expr(x, s["lo"], s["hi"], buckets, s["below"] is None, typ)
-            parts.append(F.struct(F.lit(i).alias("t"), b.alias("b")))
-            upper = x <= F.lit(s["hi"]).cast(typ)
-            keep.append(upper if s["below"] is None else upper & (x >= F.lit(s["lo"]).cast(typ)))
-        wanted = keep[0]
-        for c in keep[1:]:
-            wanted = wanted | c
-        hist = (base.where(wanted)
+            parts.append(F.struct(F.lit(i).alias("t"), _bucket_expr(x, s["lo"], s["hi"], buckets, typ).alias("b")))
+            inside = x.between(F.lit(s["lo"]).cast(typ), F.lit(s["hi"]).cast(typ))
+            inside_any = inside if inside_any is None else inside_any | inside
+        rows_in = base if lows else base.where(inside_any)
+        hist = (rows_in
                 .select(F.explode(F.array(*parts)).alias("tb"), "x")
                 .where(F.col("tb.b").isNotNull())
                 .groupBy(F.col("tb.t").alias("t"), F.col("tb.b").alias("b"))
@@ -224,11 +234,15 @@ def exact_quantiles(df: DataFrame, col: str, probs: Mapping[str, float],
         by_target = defaultdict(list)
         for r in hist:
             by_target[r["t"]].append(r)
+        at_position = {r["b"]: r["c"] for r in by_target[-1]}
         for i, k in enumerate(active):
             s = state[k]
-            rows = sorted(by_target[i], key=lambda r: r["b"])
-            below = s["below"] if s["below"] is not None else sum(r["c"] for r in rows if r["b"] == 0)
-            inside = [r for r in rows if r["b"] >= 1]
+            inside = sorted(by_target[i], key=lambda r: r["b"])
+            if s["below"] is not None:
+                below = s["below"]
+            else:   # x < lows[j] exactly when at most j lower bounds are <= x
+                j = lows.index(s["lo"])
+                below = sum(at_position.get(p, 0) for p in range(j + 1))
             total = sum(r["c"] for r in inside)
             if not (below < s["rank"] <= below + total):
                 s.update(lo=gmin, hi=gmax, below=0)   # sketch bracket missed: full range
