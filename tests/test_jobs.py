@@ -106,3 +106,10 @@ def test_command_line(spark, tmp):
     got = {(r["section"], r["item"], r["metric"]): r["value"]
            for r in spark.read.json(prof["report"]["json"]).collect()}
     assert got[("general", "", "total_rows")] == 934
+
+
+def test_prepare_from_json_input(spark, tmp):
+    from txprep.plans import prepare
+    fixtures.tx(spark, SF["0.001"]).write.json(f"{tmp}/raw")
+    res = prepare(spark, f"{tmp}/raw", f"{tmp}/out", method="exact", source_format="json")
+    assert [w[2] for w in res.waterfall] == [1020, 971, 971, 953, 934]

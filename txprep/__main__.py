@@ -32,7 +32,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     ap = argparse.ArgumentParser(prog="txprep")
     sub = ap.add_subparsers(dest="job", required=True)
     p = sub.add_parser("prepare", help="clean raw transactions into label-partitioned Parquet")
-    p.add_argument("--input", required=True, help="delimited files (path or glob)")
+    p.add_argument("--input", required=True, help="input files (path or glob)")
+    p.add_argument("--format", default="delimited", choices=("delimited", "json", "parquet"))
     p.add_argument("--output", required=True)
     p.add_argument("--method", default="sketch", choices=("sketch", "approx", "exact"))
     p.add_argument("--max-output-partitions", type=int, default=None)
@@ -47,7 +48,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
 
     if args.job == "prepare":
         res = prepare(spark, args.input, args.output, method=args.method,
-                      max_output_partitions=args.max_output_partitions)
+                      max_output_partitions=args.max_output_partitions, source_format=args.format)
         summary = {"input_rows": res.input_rows, "output_rows": res.output_rows,
                    "retention_pct": res.retention_pct, "partitions": res.partitions,
                    "waterfall": res.waterfall, "output": res.output_path}

@@ -33,7 +33,7 @@ from ..operators.profile import METRIC_SCHEMA
 from ..operators.quantiles import bracket_probs, exact_quantiles, sketch_get, to_column_type, tree_agg
 from ..schema import DEFAULT_COLUMNS, TX_SCHEMA, TxColumns
 from ..sinks import write_partitioned
-from ..sources import read_delimited
+from ..sources import read_delimited, read_json, read_parquet
 
 
 def ml_ready(df: DataFrame, cols: TxColumns = DEFAULT_COLUMNS, method: str = "sketch",
@@ -120,14 +120,31 @@ def _profile_pass(raw: DataFrame, cols: TxColumns, method: str,
     return row, (dict(zip(OUTLIER_PROBS, q)) if q else None), start
 
 
+SOURCE_FORMATS = ("delimited", "json", "parquet")
+
+
+def read_source(spark: SparkSession, source, source_format: str = "delimited") -> DataFrame:
+    """The raw input: a DataFrame as given, or path(s) read with the raw schema."""
+    if not isinstance(source, (str, list)):
+        return source
+    if source_format == "delimited":
+        return read_delimited(spark, source, TX_SCHEMA)
+    if source_format == "json":
+        return read_json(spark, source, TX_SCHEMA)
+    if source_format == "parquet":
+        return read_parquet(spark, source)
+    raise ValueError(f"source_format must be one of {SOURCE_FORMATS}, not {source_format!r}")
+
+
 def prepare(spark: SparkSession, source, output_path: str, cols: TxColumns = DEFAULT_COLUMNS,
             method: str = "sketch", accuracy: int = 10000,
-            max_output_partitions: int | None = None) -> PrepareResult:
-    """Run the whole preparation job; ``source`` is a path/glob of delimited
-    files (read with the raw schema) or a DataFrame."""
+            max_output_partitions: int | None = None, source_format: str = "delimited") -> PrepareResult:
+    """Run the whole preparation job; ``source`` is a DataFrame or a path/glob
+    of ``source_format`` files (delimited and JSON are read with the raw
+    schema)."""
     if isinstance(source, str) and source.rstrip("/") == output_path.rstrip("/"):
         raise ValueError("output_path must differ from the input path")
-    raw = read_delimited(spark, source, TX_SCHEMA) if isinstance(source, (str, list)) else source
+    raw = read_source(spark, source, source_format)
     typ = raw.schema[cols.amount].dataType
 
     # pass 1: profile + rule failures + amount sketch, one scan
