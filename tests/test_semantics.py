@@ -157,3 +157,11 @@ def test_outlier_bounds_on_a_stats_sample(spark):
     assert sampled["n"] == full["n"] == 9756 and sampled["applied"]
     assert same == full                       # below the cap: all rows
     assert abs(float(sampled["q1"]) - float(full["q1"])) < 3
+
+
+def test_waterfall_computes_its_own_bounds(spark):
+    from conftest import SF
+    from txprep import fixtures
+    from txprep.operators import waterfall
+    rows = [r["rows"] for r in waterfall(fixtures.tx(spark, SF["0.01"]), method="exact").orderBy("stage").collect()]
+    assert rows == [10200, 9756, 9533, 9347, 9179]

@@ -134,15 +134,21 @@ def clean(df: DataFrame, cols: TxColumns = DEFAULT_COLUMNS, method: str = "sketc
     return check_consistency(dedup(fenced, cols.id, deterministic=deterministic), cols)
 
 
-def waterfall(df: DataFrame, bounds: Row, cols: TxColumns = DEFAULT_COLUMNS) -> DataFrame:
+def waterfall(df: DataFrame, bounds: Row | None = None, cols: TxColumns = DEFAULT_COLUMNS,
+              method: str = "sketch") -> DataFrame:
     """Rows after each cleaning stage, rows removed, and % of input kept.
 
+    ``bounds`` are the fence used by ``clean`` (resolve them once and pass
+    them to both); when omitted they are computed with ``method``.
+
     Two aggregations, no join: a global one over the input for stages 0-2
     (row flags, no shuffle) and one over the deduplicated survivors for 3-4
     (the same key shuffle the cleaned output needs). Their long forms are
     unioned; ``removed`` comes from a window over the five stage rows.
     """
     typ = df.schema[cols.amount].dataType
+    if bounds is None:
+        bounds = resolve_bounds(outlier_bounds(validate(df, cols), cols, method=method))
     s1 = is_valid(cols)
     s2 = s1 & F.coalesce(in_bounds(bounds, cols, typ), F.lit(False))
     head = df.agg(F.count(F.lit(1)).alias("_0"), F.count_if(s1).alias("_1"), F.count_if(s2).alias("_2"))
