@@ -113,3 +113,15 @@ def test_prepare_from_json_input(spark, tmp):
     fixtures.tx(spark, SF["0.001"]).write.json(f"{tmp}/raw")
     res = prepare(spark, f"{tmp}/raw", f"{tmp}/out", method="exact", source_format="json")
     assert [w[2] for w in res.waterfall] == [1020, 971, 971, 953, 934]
+
+
+def test_prepare_with_nothing_valid_and_with_no_rows(spark, tmp):
+    from txprep.plans import prepare
+    tx = fixtures.tx(spark, SF["0.001"])
+    for name, src in (("invalid", tx.withColumn("tx_fraud", F.lit(2).cast("tinyint"))), ("empty", tx.limit(0))):
+        for method in ("sketch", "exact", "approx"):
+            res = prepare(spark, src, f"{tmp}/{name}-{method}", method=method)
+            assert res.output_rows == 0 and res.bounds["applied"] is False
+            assert res.waterfall[0][2] == (0 if name == "empty" else 1020)
+            assert [w[2] for w in res.waterfall[1:]] == [0, 0, 0, 0]
+            assert res.to_metrics(spark).count() > 0
