@@ -31,7 +31,11 @@ def test_dataset_route(spark, tmp):
     assert cols == {"transaction_id", "customer_id", "terminal_id", "tx_amount", "tx_amount_log"}
     paths = write_reports(m, f"{tmp}/report")
     sections = m.select("section").distinct().count()
-    assert spark.read.text(paths["text"]).count() == m.count() + sections
+    columns = m.filter("section = 'schema'").select("item").distinct().count()
+    lines = [r["value"] for r in spark.read.text(paths["text"]).collect()]
+    assert len(lines) == m.filter("section != 'schema'").count() + columns + sections
+    at = lines.index("== SCHEMA ==")
+    assert lines[at + 1] == "  transaction_id: bigint (NULL)" and lines[at + 15] == "  tx_fraud: int (NULL)"
 
 
 def test_empty_dataset_falls_through_to_inventory(spark, tmp):

@@ -46,22 +46,36 @@ REPORT_SECTIONS = ("run", "general", "inventory", "waterfall", "outlier_bounds",
 
 def report_lines(metrics: DataFrame, title: str | None = None) -> DataFrame:
     """Formatted text lines with sort keys: an optional title, a header per
-    section present, then one line per metric row."""
-    order = F.coalesce(F.array_position(F.array(*[F.lit(s) for s in REPORT_SECTIONS]), F.col("section")),
-                       F.lit(len(REPORT_SECTIONS) + 1))
+    section present, then the section's lines. Schema rows become one line
+    per column, in column order: ``name: type (NULL|NOT NULL)``."""
+    order_of = F.array_position(F.array(*[F.lit(s) for s in REPORT_SECTIONS]), F.col("section"))
+    order = F.coalesce(order_of, F.lit(len(REPORT_SECTIONS) + 1))
     value = F.when(F.col("value") == F.floor("value"), F.format_number("value", 0)).otherwise(
         F.format_number("value", 2))
     shown = F.when(F.col("text").isNotNull() & F.col("value").isNotNull(),
                    F.concat_ws(" ", value, F.col("text"))).otherwise(F.coalesce(F.col("text"), value))
     line = F.format_string("  %-24s %-12s %s", F.coalesce(F.col("item"), F.lit("")), F.col("metric"), shown)
-    body = metrics.select(order.alias("_o"), F.lit(1).alias("_h"), F.coalesce(F.col("item"), F.lit("")).alias("_i"),
-                          F.col("metric").alias("_m"), line.alias("value"))
+    is_schema = F.col("section") == "schema"
+    body = metrics.filter(~is_schema).select(
+        order.alias("_o"), F.lit(1).alias("_h"), F.coalesce(F.col("item"), F.lit("")).alias("_i"),
+        F.col("metric").alias("_m"), line.alias("value"))
+    schema = (metrics.filter(is_schema).groupBy("section", "item")
+              .agg(F.max(F.when(F.col("metric") == "type", F.col("value"))).alias("_pos"),
+                   F.max(F.when(F.col("metric") == "type", F.col("text"))).alias("_type"),
+                   F.max(F.when(F.col("metric") == "nullable", F.col("value"))).alias("_null"))
+              .select(order.alias("_o"), F.lit(1).alias("_h"),
+                      F.lpad(F.coalesce(F.col("_pos"), F.lit(0)).cast("int").cast("string"), 6, "0").alias("_i"),
+                      F.lit("").alias("_m"),
+                      F.format_string("  %s: %s (%s)", F.col("item"), F.col("_type"),
+                                      F.when(F.col("_null") == 1, F.lit("NULL")).otherwise(F.lit("NOT NULL")))
+                      .alias("value")))
     heads = metrics.select("section").distinct().select(
         order.alias("_o"), F.lit(0).alias("_h"), F.lit("").alias("_i"), F.lit("").alias("_m"),
         F.concat(F.lit("== "), F.upper("section"), F.lit(" ==")).alias("value"))
-    lines = heads.unionByName(body)
+    lines = heads.unionByName(body).unionByName(schema)
     if title is not None:
-        top = metrics.sparkSession.createDataFrame([(0, 0, "", "", title)], "_o int, _h int, _i string, _m string, value string")
+        top = metrics.sparkSession.createDataFrame([(0, 0, "", "", title)],
+                                                   "_o int, _h int, _i string, _m string, value string")
         lines = top.unionByName(lines)
     return lines
 
