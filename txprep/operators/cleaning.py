@@ -135,11 +135,12 @@ def clean(df: DataFrame, cols: TxColumns = DEFAULT_COLUMNS, method: str = "sketc
 
 
 def waterfall(df: DataFrame, bounds: Row | None = None, cols: TxColumns = DEFAULT_COLUMNS,
-              method: str = "sketch") -> DataFrame:
+              method: str = "sketch", deterministic: bool = True) -> DataFrame:
     """Rows after each cleaning stage, rows removed, and % of input kept.
 
     ``bounds`` are the fence used by ``clean`` (resolve them once and pass
     them to both); when omitted they are computed with ``method``.
+    ``deterministic`` picks the dedup survivor rule, as in ``clean``.
 
     Two aggregations, no join: a global one over the input for stages 0-2
     (row flags, no shuffle) and one over the deduplicated survivors for 3-4
@@ -152,7 +153,7 @@ def waterfall(df: DataFrame, bounds: Row | None = None, cols: TxColumns = DEFAUL
     s1 = is_valid(cols)
     s2 = s1 & F.coalesce(in_bounds(bounds, cols, typ), F.lit(False))
     head = df.agg(F.count(F.lit(1)).alias("_0"), F.count_if(s1).alias("_1"), F.count_if(s2).alias("_2"))
-    survivors = dedup(remove_outliers(validate(df, cols), bounds, cols), cols.id)
+    survivors = dedup(remove_outliers(validate(df, cols), bounds, cols), cols.id, deterministic=deterministic)
     tail = survivors.agg(F.count(F.lit(1)).alias("_3"), F.count_if(label_consistent(cols)).alias("_4"))
     long_head = melt_row(head, [{"stage": F.lit(i), "step": F.lit(STAGES[i]), "rows": F.col(f"_{i}")}
                                 for i in range(3)])
