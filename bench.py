@@ -74,21 +74,36 @@ def main() -> None:
         "analyze_inventory": lambda: analyze(spark, sf_dir),
     }
 
-    def run(make) -> float:
+    sc = spark.sparkContext
+    jobs: dict[str, int] = {}
+
+    def grouped(name: str, fn):
+        # a job group per query: the status tracker then counts its Spark jobs
+        # (with AQE each materialised shuffle stage is a job of its own)
+        group = f"bench-{name}-{time.perf_counter_ns()}"
+        sc.setJobGroup(group, name)
+        try:
+            return fn()
+        finally:
+            jobs[name] = len(sc.statusTracker().getJobIdsForGroup(group))
+            sc.setJobGroup("", "")
+
+    def run(make, name=None) -> float:
         t0 = time.perf_counter()
-        make().write.format("noop").mode("overwrite").save()
+        action = lambda: make().write.format("noop").mode("overwrite").save()
+        grouped(name, action) if name else action()
         return time.perf_counter() - t0
 
     def run_prepare() -> tuple[float, object]:
         t0 = time.perf_counter()
-        res = prepare(spark, tx_csv, scratch_path(spark, "bench-ml-ready"))
+        res = grouped("prepare", lambda: prepare(spark, tx_csv, scratch_path(spark, "bench-ml-ready")))
         return time.perf_counter() - t0, res
 
     for make in queries.values():      # warm-up
         run(make)
     run_prepare()
 
-    times = {name: round(min(run(make) for _ in range(3)), 3) for name, make in queries.items()}
+    times = {name: round(min(run(make, name) for _ in range(3)), 3) for name, make in queries.items()}
     runs = [run_prepare() for _ in range(3)]
     t, res = min(runs, key=lambda r: r[0])
     times["prepare"] = round(t, 3)
@@ -97,6 +112,7 @@ def main() -> None:
     print(json.dumps({
         "metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
         "queries": times, "sf": float(m.group(1)) if m else None,
+        "spark_jobs": jobs,
         "prepare_input_rows": res.input_rows,
         "prepare_rows_per_sec": round(res.input_rows / times["prepare"], 1),
     }))
