@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ._long import melt_row, ratio_pct
+from .quantiles import input_partitions
 
 METRIC_SCHEMA = T.StructType([
     T.StructField("section", T.StringType(), False),
@@ -29,7 +30,9 @@ def schema_profile(spark: SparkSession, df: DataFrame) -> DataFrame:
 
 
 def partition_count(df: DataFrame) -> DataFrame:
-    """Number of non-empty partitions of ``df`` as read (no columns scanned)."""
+    """Number of non-empty partitions of ``df`` as read (no columns scanned).
+    ``report_metrics`` reports the planned partition count instead (known
+    without a job) and uses this only where the RDD API is unavailable."""
     return df.select(F.spark_partition_id().alias("p")).agg(F.count_distinct("p").alias("partitions"))
 
 
@@ -99,8 +102,13 @@ def report_metrics(df: DataFrame, label: str | None = "tx_fraud", max_columns: i
     schema_rows += [("schema", f.name, "nullable", 1.0 if f.nullable else 0.0, None) for f in df.schema.fields]
     parts.append(spark.createDataFrame(schema_rows, METRIC_SCHEMA))
     if include_partitions:
-        parts.append(partition_count(df).select(
-            F.inline(F.array(_metric("general", "", "partitions", F.col("partitions"))))))
+        planned = input_partitions(df)   # what the reference reports; no job
+        if planned is not None:
+            parts.append(spark.createDataFrame([("general", "", "partitions", float(planned), None)],
+                                               METRIC_SCHEMA))
+        else:
+            parts.append(partition_count(df).select(
+                F.inline(F.array(_metric("general", "", "partitions", F.col("partitions"))))))
     if label is not None and label in df.columns:
         dist = class_distribution(df, label)
         item = F.concat(F.lit("class_"), F.col(label).cast("string"))
