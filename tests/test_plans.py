@@ -73,3 +73,12 @@ def test_bucketed_input_needs_no_key_shuffle(spark):
     df = dedup(validate(spark.table("tx_bucketed_by_id")), "transaction_id")
     assert "Exchange hashpartitioning(transaction_id" not in plan_of(df)
     assert df.count() == 953
+
+
+def test_waterfall_is_one_scan_without_window(spark, tx_parquet):
+    from txprep.operators import waterfall
+    b = Row(applied=True, lo=Decimal("0.31"), hi=Decimal("234.88"))
+    plan = plan_of(waterfall(tx_parquet, b))
+    assert "Window" not in plan and plan.count("FileScan") == 1
+    empty = waterfall(tx_parquet.limit(0), b).orderBy("stage").collect()
+    assert [r["rows"] for r in empty] == [0] * 5 and all(r["pct_of_input"] is None for r in empty)

@@ -10,8 +10,9 @@ the amount column, so the range filter is pushed to the Parquet reader.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, Row, Window
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..functions.predicates import all_of, is_valid, label_consistent, validation_rules
@@ -142,27 +143,29 @@ def waterfall(df: DataFrame, bounds: Row | None = None, cols: TxColumns = DEFAUL
     them to both); when omitted they are computed with ``method``.
     ``deterministic`` picks the dedup survivor rule, as in ``clean``.
 
-    Two aggregations, no join: a global one over the input for stages 0-2
-    (row flags, no shuffle) and one over the deduplicated survivors for 3-4
-    (the same key shuffle the cleaned output needs). Their long forms are
-    unioned; ``removed`` comes from a window over the five stage rows.
+    One scan: a per-key aggregation over all rows counts rows, validated
+    rows and fenced rows, and keeps the survivor among the fenced rows
+    (partial aggregation map-side, so a hot key, NULL ids included, is one
+    row per task); one global aggregation then gives all five counts in a
+    single row, and removed / % kept are column arithmetic on that row.
     """
     typ = df.schema[cols.amount].dataType
     if bounds is None:
         bounds = resolve_bounds(outlier_bounds(validate(df, cols), cols, method=method))
     s1 = is_valid(cols)
     s2 = s1 & F.coalesce(in_bounds(bounds, cols, typ), F.lit(False))
-    head = df.agg(F.count(F.lit(1)).alias("_0"), F.count_if(s1).alias("_1"), F.count_if(s2).alias("_2"))
-    survivors = dedup(remove_outliers(validate(df, cols), bounds, cols), cols.id, deterministic=deterministic)
-    tail = survivors.agg(F.count(F.lit(1)).alias("_3"), F.count_if(label_consistent(cols)).alias("_4"))
-    long_head = melt_row(head, [{"stage": F.lit(i), "step": F.lit(STAGES[i]), "rows": F.col(f"_{i}")}
-                                for i in range(3)])
-    long_tail = melt_row(tail, [{"stage": F.lit(i), "step": F.lit(STAGES[i]), "rows": F.col(f"_{i}")}
-                                for i in range(3, 5)])
-    w = Window.orderBy("stage")   # five rows: a single small partition is intended
-    out = long_head.unionByName(long_tail)
-    return out.select(
-        "stage", "step", "rows",
-        (F.lag("rows").over(w) - F.col("rows")).alias("removed"),
-        ratio_pct(F.col("rows"), F.first("rows").over(w)).alias("pct_of_input"),
-    )
+    others = [c for c in df.columns if c != cols.id]
+    fenced_row = F.when(s2, F.struct(*[F.col(c) for c in others]))
+    survivor = F.min(fenced_row) if deterministic else F.first(fenced_row, ignorenulls=True)
+    per_key = df.groupBy(cols.id).agg(F.count(F.lit(1)).alias("n0"), F.count_if(s1).alias("n1"),
+                                      F.count_if(s2).alias("n2"), survivor.alias("_s"))
+    in_survivor = replace(cols, label=f"_s.{cols.label}", scenario=f"_s.{cols.scenario}")
+    kept = F.col("n2") > 0
+    totals = per_key.agg(F.sum("n0").alias("_0"), F.sum("n1").alias("_1"), F.sum("n2").alias("_2"),
+                         F.count_if(kept).alias("_3"),
+                         F.count_if(kept & label_consistent(in_survivor)).alias("_4"))
+    items = [{"stage": F.lit(i), "step": F.lit(STAGES[i]), "rows": F.coalesce(F.col(f"_{i}"), F.lit(0)),
+              "removed": (F.lit(None).cast("bigint") if i == 0
+                          else F.coalesce(F.col(f"_{i - 1}"), F.lit(0)) - F.coalesce(F.col(f"_{i}"), F.lit(0))),
+              "pct_of_input": ratio_pct(F.col(f"_{i}"), F.col("_0"))} for i in range(5)]
+    return melt_row(totals, items)
