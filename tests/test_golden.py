@@ -85,3 +85,14 @@ def test_prepare_sketch_methods_near_exact(spark, tmp, method):
 def test_prepare_refuses_overwriting_input(spark, tmp):
     with pytest.raises(ValueError):
         prepare(spark, f"{tmp}/x", f"{tmp}/x/")
+
+
+def test_prepare_with_the_reference_stats_sample(spark, tmp):
+    from decimal import Decimal
+    src = f"{tmp}/in"
+    fixtures.tx(spark, SF["0.01"]).write.option("header", True).csv(src)
+    capped = prepare(spark, src, f"{tmp}/a", method="exact", stats_sample=3000)
+    assert capped.bounds["n"] == 9756 and capped.bounds["applied"]
+    assert abs(capped.bounds["q1"] - Decimal("14.48")) < 3
+    full = prepare(spark, src, f"{tmp}/b", method="exact", stats_sample=10**6)   # below the cap: all rows
+    assert [w[2] for w in full.waterfall] == GOLDEN["0.01"]["stages"]

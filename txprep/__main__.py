@@ -37,6 +37,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     p.add_argument("--output", required=True)
     p.add_argument("--method", default="sketch", choices=("sketch", "approx", "exact"))
     p.add_argument("--max-output-partitions", type=int, default=None)
+    p.add_argument("--stats-sample", type=int, default=None,
+                   help="percentiles from a seed-42 sample of about this many validated rows")
     p.add_argument("--report", default=None, help="folder for the JSON and text reports")
     r = sub.add_parser("profile", help="profile a dataset or inventory a folder")
     r.add_argument("--path", required=True)
@@ -48,7 +50,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
 
     if args.job == "prepare":
         res = prepare(spark, args.input, args.output, method=args.method,
-                      max_output_partitions=args.max_output_partitions, source_format=args.format)
+                      max_output_partitions=args.max_output_partitions, source_format=args.format,
+                      stats_sample=args.stats_sample)
         summary = {"input_rows": res.input_rows, "output_rows": res.output_rows,
                    "retention_pct": res.retention_pct, "partitions": res.partitions,
                    "waterfall": res.waterfall, "output": res.output_path}

@@ -30,7 +30,9 @@ from ..operators.cleaning import (IQR_FACTOR, MIN_ROWS_FOR_OUTLIERS, OUTLIER_PRO
 from ..operators.features import add_features, select_ml_ready
 from ..operators.partitioning import plan_partitions
 from ..operators.profile import METRIC_SCHEMA
-from ..operators.quantiles import bracket_probs, exact_quantiles, sketch_get, to_column_type, tree_agg
+from ..operators.quality import sample_cap
+from ..operators.quantiles import (bracket_probs, exact_quantiles, quantiles, sketch_get, to_column_type,
+                                   tree_agg)
 from ..schema import DEFAULT_COLUMNS, TX_SCHEMA, TxColumns
 from ..sinks import write_partitioned
 from ..sources import read_delimited, read_json, read_parquet
@@ -138,10 +140,13 @@ def read_source(spark: SparkSession, source, source_format: str = "delimited") -
 
 def prepare(spark: SparkSession, source, output_path: str, cols: TxColumns = DEFAULT_COLUMNS,
             method: str = "sketch", accuracy: int = 10000,
-            max_output_partitions: int | None = None, source_format: str = "delimited") -> PrepareResult:
+            max_output_partitions: int | None = None, source_format: str = "delimited",
+            stats_sample: int | None = None) -> PrepareResult:
     """Run the whole preparation job; ``source`` is a DataFrame or a path/glob
     of ``source_format`` files (delimited and JSON are read with the raw
-    schema)."""
+    schema). ``stats_sample`` reproduces the reference's fence statistics:
+    above that many validated rows the percentiles come from a seed-42
+    sample of about that size (one extra pass over the input)."""
     if isinstance(source, str) and source.rstrip("/") == output_path.rstrip("/"):
         raise ValueError("output_path must differ from the input path")
     raw = read_source(spark, source, source_format)
@@ -150,7 +155,11 @@ def prepare(spark: SparkSession, source, output_path: str, cols: TxColumns = DEF
     # pass 1: profile + rule failures + amount sketch, one scan
     p, q, start = _profile_pass(raw, cols, method, accuracy)
     n_valid = int(p["valid"] or 0)
-    if method == "exact":
+    if stats_sample is not None and n_valid > stats_sample:
+        sample = sample_cap(raw.filter(all_of(validation_rules(cols))), stats_sample, rows=n_valid)
+        row = quantiles(sample, cols.amount, OUTLIER_PROBS, method=method, accuracy=accuracy).first()
+        q = {k: row[k] for k in OUTLIER_PROBS}
+    elif method == "exact":
         _, q = exact_quantiles(raw.filter(all_of(validation_rules(cols))), cols.amount, OUTLIER_PROBS, accuracy,
                                start=start)
     q = q or dict.fromkeys(OUTLIER_PROBS)
