@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, checkpointed, text_or_empty
+from .common import WORD, text_or_empty, written
 
 FAN_IN = 512
 MAX_COPIES = 3
@@ -117,7 +117,7 @@ def pivotal_rounding(spark: SparkSession, rows: DataFrame, n_rows: int, fan_in:
     while True:
         items = F.array_sort(F.collect_list(F.struct(F.col("key"), F.col("row"), F.col("size"), F.col("x"))))
         done = level.groupBy("source", "bucket").agg(_round_group(items, seed).alias("r"))
-        done = checkpointed(spark, done)
+        done = written(spark, done, "mix-level")
         out = done.select("source", F.explode("r.done").alias("i")).select("source", *[f"i.{k}" for k in kinds])
         decided = out if decided is None else decided.unionByName(out)
         left = done.select("source", "bucket", *[F.col(f"r.cur.{k}").alias(k) for k in kinds])
@@ -155,7 +155,7 @@ def mix(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
                         F.xxhash64(text).alias("text_hash"), sizes(docs, text_col).alias("size"))
     # repeated rows get numbers of their own; the group key is the content, so
     # only whole repeats share a group
-    sized = checkpointed(spark, sized)
+    sized = written(spark, sized, "mix-sizes")
     counted = sized.groupBy("doc_id", "source", "text_hash", "size").agg(F.count("*").alias("repeats"))
     rows = counted.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("repeats")))).drop("repeats")
     targets = source_targets(sized, cycle, max_copies)

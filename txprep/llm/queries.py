@@ -50,6 +50,28 @@ def op2_token_output(spark, sf_dir):
     return read_tokens(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+@register("op4_doc_fingerprint")
+def op4_doc_fingerprint(spark, sf_dir):
+    from .doc_sketch import as_string, sketch_edits
+    out = sketch_edits(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_chars", sha256_hex(F.col("edited")).alias("edited_sha256"),
+                      as_string(F.col("sketch")).alias("fingerprint"),
+                      as_string(F.col("edited_sketch")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
+@register("op5_substring_dedup")
+def op5_substring_dedup(spark, sf_dir):
+    from .suffix_dedup import dedup_substrings
+    return dedup_substrings(spark, table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@register("op6_decontamination")
+def op6_decontamination(spark, sf_dir):
+    from .decontaminate import contaminated
+    return contaminated(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @register("op7_toxicity")
 def op7_toxicity(spark, sf_dir):
     from .toxicity import fit_lexicon, score_toxicity
@@ -77,3 +99,10 @@ def op9_source_mix(spark, sf_dir):
     mixed = mix(spark, table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target",
                         (F.col("copies") * F.col("size")).alias("taken"), "copies")
+
+
+@register("op10_simhash")
+def op10_simhash(spark, sf_dir):
+    from .simhash import components
+    found = components(spark, table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
