@@ -50,6 +50,13 @@ def op2_token_output(spark, sf_dir):
     return read_tokens(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+@register("op3_brown_lm")
+def op3_brown_lm(spark, sf_dir):
+    from .brown_lm import score_documents
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    return score_documents(spark, table(spark, sf_dir, "documents"), held_out)
+
+
 @register("op4_doc_fingerprint")
 def op4_doc_fingerprint(spark, sf_dir):
     from .doc_sketch import as_string, sketch_edits

@@ -127,18 +127,15 @@ def suffix_array(text) -> list[int]:
     # emit: a suffix comes right after its group's earlier ones once its next smaller suffix is out
     head = list(range(n))
     result, done = [0] * n, [False] * n
-
-    def emit(j: int) -> None:
+    for i in range(-1, n):
+        j = (result[i] if i >= 0 else n) - 1
         while j >= 0 and not done[j]:
             g = start[j]
-            result[head[g]] = j
-            head[g] += 1
+            h = head[g]
+            result[h] = j
+            head[g] = h + 1
             done[j] = True
             j = before[j]
-
-    emit(n - 1)
-    for i in range(n):
-        emit(result[i] - 1)
     return result
 
 
