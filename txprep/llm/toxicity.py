@@ -213,7 +213,7 @@ def fit_lexicon(docs: DataFrame, labels: DataFrame, max_train: int = 20_000, max
         odds = F.log((F.col("t") + 0.5) / (n1 - F.col("t") + 0.5)) \
             - F.log((F.col("c") + 0.5) / (n0 - F.col("c") + 0.5))
         error = F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("c") + 0.5))
-        return summed.withColumn("odds", odds).withColumn("least", odds - 1.64 * error)
+        return summed.withColumn("odds", odds).withColumn("least", odds - 2.33 * error)
 
     top = counts(_folded_entries).filter(F.col("least") >= min_log_odds) \
         .orderBy(F.desc("least"), "term").limit(max_words).collect()
