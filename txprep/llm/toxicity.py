@@ -8,7 +8,8 @@ weighted by their smoothed log-odds; a word counts once, by its heaviest entry.
 Exception phrases are pairs of words, one of them with an entry, that occur in
 clean documents; a hit inside one doesn't count. The automaton finds entries and
 exceptions in one pass over a text. The score is the logistic function of the
-logarithm of the weight per 100 words, fitted on the training rows.
+logarithm of the weight over the root of the number of words, fitted on the
+training rows.
 
 The fit takes at most ``max_train`` labelled documents, those with the smallest
 hash of their id; scoring and its statistics cover every text whole.
@@ -119,8 +120,9 @@ def weigh(automaton, folded: str) -> float:
 
 
 def feature(weight: float, n_words: int) -> float:
-    """Weight normalised by length: log of the weight per 100 words."""
-    return math.log1p(100.0 * weight / max(n_words, 20))
+    """Weight normalised by length. The root of the words, not the words: a few
+    hits in a long text still tell, and a chance hit in it tells less."""
+    return math.log1p(10.0 * weight / math.sqrt(max(n_words, 20)))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float, float]:
@@ -191,7 +193,7 @@ def _features(lexicon: Lexicon):
 
 
 def fit_lexicon(docs: DataFrame, labels: DataFrame, max_train: int = 20_000, max_words: int = 4_000,
-                min_docs: int = 3, min_log_odds: float = 2.0, id_col: str = "doc_id", text_col: str = "text",
+                min_docs: int = 3, min_log_odds: float = 4.0, id_col: str = "doc_id", text_col: str = "text",
                 label_col: str = "toxic") -> Lexicon:
     """Learn lexicon, exceptions and curve from ``labels`` (already without
     held-out rows). What reaches the driver is bounded by ``max_train`` (one
@@ -215,7 +217,7 @@ def fit_lexicon(docs: DataFrame, labels: DataFrame, max_train: int = 20_000, max
         error = F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("c") + 0.5))
         return summed.withColumn("odds", odds).withColumn("least", odds - 2.33 * error)
 
-    top = counts(_folded_entries).filter(F.col("least") >= min_log_odds) \
+    top = counts(_folded_entries).filter((F.col("odds") >= min_log_odds) & (F.col("least") >= min_log_odds / 2)) \
         .orderBy(F.desc("least"), "term").limit(max_words).collect()
     lexicon = Lexicon({r["term"]: float(r["odds"]) for r in top})
     if top:
