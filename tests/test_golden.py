@@ -7,6 +7,7 @@ from conftest import SF
 from txprep import fixtures
 from txprep.operators import outlier_bounds, resolve_bounds, validate, waterfall
 from txprep.plans import ml_ready, prepare
+from txprep.sinks import write_partitioned
 
 GOLDEN = {
     "0.001": dict(stages=[1020, 971, 971, 953, 934], q=("14.81", "71.74", "0.53", "253.94"), applied=False,
@@ -22,7 +23,7 @@ GOLDEN = {
 def test_waterfall_and_bounds(spark, sf):
     g = GOLDEN[sf]
     tx = fixtures.tx(spark, SF[sf])
-    b = resolve_bounds(outlier_bounds(validate(tx), method="exact"))
+    b = resolve_bounds(outlier_bounds(validate(tx), min_rows=1000))
     assert [str(b[k]) for k in ("q1", "q3", "p1", "p99")] == list(g["q"])
     assert b["applied"] is g["applied"]
     if "bounds" in g:
@@ -34,7 +35,7 @@ def test_waterfall_and_bounds(spark, sf):
 @pytest.mark.parametrize("sf", list(GOLDEN))
 def test_ml_ready_features(spark, sf):
     g = GOLDEN[sf]
-    df = ml_ready(fixtures.tx(spark, SF[sf]), method="exact")
+    df = ml_ready(fixtures.tx(spark, SF[sf]), min_rows=1000)
     cols = ["tx_hour", "tx_day_of_week", "is_weekend", "is_night", "is_business_hours", "amount_category"]
     r = df.agg(*[F.sum(c).alias(c) for c in cols], F.sum("tx_amount_log").alias("log"),
                F.count("tx_hour").alias("h"), F.count_if(F.col("tx_fraud") == 0).alias("c0"),
@@ -50,7 +51,7 @@ def test_prepare_job(spark, sf, tmp):
     g = GOLDEN[sf]
     src = f"{tmp}/in"
     fixtures.tx(spark, SF[sf]).write.option("header", True).csv(src)
-    res = prepare(spark, src, f"{tmp}/out", method="exact")
+    res = prepare(spark, src, f"{tmp}/out", min_rows=1000)
     assert [w[2] for w in res.waterfall] == g["stages"]
     assert (res.class_counts[0], res.class_counts[1]) == g["classes"]
     n = res.null_profile
@@ -82,17 +83,29 @@ def test_prepare_sketch_methods_near_exact(spark, tmp, method):
     assert abs(res.waterfall[2][2] - 9533) <= 25 and abs(res.output_rows - 9179) <= 25
 
 
-def test_prepare_refuses_overwriting_input(spark, tmp):
-    with pytest.raises(ValueError):
-        prepare(spark, f"{tmp}/x", f"{tmp}/x/")
+def test_prepare_refuses_any_overlap_of_output_and_input(spark, tmp):
+    import glob
+    raw = f"{tmp}/p/raw"
+    fixtures.tx(spark, SF["0.001"]).repartition(2).write.option("header", True).csv(raw)
+    fixtures.tx(spark, SF["0.001"]).write.parquet(f"{tmp}/q/raw")
+    before = sorted(glob.glob(f"{tmp}/[pq]/raw/part-*"))
+    frame = spark.read.parquet(f"{tmp}/q/raw")
+    for source, out in [(raw, raw), (raw, raw + "/"), (raw + "/", f"file://{raw}"), (raw + "/*.csv", raw), ([raw], raw),
+                        (raw, f"{tmp}/p"), (raw, f"{raw}/inside"), (f"{tmp}/p/*/part-*.csv", f"{tmp}/p/raw"),
+                        (frame, f"{tmp}/q/raw"), (frame, f"{tmp}/q"), (frame.filter("transaction_id > 5"), f"{tmp}/q/raw/")]:
+        with pytest.raises(ValueError, match="overlaps"):
+            prepare(spark, source, out)
+    with pytest.raises(ValueError, match="overlaps"):
+        write_partitioned(frame, f"{tmp}/q/raw")
+    assert sorted(glob.glob(f"{tmp}/[pq]/raw/part-*")) == before
+    assert prepare(spark, raw, f"{tmp}/p/raw2").output_rows > 0           # a name that only begins alike
 
 
-def test_prepare_with_the_reference_stats_sample(spark, tmp):
-    from decimal import Decimal
+def test_prepare_is_reproducible_and_takes_its_parameters(spark, tmp):
     src = f"{tmp}/in"
-    fixtures.tx(spark, SF["0.01"]).write.option("header", True).csv(src)
-    capped = prepare(spark, src, f"{tmp}/a", method="exact", stats_sample=3000)
-    assert capped.bounds["n"] == 9756 and capped.bounds["applied"]
-    assert abs(capped.bounds["q1"] - Decimal("14.48")) < 3
-    full = prepare(spark, src, f"{tmp}/b", method="exact", stats_sample=10**6)   # below the cap: all rows
-    assert [w[2] for w in full.waterfall] == GOLDEN["0.01"]["stages"]
+    fixtures.tx(spark, SF["0.001"]).write.option("header", True).csv(src)
+    a, b = prepare(spark, src, f"{tmp}/a"), prepare(spark, src, f"{tmp}/b")
+    assert a.waterfall == b.waterfall and a.bounds == b.bounds and a.bounds["applied"]
+    more = prepare(spark, src, f"{tmp}/c", label_classes=(0, 1, 2), iqr_factor=1)
+    assert set(more.class_counts) == {0, 1, 2} and more.class_counts[2] > 0
+    assert more.bounds["hi"] < a.bounds["hi"]

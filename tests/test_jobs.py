@@ -1,5 +1,6 @@
 """Profile-job routing and the streaming stages."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF
@@ -19,7 +20,7 @@ def test_routing_rule():
 
 def test_dataset_route(spark, tmp):
     path = f"{tmp}/ml_ready_data"
-    write_partitioned(ml_ready(fixtures.tx(spark, SF["0.001"]), method="exact"), path, partitions=2)
+    write_partitioned(ml_ready(fixtures.tx(spark, SF["0.001"]), min_rows=1000), path, partitions=2)
     m = analyze(spark, path)
     got = {(r["section"], r["item"], r["metric"]): r for r in m.collect()}
     assert got[("general", "", "total_rows")]["value"] == 934
@@ -28,7 +29,7 @@ def test_dataset_route(spark, tmp):
     assert got[("general", "", "partitions")]["value"] >= 1
     assert got[("schema", "tx_fraud", "type")]["text"] == "int"
     cols = {k[1] for k in got if k[0] == "numeric_statistics"}
-    assert cols == {"transaction_id", "customer_id", "terminal_id", "tx_amount", "tx_amount_log"}
+    assert cols == set(ml_ready(fixtures.tx(spark, SF["0.001"])).columns)       # all of them are numeric
     paths = write_reports(m, f"{tmp}/report")
     sections = m.select("section").distinct().count()
     columns = m.filter("section = 'schema'").select("item").distinct().count()
@@ -72,6 +73,12 @@ def test_stream_matches_batch_stages(spark, tmp):
     q2 = stream_prepare(spark, src, f"{tmp}/out", bounds=bounds, checkpoint=f"{tmp}/ckpt")
     q2.awaitTermination()
     assert spark.read.parquet(f"{tmp}/out").count() == batch.count()
+    # a file that arrives after a restart is not lost
+    tx.write.mode("append").option("header", True).csv(src)
+    stream_prepare(spark, src, f"{tmp}/out", bounds=bounds, checkpoint=f"{tmp}/ckpt").awaitTermination()
+    assert spark.read.parquet(f"{tmp}/out").count() == 2 * batch.count()
+    with pytest.raises(TypeError):
+        stream_prepare(spark, src, f"{tmp}/out", bounds=bounds)
     assert out.filter(F.col("tx_fraud").isNull()).count() == 0
 
 
@@ -86,22 +93,22 @@ def test_unreadable_dataset_reports_error(spark, tmp):
         warnings.simplefilter("always")
         rows = analyze(spark, path).collect()
     errs = [r for r in rows if r["section"] == "errors"]
-    assert len(errs) == 1 and errs[0]["text"].startswith(f"reading {path}")
+    assert sorted(r["item"].rsplit("/", 1)[1] for r in errs) == ["ml_ready_data", "part-0.parquet"]
+    assert any(r["text"].startswith(f"reading {path}") for r in errs)
     assert [r["value"] for r in rows if r["metric"] == "total_rows"] == [0]
 
 
-def test_null_profile_on_sample(spark):
-    from txprep.operators import null_profile
+def test_sample_is_the_fraction_asked_for(spark):
+    from txprep.operators import sample
     tx = fixtures.tx(spark, SF["0.01"])
-    got = null_profile(tx, sample=1000).collect()
-    assert 700 < got[0]["rows"] < 1300
+    assert 700 < sample(tx, 0.1).count() < 1300
 
 
 def test_command_line(spark, tmp):
     from txprep.__main__ import main
     src = f"{tmp}/raw"
     fixtures.tx(spark, SF["0.001"]).write.option("header", True).csv(src)
-    out = main(["prepare", "--input", f"{src}/*.csv", "--output", f"{tmp}/ml_ready_data", "--method", "exact",
+    out = main(["prepare", "--input", f"{src}/*.csv", "--output", f"{tmp}/ml_ready_data", "--min-rows", "1000",
                 "--report", f"{tmp}/r1"], spark=spark)
     assert out["output_rows"] == 934 and [w[2] for w in out["waterfall"]] == [1020, 971, 971, 953, 934]
     lines = [r["value"] for r in spark.read.text(out["report"]["text"]).collect()]
@@ -115,7 +122,7 @@ def test_command_line(spark, tmp):
 def test_prepare_from_json_input(spark, tmp):
     from txprep.plans import prepare
     fixtures.tx(spark, SF["0.001"]).write.json(f"{tmp}/raw")
-    res = prepare(spark, f"{tmp}/raw", f"{tmp}/out", method="exact", source_format="json")
+    res = prepare(spark, f"{tmp}/raw", f"{tmp}/out", min_rows=1000, source_format="json")
     assert [w[2] for w in res.waterfall] == [1020, 971, 971, 953, 934]
 
 

@@ -30,8 +30,8 @@ def test_waterfall_with_other_names(spark):
 
 def test_ml_ready_with_other_names(spark):
     tx = fixtures.tx(spark, SF["0.001"])
-    out = ml_ready(renamed(tx), ROLES, method="exact")
-    ref = renamed(ml_ready(tx, method="exact"))
+    out = ml_ready(renamed(tx), ROLES, min_rows=1000)
+    ref = renamed(ml_ready(tx, min_rows=1000))
     assert out.columns == ref.columns and out.columns[:4] == ["id", "buyer", "device", "amt"]
     assert out.count() == ref.count() == 934
     assert out.exceptAll(ref).count() == 0 and ref.exceptAll(out).count() == 0

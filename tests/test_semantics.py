@@ -31,9 +31,10 @@ def test_null_or_empty_only_for_strings(spark, ansi):
         spark.conf.unset("spark.sql.ansi.enabled")
 
 
-def test_null_profile_skips_row_prefix_and_empty_input(spark):
+def test_null_profile_of_all_columns_and_empty_input(spark):
     df = tx_rows(spark, {}).withColumn("row_id", F.lit(1))
-    assert "row_id" not in [r["column"] for r in null_profile(df).collect()]
+    assert "row_id" in [r["column"] for r in null_profile(df).collect()]
+    assert "row_id" not in [r["column"] for r in null_profile(df, exclude=["row_id"]).collect()]
     empty = null_profile(df.limit(0)).collect()
     assert all(r["rows"] == 0 and r["null_pct"] is None for r in empty)   # no division by zero
 
@@ -133,7 +134,8 @@ def test_class_distribution_and_numeric_stats(spark):
     d = {r["tx_fraud"]: (r["count"], r["pct"]) for r in class_distribution(df).collect()}
     assert d == {0: (6, 75.0), 1: (2, 25.0)}
     s = {r["column"]: r for r in numeric_stats(df).collect()}
-    assert list(s) == ["transaction_id", "customer_id", "terminal_id", "tx_amount", "tx_time_seconds"]
+    assert list(s) == ["transaction_id", "customer_id", "terminal_id", "tx_amount", "tx_time_seconds", "tx_time_days", "tx_fraud",
+                       "tx_fraud_scenario"]
     assert s["transaction_id"]["mean"] == 4.5 and s["transaction_id"]["min"] == 1.0
     assert s["tx_amount"]["stddev"] == 0.0 and s["tx_amount"]["count"] == 8
 
@@ -142,21 +144,32 @@ def test_plan_partitions_rule():
     assert plan_partitions(10) == 50
     assert plan_partitions(1_000_000) == 50
     assert plan_partitions(120_000_000) == 120
-    assert plan_partitions(1_563_638_244) == 200
-    assert plan_partitions(1_563_638_244, max_partitions=None) == 1563
+    assert plan_partitions(1_563_638_244) == 1563
+    assert plan_partitions(1_563_638_244, max_partitions=200) == 200
 
 
-def test_outlier_bounds_on_a_stats_sample(spark):
+def test_exact_min_and_max_of_large_longs(spark):
+    df = spark.createDataFrame([(9007199254740993,), (9007199254740995,)], "x long")
+    r = numeric_stats(df).first()
+    assert (r["min_text"], r["max_text"]) == ("9007199254740993", "9007199254740995")
+
+
+def test_building_reports_launches_no_job(spark):
     from conftest import SF
     from txprep import fixtures
-    from txprep.operators import outlier_bounds, resolve_bounds
-    valid = validate(fixtures.tx(spark, SF["0.01"]))
-    full = resolve_bounds(outlier_bounds(valid, method="exact"))
-    sampled = resolve_bounds(outlier_bounds(valid, method="exact", stats_sample=3000))
-    same = resolve_bounds(outlier_bounds(valid, method="exact", stats_sample=10**6))
-    assert sampled["n"] == full["n"] == 9756 and sampled["applied"]
-    assert same == full                       # below the cap: all rows
-    assert abs(float(sampled["q1"]) - float(full["q1"])) < 3
+    from txprep.operators import report_metrics
+    li = fixtures.table(spark, SF["0.001"], "lineitem")
+    spark.sparkContext.setJobGroup("no-jobs", "")
+    report_metrics(li.repartition(8).groupBy("l_orderkey").sum("l_quantity"), label="l_orderkey")
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup("no-jobs") == []
+    spark.sparkContext.setJobGroup("", "")
+
+
+def test_dedup_says_what_it_cannot_order(spark):
+    df = spark.createDataFrame([(1, {"a": 1})], "k long, m map<string,int>")
+    with pytest.raises(ValueError, match="maps have no order"):
+        dedup(df, "k")
+    assert dedup(df, "k", deterministic=False).count() == 1
 
 
 def test_waterfall_computes_its_own_bounds(spark):

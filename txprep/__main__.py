@@ -12,22 +12,14 @@ the caller configured.
 from __future__ import annotations
 
 import argparse
-import datetime as dt
 import json
 import sys
 
 from pyspark.sql import SparkSession
 
-from .operators.profile import METRIC_SCHEMA
 from .plans import analyze, prepare, write_reports
 
 
-def _stamp(spark: SparkSession, metrics, target: str):
-    now = dt.datetime.now().isoformat(timespec="seconds")
-    info = spark.createDataFrame([("run", target, "analyzed_at", None, now)], METRIC_SCHEMA)
-    return metrics.unionByName(info)
-
-
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:
     ap = argparse.ArgumentParser(prog="txprep")
     sub = ap.add_subparsers(dest="job", required=True)
@@ -35,10 +27,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     p.add_argument("--input", required=True, help="input files (path or glob)")
     p.add_argument("--format", default="delimited", choices=("delimited", "json", "parquet"))
     p.add_argument("--output", required=True)
-    p.add_argument("--method", default="sketch", choices=("sketch", "approx", "exact"))
+    p.add_argument("--method", default="exact", choices=("exact", "sketch", "approx"))
     p.add_argument("--max-output-partitions", type=int, default=None)
-    p.add_argument("--stats-sample", type=int, default=None,
-                   help="percentiles from a seed-42 sample of about this many validated rows")
+    p.add_argument("--min-rows", type=int, default=0, help="validated rows below which no outlier is removed")
     p.add_argument("--report", default=None, help="folder for the JSON and text reports")
     r = sub.add_parser("profile", help="profile a dataset or inventory a folder")
     r.add_argument("--path", required=True)
@@ -51,18 +42,17 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     if args.job == "prepare":
         res = prepare(spark, args.input, args.output, method=args.method,
                       max_output_partitions=args.max_output_partitions, source_format=args.format,
-                      stats_sample=args.stats_sample)
+                      min_rows=args.min_rows)
         summary = {"input_rows": res.input_rows, "output_rows": res.output_rows,
                    "retention_pct": res.retention_pct, "partitions": res.partitions,
                    "waterfall": res.waterfall, "output": res.output_path}
         if args.report:
-            summary["report"] = write_reports(_stamp(spark, res.to_metrics(spark), args.input), args.report,
-                                              title=f"PREPARE {args.input} -> {args.output}")
+            summary["report"] = write_reports(res.to_metrics(spark), args.report,
+                                              title=f"PREPARE {args.input} -> {args.output}", target=args.input)
     else:
         metrics = analyze(spark, args.path, kind="auto" if args.kind == "auto" else args.kind,
                           label=args.label)
-        summary = {"report": write_reports(_stamp(spark, metrics, args.path), args.report,
-                                           title=f"PROFILE {args.path}")}
+        summary = {"report": write_reports(metrics, args.report, title=f"PROFILE {args.path}", target=args.path)}
     print(json.dumps(summary, default=str))
     return summary
 

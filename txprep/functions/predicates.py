@@ -60,11 +60,6 @@ def label_consistent(cols: TxColumns = DEFAULT_COLUMNS) -> Column:
     return (~((label == 1) & (scenario == 0))) & (~((label == 0) & (scenario > 0)))
 
 
-def in_range(col: str, lo, hi) -> Column:
-    """Inclusive range test; ``lo``/``hi`` may be literals or Columns."""
-    return F.col(col).between(lo, hi)
-
-
 def null_or_empty(df: DataFrame, name: str) -> Column:
     """NULL test that also counts the empty string, for string columns only.
 

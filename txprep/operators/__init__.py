@@ -2,15 +2,14 @@ from .cleaning import (check_consistency, clean, dedup, outlier_bounds, remove_o
                        resolve_bounds, rule_failures, validate, waterfall)
 from .features import add_features, select_ml_ready
 from .partitioning import plan_partitions, plan_partitions_col
-from .profile import (class_distribution, numeric_stats, partition_count, report_metrics,
-                      schema_profile)
-from .quality import null_profile, row_count, sample_cap
+from .profile import class_distribution, numeric_stats, partition_count, report_metrics
+from .quality import null_profile, row_count, sample
 from .quantiles import approx_quantiles, exact_quantiles, quantiles
 
 __all__ = [
     "check_consistency", "clean", "dedup", "outlier_bounds", "remove_outliers", "resolve_bounds",
     "rule_failures", "validate", "waterfall", "add_features", "select_ml_ready",
     "plan_partitions", "plan_partitions_col", "class_distribution", "numeric_stats",
-    "partition_count", "report_metrics", "schema_profile", "null_profile", "row_count",
-    "sample_cap", "approx_quantiles", "exact_quantiles", "quantiles",
+    "partition_count", "report_metrics", "null_profile", "row_count",
+    "sample", "approx_quantiles", "exact_quantiles", "quantiles",
 ]

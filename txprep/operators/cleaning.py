@@ -14,16 +14,17 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.predicates import all_of, is_valid, label_consistent, validation_rules
 from ..schema import DEFAULT_COLUMNS, TxColumns
 from ._long import melt_row, ratio_pct
-from .quality import sample_cap
 from .quantiles import quantiles
 
 # The outlier fence of the reference job.
 OUTLIER_PROBS = {"q1": 0.25, "q3": 0.75, "p1": 0.01, "p99": 0.99}
 IQR_FACTOR = 3
+#: The reference skips the fence below this many rows; pass it as ``min_rows`` to do the same.
 MIN_ROWS_FOR_OUTLIERS = 1000
 
 STAGES = ("input", "validation", "outliers", "dedup", "consistency")
@@ -49,33 +50,28 @@ def rule_failures(df: DataFrame, cols: TxColumns = DEFAULT_COLUMNS) -> DataFrame
 
 
 # ---------------------------------------------------------------- stage 2
-def outlier_bounds(valid: DataFrame, cols: TxColumns = DEFAULT_COLUMNS, method: str = "sketch",
-                   accuracy: int = 10000, min_rows: int = MIN_ROWS_FOR_OUTLIERS,
-                   iqr_factor=IQR_FACTOR, stats_sample: int | None = None) -> DataFrame:
+def outlier_bounds(valid: DataFrame, cols: TxColumns = DEFAULT_COLUMNS, method: str = "exact",
+                   accuracy: int = 10000, min_rows: int = 0, iqr_factor=IQR_FACTOR) -> DataFrame:
     """One row: ``n, q1, q3, p1, p99, lo, hi, applied`` over validated rows.
 
     ``lo = max(q1 - f*iqr, p1)``, ``hi = min(q3 + f*iqr, p99)``; the fence is
-    applied only when there are at least ``min_rows`` validated rows. The
+    applied when there are at least ``min_rows`` validated rows and a value. The
     clamp keeps lo/hi inside the data's range, so they fit the column type.
-
-    ``stats_sample`` reproduces the reference's procedure: above that many
-    validated rows the percentiles come from a seed-42 Bernoulli sample of
-    about that size (one extra count); ``n`` stays the full count.
     """
     typ = valid.schema[cols.amount].dataType
-    if stats_sample is not None:
-        n = valid.count()
-        q = quantiles(sample_cap(valid, stats_sample, rows=n), cols.amount, OUTLIER_PROBS, method=method,
-                      accuracy=accuracy).withColumn("n", F.lit(n).cast("bigint"))
-    else:
-        q = quantiles(valid, cols.amount, OUTLIER_PROBS, method=method, accuracy=accuracy)
+    return fence(quantiles(valid, cols.amount, OUTLIER_PROBS, method=method, accuracy=accuracy), typ, min_rows,
+                 iqr_factor)
+
+
+def fence(q: DataFrame, typ: T.DataType, min_rows: int = 0, iqr_factor=IQR_FACTOR) -> DataFrame:
+    """The fence of the one row ``n, q1, q3, p1, p99``, in the type ``typ``."""
     q1, q3, p1, p99 = (F.col(k) for k in OUTLIER_PROBS)
     f = F.lit(iqr_factor)
     return q.select(
         "n", "q1", "q3", "p1", "p99",
         F.greatest(q1 - f * (q3 - q1), p1).cast(typ).alias("lo"),
         F.least(q3 + f * (q3 - q1), p99).cast(typ).alias("hi"),
-        (F.col("n") >= F.lit(min_rows)).alias("applied"),
+        ((F.col("n") >= F.lit(min_rows)) & q1.isNotNull()).alias("applied"),
     )
 
 
@@ -97,6 +93,14 @@ def remove_outliers(valid: DataFrame, bounds: Row, cols: TxColumns = DEFAULT_COL
 
 
 # ---------------------------------------------------------------- stage 3
+def _has_map(typ: T.DataType) -> bool:
+    if isinstance(typ, T.ArrayType):
+        return _has_map(typ.elementType)
+    if isinstance(typ, T.StructType):
+        return any(_has_map(f.dataType) for f in typ.fields)
+    return isinstance(typ, T.MapType)
+
+
 def dedup(df: DataFrame, key: str, order_by: Sequence[str] | None = None,
           deterministic: bool = True, count_as: str | None = None) -> DataFrame:
     """One row per ``key``; ``count_as`` adds the number of rows the key had.
@@ -110,6 +114,10 @@ def dedup(df: DataFrame, key: str, order_by: Sequence[str] | None = None,
     """
     if not deterministic and count_as is None:
         return df.dropDuplicates([key])
+    unordered = [f.name for f in df.schema.fields if _has_map(f.dataType)]
+    if unordered:
+        raise ValueError(f"dedup orders rows by their columns; maps have no order: {unordered} "
+                         "(drop them, cast them to arrays of entries, or pass deterministic=False)")
     others = [c for c in df.columns if c != key]
     first = [c for c in (order_by or []) if c != key]
     ordered = first + [c for c in others if c not in first]
@@ -125,18 +133,19 @@ def check_consistency(df: DataFrame, cols: TxColumns = DEFAULT_COLUMNS) -> DataF
 
 
 # ---------------------------------------------------------------- composite
-def clean(df: DataFrame, cols: TxColumns = DEFAULT_COLUMNS, method: str = "sketch",
-          bounds: Row | None = None, deterministic: bool = True, accuracy: int = 10000) -> DataFrame:
+def clean(df: DataFrame, cols: TxColumns = DEFAULT_COLUMNS, method: str = "exact",
+          bounds: Row | None = None, deterministic: bool = True, accuracy: int = 10000, min_rows: int = 0,
+          iqr_factor=IQR_FACTOR) -> DataFrame:
     """validation -> outlier fence -> dedup -> consistency, as one plan."""
     valid = validate(df, cols)
     if bounds is None:
-        bounds = resolve_bounds(outlier_bounds(valid, cols, method=method, accuracy=accuracy))
+        bounds = resolve_bounds(outlier_bounds(valid, cols, method, accuracy, min_rows, iqr_factor))
     fenced = remove_outliers(valid, bounds, cols)
     return check_consistency(dedup(fenced, cols.id, deterministic=deterministic), cols)
 
 
 def waterfall(df: DataFrame, bounds: Row | None = None, cols: TxColumns = DEFAULT_COLUMNS,
-              method: str = "sketch", deterministic: bool = True) -> DataFrame:
+              method: str = "exact", deterministic: bool = True, min_rows: int = 0) -> DataFrame:
     """Rows after each cleaning stage, rows removed, and % of input kept.
 
     ``bounds`` are the fence used by ``clean`` (resolve them once and pass
@@ -151,7 +160,7 @@ def waterfall(df: DataFrame, bounds: Row | None = None, cols: TxColumns = DEFAUL
     """
     typ = df.schema[cols.amount].dataType
     if bounds is None:
-        bounds = resolve_bounds(outlier_bounds(validate(df, cols), cols, method=method))
+        bounds = resolve_bounds(outlier_bounds(validate(df, cols), cols, method, min_rows=min_rows))
     s1 = is_valid(cols)
     s2 = s1 & F.coalesce(in_bounds(bounds, cols, typ), F.lit(False))
     others = [c for c in df.columns if c != cols.id]

@@ -8,15 +8,15 @@ from pyspark.sql import functions as F
 # The reference's output sizing rule.
 ROWS_PER_PARTITION = 1_000_000
 MIN_PARTITIONS = 50
+# The reference's ceiling, for callers who want it; a fixed ceiling throttles large writes.
 MAX_PARTITIONS = 200
 
 
 def plan_partitions(rows: int, rows_per_partition: int = ROWS_PER_PARTITION,
                     min_partitions: int = MIN_PARTITIONS,
-                    max_partitions: int | None = MAX_PARTITIONS) -> int:
+                    max_partitions: int | None = None) -> int:
     """rows // rows_per_partition when rows exceed it (else the minimum),
-    clamped to [min_partitions, max_partitions]. ``max_partitions=None``
-    drops the upper clamp, so large outputs keep ~1M rows per partition."""
+    at least ``min_partitions`` and, if given, at most ``max_partitions``."""
     k = rows // rows_per_partition if rows > rows_per_partition else min_partitions
     if max_partitions is not None:
         k = min(k, max_partitions)
@@ -25,7 +25,7 @@ def plan_partitions(rows: int, rows_per_partition: int = ROWS_PER_PARTITION,
 
 def plan_partitions_col(rows: Column, rows_per_partition: int = ROWS_PER_PARTITION,
                         min_partitions: int = MIN_PARTITIONS,
-                        max_partitions: int | None = MAX_PARTITIONS) -> Column:
+                        max_partitions: int | None = None) -> Column:
     """The same rule as a Column expression over a row-count column."""
     k = F.when(rows > rows_per_partition, F.floor(rows / F.lit(rows_per_partition))).otherwise(
         F.lit(min_partitions)).cast("bigint")

@@ -3,12 +3,11 @@ all as long-form metric rows ``section, item, metric, value, text``."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ._long import melt_row, ratio_pct
-from .quantiles import input_partitions
 
 METRIC_SCHEMA = T.StructType([
     T.StructField("section", T.StringType(), False),
@@ -20,44 +19,36 @@ METRIC_SCHEMA = T.StructType([
 
 # Per-column statistics of the reference's numeric summary.
 NUMERIC_STATS = ("count", "mean", "stddev", "min", "max")
-MAX_NUMERIC_COLUMNS = 5
-
-
-def schema_profile(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Name, type and nullability of each column (from the plan's schema)."""
-    rows = [(i + 1, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
-    return spark.createDataFrame(rows, "ordinal int, column string, type string, nullable boolean")
 
 
 def partition_count(df: DataFrame) -> DataFrame:
-    """Number of non-empty partitions of ``df`` as read (no columns scanned).
-    ``report_metrics`` reports the planned partition count instead (known
-    without a job) and uses this only where the RDD API is unavailable."""
+    """Number of non-empty partitions of ``df`` as read (no columns scanned)."""
     return df.select(F.spark_partition_id().alias("p")).agg(F.count_distinct("p").alias("partitions"))
 
 
 def class_distribution(df: DataFrame, label: str = "tx_fraud") -> DataFrame:
     """Rows per label value and their share of all rows.
 
-    One grouped aggregation (partial counts map-side); the total is a window
-    sum over the grouped result, which has one row per class.
+    One grouped aggregation (partial counts map-side); the total is a second
+    aggregate of one row, so no task sees all classes of a label with many.
     """
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("count"))
-    total = F.sum("count").over(Window.partitionBy())
+    total = df.agg(F.count(F.lit(1))).scalar()
     return counts.select(label, "count", ratio_pct(F.col("count"), total).alias("pct"))
 
 
-def numeric_columns(df: DataFrame, max_columns: int | None = MAX_NUMERIC_COLUMNS) -> list[str]:
+def numeric_columns(df: DataFrame, max_columns: int | None = None) -> list[str]:
     names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
     return names if max_columns is None else names[:max_columns]
 
 
-def numeric_stats(df: DataFrame, columns=None, max_columns: int | None = MAX_NUMERIC_COLUMNS,
+def numeric_stats(df: DataFrame, columns=None, max_columns: int | None = None,
                   digits: int | None = None) -> DataFrame:
     """count, mean, sample stddev, min, max per numeric column, one pass.
 
     Columns: ``ordinal, column, count, mean, stddev, min, max`` (doubles but
-    count). Only numeric columns are passed to the aggregation, so no column
+    count), and the exact ``min_text`` and ``max_text`` (null for floating columns; a double
+    can't hold every long or decimal). Only numeric columns are passed to the aggregation, so no column
     can fail it. ``digits`` rounds mean and stddev.
     """
     names = list(columns) if columns is not None else numeric_columns(df, max_columns)
@@ -66,15 +57,21 @@ def numeric_stats(df: DataFrame, columns=None, max_columns: int | None = MAX_NUM
         x = F.col(c)
         aggs += [F.count(x).alias(f"_c{i}"), F.avg(x).cast("double").alias(f"_a{i}"),
                  F.stddev_samp(x).cast("double").alias(f"_s{i}"),
-                 F.min(x).cast("double").alias(f"_lo{i}"), F.max(x).cast("double").alias(f"_hi{i}")]
+                 F.min(x).alias(f"_lo{i}"), F.max(x).alias(f"_hi{i}")]
     wide = df.agg(*aggs)
 
     def r(c):
         return c if digits is None else F.round(c, digits)
 
+    def exact(c, stat):
+        floating = isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType))
+        return F.lit(None).cast("string") if floating else F.col(stat).cast("string")
+
     items = [{"ordinal": F.lit(i + 1), "column": F.lit(c), "count": F.col(f"_c{i}"),
               "mean": r(F.col(f"_a{i}")), "stddev": r(F.col(f"_s{i}")),
-              "min": F.col(f"_lo{i}"), "max": F.col(f"_hi{i}")} for i, c in enumerate(names)]
+              "min": F.col(f"_lo{i}").cast("double"), "max": F.col(f"_hi{i}").cast("double"),
+              "min_text": exact(c, f"_lo{i}"), "max_text": exact(c, f"_hi{i}")}
+             for i, c in enumerate(names)]
     return melt_row(wide, items)
 
 
@@ -86,7 +83,7 @@ def _metric(section, item, metric, value=None, text=None):
                     (text if text is not None else F.lit(None)).cast("string").alias("text"))
 
 
-def report_metrics(df: DataFrame, label: str | None = "tx_fraud", max_columns: int | None = MAX_NUMERIC_COLUMNS,
+def report_metrics(df: DataFrame, label: str | None = "tx_fraud", max_columns: int | None = None,
                    digits: int | None = None, include_partitions: bool = True) -> DataFrame:
     """Profile of a dataset as metric rows (sections: general, incl. the
     partition count; schema; class_distribution; numeric_statistics).
@@ -102,13 +99,8 @@ def report_metrics(df: DataFrame, label: str | None = "tx_fraud", max_columns: i
     schema_rows += [("schema", f.name, "nullable", 1.0 if f.nullable else 0.0, None) for f in df.schema.fields]
     parts.append(spark.createDataFrame(schema_rows, METRIC_SCHEMA))
     if include_partitions:
-        planned = input_partitions(df)   # what the reference reports; no job
-        if planned is not None:
-            parts.append(spark.createDataFrame([("general", "", "partitions", float(planned), None)],
-                                               METRIC_SCHEMA))
-        else:
-            parts.append(partition_count(df).select(
-                F.inline(F.array(_metric("general", "", "partitions", F.col("partitions"))))))
+        parts.append(partition_count(df).select(
+            F.inline(F.array(_metric("general", "", "partitions", F.col("partitions"))))))
     if label is not None and label in df.columns:
         dist = class_distribution(df, label)
         item = F.concat(F.lit("class_"), F.col(label).cast("string"))
@@ -122,7 +114,8 @@ def report_metrics(df: DataFrame, label: str | None = "tx_fraud", max_columns: i
             F.inline(F.array(_metric("general", "", "total_rows", F.col("n"))))))
     stats = numeric_stats(df, max_columns=max_columns, digits=digits)
     parts.append(stats.select(F.inline(F.array(
-        *[_metric("numeric_statistics", F.col("column"), s, F.col(s)) for s in NUMERIC_STATS]))))
+        *[_metric("numeric_statistics", F.col("column"), s, F.col(s), F.col(f"{s}_text") if s in ("min", "max") else None)
+          for s in NUMERIC_STATS]))))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

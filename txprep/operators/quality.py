@@ -1,15 +1,16 @@
-"""Data-quality measures: row count, null/empty profile, size-capped sample."""
+"""Data-quality measures: row count, null/empty profile, sample."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.predicates import null_or_empty
 from ._long import melt_row, ratio_pct
 
-# The reference's sampling cap and seed.
-SAMPLE_CAP = 1_000_000
+# Fixed value: the reference's sampling seed.
 SAMPLE_SEED = 42
 
 
@@ -17,18 +18,14 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows"))
 
 
-def null_profile(df: DataFrame, skip_prefix: str = "row_", sample: int | None = None,
-                 seed: int = SAMPLE_SEED) -> DataFrame:
-    """NULL (and, for strings, empty) count per column in one aggregation.
+def null_profile(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
+    """NULL (and, for strings, empty) count per column in one aggregation over
+    all rows.
 
-    Columns: ``ordinal, column, nulls, rows, null_pct``. Columns whose name
-    starts with ``skip_prefix`` are left out. ``sample`` profiles a
-    ``sample_cap`` sample of at most about that many rows instead of all rows
-    (the reference's quality check); ``rows`` is then the sample's size.
+    Columns: ``ordinal, column, nulls, rows, null_pct``; ``exclude`` names
+    columns to leave out.
     """
-    if sample is not None:
-        df = sample_cap(df, sample, seed)
-    names = [c for c in df.columns if not c.startswith(skip_prefix)]
+    names = [c for c in df.columns if c not in set(exclude)]
     wide = df.agg(F.count(F.lit(1)).alias("rows"),
                   *[F.count_if(null_or_empty(df, c)).alias(f"_n{i}") for i, c in enumerate(names)])
     items = [{"ordinal": F.lit(i + 1), "column": F.lit(c), "nulls": F.col(f"_n{i}")}
@@ -38,15 +35,7 @@ def null_profile(df: DataFrame, skip_prefix: str = "row_", sample: int | None =
                        ratio_pct(F.col("nulls"), F.col("rows")).alias("null_pct"))
 
 
-def sample_cap(df: DataFrame, cap: int = SAMPLE_CAP, seed: int = SAMPLE_SEED,
-               rows: int | None = None) -> DataFrame:
-    """All rows when there are at most ``cap``; else a Bernoulli sample
-    (no replacement) with fraction ``cap / rows`` and a fixed seed.
-
-    This is the reference's sampling operator: the sample is the feature
-    asked for, not a shortcut. ``rows`` may be passed to skip the count.
-    """
-    n = df.count() if rows is None else rows
-    if n <= cap:
-        return df
-    return df.sample(withReplacement=False, fraction=cap / n, seed=seed)
+def sample(df: DataFrame, fraction: float, seed: int = SAMPLE_SEED) -> DataFrame:
+    """A Bernoulli sample (no replacement) of the fraction asked for, with a
+    fixed seed, whatever the table's size."""
+    return df.sample(withReplacement=False, fraction=fraction, seed=seed)

@@ -1,7 +1,6 @@
-"""Percentiles of one numeric column: sketch, approximate or exact.
+"""Percentiles of one numeric column: exact, sketch or approximate.
 
-``sketch`` (default) is one pass with a KLL sketch. Above ``fan_in`` input
-partitions it is merged as a two-level tree: rows are grouped by
+``sketch`` is one pass with a KLL sketch. It is merged as a two-level tree: rows are grouped by
 ``spark_partition_id() % fan_in``, a key that is constant within a task, so
 every task emits exactly one partial sketch; those are merged by up to
 ``fan_in`` reducers, and only ``fan_in`` sketches reach the final merge.
@@ -12,7 +11,7 @@ few hundred KB each at 100 TB).
 ``approx`` is the reference's ``percentile_approx`` (global merge), kept for
 fidelity on moderate task counts.
 
-``exact`` returns SQL ``percentile_disc`` values (the smallest v with
+``exact`` (default: the only one whose result is the same on every run) returns SQL ``percentile_disc`` values (the smallest v with
 ``#(x <= v) >= ceil(p * n)``) without gathering the values of the column in
 any one task. It is a distributed selection:
 
@@ -41,7 +40,7 @@ import math
 from collections import defaultdict
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,31 +65,17 @@ def task_group(fan_in: int = FAN_IN) -> Column:
     return (F.spark_partition_id() % F.lit(fan_in)).alias("_g")
 
 
-def input_partitions(df: DataFrame) -> int | None:
-    """Partitions feeding an aggregation of ``df`` (planning only, no job);
-    None where the RDD API is unavailable (Spark Connect)."""
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:
-        return None
-
-
 def tree_agg(df: DataFrame, x: Column, dtype: T.DataType, aggs: dict[str, tuple[Column, str]],
              sketch_k: int = SKETCH_K, fan_in: int = FAN_IN) -> DataFrame:
     """A KLL sketch of ``x`` (as ``_sk``) plus ``aggs``, in one row.
 
     ``aggs`` maps a name to ``(partial aggregate, combiner)`` with combiner
-    ``sum``, ``min`` or ``max``. With more input partitions than ``fan_in``
-    the aggregation is a two-level tree: per task group, then across groups,
-    so the final merge sees at most ``fan_in`` sketches. With fewer, one
-    global aggregation already sees at most ``fan_in`` partial sketches and
-    the extra stage is skipped.
+    ``sum``, ``min`` or ``max``. The aggregation is a two-level tree: per task
+    group, then across groups, so the final merge sees at most ``fan_in``
+    sketches, whatever the number of input partitions.
     """
     agg, merge, _, cast = kll_family(dtype)
     sketch = agg(x.cast(cast), sketch_k).alias("_sk")
-    n = input_partitions(df)
-    if n is not None and n <= fan_in:
-        return df.agg(sketch, *[c.alias(k) for k, (c, _) in aggs.items()])
     combine = {"sum": F.sum, "min": F.min, "max": F.max}
     grouped = df.groupBy(task_group(fan_in)).agg(sketch, *[c.alias(k) for k, (c, _) in aggs.items()])
     return grouped.agg(merge("_sk").alias("_sk"), *[combine[f](k).alias(k) for k, (_, f) in aggs.items()])
@@ -124,36 +109,31 @@ def approx_quantiles(df: DataFrame, col: str, probs: Mapping[str, float],
 
 
 def _bucket_expr(x, lo, hi, buckets: int, with_below: bool, typ):
+    """The bucket 1..``buckets`` of ``x`` in [lo, hi], by its distance from ``lo``
+    in the column's own type: neighbours that a double can't tell apart are told
+    apart once the bracket is narrow. 0 below it (if asked for), else null."""
     lo_l, hi_l = F.lit(lo).cast(typ), F.lit(hi).cast(typ)
-    if float(lo) == float(hi):
+    if lo == hi:
         inside = F.lit(1)
     else:
-        inside = F.least(F.width_bucket(x.cast("double"), F.lit(float(lo)), F.lit(float(hi)),
-                                        F.lit(buckets)), F.lit(buckets))
+        exact = T.DecimalType(20, 0) if isinstance(typ, T.IntegralType) else typ
+        width = float(hi - lo)
+        if math.isinf(width):                              # doubles of both signs near the largest
+            share = (x / 4 - lo_l / 4) / F.lit(hi / 4 - lo / 4)
+        else:
+            share = (x.cast(exact) - lo_l.cast(exact)).cast("double") / F.lit(width)
+        inside = F.least(F.floor(share * buckets).cast("int") + 1, F.lit(buckets))
     below = F.lit(0) if with_below else F.lit(None).cast("int")
     return F.when(x < lo_l, below).when(x > hi_l, F.lit(None).cast("int")).otherwise(inside)
 
 
-def _rank_in_range(base: DataFrame, lo, hi, rank: int, typ):
-    """rank-th smallest value in [lo, hi]; used only when the histogram cannot
-    split the bracket further (distinct values that are equal as doubles), so
-    the window sees a handful of distinct values."""
-    x = F.col("x")
-    w = Window.orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    row = (base.where(x.between(F.lit(lo).cast(typ), F.lit(hi).cast(typ)))
-           .groupBy("x").agg(F.count(F.lit(1)).alias("c"))
-           .withColumn("cum", F.sum("c").over(w))
-           .where(F.col("cum") >= rank).orderBy("x").select("x").first())
-    return None if row is None else row[0]
-
-
 def to_column_type(v, typ):
     """A sketch value (double/bigint) as a value of the column's type."""
     if v is None:
         return None
     if isinstance(typ, T.DecimalType):
-        from decimal import Decimal
-        return Decimal(repr(float(v))).quantize(Decimal(1).scaleb(-typ.scale))
+        from decimal import Context, Decimal
+        return Decimal(repr(float(v))).quantize(Decimal(1).scaleb(-typ.scale), context=Context(prec=80))
     if isinstance(typ, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         return int(v)
     return float(v)
@@ -169,42 +149,59 @@ def bracket_probs(probs: Mapping[str, float], accuracy: int = 10000) -> list[flo
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Mapping[str, float],
-                    accuracy: int = 10000, buckets: int = 4096,
-                    max_rounds: int = 64, sketch_k: int = SKETCH_K,
+                    accuracy: int = 10000, buckets: int = 4096, sketch_k: int = SKETCH_K,
                     fan_in: int = FAN_IN, start: tuple | None = None) -> tuple[int, dict]:
     """Return ``(n, {name: value})`` with SQL ``percentile_disc`` semantics.
 
+    NaN sorts last, infinities at the ends; both are only counted, and the
+    selection runs over the finite values. Every round narrows each bracket to
+    one bucket's own minimum and maximum, and the bracket's ends lie in
+    different buckets, so it always gets smaller and the loop ends.
+
     ``accuracy`` sets the bracket half-width (2 / accuracy in rank).
     ``start = (n, min, max, bracket values)`` (values at ``bracket_probs``)
-    skips the first pass when a caller's own pass already produced them;
-    the brackets are verified like the sketch's own."""
+    skips the first pass when a caller's own pass over a column without NaN and
+    infinities already produced them; the brackets are verified like the
+    sketch's own."""
     typ = df.schema[col].dataType
-    base = df.select(F.col(col).alias("x")).where(F.col("x").isNotNull())
     x = F.col("x")
+    base = df.select(F.col(col).alias("x")).where(x.isNotNull())
+    floating = isinstance(typ, (T.DoubleType, T.FloatType))
+    inf = F.lit(float("inf"))
+    finite = ~F.isnan(x) & (x > -inf) & (x < inf) if floating else F.lit(True)
     names = list(probs)
     brackets = bracket_probs(probs, accuracy)
+    low = high = nans = 0
     if start is None:
-        first = tree_agg(base, F.col("x"), typ,
-                         {"n": (F.count(F.lit(1)), "sum"), "mn": (F.min("x"), "min"), "mx": (F.max("x"), "max")},
-                         sketch_k, fan_in)
-        first = first.select("n", "mn", "mx", F.when(F.col("n") > 0, sketch_get(typ, brackets)).alias("b")).first()
+        value = F.when(finite, x)
+        aggs = {"n": (F.count(value), "sum"), "mn": (F.min(value), "min"), "mx": (F.max(value), "max")}
+        if floating:
+            aggs |= {"nan": (F.count_if(F.isnan(x)), "sum"), "low": (F.count_if(x == -inf), "sum"),
+                     "high": (F.count_if(x == inf), "sum")}
+        first = tree_agg(base, value, typ, aggs, sketch_k, fan_in)
+        first = first.select(*aggs, F.when(F.col("n") > 0, sketch_get(typ, brackets)).alias("b")).first()
         start = (first["n"], first["mn"], first["mx"], first["b"])
+        if floating:
+            low, high, nans = (int(first[k] or 0) for k in ("low", "high", "nan"))
     n = int(start[0] or 0)
-    if n == 0:
+    total = low + n + high + nans
+    if total == 0:
         return 0, {k: None for k in names}
     gmin, gmax = start[1], start[2]
-    approx = [to_column_type(v, typ) for v in start[3]]
-    state = {}
+    approx = [to_column_type(v, typ) for v in start[3] or [None] * len(brackets)]
+    state, result = {}, {}
     for i, k in enumerate(names):
-        lo, hi = approx[2 * i], approx[2 * i + 1]
-        if lo > hi:
-            lo, hi = hi, lo
-        state[k] = {"rank": max(1, math.ceil(float(probs[k]) * n)), "lo": lo, "hi": hi, "below": None}
-    result: dict = {}
-    for _ in range(max_rounds):
+        rank = max(1, math.ceil(float(probs[k]) * total))
+        if rank <= low:
+            result[k] = float("-inf")
+        elif rank > low + n:
+            result[k] = float("inf") if rank <= low + n + high else float("nan")
+        else:
+            lo, hi = sorted((approx[2 * i], approx[2 * i + 1]))
+            state[k] = {"rank": rank - low, "lo": max(lo, gmin), "hi": min(hi, gmax), "below": None}
+    base = base.where(finite)
+    while len(result) < len(names):
         active = [k for k in names if k not in result]
-        if not active:
-            break
         parts, keep = [], []
         for i, k in enumerate(active):
             s = state[k]
@@ -229,8 +226,9 @@ def exact_quantiles(df: DataFrame, col: str, probs: Mapping[str, float],
             rows = sorted(by_target[i], key=lambda r: r["b"])
             below = s["below"] if s["below"] is not None else sum(r["c"] for r in rows if r["b"] == 0)
             inside = [r for r in rows if r["b"] >= 1]
-            total = sum(r["c"] for r in inside)
-            if not (below < s["rank"] <= below + total):
+            if not (below < s["rank"] <= below + sum(r["c"] for r in inside)):
+                if s["below"] is not None:
+                    raise RuntimeError(f"the counts of {col!r} changed between passes: the input is not stable")
                 s.update(lo=gmin, hi=gmax, below=0)   # sketch bracket missed: full range
                 continue
             cum = below
@@ -241,21 +239,17 @@ def exact_quantiles(df: DataFrame, col: str, probs: Mapping[str, float],
             lo, hi = r["mn"], r["mx"]
             if lo == hi:
                 result[k] = lo
-            elif lo == s["lo"] and hi == s["hi"]:
-                result[k] = _rank_in_range(base, lo, hi, s["rank"] - cum, typ)
+            elif (lo, hi) == (s["lo"], s["hi"]):
+                raise RuntimeError(f"no progress selecting {k!r} of {col!r} between {lo!r} and {hi!r}")
             else:
                 s.update(lo=lo, hi=hi, below=cum)
-    for k in names:
-        if k not in result:
-            s = state[k]
-            result[k] = _rank_in_range(base, s["lo"], s["hi"], s["rank"] - (s["below"] or 0), typ)
-    return n, result
+    return total, result
 
 
 METHODS = ("sketch", "approx", "exact")
 
 
-def quantiles(df: DataFrame, col: str, probs: Mapping[str, float], method: str = "sketch",
+def quantiles(df: DataFrame, col: str, probs: Mapping[str, float], method: str = "exact",
               accuracy: int = 10000) -> DataFrame:
     """One-row frame ``n, <name>...`` for any method (same schema)."""
     if method == "sketch":

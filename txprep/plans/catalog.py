@@ -16,7 +16,7 @@ from ..fixtures import oracle_with_tx
 from ..operators import (add_features, check_consistency, class_distribution, clean, dedup,
                          null_profile, numeric_stats, outlier_bounds, partition_count,
                          plan_partitions_col, quantiles, remove_outliers, report_metrics,
-                         resolve_bounds, row_count, rule_failures, sample_cap, validate, waterfall)
+                         resolve_bounds, row_count, rule_failures, validate, waterfall)
 from ..operators.cleaning import OUTLIER_PROBS
 from ..operators.profile import METRIC_SCHEMA
 from ..schema import DEFAULT_COLUMNS as C
@@ -25,7 +25,7 @@ from ..scratch import scratch_path
 from ..sinks import write_json, write_partitioned, write_text_report
 from ..sources import (inventory, inventory_totals, read_delimited, read_json, read_parquet,
                        read_untyped)
-from .prepare import ml_ready
+from .prepare import ml_ready, prepare
 from .report import analyze
 
 QUERIES: dict = {}
@@ -54,7 +54,7 @@ Q = ("q", """SELECT count(*) AS n, quantile_disc(tx_amount, 0.25) AS q1,
 B = ("b", """SELECT n, q1, q3, p1, p99,
   CAST(greatest(q1 - 3 * (q3 - q1), p1) AS DECIMAL(10,2)) AS lo,
   CAST(least(q3 + 3 * (q3 - q1), p99) AS DECIMAL(10,2)) AS hi,
-  n >= 1000 AS applied FROM q""")
+  q1 IS NOT NULL AS applied FROM q""")
 FENCE = ("f", """SELECT * FROM v WHERE (SELECT NOT applied FROM b)
   OR tx_amount BETWEEN (SELECT lo FROM b) AND (SELECT hi FROM b)""")
 DEDUP = ("d", f"""SELECT {TX_COLS} FROM (
@@ -111,7 +111,7 @@ def ml(spark, sf_dir) -> DataFrame:
 def written_ml_ready(spark, sf_dir) -> DataFrame:
     path = scratch_path(spark, "ml_ready")
     out = ml(spark, sf_dir)
-    write_partitioned(out, path, label="tx_fraud", partitions=4)
+    write_partitioned(out, path, label="tx_fraud")
     return read_parquet(spark, path)
 
 
@@ -148,7 +148,7 @@ def q_src_parquet(spark, sf_dir):
 @register("src_glob", oracle_with_tx(f"SELECT {TX_COLS} FROM tx"))
 def q_src_glob(spark, sf_dir):
     path = scratch_path(spark, "tx_glob")
-    tx(spark, sf_dir).repartition(4).write.option("header", True).csv(path)
+    tx(spark, sf_dir).repartition("transaction_id").write.option("header", True).csv(path)
     return read_delimited(spark, f"{path}/part-*.csv", TX_SCHEMA)
 
 
@@ -159,13 +159,6 @@ def q_src_json(spark, sf_dir):
     return read_json(spark, path, TX_SCHEMA)
 
 
-@register("src_limit", oracle_with_tx(f"SELECT {TX_COLS} FROM tx LIMIT 100000"))
-def q_src_limit(spark, sf_dir):
-    path = scratch_path(spark, "tx_csv")
-    tx(spark, sf_dir).write.option("header", True).csv(path)
-    return read_delimited(spark, path, TX_SCHEMA, limit=100_000)
-
-
 INVENTORY_FILES = [(t, f"{t}.parquet") for t in fixtures.TABLES]
 INVENTORY_SQL = " UNION ALL ".join(
     f"SELECT 'parquet' AS format, '{f}' AS file, count(*) AS rows FROM {t}" for t, f in INVENTORY_FILES)
@@ -184,18 +177,18 @@ def q_inventory_totals(spark, sf_dir):
 
 
 @register("plan_partitions", f"""SELECT file, rows,
-  CAST(greatest(least(CASE WHEN rows > 1000000 THEN rows // 1000000 ELSE 50 END, 200), 50) AS BIGINT) AS partitions,
+  CAST(greatest(CASE WHEN rows > 1000000 THEN rows // 1000000 ELSE 50 END, 50) AS BIGINT) AS partitions,
   CAST(greatest(least(CASE WHEN rows > 1000 THEN rows // 1000 ELSE 50 END, 200), 50) AS BIGINT) AS partitions_per_1k
 FROM ({INVENTORY_SQL}) i""")
 def q_plan_partitions(spark, sf_dir):
     inv = inventory(spark, sf_dir)
     return inv.select("file", "rows", plan_partitions_col(F.col("rows")).alias("partitions"),
-                      plan_partitions_col(F.col("rows"), rows_per_partition=1000).alias("partitions_per_1k"))
+                      plan_partitions_col(F.col("rows"), rows_per_partition=1000, max_partitions=200).alias("partitions_per_1k"))
 
 
 @register("repartition", oracle_with_tx(f"SELECT {TX_COLS} FROM tx"))
 def q_repartition(spark, sf_dir):
-    return tx(spark, sf_dir).repartition(200)
+    return tx(spark, sf_dir).repartition("transaction_id")
 
 
 # ------------------------------------------------------------------ quality
@@ -209,27 +202,25 @@ def q_null_profile(spark, sf_dir):
     return null_profile(tx(spark, sf_dir))
 
 
-@register("sample_cap", oracle_with_tx(f"SELECT {TX_COLS} FROM tx"))
-def q_sample_cap(spark, sf_dir):
-    return sample_cap(tx(spark, sf_dir))
+RULES_SQL = [
+    ("transaction_id_not_null", "transaction_id IS NOT NULL"),
+    ("customer_id_not_null", "customer_id IS NOT NULL"),
+    ("terminal_id_not_null", "terminal_id IS NOT NULL"),
+    ("tx_amount_not_null", "tx_amount IS NOT NULL"),
+    ("tx_fraud_not_null", "tx_fraud IS NOT NULL"),
+    ("tx_amount_non_negative", "tx_amount >= 0"),
+    ("tx_fraud_in_classes", "tx_fraud IN (0, 1)"),
+    ("customer_id_non_negative", "customer_id >= 0"),
+    ("terminal_id_non_negative", "terminal_id >= 0"),
+    ("transaction_id_positive", "transaction_id > 0"),
+]
 
 
 @register("validate_rule_counts", oracle_with_tx(
     "SELECT ordinal, rule, failed, rows FROM (" + " UNION ALL ".join(
         f"SELECT {i + 1} AS ordinal, '{name}' AS rule, count(*) FILTER (WHERE NOT coalesce({cond}, false)) "
         "AS failed, count(*) AS rows FROM tx"
-        for i, (name, cond) in enumerate([
-            ("transaction_id_not_null", "transaction_id IS NOT NULL"),
-            ("customer_id_not_null", "customer_id IS NOT NULL"),
-            ("terminal_id_not_null", "terminal_id IS NOT NULL"),
-            ("tx_amount_not_null", "tx_amount IS NOT NULL"),
-            ("tx_fraud_not_null", "tx_fraud IS NOT NULL"),
-            ("tx_amount_non_negative", "tx_amount >= 0"),
-            ("tx_fraud_in_classes", "tx_fraud IN (0, 1)"),
-            ("customer_id_non_negative", "customer_id >= 0"),
-            ("terminal_id_non_negative", "terminal_id >= 0"),
-            ("transaction_id_positive", "transaction_id > 0"),
-        ])) + ") s"))
+        for i, (name, cond) in enumerate(RULES_SQL)) + ") s"))
 def q_validate_rule_counts(spark, sf_dir):
     return rule_failures(tx(spark, sf_dir))
 
@@ -372,6 +363,13 @@ def q_sink_parquet_roundtrip(spark, sf_dir):
     return written_ml_ready(spark, sf_dir).withColumn("tx_amount_log", F.round("tx_amount_log", 9))
 
 
+FLOATING = ("tx_amount_log", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "o_totalprice")
+
+
+def exact_text(c: str, stat: str) -> str:
+    return "CAST(NULL AS VARCHAR)" if c in FLOATING else f"CAST({stat}({c}) AS VARCHAR)"
+
+
 def numeric_stats_sql(src: str, cols, digits: int = 6) -> str:
     parts = []
     for i, c in enumerate(cols):
@@ -379,13 +377,14 @@ def numeric_stats_sql(src: str, cols, digits: int = 6) -> str:
             f"SELECT {i + 1} AS ordinal, '{c}' AS column_name, count({c}) AS count, "
             f"round(CAST(avg({c}) AS DOUBLE), {digits}) AS mean, "
             f"round(CAST(stddev_samp({c}) AS DOUBLE), {digits}) AS stddev, "
-            f"CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max FROM {src}")
-    return ("SELECT ordinal, column_name AS \"column\", count, mean, stddev, min, max FROM ("
+            f"CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, "
+            f"{exact_text(c, 'min')} AS min_text, {exact_text(c, 'max')} AS max_text FROM {src}")
+    return ("SELECT ordinal, column_name AS \"column\", count, mean, stddev, min, max, min_text, max_text FROM ("
             + " UNION ALL ".join(parts) + ") s")
 
 
 @register("numeric_stats", oracle_with_tx(numeric_stats_sql(
-    "tx", ["transaction_id", "customer_id", "terminal_id", "tx_amount", "tx_time_seconds"])))
+    "tx", [c for c in TX_COLS.split(", ") if c != "tx_datetime"])))
 def q_numeric_stats(spark, sf_dir):
     return numeric_stats(tx(spark, sf_dir), digits=6)
 
@@ -413,7 +412,8 @@ def q_percentiles_lineitem(spark, sf_dir):
 
 
 @register("numeric_stats_lineitem", numeric_stats_sql(
-    "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"]))
+    "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+                 "l_tax"]))
 def q_numeric_stats_lineitem(spark, sf_dir):
     return numeric_stats(fixtures.table(spark, sf_dir, "lineitem"), digits=6)
 
@@ -435,7 +435,8 @@ def metrics_sql(src: str, schema_rows, label: str | None, numeric, digits: int =
                      ("mean", f"round(CAST(avg({c}) AS DOUBLE), {digits})"),
                      ("stddev", f"round(CAST(stddev_samp({c}) AS DOUBLE), {digits})"),
                      ("min", f"CAST(min({c}) AS DOUBLE)"), ("max", f"CAST(max({c}) AS DOUBLE)")):
-            rows.append(f"SELECT 'numeric_statistics', '{c}', '{m}', {e}, NULL FROM {src}")
+            text = exact_text(c, m) if m in ("min", "max") else "NULL"
+            rows.append(f"SELECT 'numeric_statistics', '{c}', '{m}', {e}, {text} FROM {src}")
     return " UNION ALL ".join(rows)
 
 
@@ -448,7 +449,7 @@ ML_READ_BACK_SCHEMA = [(c, t, True) for c, t in [
 
 PROFILE_SQL = oracle_with_tx(
     metrics_sql("ml", ML_READ_BACK_SCHEMA, "tx_fraud",
-                ["transaction_id", "customer_id", "terminal_id", "tx_amount", "tx_amount_log"]),
+                [c for c, _, _ in ML_READ_BACK_SCHEMA]),
     ML_READY_CTES)
 
 
@@ -458,9 +459,55 @@ def q_profile_dataset(spark, sf_dir):
                           include_partitions=False)
 
 
-@register("profile_partitions")
+@register("profile_partitions", "SELECT count(DISTINCT o_orderkey % 13) AS partitions FROM orders")
 def q_profile_partitions(spark, sf_dir):
-    return partition_count(written_ml_ready(spark, sf_dir))
+    # rows dealt to partitions by a number of their own, so the count of non-empty ones follows from the rows
+    dealt = fixtures.table(spark, sf_dir, "orders").repartitionById(16, (F.col("o_orderkey") % 13).cast("int"))
+    return partition_count(dealt)
+
+
+BIG = "CAST(9007199254740993 + 2 * o_orderkey AS BIGINT)"
+
+
+@register("numeric_stats_exact", numeric_stats_sql(f"(SELECT {BIG} AS big FROM orders) o", ["big"], digits=-6))
+def q_numeric_stats_exact(spark, sf_dir):
+    # ids above 2^53: the exact minimum and maximum are in the text columns
+    return numeric_stats(fixtures.table(spark, sf_dir, "orders").select(F.expr(BIG).alias("big")), digits=-6)
+
+
+SPECIAL = """CASE WHEN l_orderkey % 20 = 0 THEN CAST('NaN' AS DOUBLE) WHEN l_orderkey % 100 = 1 THEN CAST('Infinity' AS DOUBLE)
+  WHEN l_orderkey % 100 = 2 THEN CAST('-Infinity' AS DOUBLE) ELSE l_extendedprice END"""
+SPECIAL_PROBS = {"p2": 0.02, "q1": 0.25, "median": 0.5, "p90": 0.9, "p99": 0.99}
+
+
+@register("percentiles_special", f"""WITH s AS (SELECT {SPECIAL} AS x FROM lineitem)
+SELECT count(x) AS n, """ + ", ".join(f"quantile_disc(x, {p}) AS {k}" for k, p in SPECIAL_PROBS.items() if k != "p99")
+          + ", isnan(quantile_disc(x, 0.99)) AS p99_is_nan FROM s")
+def q_percentiles_special(spark, sf_dir):
+    # NaN sorts last; infinities are values
+    x = fixtures.table(spark, sf_dir, "lineitem").select(F.expr(SPECIAL).alias("x"))
+    q = quantiles(x, "x", SPECIAL_PROBS)
+    return q.select("n", "p2", "q1", "median", "p90", F.isnan("p99").alias("p99_is_nan"))
+
+
+#: Documented bounds of the rank error: KLL with k = 8000, and percentile_approx with accuracy 10,000.
+RANK_BOUND = 1e-3
+
+
+@register("percentiles_rank_error", "SELECT true AS sketch_within, true AS approx_within")
+def q_percentiles_rank_error(spark, sf_dir):
+    x = fixtures.table(spark, sf_dir, "lineitem").select("l_extendedprice")
+    n = x.count()
+    out = []
+    for method in ("sketch", "approx"):
+        row = quantiles(x, "l_extendedprice", LINEITEM_PROBS, method=method).first()
+        near = F.lit(True)
+        for name, p in LINEITEM_PROBS.items():
+            v = F.lit(row[name])
+            near = near & (F.count_if(F.col("l_extendedprice") < v) / n <= p + RANK_BOUND) \
+                & (F.count_if(F.col("l_extendedprice") <= v) / n >= p - RANK_BOUND)
+        out.append(near.alias(f"{method}_within"))
+    return x.agg(*out)
 
 
 ORDERS_SCHEMA = [("o_orderkey", "bigint", True), ("o_custkey", "bigint", True),
@@ -487,13 +534,72 @@ def q_sink_json_roundtrip(spark, sf_dir):
     return spark.read.schema(METRIC_SCHEMA).json(path)
 
 
-@register("sink_text_report")
+SHOWN = """CASE WHEN section = 'numeric_statistics' AND text IS NOT NULL THEN text
+  WHEN text IS NOT NULL AND value IS NOT NULL THEN num || ' ' || text ELSE coalesce(text, num) END"""
+TEXT_REPORT_SQL = f"""WITH m AS ({ORDERS_METRICS_SQL}),
+f AS (SELECT *, CASE WHEN value = floor(value) THEN format('{{:,}}', CAST(value AS BIGINT))
+  ELSE format('{{:,.2f}}', value) END AS num FROM m)
+SELECT '== ' || upper(section) || ' ==' AS value FROM m GROUP BY section
+UNION ALL SELECT printf('  %-24s %-12s %s', coalesce(item, ''), metric, {SHOWN}) FROM f WHERE section <> 'schema'
+UNION ALL SELECT '  ' || item || ': ' || max(text) || CASE WHEN max(CASE WHEN metric = 'nullable' THEN value END) = 1
+  THEN ' (NULL)' ELSE ' (NOT NULL)' END FROM m WHERE section = 'schema' GROUP BY item"""
+
+
+@register("sink_text_report", TEXT_REPORT_SQL)
 def q_sink_text_report(spark, sf_dir):
     path = scratch_path(spark, "report_txt")
     write_text_report(orders_metrics(spark, sf_dir), path)
     return spark.read.text(path)
 
 
+# ------------------------------------------------------------------ preparation job
+def prepared(spark, sf_dir):
+    src, out = scratch_path(spark, "prepare-in"), scratch_path(spark, "prepare-out")
+    tx(spark, sf_dir).write.option("header", True).option("escape", '"').csv(src)
+    return prepare(spark, src, out), out
+
+
+@register("prepare_job", ROUNDTRIP_SQL)
+def q_prepare_job(spark, sf_dir):
+    _, out = prepared(spark, sf_dir)
+    return read_parquet(spark, out).withColumn("tx_amount_log", F.round("tx_amount_log", 9))
+
+
+def _metric_sql(section: str, item: str, metric: str, value: str, text: str = "NULL") -> str:
+    return (f"SELECT '{section}' AS section, '{item}' AS item, '{metric}' AS metric, CAST({value} AS DOUBLE) AS value, "
+            f"CAST({text} AS VARCHAR) AS text")
+
+
+STEPS = {"input": "tx", "validation": "v", "outliers": "f", "dedup": "d", "consistency": "c"}
+_count = {k: f"(SELECT count(*) FROM {t})" for k, t in STEPS.items()}
+_nulls = {c: f"count(*) FILTER (WHERE {c} IS NULL" + (f" OR {c} = ''" if c == "tx_datetime" else "") + ")"
+          for c in TX_COLS.split(", ")}
+PREPARE_REPORT_SQL = oracle_with_tx(" UNION ALL ".join(
+    [_metric_sql("general", "", "input_rows", _count["input"]), _metric_sql("general", "", "output_rows", _count["consistency"]),
+     _metric_sql("general", "", "retention_pct", f"CAST(100 AS DOUBLE) * {_count['consistency']} / {_count['input']}")]
+    + [_metric_sql("waterfall", k, "rows", _count[k]) for k in STEPS]
+    + [_metric_sql("waterfall", k, "removed", f"{_count[j]} - {_count[k]}") for j, k in zip(list(STEPS), list(STEPS)[1:])]
+    + [_metric_sql("outlier_bounds", k, "value", f"(SELECT CAST({k} AS DOUBLE) FROM b)")
+       for k in ("n", "q1", "q3", "p1", "p99", "lo", "hi")]
+    + [_metric_sql("outlier_bounds", "applied", "value", "(SELECT CASE WHEN applied THEN 1 ELSE 0 END FROM b)")]
+    + [_metric_sql("null_profile", c, "nulls", f"(SELECT {e} FROM tx)", "'input'") for c, e in _nulls.items()]
+    + [_metric_sql("null_profile", c, "nulls_clean", f"(SELECT {e} FROM c)", "'cleaned'") for c, e in _nulls.items()]
+    + [_metric_sql("rule_failures", name, "failed",
+                   f"(SELECT count(*) FILTER (WHERE NOT coalesce({cond}, false)) FROM tx)") for name, cond in RULES_SQL]
+    + [_metric_sql("class_distribution", f"class_{k}", "count", f"(SELECT count(*) FROM c WHERE tx_fraud = {k})")
+       for k in (0, 1)]
+    + [_metric_sql("class_distribution", f"class_{k}", "percentage",
+                   f"CAST(100 AS DOUBLE) * (SELECT count(*) FROM c WHERE tx_fraud = {k}) / {_count['consistency']}")
+       for k in (0, 1)]), CLEAN_CTES)
+
+
+@register("prepare_report", PREPARE_REPORT_SQL)
+def q_prepare_report(spark, sf_dir):
+    # the run's own path and partition count say nothing about the data
+    result, _ = prepared(spark, sf_dir)
+    return result.to_metrics(spark).filter(~F.col("metric").isin("output_path", "partitions"))
+
+
 # ------------------------------------------------------------------ profile job
 def basename_items(metrics: DataFrame) -> DataFrame:
     """Paths in ``item`` reduced to their last segment (paths depend on sf_dir)."""
@@ -522,7 +628,7 @@ ANALYZE_DATASET_SQL = PROFILE_SQL + \
 @register("analyze_dataset", ANALYZE_DATASET_SQL)
 def q_analyze_dataset(spark, sf_dir):
     path = scratch_path(spark, "job") + "/ml_ready_data"
-    write_partitioned(ml(spark, sf_dir), path, label="tx_fraud", partitions=4)
+    write_partitioned(ml(spark, sf_dir), path, label="tx_fraud")
     return basename_items(analyze(spark, path, digits=6, include_partitions=False))
 
 
@@ -539,8 +645,9 @@ STREAM_SQL = oracle_with_tx(
 def q_stream_ready(spark, sf_dir):
     from ..streaming import stream_prepare
     src = scratch_path(spark, "stream-in")
-    tx(spark, sf_dir).repartition(4).write.option("header", True).csv(src)
+    tx(spark, sf_dir).repartition("transaction_id").write.option("header", True).csv(src)
     out = scratch_path(spark, "stream-out")
-    q = stream_prepare(spark, src, out, bounds=exact_bounds(spark, sf_dir), max_files_per_trigger=2)
+    q = stream_prepare(spark, src, out, bounds=exact_bounds(spark, sf_dir), max_files_per_trigger=2,
+                       checkpoint=scratch_path(spark, "stream-ckpt"))
     q.awaitTermination()
     return read_parquet(spark, out).withColumn("tx_amount_log", F.round("tx_amount_log", 9))

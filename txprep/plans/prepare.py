@@ -19,29 +19,28 @@ of its shuffle output, not a second copy of the data on storage.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.predicates import all_of, is_valid, label_consistent, null_or_empty, validation_rules
-from ..operators.cleaning import (IQR_FACTOR, MIN_ROWS_FOR_OUTLIERS, OUTLIER_PROBS, STAGES, clean, dedup,
-                                  in_bounds)
+from ..functions.predicates import LABEL_CLASSES, all_of, label_consistent, null_or_empty, validation_rules
+from ..operators.cleaning import IQR_FACTOR, OUTLIER_PROBS, STAGES, clean, dedup, fence, in_bounds
 from ..operators.features import add_features, select_ml_ready
 from ..operators.partitioning import plan_partitions
 from ..operators.profile import METRIC_SCHEMA
-from ..operators.quality import sample_cap
-from ..operators.quantiles import (bracket_probs, exact_quantiles, quantiles, sketch_get, to_column_type,
-                                   tree_agg)
+from ..operators.quantiles import bracket_probs, exact_quantiles, sketch_get, to_column_type, tree_agg
 from ..schema import DEFAULT_COLUMNS, TX_SCHEMA, TxColumns
-from ..sinks import write_partitioned
+from ..sinks import refuse_overlap, write_partitioned
 from ..sources import read_delimited, read_json, read_parquet
 
 
-def ml_ready(df: DataFrame, cols: TxColumns = DEFAULT_COLUMNS, method: str = "sketch",
-             bounds: Row | None = None, deterministic: bool = True) -> DataFrame:
+def ml_ready(df: DataFrame, cols: TxColumns = DEFAULT_COLUMNS, method: str = "exact",
+             bounds: Row | None = None, deterministic: bool = True, min_rows: int = 0) -> DataFrame:
     """Lazy ML-ready table: clean -> features -> fixed columns."""
-    cleaned = clean(df, cols, method=method, bounds=bounds, deterministic=deterministic)
+    cleaned = clean(df, cols, method=method, bounds=bounds, deterministic=deterministic, min_rows=min_rows)
     return select_ml_ready(add_features(cleaned, cols), cols)
 
 
@@ -90,15 +89,13 @@ class PrepareResult:
         return spark.createDataFrame(rows, METRIC_SCHEMA)
 
 
-def _profile_pass(raw: DataFrame, cols: TxColumns, method: str,
-                  accuracy: int) -> tuple[Row, dict | None, tuple | None]:
+def _profile_pass(raw: DataFrame, cols: TxColumns, method: str, accuracy: int, rules: dict) -> tuple[Row, dict | None, tuple | None]:
     """All pass-1 numbers from one scan. With ``method="sketch"`` (and
     ``"exact"``, whose selection starts from this pass's sketch brackets) the
     counts and the amount sketch are combined per task group and then merged
     (no single task sees every task's sketch); with ``"approx"`` it is one
     global aggregation around ``percentile_approx``."""
-    rules = validation_rules(cols)
-    valid = is_valid(cols)
+    valid = F.coalesce(all_of(rules), F.lit(False))
     counts = {"rows": F.count(F.lit(1)), "valid": F.count_if(valid)}
     counts.update({f"n_{c}": F.count_if(null_or_empty(raw, c)) for c in raw.columns})
     counts.update({f"r_{i}": F.count_if(~F.coalesce(r, F.lit(False))) for i, r in enumerate(rules.values())})
@@ -114,8 +111,9 @@ def _profile_pass(raw: DataFrame, cols: TxColumns, method: str,
     aggs.update({"amin": (F.min(amount), "min"), "amax": (F.max(amount), "max")})
     brackets = bracket_probs(OUTLIER_PROBS, accuracy)
     has = F.col("valid") > 0
+    # no input rows: no task groups, and sums over none are null
     row = tree_agg(raw, amount, typ, aggs).select(
-        *counts, "amin", "amax", F.when(has, sketch_get(typ, probs)).alias("q"),
+        *[F.coalesce(k, F.lit(0)).alias(k) for k in counts], "amin", "amax", F.when(has, sketch_get(typ, probs)).alias("q"),
         F.when(has, sketch_get(typ, brackets)).alias("b")).first()
     q = None if not row["valid"] else [to_column_type(v, typ) for v in row["q"]]
     start = (row["valid"], row["amin"], row["amax"], row["b"] or [])
@@ -139,41 +137,35 @@ def read_source(spark: SparkSession, source, source_format: str = "delimited") -
 
 
 def prepare(spark: SparkSession, source, output_path: str, cols: TxColumns = DEFAULT_COLUMNS,
-            method: str = "sketch", accuracy: int = 10000,
+            method: str = "exact", accuracy: int = 10000,
             max_output_partitions: int | None = None, source_format: str = "delimited",
-            stats_sample: int | None = None) -> PrepareResult:
-    """Run the whole preparation job; ``source`` is a DataFrame or a path/glob
-    of ``source_format`` files (delimited and JSON are read with the raw
-    schema). ``stats_sample`` reproduces the reference's fence statistics:
-    above that many validated rows the percentiles come from a seed-42
-    sample of about that size (one extra pass over the input)."""
-    if isinstance(source, str) and source.rstrip("/") == output_path.rstrip("/"):
-        raise ValueError("output_path must differ from the input path")
+            min_rows: int = 0, iqr_factor=IQR_FACTOR,
+            label_classes: Sequence[int] = LABEL_CLASSES) -> PrepareResult:
+    """Run the whole preparation job; ``source`` is a DataFrame or a path, glob
+    or list of ``source_format`` files (delimited and JSON are read with the raw
+    schema). The output may not overlap the input in any form: that is refused
+    before anything is written. ``min_rows`` validated rows are needed for the
+    fence (the reference: 1,000; default: always applied)."""
     raw = read_source(spark, source, source_format)
+    refuse_overlap(spark, raw, output_path, [source] if isinstance(source, str) else
+                   source if isinstance(source, list) else [])
     typ = raw.schema[cols.amount].dataType
+    rules = validation_rules(cols, label_classes)
 
     # pass 1: profile + rule failures + amount sketch, one scan
-    p, q, start = _profile_pass(raw, cols, method, accuracy)
+    p, q, start = _profile_pass(raw, cols, method, accuracy, rules)
     n_valid = int(p["valid"] or 0)
-    if stats_sample is not None and n_valid > stats_sample:
-        sample = sample_cap(raw.filter(all_of(validation_rules(cols))), stats_sample, rows=n_valid)
-        row = quantiles(sample, cols.amount, OUTLIER_PROBS, method=method, accuracy=accuracy).first()
-        q = {k: row[k] for k in OUTLIER_PROBS}
-    elif method == "exact":
-        _, q = exact_quantiles(raw.filter(all_of(validation_rules(cols))), cols.amount, OUTLIER_PROBS, accuracy,
-                               start=start)
+    if method == "exact":
+        _, q = exact_quantiles(raw.filter(all_of(rules)), cols.amount, OUTLIER_PROBS, accuracy,
+                               start=None if isinstance(typ, (T.DoubleType, T.FloatType)) else start)
     q = q or dict.fromkeys(OUTLIER_PROBS)
-    applied = n_valid >= MIN_ROWS_FOR_OUTLIERS and q["q1"] is not None
-    lo = hi = None
-    if q["q1"] is not None:
-        iqr = q["q3"] - q["q1"]
-        lo = max(q["q1"] - IQR_FACTOR * iqr, q["p1"])
-        hi = min(q["q3"] + IQR_FACTOR * iqr, q["p99"])
-    bounds = Row(n=n_valid, **q, lo=lo, hi=hi, applied=applied)
+    one = spark.range(1).select(F.lit(n_valid).cast("bigint").alias("n"),
+                                *[F.lit(q[k]).cast(typ).alias(k) for k in OUTLIER_PROBS])
+    bounds = fence(one, typ, min_rows, iqr_factor).first()
 
     # pass 2: filters pushed to the scan, one shuffle on the key, one write
-    fenced = raw.filter(all_of(validation_rules(cols)))
-    if applied:
+    fenced = raw.filter(all_of(rules))
+    if bounds["applied"]:
         fenced = fenced.filter(in_bounds(bounds, cols, typ))
     keyed = dedup(fenced, cols.id, count_as="_dups")
     ok = F.coalesce(label_consistent(cols), F.lit(False))
@@ -181,8 +173,7 @@ def prepare(spark: SparkSession, source, output_path: str, cols: TxColumns = DEF
     obs = Observation("txprep_prepare_counts")
     keyed = keyed.observe(obs, F.sum("_dups").alias("s2"), F.count(F.lit(1)).alias("s3"),
                           F.count_if(ok).alias("s4"),
-                          F.count_if(ok & (label == 0)).alias("c0"),
-                          F.count_if(ok & (label == 1)).alias("c1"),
+                          *[F.count_if(ok & (label == c)).alias(f"c_{i}") for i, c in enumerate(label_classes)],
                           *[F.count_if(ok & null_or_empty(raw, c)).alias(f"n_{c}") for c in raw.columns])
     out = select_ml_ready(add_features(keyed.filter(ok).select(*raw.columns), cols), cols)
     # sized before the write from the validated rows, an upper bound of the
@@ -193,7 +184,7 @@ def prepare(spark: SparkSession, source, output_path: str, cols: TxColumns = DEF
     s2 = int(counts["s2"] or 0)
     rows_out = int(counts["s4"])
 
-    names = list(validation_rules(cols))
+    names = list(rules)
     return PrepareResult(
         output_path=output_path, input_rows=int(p["rows"]), output_rows=rows_out, partitions=k,
         bounds=bounds.asDict(),
@@ -201,5 +192,5 @@ def prepare(spark: SparkSession, source, output_path: str, cols: TxColumns = DEF
         null_profile={c: int(p[f"n_{c}"]) for c in raw.columns},
         clean_null_profile={c: int(counts[f"n_{c}"]) for c in raw.columns},
         rule_failures={names[i]: int(p[f"r_{i}"]) for i in range(len(names))},
-        class_counts={0: int(counts["c0"]), 1: int(counts["c1"])},
+        class_counts={c: int(counts[f"c_{i}"]) for i, c in enumerate(label_classes)},
     )

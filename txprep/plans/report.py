@@ -8,12 +8,14 @@ in ``.parquet``; a dataset with no rows falls through to the inventory.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.profile import METRIC_SCHEMA, report_metrics
 from ..sinks import write_json, write_text_report
-from ..sources import first_line, inventory, read_parquet
+from ..sources import error_text, inventory, read_parquet
 
 # The reference's routing markers.
 DATASET_MARKER = "ml_ready_data"
@@ -27,8 +29,12 @@ def is_dataset_path(path: str) -> bool:
 def inventory_metrics(files: DataFrame) -> DataFrame:
     """Inventory as metric rows: one per file plus totals per format and overall.
 
-    Files are those holding rows (as the reference counted only non-empty
-    patterns); an empty location reports zero totals."""
+    A file that can't be read is a row of the section ``errors`` and in no total;
+    an empty location reports zero totals."""
+    errors = files.filter(F.col("error").isNotNull()).select(
+        F.lit("errors").alias("section"), F.col("path").alias("item"), F.lit("error").alias("metric"),
+        F.lit(None).cast("double").alias("value"), F.col("error").alias("text"))
+    files = files.filter(F.col("error").isNull())
     per_file = files.select(F.lit("inventory").alias("section"), F.col("path").alias("item"),
                             F.lit("rows").alias("metric"), F.col("rows").cast("double").alias("value"),
                             F.col("format").alias("text"))
@@ -45,7 +51,7 @@ def inventory_metrics(files: DataFrame) -> DataFrame:
         F.struct(F.lit("general").alias("section"), F.lit("").alias("item"),
                  F.lit("files_processed").alias("metric"), F.col("files").cast("double").alias("value"),
                  F.lit(None).cast("string").alias("text")))))
-    return per_file.unionByName(totals).unionByName(overall)
+    return per_file.unionByName(totals).unionByName(overall).unionByName(errors)
 
 
 def analyze(spark: SparkSession, path: str, kind: str = "auto", label: str | None = "tx_fraud",
@@ -61,7 +67,7 @@ def analyze(spark: SparkSession, path: str, kind: str = "auto", label: str | Non
             # one bounded probe (a row, not a count) decides the fall-through
             found = df.limit(1).count() > 0
         except Exception as e:  # recorded in the report, as the reference does
-            errors.append(f"reading {path} as a dataset: {first_line(e)}")
+            errors.append(f"reading {path} as a dataset: {error_text(e)}")
             found = False
         if found:
             meta = spark.createDataFrame(
@@ -75,9 +81,18 @@ def analyze(spark: SparkSession, path: str, kind: str = "auto", label: str | Non
     return out
 
 
-def write_reports(metrics: DataFrame, out_dir: str, title: str | None = None) -> dict:
-    """JSON rows and the text report under ``out_dir``."""
+def analysis_info(spark: SparkSession, target: str) -> DataFrame:
+    """When and what was analyzed, as a metric row."""
+    now = dt.datetime.now().isoformat(timespec="seconds")
+    return spark.createDataFrame([("run", target, "analyzed_at", None, now)], METRIC_SCHEMA)
+
+
+def write_reports(metrics: DataFrame, out_dir: str, title: str | None = None, target: str | None = None) -> dict:
+    """JSON rows and the text report under ``out_dir``; with ``target``, headed
+    by the time and the target of the analysis."""
     out = out_dir.rstrip("/")
+    if target is not None:
+        metrics = metrics.unionByName(analysis_info(metrics.sparkSession, target))
     write_json(metrics, f"{out}/json")
     write_text_report(metrics, f"{out}/text", title=title)
     return {"json": f"{out}/json", "text": f"{out}/text"}

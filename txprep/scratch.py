@@ -4,8 +4,9 @@
 Such files must live on storage every executor (and a replacement
 executor) can read, so the location is taken from the session's
 ``spark.checkpoint.dir``: on a cluster that is the shared folder the
-operator configured. Only when it is unset (local tests) a temporary folder
-is created and registered as the checkpoint directory.
+operator configured. Where it is unset, a session on this machine alone
+(``local[..]``, as in tests) gets a temporary folder; on a cluster an error is
+raised, since no folder of one machine would do.
 """
 
 from __future__ import annotations
@@ -24,6 +25,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # Spark Connect has no SparkContext
             root = None
     if not root:
+        if not spark.conf.get("spark.master", "local").startswith("local[") and \
+                spark.conf.get("spark.master", "local") != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="txprep-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         try:

@@ -2,22 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from collections.abc import Sequence
 
-from ..operators.partitioning import plan_partitions
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # The reference's output options.
 MAX_RECORDS_PER_FILE = 1_000_000
 COMPRESSION = "snappy"
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with scheme and authority, without a trailing slash; a glob
+    keeps the folders above its first pattern."""
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    parts = path.rstrip("/").split("/")
+    plain = parts[:next((i for i, p in enumerate(parts) if any(c in p for c in "*?[{")), len(parts))]
+    p = jvm.org.apache.hadoop.fs.Path("/".join(plain) or "/")
+    return p.getFileSystem(conf).makeQualified(p).toString().rstrip("/")
+
+
+def refuse_overlap(spark: SparkSession, df: DataFrame, output_path: str, sources: Sequence[str] = ()) -> None:
+    """Raise if ``output_path`` is, holds or lies in anything that ``df`` reads:
+    an overwrite would delete the input before it is read. ``sources`` are the
+    paths or globs that were asked for; the files of ``df`` are checked too."""
+    out = _qualified(spark, output_path)
+    inputs = {_qualified(spark, p) for p in sources} | {_qualified(spark, f) for f in df.inputFiles()}
+    for path in inputs:
+        if f"{path}/".startswith(f"{out}/") or f"{out}/".startswith(f"{path}/"):
+            raise ValueError(f"output_path {output_path!r} overlaps the input {path!r}")
+
+
 def write_partitioned(df: DataFrame, path: str, label: str = "tx_fraud", partitions: int | None = None,
                       max_records_per_file: int = MAX_RECORDS_PER_FILE,
                       compression: str = COMPRESSION, mode: str = "overwrite") -> None:
     """Parquet, Hive-partitioned by ``label``. ``partitions`` only ever
     coalesces (never shuffles), so it caps the file count of small outputs
     and is a no-op for outputs that already have fewer partitions."""
+    if mode == "overwrite":
+        refuse_overlap(df.sparkSession, df, path)
     if partitions is not None:
         df = df.coalesce(partitions)
     (df.write.mode(mode)
@@ -27,14 +50,6 @@ def write_partitioned(df: DataFrame, path: str, label: str = "tx_fraud", partiti
        .parquet(path))
 
 
-def write_ml_ready(df: DataFrame, path: str, rows: int, label: str = "tx_fraud",
-                   max_partitions: int | None = None, **kw) -> int:
-    """Write with the reference's partition rule; returns the partition count used."""
-    k = plan_partitions(rows, max_partitions=max_partitions)
-    write_partitioned(df, path, label=label, partitions=k, **kw)
-    return k
-
-
 def write_json(metrics: DataFrame, path: str, mode: str = "overwrite") -> None:
     metrics.write.mode(mode).json(path)
 
@@ -52,7 +67,8 @@ def report_lines(metrics: DataFrame, title: str | None = None) -> DataFrame:
     order = F.coalesce(order_of, F.lit(len(REPORT_SECTIONS) + 1))
     value = F.when(F.col("value") == F.floor("value"), F.format_number("value", 0)).otherwise(
         F.format_number("value", 2))
-    shown = F.when(F.col("text").isNotNull() & F.col("value").isNotNull(),
+    shown = F.when((F.col("section") == "numeric_statistics") & F.col("text").isNotNull(), F.col("text")).when(
+        F.col("text").isNotNull() & F.col("value").isNotNull(),
                    F.concat_ws(" ", value, F.col("text"))).otherwise(F.coalesce(F.col("text"), value))
     line = F.format_string("  %-24s %-12s %s", F.coalesce(F.col("item"), F.lit("")), F.col("metric"), shown)
     is_schema = F.col("section") == "schema"
@@ -81,9 +97,8 @@ def report_lines(metrics: DataFrame, title: str | None = None) -> DataFrame:
 
 
 def write_text_report(metrics: DataFrame, path: str, title: str | None = None, mode: str = "overwrite") -> None:
-    """Text report, one header per section then its lines. A report holds a
-    bounded number of metric rows (per column / per class / per file), so it
-    is written as one sorted file."""
+    """Text report, one header per section then its lines, in order over the
+    part files. Rows go to the files by a range sort, so a section with a row
+    per file of a large store is not one task."""
     lines = report_lines(metrics, title)
-    (lines.repartition(1).sortWithinPartitions("_o", "_h", "_i", "_m", "value")
-          .select("value").write.mode(mode).text(path))
+    (lines.sort("_o", "_h", "_i", "_m", "value").select("value").write.mode(mode).text(path))

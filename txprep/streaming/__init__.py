@@ -16,7 +16,6 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.cleaning import check_consistency, remove_outliers, validate
 from ..operators.features import add_features, select_ml_ready
 from ..schema import DEFAULT_COLUMNS, TX_SCHEMA, TxColumns
-from ..scratch import scratch_path
 from ..sinks import MAX_RECORDS_PER_FILE
 
 
@@ -28,17 +27,22 @@ def stream_rows(stream: DataFrame, bounds: Row | None, cols: TxColumns = DEFAULT
 
 
 def stream_prepare(spark: SparkSession, source_dir: str, output_path: str, bounds: Row | None = None,
-                   cols: TxColumns = DEFAULT_COLUMNS, checkpoint: str | None = None,
+                   cols: TxColumns = DEFAULT_COLUMNS, *, checkpoint: str,
                    available_now: bool = True, max_files_per_trigger: int | None = None,
                    processing_time: str | None = None) -> StreamingQuery:
-    """Start the stream; ``available_now`` processes what is there and stops."""
+    """Start the stream; ``available_now`` processes what is there and stops.
+
+    ``checkpoint`` belongs to ``output_path``: a restart with the same folder
+    goes on after the last committed file; a new folder with an old output would
+    count its batches from 0 again and lose files to the sink's own log. Rows are
+    not deduplicated: that is the batch job's."""
     reader = (spark.readStream.schema(TX_SCHEMA).option("header", True).option("escape", '"')
               .option("mode", "PERMISSIVE"))
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     rows = stream_rows(reader.csv(source_dir), bounds, cols)
     writer = (rows.writeStream.format("parquet").outputMode("append")
-              .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-ckpt"))
+              .option("checkpointLocation", checkpoint)
               .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
               .partitionBy(cols.label))
     if available_now:
