@@ -6,8 +6,7 @@ item are hash-joined with those of the documents; a document that holds at least
 ``least`` of an item's windows is a candidate. For candidates the slots are
 checked: along the alignment that most windows agree on, each value of the item
 must stand for one value of the document, as in a question asked again with
-other numbers or names. A pair that fails the check still counts if the windows
-without slots alone reach ``least``.
+other numbers or names; a pair that fails is no leak.
 
 The windows of the benchmark are broadcast only up to ``BROADCAST_WINDOWS``
 (counted first); a larger benchmark is joined by a shuffle.
@@ -25,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import text_or_empty, words
+from .common import bind, text_or_empty, words
 
 WINDOW = 5
 LEAST = 0.8
@@ -63,7 +62,7 @@ def window_hashes(tokens: Column, window: int = WINDOW) -> Column:
             .when(F.size(h) > 0, F.array(F.xxhash64(F.array_join(h.cast("array<string>"), " ")))) \
             .otherwise(F.array().cast("array<bigint>"))
 
-    return F.element_at(F.transform(F.array(F.transform(tokens, lambda w: F.xxhash64(w))), hashed), 1)
+    return bind(F.transform(tokens, lambda w: F.xxhash64(w)), hashed)
 
 
 def _items(bench: DataFrame, item_col: str, text_col: str, window: int) -> DataFrame:
@@ -94,13 +93,13 @@ def contaminated(spark: SparkSession, docs: DataFrame, bench: DataFrame, window:
     found = held.join(slim, "w").groupBy(*doc_key, *item_key, "n_windows").agg(
         F.size(F.collect_set("w")).alias("n_found"))
     found = found.filter(F.col("n_found") >= F.col("n_windows") * least)
-    checked = _check_slots(keyed, found, items, window, least)
+    checked = _check_slots(keyed, found, items, window)
     best = F.max(F.struct(F.col("containment"), F.col("n_windows"), F.col("n_found"), F.col("n_slots")))
     return checked.groupBy("doc_id", "item_id").agg(best.alias("b")).select(
         "doc_id", "item_id", "b.n_windows", "b.n_found", "b.containment", "b.n_slots")
 
 
-def _check_slots(keyed: DataFrame, found: DataFrame, items: DataFrame, window: int, least: float) -> DataFrame:
+def _check_slots(keyed: DataFrame, found: DataFrame, items: DataFrame, window: int) -> DataFrame:
     """The candidates whose slots are consistent."""
     f = found.select(F.col("doc_id").alias("_d"), F.col("doc_hash").alias("_dh"), F.col("item_id").alias("_i"),
                      F.col("item_hash").alias("_ih"), "n_windows", "n_found")
@@ -137,15 +136,7 @@ def _check_slots(keyed: DataFrame, found: DataFrame, items: DataFrame, window: i
     both = both.withColumn("slots", slots)
     values = F.size(F.array_distinct(F.transform("slots", lambda s: s["a"])))
     consistent = values == F.size(F.array_distinct("slots"))
-    plain = _windows_without_slots(window)
-    enough = F.size(F.array_intersect(plain, F.col("doc_windows"))) >= F.greatest(F.size(plain) * F.lit(least), F.lit(1.0))
-    return both.filter(consistent | enough).select(
+    return both.filter(consistent).select(
         "doc_id", "item_id", "n_windows", "n_found", (F.col("n_found") / F.col("n_windows")).alias("containment"),
         F.size("slots").alias("n_slots"))
 
-
-def _windows_without_slots(window: int) -> Column:
-    """The hashes of the item's windows that have no placeholder."""
-    clean = F.transform("windows", lambda w, i: F.when(
-        ~F.exists(F.slice("item_words", i + 1, window), lambda x: x.contains("<")), w))
-    return F.array_distinct(F.filter(clean, lambda w: w.isNotNull()))
