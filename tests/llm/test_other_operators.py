@@ -177,7 +177,7 @@ def test_chat_round_trip_and_masks(spark):
     rng = random.Random(6)
     rows = [(c, t, rng.choice(["user", "assistant", "system", "<|x", None]), rng.choice(hostile), 7, "z")
             for c in [*range(40), None] for t in range(rng.randrange(1, 9))]
-    rows += [rows[0], (500, 1, "assistant", "")]
+    rows += [rows[0], (500, 1, "assistant", "", 7, "z")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, n_turns int, mask string")
     got = chat.read_back(chat.format_conversations(df, tokenizer_path())).collect()
     turns = defaultdict(list)
