@@ -29,6 +29,12 @@ def words(col: Column) -> Column:
     return F.filter(F.split(col, SPACE), lambda w: w != "")
 
 
+def bind(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once: an expression that is used
+    inside a lambda is otherwise evaluated again for every element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet under the shared checkpoint folder and read
     again: cuts the lineage, and a lost executor costs no recomputation."""

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, text_or_empty, words
+from .common import ascii_lower, bind, text_or_empty, words
 
 SHINGLE = 5
 SCALE = 8
@@ -47,18 +47,16 @@ def sketch(text: Column, shingle: int = SHINGLE, scale: int = SCALE) -> Column:
             .otherwise(F.array().cast("array<bigint>"))
 
     def kept(hashes: Column) -> Column:
-        low = F.array_min(hashes)
-        return F.sort_array(F.array_distinct(F.filter(hashes, lambda x: (x < threshold(scale)) | (x == low))))
+        return bind(F.array_min(hashes), lambda low: F.sort_array(F.array_distinct(
+            F.filter(hashes, lambda x: (x < threshold(scale)) | (x == low)))))
 
-    # one-element transforms bind the word hashes and the shingle hashes once
-    return F.element_at(F.transform(F.array(hashed), lambda h: F.element_at(
-        F.transform(F.array(all_hashes(h)), kept), 1)), 1)
+    return bind(bind(hashed, all_hashes), kept)
 
 
 def merge(a: Column, b: Column, scale: int = SCALE) -> Column:
     """The sketch of two texts' shingles together."""
-    both = F.sort_array(F.array_union(a, b))
-    return F.filter(both, lambda x: (x < threshold(scale)) | (x == F.element_at(both, 1)))
+    return bind(F.sort_array(F.array_union(a, b)), lambda both: bind(F.element_at(both, 1), lambda low: F.filter(
+        both, lambda x: (x < threshold(scale)) | (x == low))))
 
 
 def likeness(a: Column, b: Column, scale: int = SCALE) -> Column:
