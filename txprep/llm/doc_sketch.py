@@ -105,10 +105,12 @@ def with_next(docs: DataFrame, id_col: str, tie: str, take: str, derive: dict, r
     follows = firsts.select("_range", F.coalesce(F.lead("f").over(by), F.first("f").over(every)).alias("f"))
     heads = docs.select(F.col(id_col).alias("_id"), F.col(tie).alias("_tie"), F.col(take).alias("_take")) \
         .join(F.broadcast(follows), F.col("_id").eqNullSafe(F.col("f.id")) & (F.col("_tie") == F.col("f.tie"))) \
-        .groupBy("_range").agg(F.first("_take").alias(f"next_{take}")) \
-        .withColumns({f"next_{c}": f(F.col(f"next_{take}")) for c, f in derive.items()})
-    last = led.filter(F.col("_has").isNull()).drop(*[f"next_{c}" for c in (take, *derive)]).join(heads, "_range")
-    return led.filter(F.col("_has")).unionByName(last).drop("_range", "_has")
+        .groupBy("_range").agg(F.first("_take").alias(f"_n_{take}")) \
+        .withColumns({f"_n_{c}": f(F.col(f"_n_{take}")) for c, f in derive.items()})
+    # the rows are dealt by range already: this join moves only the few heads
+    joined = led.join(heads, "_range", "left")
+    return joined.withColumns({f"next_{c}": F.when(F.col("_has"), F.col(f"next_{c}")).otherwise(F.col(f"_n_{c}"))
+                               for c in (take, *derive)}).drop("_range", "_has", *[f"_n_{c}" for c in (take, *derive)])
 
 
 def range_of(value: Column, bounds: list) -> Column:
