@@ -8,8 +8,8 @@ checked: along the alignment that most windows agree on, each value of the item
 must stand for one value of the document, as in a question asked again with
 other numbers or names; a pair that fails is no leak.
 
-The windows of the benchmark are broadcast only up to ``BROADCAST_WINDOWS``
-(counted first); a larger benchmark is joined by a shuffle.
+The windows of the benchmark, and later the candidates' keys, are broadcast only
+up to ``BROADCAST_WINDOWS`` rows (counted first); beyond it a shuffle joins them.
 
 Defined results: null texts are empty; a text without words has no windows and
 leaks nothing, as item or as document; an item of fewer than ``WINDOW`` words is
@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bind, text_or_empty, words
+from .common import bind, text_or_empty, words, written
 
 WINDOW = 5
 LEAST = 0.8
@@ -92,24 +92,28 @@ def contaminated(spark: SparkSession, docs: DataFrame, bench: DataFrame, window:
     # repeated rows of a document find the same windows again
     found = held.join(slim, "w").groupBy(*doc_key, *item_key, "n_windows").agg(
         F.size(F.collect_set("w")).alias("n_found"))
-    found = found.filter(F.col("n_found") >= F.col("n_windows") * least)
-    checked = _check_slots(keyed, found, items, window)
+    # used several times below, and it takes the pass over all texts
+    found = written(spark, found.filter(F.col("n_found") >= F.col("n_windows") * least), "leak-candidates")
+    checked = _check_slots(spark, keyed, found, items, window)
     best = F.max(F.struct(F.col("containment"), F.col("n_windows"), F.col("n_found"), F.col("n_slots")))
     return checked.groupBy("doc_id", "item_id").agg(best.alias("b")).select(
         "doc_id", "item_id", "b.n_windows", "b.n_found", "b.containment", "b.n_slots")
 
 
-def _check_slots(keyed: DataFrame, found: DataFrame, items: DataFrame, window: int) -> DataFrame:
+def _check_slots(spark: SparkSession, keyed: DataFrame, found: DataFrame, items: DataFrame, window: int) -> DataFrame:
     """The candidates whose slots are consistent."""
     f = found.select(F.col("doc_id").alias("_d"), F.col("doc_hash").alias("_dh"), F.col("item_id").alias("_i"),
                      F.col("item_hash").alias("_ih"), "n_windows", "n_found")
     pairs = f.join(items, F.col("_i").eqNullSafe(F.col("item_id")) & (F.col("_ih") == F.col("item_hash")))
-    texts = keyed.join(f.select("_d", "_dh").distinct(),
-                       F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("doc_hash") == F.col("_dh")), "left_semi") \
-        .dropDuplicates(["doc_id", "doc_hash"])
+    wanted = f.select("_d", "_dh").distinct()
+    if found.count() <= BROADCAST_WINDOWS:
+        wanted = F.broadcast(wanted)
+    texts = keyed.join(wanted, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("doc_hash") == F.col("_dh")),
+                       "left_semi").dropDuplicates(["doc_id", "doc_hash"])
     texts = texts.select("doc_id", "doc_hash", words(marked(F.col("text"))).alias("doc_words"),
                          window_hashes(template(F.col("text")), window).alias("doc_windows"))
-    both = pairs.join(texts, F.col("_d").eqNullSafe(F.col("doc_id")) & (F.col("_dh") == F.col("doc_hash")))
+    both = written(spark, pairs.join(texts, F.col("_d").eqNullSafe(F.col("doc_id")) & (F.col("_dh") == F.col("doc_hash"))),
+                   "leak-pairs")
     # places of the item's windows in the document, and the offset that most of them share
     places = both.select("doc_id", "doc_hash", *["item_id", "item_hash"], F.posexplode("doc_windows").alias("at", "w"),
                          "windows").filter(F.array_contains("windows", F.col("w")))
