@@ -30,7 +30,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import bind, text_or_empty
 
 #: The base kinds in order, with the group whose length counts.
 BASE_KINDS = (
@@ -68,14 +68,16 @@ def running_sums(values: Column) -> Column:
         init = F.array(start)
         return F.aggregate(xs, init, lambda acc, x: F.array_append(acc, F.element_at(acc, -1) + x))
 
-    n_blocks = F.ceil(F.size(values) / _BLOCK).cast("int")
-    blocks = F.when(n_blocks > 0, F.transform(F.sequence(F.lit(0), F.greatest(n_blocks - 1, F.lit(0))),
-                                              lambda b: F.slice(values, b * _BLOCK + 1, _BLOCK))) \
-        .otherwise(F.array(F.array().cast("array<bigint>")))
-    totals = scan(F.transform(blocks, lambda b: F.aggregate(b, F.lit(0).cast("long"), lambda a, x: a + x)),
-                  F.lit(0).cast("long"))
-    parts = F.transform(blocks, lambda b, i: F.slice(scan(b, F.element_at(totals, i + 1)), 2, _BLOCK))
-    return F.concat(F.array(F.lit(0).cast("long")), F.flatten(parts))
+    def over(blocks: Column) -> Column:
+        sums = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0).cast("long"), lambda a, x: a + x))
+        return bind(scan(sums, F.lit(0).cast("long")), lambda totals: F.flatten(F.transform(
+            blocks, lambda b, i: F.slice(scan(b, F.element_at(totals, i + 1)), 2, _BLOCK))))
+
+    def cut(xs: Column) -> Column:
+        n_blocks = F.greatest(F.ceil(F.size(xs) / _BLOCK).cast("int"), F.lit(1))
+        return F.transform(F.sequence(F.lit(0), n_blocks - 1), lambda b: F.slice(xs, b * _BLOCK + 1, _BLOCK))
+
+    return F.concat(F.array(F.lit(0).cast("long")), bind(bind(values, cut), over))
 
 
 def matches(text: Column, pattern: str, group: int) -> Column:
@@ -83,14 +85,18 @@ def matches(text: Column, pattern: str, group: int) -> Column:
     ``(start, end, match, part)``: code points, end exclusive; ``part`` is the
     group that is tested. Null for a text without a match."""
     whole = F.regexp_extract_all(text, F.lit(pattern), 0)
-    gaps = F.split(text, pattern, -1)
-    steps = F.flatten(F.transform(F.arrays_zip(F.slice(gaps, 1, F.size(whole)).alias("g"), whole.alias("m")), lambda z: F.array(
-        F.length(z["g"]).cast("long"), F.length(z["m"]).cast("long"))))
-    sums = running_sums(steps)
     part = F.regexp_extract_all(text, F.lit(pattern), group) if group else whole
-    return F.transform(whole, lambda m, i: F.struct(
-        F.element_at(sums, 2 * i + 2).alias("start"), F.element_at(sums, 2 * i + 3).alias("end"),
-        m.alias("match"), F.element_at(part, i + 1).alias("part")))
+    # as many gaps as matches: the rest of the text is of no use
+    zipped = F.arrays_zip(F.slice(F.split(text, pattern, -1), 1, F.size(whole)).alias("g"), whole.alias("m"),
+                          part.alias("p"))
+
+    def placed(z: Column) -> Column:
+        steps = F.flatten(F.transform(z, lambda e: F.array(F.length(e["g"]).cast("long"), F.length(e["m"]).cast("long"))))
+        return bind(running_sums(steps), lambda sums: F.transform(z, lambda e, i: F.struct(
+            F.element_at(sums, 2 * i + 2).alias("start"), F.element_at(sums, 2 * i + 3).alias("end"),
+            e["m"].alias("match"), e["p"].alias("part"))))
+
+    return bind(zipped, placed)
 
 
 def _at_least(least: int):
@@ -111,8 +117,12 @@ def base_spans(text: Column) -> list[tuple[str, Column]]:
 def entropy_runs(candidate: Column, alphabet: str, bits: float, window: int = WINDOW) -> Column:
     """Joined windows of ``candidate`` whose entropy reaches ``bits``, as an
     array of (start, end) in it."""
-    spans = "array<struct<start:bigint,end:bigint>>"
     codes = F.transform(F.split(candidate, ""), lambda ch: F.instr(F.lit(alphabet), ch))
+    return bind(codes, lambda bound: _slide_window(bound, len(alphabet), bits, window))
+
+
+def _slide_window(codes: Column, symbols: int, bits: float, window: int) -> Column:
+    spans = "array<struct<start:bigint,end:bigint>>"
     f = _f_table(window)
     # entropy >= bits  <=>  sum of f <= window * (log2(window) - bits)
     most = math.floor(window * (math.log2(window) - bits) * SCALE)
@@ -139,7 +149,7 @@ def entropy_runs(candidate: Column, alphabet: str, bits: float, window: int = WI
                         F.when(closes, F.array_append(acc["runs"], acc["open"])).otherwise(acc["runs"]).alias("runs"))
 
     nothing = F.struct(F.lit(-1).cast("long").alias("start"), F.lit(-1).cast("long").alias("end"))
-    first = F.struct(F.array_repeat(F.lit(0), len(alphabet)).alias("counts"), F.lit(0).cast("long").alias("total"),
+    first = F.struct(F.array_repeat(F.lit(0), symbols).alias("counts"), F.lit(0).cast("long").alias("total"),
                      nothing.alias("open"), F.array().cast(spans).alias("runs"))
     return F.aggregate(F.sequence(F.lit(1), F.size(codes)), first, step, lambda acc: F.when(
         acc["open"]["end"] >= 0, F.array_append(acc["runs"], acc["open"])).otherwise(acc["runs"]))
