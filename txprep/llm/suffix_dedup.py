@@ -50,6 +50,8 @@ K = 16
 SPAN = LENGTH - K + 1
 SIDE = LENGTH - K
 CHUNK_BYTES = 4 << 20
+#: Bytes to a symbol of the suffix array: 257 to this power fits 64 bits.
+BLOCK = 7
 #: Bytes that one suffix array sorts; the sort is linear, this bounds memory.
 SORT_BYTES = 1 << 18
 
@@ -172,7 +174,7 @@ class Runs:
             return
         h = _hashes(buf)
         at = _least_places(h, SPAN)                         # the anchor of the string that starts here
-        doc = np.searchsorted(ends, np.arange(len(at)), side="right")
+        doc = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))[:len(at)]
         s = np.flatnonzero((np.arange(len(at)) + LENGTH <= ends[doc]) & usable[doc])
         if not len(s):
             return
@@ -281,9 +283,13 @@ def _send_keys(parts: int):
                 r = c.runs()
                 if not len(r.key):
                     continue
-                pairs = np.unique(np.column_stack([_short(r.key).astype(np.int64), c.ids[r.doc]]), axis=0)
-                keys, n = np.unique(pairs[:, 0], return_counts=True)
-                sent = (keys << 1) | (n > 1)
+                # runs of one anchor in two places of this chunk that are different documents
+                order = np.argsort(r.key, kind="stable")
+                key, doc = _short(r.key[order]).astype(np.int64), r.doc[order]
+                begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+                keys = key[begin]
+                many = np.minimum.reduceat(doc, begin) < np.maximum.reduceat(doc, begin)
+                sent = (keys << 1) | many
                 part = keys % parts
                 order = np.argsort(part, kind="stable")
                 edges = np.searchsorted(part[order], np.arange(parts + 1))
@@ -373,6 +379,15 @@ def _padded(pieces: np.ndarray, starts: np.ndarray, lengths: np.ndarray, step: i
     return np.where(inside, pieces[np.clip(at, 0, max(len(pieces) - 1, 0))].astype(np.int16) + 1, 0)
 
 
+def _symbols(strings: np.ndarray) -> np.ndarray:
+    """Rows of bytes + 1 (0: none) as numbers of ``BLOCK`` bytes each, whose
+    order is that of the bytes."""
+    wide = np.zeros((len(strings), -(-SIDE // BLOCK) * BLOCK), np.uint64)
+    wide[:, :SIDE] = strings
+    weights = np.array([257 ** (BLOCK - 1 - i) for i in range(BLOCK)], np.uint64)
+    return (wide.reshape(len(strings), -1, BLOCK) * weights).sum(axis=2, dtype=np.uint64)
+
+
 def _depth_classes(group: np.ndarray, sides: np.ndarray) -> np.ndarray:
     """For each row the class of its side up to every depth 0..SIDE: rows of one
     group have equal classes at a depth iff their sides agree up to it. The
@@ -384,6 +399,7 @@ def _depth_classes(group: np.ndarray, sides: np.ndarray) -> np.ndarray:
     groups = np.ascontiguousarray(table[:, :4]).view(np.int64).ravel()
     strings = table[:, 4:]
     lengths = (strings > 0).sum(axis=1)
+    symbols = _symbols(strings)
     by_group = np.argsort(groups, kind="stable")
     alone = np.bincount(np.unique(groups, return_inverse=True)[1])[np.unique(groups, return_inverse=True)[1]] == 1
     rank = np.zeros(len(distinct), np.int64)
@@ -397,10 +413,11 @@ def _depth_classes(group: np.ndarray, sides: np.ndarray) -> np.ndarray:
         following = total[group_end[k + 1] - 1] - (total[begin - 1] if begin else 0) if not last else 0
         if last or following > SORT_BYTES:
             part = todo[begin:end]
-            # every side with a 0 after it: the separator is smaller than any byte
-            text = strings[part][np.arange(SIDE) < lengths[part][:, None]]
-            heads = np.cumsum(lengths[part] + 1) - (lengths[part] + 1)
-            joined = np.insert(text, np.cumsum(lengths[part]), 0)
+            # blocks of a side become symbols in their order; a 0 after every side is smaller than any
+            blocks = (lengths[part] + BLOCK - 1) // BLOCK
+            text = symbols[part][np.arange(symbols.shape[1]) < blocks[:, None]]
+            heads = np.cumsum(blocks + 1) - (blocks + 1)
+            joined = np.insert(np.unique(text, return_inverse=True)[1] + 1, np.cumsum(blocks), 0)
             order = np.array(suffix_array(joined.tolist()), np.int64)
             place = np.empty(len(joined), np.int64)
             place[order] = np.arange(len(order))
