@@ -8,22 +8,21 @@ as packed ids. Each stage takes ``(spark, docs, sf_dir)``; all but the last
 return the columns of ``docs``.
 
 Defined results: a null text is empty in every stage and stays null in the rows
-that are kept; rows with the same ``doc_id`` are judged each by its own text,
-but a group that shares a ``doc_id`` counts as one document when near
-duplicates are dropped; empty input gives empty output at every stage; extra
+that are kept; rows with the same ``doc_id``, or with none, are judged each by
+its own text, and one row of each near-duplicate group stays; empty input gives empty output at every stage; extra
 columns are carried along.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txprep.llm.common import written
-from txprep.llm.decontaminate import contaminated
+from txprep.llm.common import text_or_empty, written
+from txprep.llm.decontaminate import leaks
 from txprep.llm.mixing import mixed_documents
 from txprep.llm.queries import table, tokenizer_path
-from txprep.llm.simhash import components
+from txprep.llm.simhash import survivors
 from txprep.llm.token_io import read_tokens, write_tokens
 from txprep.llm.toxicity import fit_lexicon, score_toxicity
 from txprep.scratch import scratch_path
@@ -38,18 +37,32 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.filter(F.col("_toxicity") < 0.5).drop("_toxicity")
 
 
+#: What tells rows apart besides copies: null or not, the id, the text's hash.
+KEY = ["_none", "_id", "_hash"]
+
+
+def _keyed(df: DataFrame, text_hash: Column) -> DataFrame:
+    """``df`` with ``KEY``, which holds no null."""
+    doc_id = F.col("doc_id").cast("long")
+    return df.select("*", doc_id.isNull().alias("_none"), F.coalesce(doc_id, F.lit(0)).alias("_id"),
+                     text_hash.alias("_hash"))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest ``doc_id`` of each component."""
-    kept = components(spark, docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    """One row of each component: the smallest ``doc_id``, null last."""
+    kept = _keyed(survivors(spark, docs), F.col("doc_hash")).select(*KEY)
+    # rows with one id and text become one; combined before the shuffle, which the join uses too
+    row = F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
+    one = _keyed(docs, F.xxhash64(text_or_empty("text"))).groupBy(*KEY).agg(row.alias("_row"))
+    return one.join(kept, KEY, "left_semi").select("_row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    found = contaminated(spark, docs, table(spark, sf_dir, "benchmark"))
-    bad = found.select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    found = leaks(spark, docs, table(spark, sf_dir, "benchmark"))
+    bad = _keyed(found, F.col("doc_hash")).select(*KEY).distinct()
+    clean = _keyed(docs, F.xxhash64(text_or_empty("text"))).join(bad, KEY, "left_anti")
+    return clean.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -68,6 +68,23 @@ def test_stages_against_brute_force(spark, tmp):
         at += len(t)
 
 
+def test_null_and_repeated_ids_are_judged_by_their_texts(spark, tmp):
+    rng = random.Random(4)
+    a, b, c, d, e = (prose(rng, 90, 5000) for _ in range(5))
+    leak = f"{prose(rng, 30)} {ITEM} {prose(rng, 30)}"
+    rows = [(None, a), (None, a), (None, a + " "), (None, b), (7, c), (7, c), (7, d), (9, d), (None, leak), (8, leak), (8, e), (None, None), (None, "")]
+    docs = spark.createDataFrame([(*r, "en", "s0", 0) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([(1, ITEM)], "item_id long, text string").write.parquet(f"{tmp}/benchmark.parquet")
+
+    def texts(df):
+        return Counter((r.doc_id, (r.text or "").strip()) for r in df.collect())
+    # one row of each component, also of those without an id
+    assert texts(pipeline.drop_near_duplicates(spark, docs, tmp)) == Counter(
+        [(None, a), (None, b), (7, c), (7, d), (8, leak), (8, e), (None, "")])
+    # every row but the two that hold the item
+    assert texts(pipeline.drop_contaminated(spark, docs, tmp)) == texts(docs) - Counter([(None, leak), (8, leak)])
+
+
 def test_run_of_no_documents(spark, tmp):
     assert pipeline.run(spark, corpus(tmp, spark, empty=True)).count() == 0
 

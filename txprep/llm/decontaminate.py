@@ -79,6 +79,17 @@ def contaminated(spark: SparkSession, docs: DataFrame, bench: DataFrame, window:
                  item_text_col: str = "text") -> DataFrame:
     """``doc_id, item_id, n_windows, n_found, containment, n_slots`` for every
     document and item that leaks into it."""
+    checked = leaks(spark, docs, bench, window, least, id_col, text_col, item_col, item_text_col)
+    best = F.max(F.struct(F.col("containment"), F.col("n_windows"), F.col("n_found"), F.col("n_slots")))
+    return checked.groupBy("doc_id", "item_id").agg(best.alias("b")).select(
+        "doc_id", "item_id", "b.n_windows", "b.n_found", "b.containment", "b.n_slots")
+
+
+def leaks(spark: SparkSession, docs: DataFrame, bench: DataFrame, window: int = WINDOW, least: float = LEAST,
+          id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+          item_text_col: str = "text") -> DataFrame:
+    """As ``contaminated``, a row per text and item, with ``doc_hash``, that of
+    the text."""
     items = _items(bench, item_col, item_text_col, window)
     item_key = ["item_id", "item_hash"]
     slim = items.select(*item_key, F.size(F.array_distinct("windows")).alias("n_windows"),
@@ -94,10 +105,7 @@ def contaminated(spark: SparkSession, docs: DataFrame, bench: DataFrame, window:
         F.size(F.collect_set("w")).alias("n_found"))
     # used several times below, and it takes the pass over all texts
     found = written(spark, found.filter(F.col("n_found") >= F.col("n_windows") * least), "leak-candidates")
-    checked = _check_slots(spark, keyed, found, items, window)
-    best = F.max(F.struct(F.col("containment"), F.col("n_windows"), F.col("n_found"), F.col("n_slots")))
-    return checked.groupBy("doc_id", "item_id").agg(best.alias("b")).select(
-        "doc_id", "item_id", "b.n_windows", "b.n_found", "b.containment", "b.n_slots")
+    return _check_slots(spark, keyed, found, items, window)
 
 
 def _check_slots(spark: SparkSession, keyed: DataFrame, found: DataFrame, items: DataFrame, window: int) -> DataFrame:
@@ -141,6 +149,6 @@ def _check_slots(spark: SparkSession, keyed: DataFrame, found: DataFrame, items:
     values = F.size(F.array_distinct(F.transform("slots", lambda s: s["a"])))
     consistent = values == F.size(F.array_distinct("slots"))
     return both.filter(consistent).select(
-        "doc_id", "item_id", "n_windows", "n_found", (F.col("n_found") / F.col("n_windows")).alias("containment"),
+        "doc_id", "doc_hash", "item_id", "n_windows", "n_found", (F.col("n_found") / F.col("n_windows")).alias("containment"),
         F.size("slots").alias("n_slots"))
 

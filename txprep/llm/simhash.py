@@ -76,15 +76,19 @@ def _fingerprints(k: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([fingerprint(t, k, seed) for t in batch.column("text").to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            ids = [c for c in batch.schema.names if c != "text"]
+            yield pa.RecordBatch.from_arrays([*map(batch.column, ids), pa.array(fps.view(np.int64))], names=[*ids, "fp"])
     return run
 
 
 def fingerprints(docs: DataFrame, k: int = SHINGLE, seed: int = SEED, id_col: str = "doc_id",
-                 text_col: str = "text") -> DataFrame:
-    """``doc_id, fp`` (the 64 bits as a signed long) per document."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    return rows.mapInArrow(_fingerprints(k, seed), "doc_id long, fp long")
+                 text_col: str = "text", hashed: bool = False) -> DataFrame:
+    """``doc_id, fp`` (the 64 bits as a signed long) per document; if ``hashed``
+    also ``doc_hash``, that of its text."""
+    text = text_or_empty(text_col)
+    hashes = [F.xxhash64(text).alias("doc_hash")] if hashed else []
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *hashes, text.alias("text"))
+    return rows.mapInArrow(_fingerprints(k, seed), f"doc_id long, {'doc_hash long, ' if hashed else ''}fp long")
 
 
 def distance(a: np.ndarray, b) -> np.ndarray:
@@ -270,14 +274,30 @@ def connect(spark: SparkSession, links: DataFrame) -> DataFrame:
             return edges.select(F.col("src").alias("node"), F.col("dst").alias("root"))
 
 
+def _classes(spark: SparkSession, fps: DataFrame, low: Column, max_bits: int) -> DataFrame:
+    """``fp, low, root`` per distinct fingerprint; ``low`` is aggregated over its
+    documents, and equal roots are one component."""
+    distinct = fps.groupBy("fp").agg(low.alias("low"))
+    n = distinct.count()
+    roots = connect(spark, fingerprint_links(distinct.select("fp"), n, max_bits))
+    return distinct.join(roots, F.col("fp") == F.col("node"), "left") \
+        .select("fp", "low", F.coalesce("root", "fp").alias("root"))
+
+
 def components(spark: SparkSession, docs: DataFrame, k: int = SHINGLE, max_bits: int = MAX_BITS, seed: int = SEED,
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, fp, component_id`` per document of ``docs``."""
     fps = written(spark, fingerprints(docs, k, seed, id_col, text_col), "fingerprints")
-    distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("low"))
-    n = distinct.count()
-    roots = connect(spark, fingerprint_links(distinct.select("fp"), n, max_bits))
-    classes = distinct.join(roots, F.col("fp") == F.col("node"), "left") \
-        .select("fp", "low", F.coalesce("root", "fp").alias("root"))
+    classes = _classes(spark, fps, F.min("doc_id"), max_bits)
     lowest = classes.groupBy("root").agg(F.min("low").alias("component_id"))
     return fps.join(classes.select("fp", "root"), "fp").join(lowest, "root").select("doc_id", "fp", "component_id")
+
+
+def survivors(spark: SparkSession, docs: DataFrame, k: int = SHINGLE, max_bits: int = MAX_BITS, seed: int = SEED,
+              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, doc_hash`` of one document per component: the smallest id (null
+    ids last), and of its texts the one with the smallest hash."""
+    fps = written(spark, fingerprints(docs, k, seed, id_col, text_col, hashed=True), "fingerprints")
+    low = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "doc_hash"))
+    lowest = _classes(spark, fps, low, max_bits).groupBy("root").agg(F.min("low").alias("low"))
+    return lowest.select("low.doc_id", "low.doc_hash")
