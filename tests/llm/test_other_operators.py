@@ -128,6 +128,22 @@ def test_leaks_templates_and_slots(spark):
     assert awkward.count() == 0
 
 
+def test_every_alignment_is_tried(spark):
+    filler, item = prose(random.Random(1), 40), ITEMS[0][1]
+    broken = item.replace("12 apples", "31 apples")             # 12 is 31 here and 12 there
+    other = item.replace("12", "31").replace("5", "8").replace("Bob", "Carl")
+    half = len(item.split()) // 2
+    cut = " ".join([*item.split()[:half], "so", *item.split()[half:]])     # no alignment holds 80 % of the windows
+    docs = [(1, f"{filler} {broken} {filler} {item} {filler}"), (2, f"{filler} {broken} {filler} {other}"),
+            (3, f"{filler} {item} {filler} {broken}"), (4, f"{filler} {broken} {filler} {broken} {filler}"),
+            (5, f"{broken} {filler} " * 5 + item), (6, f"{filler} {cut} {cut} {cut}")]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(ITEMS[:2], "item_id long, text string")
+    got = decontaminate.contaminated(spark, d, b, least=0.6).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(1, 1), (2, 1), (3, 1), (5, 1), (6, 1)]
+    assert len({r.n_slots for r in got if r.doc_id != 6}) == 1
+
+
 def test_shuffled_join_beyond_the_broadcast_bound(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
     d = spark.createDataFrame([(1, ITEMS[1][1]), (2, "nothing of the kind in here")], "doc_id long, text string")

@@ -4,9 +4,10 @@ Numbers, names and units become typed placeholders, the rest is lower-cased and
 stripped of punctuation. Windows of ``WINDOW`` template words of every benchmark
 item are hash-joined with those of the documents; a document that holds at least
 ``least`` of an item's windows is a candidate. For candidates the slots are
-checked: along the alignment that most windows agree on, each value of the item
-must stand for one value of the document, as in a question asked again with
-other numbers or names; a pair that fails is no leak.
+checked: along an alignment, each value of the item must stand for one value of
+the document, as in a question asked again with other numbers or names. Every
+alignment that holds at least ``least`` of the item's windows is tried, and the
+ones that most windows agree on; a pair that fails along all of them is no leak.
 
 The windows of the benchmark, and later the candidates' keys, are broadcast only
 up to ``BROADCAST_WINDOWS`` rows (counted first); beyond it a shuffle joins them.
@@ -105,11 +106,12 @@ def leaks(spark: SparkSession, docs: DataFrame, bench: DataFrame, window: int =
         F.size(F.collect_set("w")).alias("n_found"))
     # used several times below, and it takes the pass over all texts
     found = written(spark, found.filter(F.col("n_found") >= F.col("n_windows") * least), "leak-candidates")
-    return _check_slots(spark, keyed, found, items, window)
+    return _check_slots(spark, keyed, found, items, window, least)
 
 
-def _check_slots(spark: SparkSession, keyed: DataFrame, found: DataFrame, items: DataFrame, window: int) -> DataFrame:
-    """The candidates whose slots are consistent."""
+def _check_slots(spark: SparkSession, keyed: DataFrame, found: DataFrame, items: DataFrame, window: int,
+                 least: float) -> DataFrame:
+    """The candidates whose slots are consistent along one of their offsets."""
     f = found.select(F.col("doc_id").alias("_d"), F.col("doc_hash").alias("_dh"), F.col("item_id").alias("_i"),
                      F.col("item_hash").alias("_ih"), "n_windows", "n_found")
     pairs = f.join(items, F.col("_i").eqNullSafe(F.col("item_id")) & (F.col("_ih") == F.col("item_hash")))
@@ -122,33 +124,42 @@ def _check_slots(spark: SparkSession, keyed: DataFrame, found: DataFrame, items:
                          window_hashes(template(F.col("text")), window).alias("doc_windows"))
     both = written(spark, pairs.join(texts, F.col("_d").eqNullSafe(F.col("doc_id")) & (F.col("_dh") == F.col("doc_hash"))),
                    "leak-pairs")
-    # places of the item's windows in the document, and the offset that most of them share
-    places = both.select("doc_id", "doc_hash", *["item_id", "item_hash"], F.posexplode("doc_windows").alias("at", "w"),
+    # places of the item's windows in the document, and the offsets that enough of them share: as
+    # each takes a share of the matched windows, trying them all stays linear in those
+    pair = ["doc_id", "doc_hash", "item_id", "item_hash"]
+    places = both.select(*pair, F.posexplode("doc_windows").alias("at", "w"),
                          "windows").filter(F.array_contains("windows", F.col("w")))
-    offsets = places.select("doc_id", "doc_hash", "item_id", "item_hash", "at", F.explode(
-        F.filter(F.transform("windows", lambda x, i: F.when(x == F.col("w"), F.col("at") - i)), lambda x: x.isNotNull()))
-        .alias("offset")).groupBy("doc_id", "doc_hash", "item_id", "item_hash", "offset").agg(F.count("*").alias("n"))
-    best = offsets.groupBy("doc_id", "doc_hash", "item_id", "item_hash").agg(
-        F.max(F.struct(F.col("n"), (-F.col("offset")).alias("neg"))).alias("o")) \
-        .select(F.col("doc_id").alias("_d2"), F.col("doc_hash").alias("_dh2"), F.col("item_id").alias("_i2"),
-                F.col("item_hash").alias("_ih2"), (-F.col("o.neg")).alias("offset"))
+    offsets = places.select(*pair, F.size("windows").alias("of"), F.explode(F.filter(
+        F.transform("windows", lambda x, i: F.when(x == F.col("w"), F.col("at") - i)), lambda x: x.isNotNull()))
+        .alias("offset")).groupBy(*pair, "of", "offset").agg(F.count("*").alias("n"))
+    most = offsets.groupBy(*pair, "of").agg(F.max("n").alias("most"), F.collect_list(F.struct(
+        F.col("n"), (-F.col("offset")).alias("neg"))).alias("all"))
+    enough = F.least(F.col("most"), F.col("of") * least)
+    best = most.select(F.col("doc_id").alias("_d2"), F.col("doc_hash").alias("_dh2"), F.col("item_id").alias("_i2"),
+                       F.col("item_hash").alias("_ih2"), F.transform(F.sort_array(F.filter(
+                           "all", lambda o: o["n"] >= enough), asc=False), lambda o: -o["neg"]).alias("offsets"))
     both = both.join(best, F.col("doc_id").eqNullSafe(F.col("_d2")) & (F.col("doc_hash") == F.col("_dh2"))
                      & F.col("item_id").eqNullSafe(F.col("_i2")) & (F.col("item_hash") == F.col("_ih2")))
 
     def kind(w: Column) -> Column:
         return F.regexp_replace(w, "=[^>]*>", ">")
 
-    def other(i: Column) -> Column:
-        at = i + F.col("offset") + 1
+    def other(i: Column, offset: Column) -> Column:
+        at = i + offset + 1
         return F.when((at >= 1) & (at <= F.size("doc_words")), F.element_at("doc_words", F.greatest(
             F.least(at, F.size("doc_words")), F.lit(1))))
 
-    slots = F.filter(F.transform("item_words", lambda w, i: F.struct(w.alias("a"), other(i).alias("b"))),
-                     lambda s: s["a"].contains("=") & (kind(s["a"]) == kind(s["b"])))
-    both = both.withColumn("slots", slots)
-    values = F.size(F.array_distinct(F.transform("slots", lambda s: s["a"])))
-    consistent = values == F.size(F.array_distinct("slots"))
-    return both.filter(consistent).select(
+    def slots(offset: Column) -> Column:
+        return F.filter(F.transform("item_words", lambda w, i: F.struct(w.alias("a"), other(i, offset).alias("b"))),
+                        lambda s: s["a"].contains("=") & (kind(s["a"]) == kind(s["b"])))
+
+    def consistent(s: Column) -> Column:
+        return F.size(F.array_distinct(F.transform(s, lambda x: x["a"]))) == F.size(F.array_distinct(s))
+
+    # the number of slots along each consistent offset, the best one first
+    held = F.filter(F.transform("offsets", lambda o: bind(slots(o), lambda s: F.when(consistent(s), F.size(s)))),
+                    lambda n: n.isNotNull())
+    return both.withColumn("held", held).filter(F.size("held") > 0).select(
         "doc_id", "doc_hash", "item_id", "n_windows", "n_found", (F.col("n_found") / F.col("n_windows")).alias("containment"),
-        F.size("slots").alias("n_slots"))
+        F.element_at("held", 1).alias("n_slots"))
 
