@@ -128,6 +128,18 @@ def test_leaks_templates_and_slots(spark):
     assert awkward.count() == 0
 
 
+def test_short_items_are_found_inside_documents(spark):
+    items = [(1, "What is the capital of France?"), (2, "tiny item"), (3, "  How many 7 km runs"), (4, "Alice saw the red house of Alice again")]
+    docs = [(1, "they asked him What is the capital of France? and he knew it"), (2, "what is the capital of France"),
+            (3, "here we quote a tiny item. and go on"), (4, "tiny items only in here, no more"), (5, "tiny item"),
+            (6, "so we asked How many 9 km runs he had"), (7, "and then Bob saw the red house of Bob again"),
+            (8, "and then Bob saw the red house of Carl again"), (9, "what was the capital city of France then")]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.n_windows, r.n_found) for r in decontaminate.contaminated(spark, d, b).collect()}
+    assert got == {(1, 1): (2, 2), (2, 1): (2, 2), (3, 2): (1, 1), (5, 2): (1, 1), (6, 3): (1, 1), (7, 4): (4, 4)}
+
+
 def test_every_alignment_is_tried(spark):
     filler, item = prose(random.Random(1), 40), ITEMS[0][1]
     broken = item.replace("12 apples", "31 apples")             # 12 is 31 here and 12 there

@@ -14,7 +14,9 @@ up to ``BROADCAST_WINDOWS`` rows (counted first); beyond it a shuffle joins them
 
 Defined results: null texts are empty; a text without words has no windows and
 leaks nothing, as item or as document; an item of fewer than ``WINDOW`` words is
-one window of all of them; repeated items and documents give one row per
+one window of all of them, found anywhere in a document of ``WINDOW`` words or
+more (a shorter document is one window too); an item's capitalised first word
+may be a name or not, as a document marks it inside a sentence only; repeated items and documents give one row per
 (``doc_id``, ``item_id``), the best one; rows that share a ``doc_id`` but not the
 text are compared each on its own; null ids are kept; an empty table on either
 side gives no rows; other columns are ignored.
@@ -25,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bind, text_or_empty, words, written
+from .common import SPACE, bind, text_or_empty, words, written
 
 WINDOW = 5
 LEAST = 0.8
@@ -66,13 +68,36 @@ def window_hashes(tokens: Column, window: int = WINDOW) -> Column:
     return bind(F.transform(tokens, lambda w: F.xxhash64(w)), hashed)
 
 
+def short_hashes(tokens: Column, n: int) -> Column:
+    """A hash per window of ``n`` words, as ``window_hashes`` gives a text of ``n``."""
+    return bind(F.transform(tokens, lambda w: F.xxhash64(w)), lambda h: F.when(F.size(h) >= n, F.transform(
+        F.sequence(F.lit(1), F.size(h) - (n - 1)), lambda i: F.xxhash64(F.concat_ws(
+            " ", *[F.element_at(h, i + j).cast("string") for j in range(n)]))))
+        .otherwise(F.array().cast("array<bigint>")))
+
+
+def doc_hashes(tokens: Column, window: int, short: list[int]) -> dict[int, Column]:
+    """The windows of a document for items of ``window`` words or more, and for
+    those of each length in ``short``."""
+    whole = window_hashes(tokens, window)
+    return {window: whole} | {n: F.when(F.size(tokens) >= window, short_hashes(tokens, n)).otherwise(whole)
+                              for n in short}
+
+
 def _items(bench: DataFrame, item_col: str, text_col: str, window: int) -> DataFrame:
-    """``item_id, item_hash, item_words`` (marked) and ``windows`` per distinct item."""
+    """``item_id, item_hash, item_words`` (marked), ``windows`` and ``n_words``
+    (at most ``window``) per distinct item; ``named`` is the first word as it is
+    marked inside a sentence, ``named_window`` the first window with it."""
     text = text_or_empty(text_col)
     items = bench.select(F.col(item_col).alias("item_id"), F.xxhash64(text).alias("item_hash"), text.alias("t"))
     items = items.dropDuplicates(["item_id", "item_hash"])
-    return items.select("item_id", "item_hash", words(marked(F.col("t"))).alias("item_words"),
-                        window_hashes(template(F.col("t")), window).alias("windows"))
+    inside = F.concat(F.lit("a "), F.regexp_replace("t", f"^{SPACE}", ""))
+    named = F.slice(words(marked(inside)), 2, window)
+    return items.select(
+        "item_id", "item_hash", words(marked(F.col("t"))).alias("item_words"),
+        window_hashes(template(F.col("t")), window).alias("windows"), F.get(named, F.lit(0)).alias("named"),
+        F.get(window_hashes(F.slice(template(inside), 2, window), window), F.lit(0)).alias("named_window")) \
+        .withColumn("n_words", F.least(F.size("item_words"), F.lit(window)))
 
 
 def contaminated(spark: SparkSession, docs: DataFrame, bench: DataFrame, window: int = WINDOW, least: float = LEAST,
@@ -93,24 +118,30 @@ def leaks(spark: SparkSession, docs: DataFrame, bench: DataFrame, window: int =
     the text."""
     items = _items(bench, item_col, item_text_col, window)
     item_key = ["item_id", "item_hash"]
-    slim = items.select(*item_key, F.size(F.array_distinct("windows")).alias("n_windows"),
-                        F.explode(F.array_distinct("windows")).alias("w"))
+    # the first window in both its forms counts as one
+    both = F.array_union(F.transform("windows", lambda x: F.struct(x.alias("w"), x.alias("as"))), F.transform(
+        F.slice("windows", 1, 1), lambda x: F.struct(F.col("named_window").alias("w"), x.alias("as"))))
+    slim = items.select(*item_key, F.size(F.array_distinct("windows")).alias("n_windows"), F.explode(both).alias("x")) \
+        .select(*item_key, "n_windows", "x.w", "x.as")
+    short = sorted(r[0] for r in items.filter((F.col("n_words") > 0) & (F.col("n_words") < window))
+                   .select("n_words").distinct().collect())          # at most window - 1
     if slim.count() <= BROADCAST_WINDOWS:
         slim = F.broadcast(slim)
     text = text_or_empty(text_col)
     keyed = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("doc_hash"), text.alias("text"))
     doc_key = ["doc_id", "doc_hash"]
-    held = keyed.select(*doc_key, F.explode(F.array_distinct(window_hashes(template(F.col("text")), window))).alias("w"))
+    held = keyed.select(*doc_key, bind(template(F.col("text")), lambda t: F.array_distinct(F.concat(
+        *doc_hashes(t, window, short).values()))).alias("w")).select(*doc_key, F.explode("w").alias("w"))
     # repeated rows of a document find the same windows again
     found = held.join(slim, "w").groupBy(*doc_key, *item_key, "n_windows").agg(
-        F.size(F.collect_set("w")).alias("n_found"))
+        F.size(F.collect_set("as")).alias("n_found"))
     # used several times below, and it takes the pass over all texts
     found = written(spark, found.filter(F.col("n_found") >= F.col("n_windows") * least), "leak-candidates")
-    return _check_slots(spark, keyed, found, items, window, least)
+    return _check_slots(spark, keyed, found, items, window, least, short)
 
 
 def _check_slots(spark: SparkSession, keyed: DataFrame, found: DataFrame, items: DataFrame, window: int,
-                 least: float) -> DataFrame:
+                 least: float, short: list[int]) -> DataFrame:
     """The candidates whose slots are consistent along one of their offsets."""
     f = found.select(F.col("doc_id").alias("_d"), F.col("doc_hash").alias("_dh"), F.col("item_id").alias("_i"),
                      F.col("item_hash").alias("_ih"), "n_windows", "n_found")
@@ -121,16 +152,21 @@ def _check_slots(spark: SparkSession, keyed: DataFrame, found: DataFrame, items:
     texts = keyed.join(wanted, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("doc_hash") == F.col("_dh")),
                        "left_semi").dropDuplicates(["doc_id", "doc_hash"])
     texts = texts.select("doc_id", "doc_hash", words(marked(F.col("text"))).alias("doc_words"),
-                         window_hashes(template(F.col("text")), window).alias("doc_windows"))
+                         template(F.col("text")).alias("_template"))
+    texts = texts.select("doc_id", "doc_hash", "doc_words", *[h.alias(f"_windows_{n}") for n, h in doc_hashes(
+        F.col("_template"), window, short).items()])
     both = written(spark, pairs.join(texts, F.col("_d").eqNullSafe(F.col("doc_id")) & (F.col("_dh") == F.col("doc_hash"))),
                    "leak-pairs")
+    # for an item of fewer words the windows of its length
+    doc_windows = F.coalesce(*[F.when(F.col("n_words") == n, F.col(f"_windows_{n}")) for n in [*short, window]])
     # places of the item's windows in the document, and the offsets that enough of them share: as
     # each takes a share of the matched windows, trying them all stays linear in those
     pair = ["doc_id", "doc_hash", "item_id", "item_hash"]
-    places = both.select(*pair, F.posexplode("doc_windows").alias("at", "w"),
-                         "windows").filter(F.array_contains("windows", F.col("w")))
+    places = both.select(*pair, F.posexplode(doc_windows).alias("at", "w"), "windows", "named_window").filter(
+        F.array_contains("windows", F.col("w")) | (F.col("w") == F.col("named_window")))
     offsets = places.select(*pair, F.size("windows").alias("of"), F.explode(F.filter(
-        F.transform("windows", lambda x, i: F.when(x == F.col("w"), F.col("at") - i)), lambda x: x.isNotNull()))
+        F.transform("windows", lambda x, i: F.when((x == F.col("w")) | (
+            (i == 0) & (F.col("named_window") == F.col("w"))), F.col("at") - i)), lambda x: x.isNotNull()))
         .alias("offset")).groupBy(*pair, "of", "offset").agg(F.count("*").alias("n"))
     most = offsets.groupBy(*pair, "of").agg(F.max("n").alias("most"), F.collect_list(F.struct(
         F.col("n"), (-F.col("offset")).alias("neg"))).alias("all"))
@@ -150,8 +186,11 @@ def _check_slots(spark: SparkSession, keyed: DataFrame, found: DataFrame, items:
             F.least(at, F.size("doc_words")), F.lit(1))))
 
     def slots(offset: Column) -> Column:
-        return F.filter(F.transform("item_words", lambda w, i: F.struct(w.alias("a"), other(i, offset).alias("b"))),
-                        lambda s: s["a"].contains("=") & (kind(s["a"]) == kind(s["b"])))
+        def form(w: Column, i: Column, b: Column) -> Column:
+            return F.when((i == 0) & (kind(b) == kind(F.col("named"))), F.col("named")).otherwise(w)
+
+        return F.filter(F.transform("item_words", lambda w, i: F.struct(
+            form(w, i, other(i, offset)).alias("a"), other(i, offset).alias("b"))), lambda s: s["a"].contains("=") & (kind(s["a"]) == kind(s["b"])))
 
     def consistent(s: Column) -> Column:
         return F.size(F.array_distinct(F.transform(s, lambda x: x["a"]))) == F.size(F.array_distinct(s))
