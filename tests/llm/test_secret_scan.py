@@ -1,4 +1,5 @@
 import math
+import random
 import re
 from collections import Counter
 
@@ -79,3 +80,32 @@ def test_many_spans_in_one_text(spark):
     text = "secret=abcdefgh1 " * 4000
     row = scan_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
     assert row.n_assign == 4000 and sha(row.base_spans) == sha(brute(text)[0])
+
+
+def test_hex_behind_any_separator(spark):
+    rng = random.Random(7)
+    rows, want = [], []
+    for before in ("KEY=", "sig_", "path/to/", "x+", "a-", "0x", "id: ", "url/9?k="):
+        for n, digits in ((24, "0123456789abcdef"), (28, "0123456789abcdef"), (40, "0123456789ABCDEF"), (64, "0123456789ABCDEF")):
+            for after in ("", "/end", "=", "_x", "-1"):
+                value = "".join((rng.sample(digits, 16) + rng.choices(digits, k=n))[:n])
+                rows.append((len(rows), f"{before}{value}{after}"))
+                # a digit before or after the separator is none of the run
+                want.append((len(before), len(before) + n))
+    got = scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = {r.doc_id: [tuple(map(int, s.split(":")[1:])) for s in r.secret_spans.split(",") if s.startswith("entropy_hex")]
+             for r in got}
+    for i, text in rows:
+        (a, b), = found[i]
+        assert want[i][0] <= a <= want[i][0] + 4 and b - a >= 24 and b <= want[i][1], text
+    quiet = ["id=" + "0" * 40, "n=" + "1234567890" * 4, "123e4567-e89b-12d3-a456-426614174000", "h/" + "ab" * 20]
+    assert all("entropy_hex" not in r.secret_spans for r in scan_secrets(
+        spark.createDataFrame(list(enumerate(quiet)), "doc_id long, text string")).collect())
+
+
+def test_placeholder_words_excuse_their_own_span_only(spark):
+    secret = "q8Zx7Lm2Vt9RkQw4Yh6NpJ0sBd3F"
+    # rests with little entropy keep the spans apart
+    texts = [f"example/{'ab' * 20}/{secret}", f"{secret}/{'ab' * 20}/example", f"example_{secret}", f"your-{secret}"]
+    got = {r.doc_id: r.n_entropy_b64 for r in scan_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {0: 1, 1: 1, 2: 0, 3: 0}

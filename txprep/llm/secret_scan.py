@@ -11,8 +11,11 @@ entering and the leaving character change one count each, and with them the sum
 of ``f(c) = c log2 c``. The window's Shannon entropy is
 ``log2(WINDOW) - sum / WINDOW``; ``f`` is held in integer millionths of a bit, so
 the running sum is exact whatever the run's length. Windows that reach the
-class's threshold are joined where they overlap or touch; candidates that match
-the allow-list are suppressed. Allow-lists never touch base spans.
+class's threshold are joined where they overlap or touch. Candidates that match
+the allow-list of shapes are suppressed, and so are joined windows that hold a
+placeholder word; a placeholder elsewhere in the candidate excuses nothing.
+Allow-lists never touch base spans. A run of hex digits ends at any other
+character, so that ``KEY=``, ``sig_``, ``path/`` or ``0x`` may stand before it.
 
 Positions come from pairing the matches with the text between them (both in
 order) and a running sum of lengths in code points. All of it is a projection:
@@ -42,15 +45,16 @@ WINDOW = 24
 #: (kind, candidate, alphabet, bits). The most that 24 characters can have is
 #: log2(24) = 4.58 bits; random hex has about 3.6, random base64 about 4.2.
 ENTROPY_KINDS = (
-    ("entropy_hex", r"(?<![0-9A-Za-z+/_=-])[0-9a-fA-F]{24,}+(?![0-9A-Za-z+/_=-])", "0123456789abcdef", 3.0),
+    ("entropy_hex", r"(?<![0-9a-fA-F])[0-9a-fA-F]{24,}+", "0123456789abcdef", 3.0),
     ("entropy_b64", r"(?<![0-9A-Za-z+/_=-])[0-9A-Za-z+/_=-]{24,}+",
      "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", 3.9),
 )
-#: Candidates that are no secrets: placeholders, alphabets in order, UUIDs, one
-#: repeated character, and runs without a digit or without a letter (words and
-#: rules; for hex, numbers).
-ALLOW = (r"(?i)example|placeholder|changeme|dummy|your[_-]|lorem|0123456789|abcdefghij"
-         r"|^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$|(.)\1{7}|^[^0-9]+$|^[^A-Za-z]+$")
+#: Spans that are no secrets: with placeholders or alphabets in order.
+ALLOW_WORDS = r"(?i)example|placeholder|changeme|dummy|your[_-]|lorem|0123456789|abcdefghij"
+#: Candidates that are no secrets: UUIDs, one repeated character, and runs without
+#: a digit or without a letter (words and rules; for hex, numbers).
+ALLOW_SHAPES = (r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$|(.)\1{7}|^[^0-9]+$|^[^A-Za-z]+$")
+ALLOW = ALLOW_WORDS + "|" + ALLOW_SHAPES.removeprefix("(?i)")
 
 SCALE = 1_000_000
 _BLOCK = 256
@@ -155,14 +159,16 @@ def _slide_window(codes: Column, symbols: int, bits: float, window: int) -> Colu
         acc["open"]["end"] >= 0, F.array_append(acc["runs"], acc["open"])).otherwise(acc["runs"]))
 
 
-def entropy_spans(text: Column, allow: str = ALLOW) -> list[tuple[str, Column]]:
-    """(kind, array of (start, end)) for each character class."""
+def entropy_spans(text: Column, allow: str = ALLOW_SHAPES, allow_words: str = ALLOW_WORDS) -> list[tuple[str, Column]]:
+    """(kind, array of (start, end)) for each character class. ``allow`` is
+    searched in the candidate, ``allow_words`` in each flagged span of it."""
     out = []
     for kind, pattern, alphabet, bits in ENTROPY_KINDS:
         found = F.filter(F.when(text.rlike(pattern), matches(text, pattern, 0)), lambda m: ~m["match"].rlike(allow))
         folded = (lambda c: F.lower(c)) if kind == "entropy_hex" else (lambda c: c)
         runs = F.flatten(F.transform(found, lambda m: F.transform(
-            entropy_runs(folded(m["match"]), alphabet, bits),
+            F.filter(entropy_runs(folded(m["match"]), alphabet, bits), lambda r: ~F.substr(
+                m["match"], (r["start"] + 1).cast("int"), (r["end"] - r["start"]).cast("int")).rlike(allow_words)),
             lambda r: F.struct((m["start"] + r["start"]).alias("start"), (m["start"] + r["end"]).alias("end")))))
         out.append((kind, F.coalesce(runs, F.array().cast("array<struct<start:bigint,end:bigint>>"))))
     return out
@@ -180,11 +186,12 @@ def _joined(spans: list[tuple[str, Column]]) -> Column:
         ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def scan_secrets(docs: DataFrame, text_col: str = "text", allow: str = ALLOW) -> DataFrame:
+def scan_secrets(docs: DataFrame, text_col: str = "text", allow: str = ALLOW_SHAPES,
+                 allow_words: str = ALLOW_WORDS) -> DataFrame:
     """``docs`` with ``secret_spans`` (all spans as a string), ``base_spans``
     (the base ones) and a count ``n_<kind>`` per kind."""
     text = text_or_empty(text_col)
-    base, extra = base_spans(text), entropy_spans(text, allow)
+    base, extra = base_spans(text), entropy_spans(text, allow, allow_words)
     names = [k for k, _ in base + extra]
     # the arrays first, in one projection, so that counts and strings share them
     found = docs.select("*", *[c.alias(f"_spans_{k}") for k, c in base + extra])
