@@ -113,3 +113,26 @@ def op10_simhash(spark, sf_dir):
     from .simhash import components
     found = components(spark, table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def _periodic_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """A tenth of the documents with a repeated tail, as the query's contract says."""
+    import zlib
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 or not words:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+@register("op12_periodic_runs")
+def op12_periodic_runs(spark, sf_dir):
+    from .periodic_runs import find_runs
+    found = find_runs(table(spark, sf_dir, "documents"), rewrite=_periodic_tail)
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat_ws("", F.transform(lines, lambda line: F.concat(line, F.lit("\n"))))
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                        sha256_hex(listed).alias("runs_sha256"), sha256_hex(F.col("collapsed")).alias("collapsed_sha256"))
