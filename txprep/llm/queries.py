@@ -136,3 +136,10 @@ def op12_periodic_runs(spark, sf_dir):
     return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
                         F.expr("1000 * best.length div best.period").alias("exponent_milli"),
                         sha256_hex(listed).alias("runs_sha256"), sha256_hex(F.col("collapsed")).alias("collapsed_sha256"))
+
+
+@register("op13_html_extract")
+def op13_html_extract(spark, sf_dir):
+    from .html_extract import extract_pages
+    found = extract_pages(spark, table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "n_lines", "n_shared")
