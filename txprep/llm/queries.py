@@ -143,3 +143,73 @@ def op13_html_extract(spark, sf_dir):
     from .html_extract import extract_pages
     found = extract_pages(spark, table(spark, sf_dir, "pages"))
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "n_lines", "n_shared")
+
+
+def _rebuilt(turns):
+    """Conversations with the first turns of another one in place of theirs, as
+    the query's contract says: ``(turns, conversations)``."""
+    lengths = turns.groupBy("conv_id").agg(F.count("*").alias("length"))
+    h = F.crc32(F.col("conv_id").cast("string")) % 4
+    convs = lengths.select("conv_id", h.alias("h"), F.pmod("conv_id", F.lit(20)).alias("rest"))
+    donors = turns.filter((F.pmod("conv_id", F.lit(20)) == 0) & (F.col("pos") < 3)) \
+        .select(F.col("conv_id").alias("donor"), "pos", "name", "words")
+    given = convs.withColumn("donor", F.col("conv_id") - F.col("rest")).join(donors, "donor").filter("pos < h") \
+        .select("conv_id", "pos", "name", "words")
+    have = lengths.filter(F.pmod("conv_id", F.lit(20)) == 0).select(F.col("conv_id").alias("donor"), F.col("length").alias("donor_length"))
+    shift = convs.withColumn("donor", F.col("conv_id") - F.col("rest")).join(have, "donor", "left") \
+        .select("conv_id", "h", F.least("h", F.coalesce("donor_length", F.lit(0))).alias("got"))
+    own = turns.join(shift, "conv_id").filter("pos >= h").select(
+        "conv_id", (F.col("pos") - F.col("h") + F.col("got")).alias("pos"), "name", "words")
+    return given.unionByName(own), convs.select("conv_id")
+
+
+TRIE_SQL = """
+WITH RECURSIVE o AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT conv_id, count(*) AS length, xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda s, x: list_reduce(list_prepend(xor(s, x), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+      lambda r, z: CASE WHEN r % 2 = 1 THEN xor(r // 2, 3988292384) ELSE r // 2 END))) % 4 AS h
+  FROM o GROUP BY conv_id),
+g AS (
+  SELECT c.conv_id, c.h, least(c.h, coalesce(d.length, 0)) AS got, c.conv_id - c.conv_id % 20 AS donor
+  FROM c LEFT JOIN c d ON d.conv_id = c.conv_id - c.conv_id % 20),
+t AS (
+  SELECT g.conv_id, o.pos, o.role, o.text FROM g JOIN o ON o.conv_id = g.donor AND o.pos < g.h
+  UNION ALL
+  SELECT g.conv_id, o.pos - g.h + g.got, o.role, o.text FROM g JOIN o ON o.conv_id = g.conv_id AND o.pos >= g.h),
+p AS (
+  SELECT conv_id, 0 AS depth, 0 AS node, 0 AS parent, NULL::VARCHAR AS text FROM c
+  UNION ALL
+  SELECT p.conv_id, p.depth + 1, min(t.conv_id) OVER (PARTITION BY p.depth, p.node, t.role, t.text), p.node, t.text
+  FROM p JOIN t ON t.conv_id = p.conv_id AND t.pos = p.depth),
+q AS (SELECT conv_id, depth, CASE WHEN depth = 0 THEN (SELECT min(conv_id) FROM c) ELSE node END AS node,
+        CASE WHEN depth = 1 THEN (SELECT min(conv_id) FROM c) WHEN depth > 1 THEN parent END AS parent, text,
+        depth = max(depth) OVER (PARTITION BY conv_id) AS last FROM p),
+n AS (
+  SELECT node, depth, min(parent) AS parent, count(*) AS n_convs,
+    (count(*) - 1) * coalesce(len(list_filter(regexp_split_to_array(min(text), '[ \\t-\\r]+'), lambda w: w <> '')), 0) AS saved,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE last), '')) AS ends_sha256
+  FROM q GROUP BY node, depth),
+k AS (SELECT parent AS node, depth - 1 AS depth, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1, 2),
+s AS (
+  SELECT q.node, q.depth, sum(CASE WHEN k.node IS NULL THEN 1 ELSE 0 END) AS n_leaves, sum(n.saved) AS saved_tokens
+  FROM n JOIN q ON q.conv_id = n.node AND q.depth <= n.depth LEFT JOIN k ON k.node = n.node AND k.depth = n.depth
+  GROUP BY q.node, q.depth)
+SELECT n.node::BIGINT AS conv_id, n.depth::BIGINT AS depth, n.parent::BIGINT AS parent_conv_id, n.n_convs::BIGINT AS n_convs,
+  coalesce(k.n_children, 0)::BIGINT AS n_children, s.n_leaves::BIGINT AS n_leaves, s.saved_tokens::BIGINT AS saved_tokens,
+  n.ends_sha256
+FROM n LEFT JOIN k ON k.node = n.node AND k.depth = n.depth JOIN s ON s.node = n.node AND s.depth = n.depth
+"""
+
+
+@register("op11_prefix_trie", TRIE_SQL)
+def op11_prefix_trie(spark, sf_dir):
+    from .common import written
+    from .prefix_trie import ordered_turns, prefix_trie
+    turns = written(spark, ordered_turns(spark, table(spark, sf_dir, "conversations")), "trie-ordered")
+    rebuilt, convs = _rebuilt(turns)
+    return prefix_trie(spark, written(spark, rebuilt, "trie-rebuilt"), convs)
