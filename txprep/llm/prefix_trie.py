@@ -14,7 +14,8 @@ block sizes L = 1, 2, 4, ..., one Spark job each, from the bottom up:
   that sum.
 
 So the longest conversation costs the logarithm of its turns in rounds, not a
-round per turn, and no conversation or node is gathered in one task: joins are on
+round per turn, shorter ones leave the rounds as soon as a block holds them, and
+no conversation or node is gathered in one task: joins are on
 (conversation, block) and (conversation, place), whose hot keys adaptive
 execution splits, and sums combine before they are shuffled. A node is known by
 its smallest member and its depth; copies of a conversation own no node. Texts
@@ -35,6 +36,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -68,37 +70,47 @@ def ordered_turns(spark: SparkSession, turns: DataFrame) -> DataFrame:
     return placed.join(first, "conv_id").select("conv_id", (F.col("place") - F.col("first")).alias("pos"), "name", "words")
 
 
+def union_all(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
 def name_prefixes(spark: SparkSession, turns: DataFrame, longest: int) -> DataFrame:
-    """``turns`` with ``name`` the name of the whole prefix that ends there."""
-    size = 1
+    """``turns`` (with ``length``, that of the conversation) with ``name`` the
+    name of the whole prefix that ends there. Conversations leave the rounds
+    when a block holds them whole."""
+    done, size = [], 1
     while size < longest:
+        done.append(turns.filter(F.col("length") <= size))
         block, inside = F.expr(f"pos div {2 * size}"), F.col("pos") % (2 * size)
-        cuts = turns.filter(inside == size - 1).select("conv_id", block.alias("block"), F.col("name").alias("upper"))
-        lower = turns.withColumn("block", F.when(inside >= size, block))
-        named = lower.join(cuts, ["conv_id", "block"], "left").select(
-            "conv_id", "pos", F.when(F.col("upper").isNull(), F.col("name")).otherwise(
-                F.unhex(F.sha2(F.concat("upper", "name"), 256))).alias("name"), "words")
-        turns, size = written(spark, named, f"trie-names-{size}"), 2 * size
-    return turns
+        open_ = turns.filter(F.col("length") > size)
+        cuts = open_.filter(inside == size - 1).select("conv_id", block.alias("block"), F.col("name").alias("upper"))
+        lower = open_.filter(inside >= size).withColumn("block", block).join(cuts, ["conv_id", "block"])
+        named = lower.select("conv_id", "pos", F.unhex(F.sha2(F.concat("upper", "name"), 256)).alias("name"), "words", "length")
+        turns = written(spark, open_.filter(inside < size).unionByName(named), f"trie-names-{size}")
+        size *= 2
+    return union_all([*done, turns])
 
 
 def graft_totals(spark: SparkSession, nodes: DataFrame, paths: DataFrame, longest: int) -> DataFrame:
-    """``nodes`` (``conv_id, pos, parent, leaves, saved``) with ``leaves`` and
-    ``saved`` summed over subtrees; ``paths``: ``conv_id, pos, node`` (the node's
-    smallest member) along the conversations that own a node."""
-    size = 1
+    """``nodes`` (``conv_id, pos, parent, reach, leaves, saved``; ``reach``: turns
+    of the longest member) with ``leaves`` and ``saved`` summed over subtrees;
+    ``paths``: ``conv_id, pos, node`` (the node's smallest member) along the
+    conversations that own a node. Nodes leave the rounds when nothing is below
+    their block."""
+    done, size = [], 1
     while size < longest:
+        done.append(nodes.filter(F.col("reach") <= size))
         block, inside = F.expr(f"pos div {2 * size}"), F.col("pos") % (2 * size)
-        cut = nodes.filter(inside == size).groupBy(F.col("parent").alias("conv_id"), block.alias("block")) \
-            .agg(F.sum("leaves").alias("more_leaves"), F.sum("saved").alias("more_saved"))
+        open_ = nodes.filter(F.col("reach") > size)
+        cut = open_.filter(inside == size).groupBy(F.col("parent").alias("conv_id"), block.alias("block")) \
+            .agg(F.sum("leaves").alias("leaves"), F.sum("saved").alias("saved"))
         upper = paths.filter(inside < size).select("conv_id", block.alias("block"), "pos", "node")
-        graft = cut.join(upper, ["conv_id", "block"]).groupBy(F.col("node").alias("conv_id"), "pos") \
-            .agg(F.sum("more_leaves").alias("more_leaves"), F.sum("more_saved").alias("more_saved"))
-        grafted = nodes.join(graft, ["conv_id", "pos"], "left") \
-            .withColumn("leaves", F.col("leaves") + F.coalesce("more_leaves", F.lit(0))) \
-            .withColumn("saved", F.col("saved") + F.coalesce("more_saved", F.lit(0))).drop("more_leaves", "more_saved")
+        graft = cut.join(upper, ["conv_id", "block"]).select(F.col("node").alias("conv_id"), "pos", "leaves", "saved")
+        grafted = open_.unionByName(graft, allowMissingColumns=True).groupBy("conv_id", "pos").agg(
+            *[F.max(c).alias(c) for c in ("parent", "reach", "n_convs", "n_children")],
+            *[F.sum(c).alias(c) for c in ("leaves", "saved")])
         nodes, size = written(spark, grafted, f"trie-totals-{size}"), 2 * size
-    return nodes
+    return union_all([*done, nodes])
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,16 +175,17 @@ def prefix_trie(spark: SparkSession, turns: DataFrame, convs: DataFrame) -> Data
     ``saved_tokens``, ``ends_sha256``."""
     lengths = turns.groupBy("conv_id").agg(F.count("*").alias("length"))
     longest = lengths.agg(F.max("length")).first()[0] or 0
-    named = name_prefixes(spark, turns, longest)
+    named = name_prefixes(spark, written(spark, turns.join(lengths, "conv_id"), "trie-names-0"), longest)
 
-    known = written(spark, named.groupBy("pos", "name").agg(F.min("conv_id").alias("node"), F.count("*").alias("n_convs"),
-                                                            F.max("words").alias("words")), "trie-nodes")
-    steps = written(spark, named.select("conv_id", "pos", "name").join(known, ["pos", "name"]).select("conv_id", "pos", "node"),
-                    "trie-paths")
+    known = written(spark, named.groupBy("pos", "name").agg(
+        F.min("conv_id").alias("node"), F.count("*").alias("n_convs"), F.max("words").alias("words"),
+        F.max("length").alias("reach")), "trie-nodes")
+    steps = written(spark, named.select("conv_id", "pos", "name", "length").join(
+        known.select("pos", "name", "node"), ["pos", "name"]).select("conv_id", "pos", "length", "node"), "trie-paths")
     owners = steps.filter("conv_id = node").select("conv_id").distinct()
     paths = written(spark, steps.join(owners, "conv_id", "left_semi"), "trie-owned")
     above = paths.select("conv_id", (F.col("pos") + 1).alias("pos"), F.col("node").alias("parent"))
-    plain = known.select(F.col("node").alias("conv_id"), "pos", "n_convs",
+    plain = known.select(F.col("node").alias("conv_id"), "pos", "reach", "n_convs",
                          ((F.col("n_convs") - 1) * F.col("words")).alias("saved")).join(above, ["conv_id", "pos"], "left")
     plain = written(spark, plain, "trie-parents")
     children = plain.filter("pos > 0").groupBy(F.col("parent").alias("conv_id"), (F.col("pos") - 1).alias("pos")) \
@@ -187,12 +200,12 @@ def prefix_trie(spark: SparkSession, turns: DataFrame, convs: DataFrame) -> Data
     root = spark.createDataFrame([(root_id, -1, n_convs, top[0], max(top[1] or 0, 1), top[2] or 0)] if n_convs else [],
                                  "conv_id long, pos long, n_convs long, n_children long, leaves long, saved long")
     root_id = F.lit(root_id).cast("long")
-    nodes = total.unionByName(root, allowMissingColumns=True).select(
+    nodes = total.drop("reach").unionByName(root, allowMissingColumns=True).select(
         "conv_id", (F.col("pos") + 1).alias("depth"),
         F.when(F.col("pos") == 0, root_id).otherwise(F.col("parent")).alias("parent_conv_id"),
         "n_convs", "n_children", F.col("leaves").alias("n_leaves"), F.col("saved").alias("saved_tokens"))
 
-    last = steps.join(lengths, "conv_id").filter("pos = length - 1").select(
+    last = steps.filter("pos = length - 1").select(
         F.col("node").alias("conv_id"), (F.col("pos") + 1).alias("depth"), F.col("conv_id").alias("member"))
     turnless = convs.join(lengths, "conv_id", "left_anti").select(
         root_id.alias("conv_id"), F.lit(0).cast("long").alias("depth"), F.col("conv_id").alias("member"))
