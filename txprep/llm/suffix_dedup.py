@@ -8,28 +8,36 @@ document with one anchor make a *run*: the anchor, what precedes it (left) and
 what follows (right).
 
 1. ``chunks``: documents are packed into compressed chunks of bounded size.
-2. Anchors that occur in two documents are found by a shuffle of 6-byte keys,
+2. Anchors that occur in two documents are found by an exchange of 6-byte keys,
    each once per chunk.
 3. Runs with such anchors go to their anchor's shard, each content once per
-   chunk, with its smallest document. In a shard, lefts (reversed) and rights of
-   an anchor are sorted by a suffix array of all of them (``suffix_array``), and
-   neighbours' common prefixes tell which are equal up to any depth. A string is
+   chunk, with its smallest document; the shard merges equal contents. Lefts
+   (reversed) and rights of anchors with several contents are concatenated and
+   sorted by a suffix array (``suffix_array``); sides that agree up to a depth are
+   neighbours in it, and their common prefixes tell up to where. A string is
    a left up to one depth and a right up to another, so this tells exactly which
    strings are equal, and the smallest document of each.
 4. One bit per string goes back to the run's chunk, where bytes are removed.
 
 ``suffix_array`` sorts by groups of suffixes with equal Lyndon prefixes: groups
 are processed in descending order, previous-smaller pointers move the suffixes
-before them to new groups, and a pass over the result emits each group's order.
+before them to new groups (``lyndon.phase_one``), and a pass over the result
+emits each group's order.
+
+Both exchanges route by the digits of the shard's number: a chunk sends at most
+``FAN`` messages, whatever the size of the corpus, and where there are more
+shards than that, further rounds merge the messages of some ``FAN`` chunks and
+split them by the next digit (``route``).
 
 Hot passages: copies within a chunk collapse before the shuffle, so a shard gets
 a row per chunk and content, however many documents hold it. Nothing reaches
 the driver.
 
 Defined results: a null text is empty; texts under ``LENGTH`` bytes keep all;
-a null ``doc_id`` is neither smaller nor larger than any, its text is kept and
-removes nothing; rows with the same ``doc_id`` never remove from each other;
-an empty table gives no rows; other columns are ignored.
+a very long text is a chunk of its own; a null ``doc_id`` is neither smaller nor
+larger than any, its text is kept and removes nothing; rows with the same
+``doc_id`` never remove from each other; an empty table gives no rows; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -43,6 +51,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import text_or_empty, written
+from .lyndon import phase_one
 
 LENGTH = 50
 K = 16
@@ -50,12 +59,16 @@ K = 16
 SPAN = LENGTH - K + 1
 SIDE = LENGTH - K
 CHUNK_BYTES = 4 << 20
+#: Messages that a chunk sends, at most, and that a routing step merges, about.
+FAN = 128
+#: Chunks for one shard.
+CHUNKS_PER_SHARD = 2
 #: Bytes to a symbol of the suffix array: 257 to this power fits 64 bits.
 BLOCK = 7
-#: Bytes that one suffix array sorts; the sort is linear, this bounds memory.
-SORT_BYTES = 1 << 18
+#: Symbols that one suffix array sorts, about; the sort is linear, this bounds memory.
+SORT_SYMBOLS = 1 << 16
 
-ROW_SCHEMA = "chunk string, kind int, part int, n long, data binary"
+ROW_SCHEMA = "chunk long, kind int, part long, n long, data binary"
 DIGEST_SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed binary"
 
 
@@ -64,69 +77,8 @@ def suffix_array(text) -> list[int]:
     """The starts of the suffixes of ``text`` (bytes or small ints) in order,
     in linear time apart from sorting a group's places."""
     n = len(text)
-    counts = [0] * (max(text, default=0) + 1)
-    for c in text:
-        counts[c] += 1
-    first, total = [], 0
-    for c in counts:
-        first.append(total)
-        total += c
-    # a group is a range of order[]; its start is its rank
-    size = [0] * n
-    for c, f in zip(counts, first):
-        if c:
-            size[f] = c
-    start = [first[c] for c in text]
-    fill, order, place = list(first), [0] * n, [0] * n
-    for i, c in enumerate(text):
-        order[fill[c]] = i
-        place[i] = fill[c]
-        fill[c] += 1
-    before = [-1] * n
-    top = n
-    while top > 0:
-        low = start[order[top - 1]]
-        members = order[low:top]
-        top = low
-        if len(members) > 1:
-            members.sort()
-        points: dict[int, int] = {}
-        for s in members:
-            p = s - 1
-            while p >= 0 and start[p] >= low:
-                p = before[p]
-            before[s] = p
-            if p >= 0:
-                points[p] = points.get(p, 0) + 1
-        if not points:
-            continue
-        if len(points) == 1:
-            levels = [list(points)]
-        else:
-            by_count: dict[int, list[int]] = {}
-            for p, c in points.items():
-                by_count.setdefault(c, []).append(p)
-            levels = [by_count[c] for c in sorted(by_count, reverse=True)]
-        for level in levels:
-            moved: dict[int, int] = {}
-            for p in level:
-                g = start[p]
-                m = moved.get(g, 0) + 1
-                moved[g] = m
-                end = g + size[g] - m              # the last place not yet taken
-                at = place[p]
-                other = order[end]
-                order[end], order[at] = p, other
-                place[p], place[other] = end, at
-            for p in level:
-                g = start[p]
-                if moved.get(g, 0) and moved[g] < size[g]:
-                    start[p] = g + size[g] - moved[g]
-            for g, m in moved.items():
-                if m < size[g]:
-                    size[g] -= m
-                    size[g + size[g]] = m
-    # emit: a suffix comes right after its group's earlier ones once its next smaller suffix is out
+    start, before, _ = phase_one(text)
+    # a suffix comes right after its group's earlier ones once its next smaller suffix is out
     head = list(range(n))
     result, done = [0] * n, [False] * n
     for i in range(-1, n):
@@ -143,15 +95,14 @@ def suffix_array(text) -> list[int]:
 
 # ------------------------------------------------------------ anchors and runs
 def _least_places(h: np.ndarray, width: int) -> np.ndarray:
-    """The place of the first smallest value in every window of ``width``."""
-    at, k = np.arange(len(h), dtype=np.int32), 1
+    """The place of the first smallest value, by its upper half, in every window
+    of ``width``. Hash and place share a word, so one minimum does for both."""
+    v, k = (h & ~np.uint64(0xFFFFFFFF)) | np.arange(len(h), dtype=np.uint64), 1
     while k < width:
         step = min(k, width - k)                 # the last step overlaps
-        left = h[:-step] <= h[step:]
-        at = np.where(left, at[:-step], at[step:])
-        h = np.where(left, h[:-step], h[step:])
+        v = np.minimum(v[:-step], v[step:])
         k += step
-    return at
+    return (v & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
 def _hashes(buf: bytes) -> np.ndarray:
@@ -195,15 +146,19 @@ def _short(key: np.ndarray) -> np.ndarray:
 
 
 # ------------------------------------------------------------ blobs
-def _blob(*arrays: np.ndarray | bytes) -> bytes:
-    """Arrays in one compressed string; ``_unblob`` gives their bytes."""
+def _blob(*arrays: np.ndarray | bytes, level: int = 1) -> bytes:
+    """Arrays in one string, compressed unless ``level`` is 0; ``_unblob`` gives
+    their bytes."""
     raw = [a if isinstance(a, bytes) else np.ascontiguousarray(a).tobytes() for a in arrays]
     body = np.array([len(raw), *map(len, raw)], "<u8").tobytes() + b"".join(raw)
+    if not level:
+        return bytes(8) + body
     return np.array([len(body)], "<u8").tobytes() + pa.compress(body, codec="zstd", asbytes=True)
 
 
 def _unblob(blob: bytes) -> list[bytes]:
-    body = pa.decompress(blob[8:], int(np.frombuffer(blob, "<u8", 1)[0]), codec="zstd", asbytes=True)
+    size = int(np.frombuffer(blob, "<u8", 1)[0])
+    body = pa.decompress(blob[8:], size, codec="zstd", asbytes=True) if size else blob[8:]
     count = int(np.frombuffer(body, "<u8", 1)[0])
     sizes = np.frombuffer(body, "<u8", count, 8).astype(int)
     at = 8 * (count + 1)
@@ -217,7 +172,7 @@ def _unblob(blob: bytes) -> list[bytes]:
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
     chunk, kind, part, n, data = zip(*rows) if rows else ([],) * 5
     return pa.RecordBatch.from_arrays(
-        [pa.array(chunk, pa.string()), pa.array(kind, pa.int32()), pa.array(part, pa.int32()),
+        [pa.array(chunk, pa.int64()), pa.array(kind, pa.int32()), pa.array(part, pa.int64()),
          pa.array(n, pa.int64()), pa.array(data, pa.binary())], names=["chunk", "kind", "part", "n", "data"])
 
 
@@ -244,7 +199,7 @@ def _pack(chunk_bytes: int):
         def flush():
             data = _blob(np.array([i or 0 for i in ids], "<i8"), np.array([i is None for i in ids], np.uint8),
                          np.cumsum([len(t) for t in texts]).astype("<i8"), b"".join(texts))
-            return _rows([(f"{part}-{count}", DOCS, 0, len(ids), data)])
+            return _rows([(part << 32 | count, DOCS, 0, len(ids), data)])
 
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
@@ -260,21 +215,104 @@ def _pack(chunk_bytes: int):
     return run
 
 
-def _by_key(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[object, list[dict]]]:
-    """Rows of sorted batches, one list per value of ``column``."""
+def _by_key(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[tuple, list[dict]]]:
+    """Rows of sorted batches, one list per value of ``columns``."""
     key, rows = None, []
     for batch in batches:
         for row in batch.to_pylist():
-            if rows and row[column] != key:
+            now = tuple(row[c] for c in columns)
+            if rows and now != key:
                 yield key, rows
                 rows = []
-            key = row[column]
+            key = now
             rows.append(row)
     if rows:
         yield key, rows
 
 
-def _send_keys(parts: int):
+class Shards:
+    """How keys are dealt to ``base ** levels`` shards: one digit a round."""
+
+    def __init__(self, wanted: int, fan: int = FAN):
+        self.levels = 1
+        while fan ** self.levels < wanted:
+            self.levels += 1
+        self.base = 1
+        while self.base ** self.levels < wanted:
+            self.base += 1
+
+    def of(self, key: np.ndarray, level: int) -> np.ndarray:
+        """The leading ``level`` digits of the keys' shards, as one number."""
+        return _short(key).astype(np.int64) % self.base ** self.levels // self.base ** (self.levels - level)
+
+    def last(self, key: np.ndarray) -> np.ndarray:
+        return self.of(key, self.levels)
+
+
+def _split(message: "Keys | Contents", shards: Shards, level: int, kind: int) -> list[tuple]:
+    """The rows of a message, by the leading digits of its keys."""
+    part = shards.of(message.key, level)
+    order = np.argsort(part, kind="stable")
+    begin = np.flatnonzero(np.diff(part[order], prepend=-1))
+    rows = []
+    for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(order)]):
+        mine = message.take(order[a:b])
+        # rows of one round are named by the first of their chunks
+        rows.append((int(mine.chunk[0]), kind, int(part[order[a]]), b - a, mine.pack()))
+    return rows
+
+
+def route(df: DataFrame, shards: Shards, kind: int, n_chunks: int) -> DataFrame:
+    """Messages split by the first digit, dealt to the shards of all digits."""
+    make = Keys if kind == SHARED else Contents
+
+    def step(level: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for _, rows in _by_key(batches, "part", "meet"):
+                yield _rows(_split(make.join([make.unpack(x["data"]) for x in rows]), shards, level, kind))
+        return run
+
+    for level in range(2, shards.levels + 1):
+        # about FAN messages of a digit meet in a task, whatever the number of chunks
+        groups = max(1, n_chunks // shards.base ** (level - 1))
+        meet = F.pmod(F.xxhash64("chunk"), F.lit(groups))
+        dealt = df.withColumn("meet", meet).repartition("part", "meet").sortWithinPartitions("part", "meet", "chunk")
+        df = dealt.mapInArrow(step(level), ROW_SCHEMA)
+    return df
+
+
+class Keys:
+    """Keys of anchors with the chunks that have them, and whether two documents of the chunk do."""
+
+    def __init__(self, chunk: np.ndarray, key: np.ndarray, many: np.ndarray):
+        self.chunk, self.key, self.many = chunk, key, many
+
+    def take(self, at: np.ndarray) -> "Keys":
+        return Keys(self.chunk[at], self.key[at], self.many[at])
+
+    def pack(self) -> bytes:
+        """Six bytes a key, and each chunk once."""
+        begin = np.flatnonzero(np.diff(self.chunk, prepend=-1))
+        short = (_short(self.key).astype(np.int64) << 1) | self.many
+        six = short.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :6]
+        return _blob(self.chunk[begin].astype("<i8"), begin.astype("<i8"), six.tobytes(), level=0)
+
+    @staticmethod
+    def unpack(data: bytes) -> "Keys":
+        chunk, begin, six = _unblob(data)
+        eight = np.zeros((len(six) // 6, 8), np.uint8)
+        eight[:, :6] = np.frombuffer(six, np.uint8).reshape(-1, 6)
+        sent = eight.view("<i8").ravel()
+        begin = np.frombuffer(begin, "<i8")
+        chunk = np.repeat(np.frombuffer(chunk, "<i8"), np.diff(begin, append=len(sent)))
+        return Keys(chunk, (sent >> 1).astype(np.uint64) << np.uint64(17), (sent & 1).astype(bool))
+
+    @staticmethod
+    def join(parts: list["Keys"]) -> "Keys":
+        return Keys(*[np.concatenate([getattr(p, c) for p in parts]) for c in ("chunk", "key", "many")])
+
+
+def _send_keys(shards: Shards):
     """Each anchor of a chunk once, and whether two of its documents have it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -285,43 +323,32 @@ def _send_keys(parts: int):
                     continue
                 # runs of one anchor in two places of this chunk that are different documents
                 order = np.argsort(r.key, kind="stable")
-                key, doc = _short(r.key[order]).astype(np.int64), r.doc[order]
+                key, doc = _short(r.key[order]), r.doc[order]
                 begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-                keys = key[begin]
                 many = np.minimum.reduceat(doc, begin) < np.maximum.reduceat(doc, begin)
-                sent = (keys << 1) | many
-                part = keys % parts
-                order = np.argsort(part, kind="stable")
-                edges = np.searchsorted(part[order], np.arange(parts + 1))
-                out = []
-                for p in range(parts):
-                    mine = sent[order[edges[p]:edges[p + 1]]]
-                    if len(mine):
-                        six = mine.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :6]
-                        out.append((row["chunk"], SHARED, p, len(mine), six.tobytes()))
-                yield _rows(out)
+                chunk = np.full(len(begin), row["chunk"], np.int64)
+                yield _rows(_split(Keys(chunk, key[begin] << np.uint64(17), many), shards, 1, SHARED))
     return run
 
 
 def _answer_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """To each chunk, those of its anchors that two documents have."""
-    for part, rows in _by_key(batches, "part"):
-        keys = []
-        for row in rows:
-            eight = np.zeros((row["n"], 8), np.uint8)
-            eight[:, :6] = np.frombuffer(row["data"], np.uint8).reshape(-1, 6)
-            keys.append(eight.view("<i8").ravel())
-        chunk = np.repeat(np.arange(len(rows)), [len(k) for k in keys])
-        sent = np.concatenate(keys)
-        key, many = sent >> 1, (sent & 1).astype(bool)
-        found, inverse, n = np.unique(key, return_inverse=True, return_counts=True)
-        shared = n > 1
-        shared[inverse[many]] = True
-        keep = shared[inverse]
-        for i, row in enumerate(rows):
-            mine = key[keep & (chunk == i)]
-            if len(mine):
-                yield _rows([(row["chunk"], SHARED, part, len(mine), _blob(mine.astype("<i8")))])
+    for (part,), rows in _by_key(batches, "part"):
+        sent = Keys.join([Keys.unpack(x["data"]) for x in rows])
+        order = np.argsort(sent.key, kind="stable")
+        key, many = sent.key[order], sent.many[order]
+        begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        n = np.diff(begin, append=len(key))
+        keep = np.repeat((n > 1) | np.logical_or.reduceat(many, begin), n)
+        key, chunk = key[keep], sent.chunk[order][keep]
+        # one answer a chunk: sort and split
+        order = np.argsort(chunk, kind="stable")
+        key, chunk = _short(key[order]).astype("<i8"), chunk[order]
+        begin = np.flatnonzero(np.diff(chunk, prepend=-1))
+        for lo in range(0, len(begin), 1024):
+            ends = [*begin[lo + 1:lo + 1025].tolist(), len(chunk)]
+            yield _rows([(int(chunk[a]), SHARED, part, b - a, _blob(key[a:b]))
+                         for a, b in zip(begin[lo:lo + 1024].tolist(), ends)])
 
 
 def _shared_runs(c: Chunk, rows: list[dict]) -> tuple[Runs, np.ndarray, np.ndarray, np.ndarray]:
@@ -354,29 +381,60 @@ def _shared_runs(c: Chunk, rows: list[dict]) -> tuple[Runs, np.ndarray, np.ndarr
     return r, np.array(first, np.int64), content, np.column_stack([left, right]) if len(left) else np.empty((0, 2), np.int64)
 
 
-def _send_runs(parts: int):
+class Contents:
+    """Distinct contents of a chunk's shared runs: anchor's key, smallest
+    document, lengths of left and right, and the bytes one after the other."""
+
+    def __init__(self, chunk, key, doc, sides, pieces: bytes):
+        self.chunk, self.key, self.doc, self.sides, self.pieces = chunk, key, doc, sides, pieces
+
+    def ends(self) -> np.ndarray:
+        return np.cumsum(self.sides.sum(axis=1, dtype=np.int64) + K)
+
+    def take(self, at: np.ndarray) -> "Contents":
+        ends = self.ends()
+        starts = ends - self.sides.sum(axis=1, dtype=np.int64) - K
+        view = memoryview(self.pieces)
+        pieces = b"".join([view[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())])
+        return Contents(self.chunk[at], self.key[at], self.doc[at], self.sides[at], pieces)
+
+    def pack(self) -> bytes:
+        begin = np.flatnonzero(np.diff(self.chunk, prepend=-1))
+        return _blob(self.chunk[begin].astype("<i8"), begin.astype("<i8"), self.key.astype("<u8"), self.doc.astype("<i8"),
+                     self.sides.astype(np.uint8), self.pieces)
+
+    @staticmethod
+    def unpack(data: bytes) -> "Contents":
+        chunk, begin, key, doc, sides, pieces = _unblob(data)
+        begin, key = np.frombuffer(begin, "<i8"), np.frombuffer(key, "<u8")
+        return Contents(np.repeat(np.frombuffer(chunk, "<i8"), np.diff(begin, append=len(key))), key,
+                        np.frombuffer(doc, "<i8"), np.frombuffer(sides, np.uint8).reshape(-1, 2), pieces)
+
+    @staticmethod
+    def join(parts: list["Contents"]) -> "Contents":
+        return Contents(*[np.concatenate([getattr(p, c) for p in parts]) for c in ("chunk", "key", "doc", "sides")],
+                        b"".join([p.pieces for p in parts]))
+
+
+def _send_runs(shards: Shards):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, rows in _by_key(batches, "chunk"):
+        for (chunk,), rows in _by_key(batches, "chunk"):
             c = Chunk(next(x["data"] for x in rows if x["kind"] == DOCS))
             r, first, _, sides = _shared_runs(c, rows)
             if not len(first):
                 continue
-            part = (_short(r.key[first]).astype(np.int64)) % parts
-            out = []
-            for p in np.unique(part):
-                mine = first[part == p]
-                pieces = b"".join([c.buf[a:b] for a, b in zip(r.lo[mine].tolist(), (r.hi[mine] + LENGTH).tolist())])
-                out.append((chunk, MASKS, int(p), len(mine), _blob(
-                    r.key[mine].astype("<u8"), c.ids[r.doc[mine]].astype("<i8"), sides[mine].astype(np.uint8), pieces)))
-            yield _rows(out)
+            pieces = b"".join([c.buf[a:b] for a, b in zip(r.lo[first].tolist(), (r.hi[first] + LENGTH).tolist())])
+            yield _rows(_split(Contents(np.full(len(first), chunk, np.int64), r.key[first], c.ids[r.doc[first]],
+                                        sides[first].astype(np.uint8), pieces), shards, 1, MASKS))
     return run
 
 
-def _padded(pieces: np.ndarray, starts: np.ndarray, lengths: np.ndarray, step: int) -> np.ndarray:
-    """Bytes + 1 from each start on, forward or backward, padded with 0 to SIDE."""
-    at = starts[:, None] + step * np.arange(SIDE)
-    inside = np.arange(SIDE) < lengths[:, None]
-    return np.where(inside, pieces[np.clip(at, 0, max(len(pieces) - 1, 0))].astype(np.int16) + 1, 0)
+def _matrix(strings: list[bytes]) -> np.ndarray:
+    """Bytes + 1 of each string in a row, padded with 0 to SIDE."""
+    lengths = np.fromiter(map(len, strings), np.int64, len(strings))
+    out = np.zeros((len(strings), SIDE), np.int16)
+    out[np.arange(SIDE) < lengths[:, None]] = np.frombuffer(b"".join(strings), np.uint8).astype(np.int16) + 1
+    return out
 
 
 def _symbols(strings: np.ndarray) -> np.ndarray:
@@ -388,111 +446,129 @@ def _symbols(strings: np.ndarray) -> np.ndarray:
     return (wide.reshape(len(strings), -1, BLOCK) * weights).sum(axis=2, dtype=np.uint64)
 
 
-def _depth_classes(group: np.ndarray, sides: np.ndarray) -> np.ndarray:
-    """For each row the class of its side up to every depth 0..SIDE: rows of one
-    group have equal classes at a depth iff their sides agree up to it. The
-    distinct sides of a group are put in order by a suffix array."""
-    rows = np.ascontiguousarray(np.column_stack([group.astype(np.int64).view(np.int16).reshape(-1, 4), sides]))
-    distinct, inverse = np.unique(rows.view(np.dtype((np.void, rows.dtype.itemsize * rows.shape[1]))).ravel(),
-                                  return_inverse=True)
-    table = distinct.view(np.int16).reshape(len(distinct), -1)
-    groups = np.ascontiguousarray(table[:, :4]).view(np.int64).ravel()
-    strings = table[:, 4:]
-    lengths = (strings > 0).sum(axis=1)
+def _ranks(strings: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """The place of each row (of one group, among those) in the order of the
+    suffixes of all rows together, each row one stretch of symbols and a 0 that
+    is smaller than any."""
     symbols = _symbols(strings)
-    by_group = np.argsort(groups, kind="stable")
-    alone = np.bincount(np.unique(groups, return_inverse=True)[1])[np.unique(groups, return_inverse=True)[1]] == 1
-    rank = np.zeros(len(distinct), np.int64)
-    todo = by_group[~alone[by_group]]
-    # sort the sides of as many groups at a time as the bound allows; a group is never cut
-    total = np.cumsum(lengths[todo] + 1)
-    group_end = np.append(np.flatnonzero(groups[todo][1:] != groups[todo][:-1]) + 1, len(todo)) if len(todo) else []
+    blocks = (symbols > 0).sum(axis=1)
+    rank = np.empty(len(strings), np.int64)
+    # as many groups at a time as the bound allows; a group is never cut
+    last = np.append(np.flatnonzero(group[1:] != group[:-1]) + 1, len(group))
+    total = np.cumsum(blocks + 1)
     begin = 0
-    for k, end in enumerate(group_end):
-        last = k == len(group_end) - 1
-        following = total[group_end[k + 1] - 1] - (total[begin - 1] if begin else 0) if not last else 0
-        if last or following > SORT_BYTES:
-            part = todo[begin:end]
-            # blocks of a side become symbols in their order; a 0 after every side is smaller than any
-            blocks = (lengths[part] + BLOCK - 1) // BLOCK
-            text = symbols[part][np.arange(symbols.shape[1]) < blocks[:, None]]
-            heads = np.cumsum(blocks + 1) - (blocks + 1)
-            joined = np.insert(np.unique(text, return_inverse=True)[1] + 1, np.cumsum(blocks), 0)
-            order = np.array(suffix_array(joined.tolist()), np.int64)
-            place = np.empty(len(joined), np.int64)
-            place[order] = np.arange(len(order))
-            rank[part] = place[heads]
-            begin = end
-    order = np.lexsort((rank, groups))
+    while begin < len(strings):
+        reach = total[begin - 1] + SORT_SYMBOLS if begin else SORT_SYMBOLS
+        end = int(last[np.searchsorted(last, max(int(np.searchsorted(total, reach)), begin + 1))])
+        part = slice(begin, end)
+        text = symbols[part][np.arange(symbols.shape[1]) < blocks[part, None]]
+        heads = np.cumsum(blocks[part] + 1) - (blocks[part] + 1)
+        joined = np.insert(np.unique(text, return_inverse=True)[1] + 1, np.cumsum(blocks[part]), 0)
+        place = np.empty(len(joined), np.int64)
+        place[np.array(suffix_array(joined.tolist()), np.int64)] = np.arange(len(joined))
+        rank[part] = place[heads]
+        begin = end
+    return rank
+
+
+def _depth_classes(group: np.ndarray, sides: list[bytes]) -> np.ndarray:
+    """For each row the class of its side up to every depth 0..SIDE: rows of one
+    group (groups ascend) have equal classes at a depth iff their sides agree up
+    to it. Sides that agree are neighbours in the order of the suffix array, so
+    the common prefixes of neighbours tell all."""
+    seen: dict = {}
+    named = np.array([seen.setdefault((g, s), len(seen)) for g, s in zip(group.tolist(), sides)], np.int64)
+    groups = np.array([g for g, _ in seen], np.int64)
+    strings = _matrix([s for _, s in seen])
+    order = np.lexsort((_ranks(strings, groups), groups))
     ordered, g = strings[order], groups[order]
-    same = np.zeros(len(order), np.int64)                  # common prefix with the one before, -1 across groups
+    same = np.full(len(order), -1, np.int64)               # common prefix with the one before, -1 across groups
     if len(order) > 1:
         equal = (ordered[1:] == ordered[:-1]) & (ordered[1:] > 0)
-        same[1:] = np.where(g[1:] == g[:-1], np.cumprod(equal, axis=1).sum(axis=1), -1)
-    if len(order):
-        same[0] = -1
-    classes = np.cumsum(same[:, None] < np.arange(SIDE + 1), axis=0)
+        agree = np.where(equal.all(axis=1), SIDE, equal.argmin(axis=1))
+        same[1:] = np.where(g[1:] == g[:-1], agree, -1)
+    classes = np.cumsum(same[:, None] < np.arange(SIDE + 1), axis=0, dtype=np.int32)
     out = np.empty((len(order), SIDE + 1), np.int32)
     out[order] = classes
-    return out[inverse]
+    return out[named]
 
 
-def match_masks(key: np.ndarray, doc: np.ndarray, left: np.ndarray, right: np.ndarray, pieces: np.ndarray) -> np.ndarray:
+def _string_masks(group: np.ndarray, doc: np.ndarray, sides: np.ndarray, texts: list[bytes]) -> np.ndarray:
+    """For distinct contents (groups ascend) the strings that a smaller document has."""
+    left, right = sides[:, 0].astype(np.int64), sides[:, 1].astype(np.int64)
+    at_left = _depth_classes(group, [t[:a][::-1] for t, a in zip(texts, left.tolist())])
+    at_right = _depth_classes(group, [t[a + K:] for t, a in zip(texts, left.tolist())])
+    masks = np.zeros(len(group), np.uint64)
+    for o in range(SPAN):
+        rows = np.flatnonzero((left >= o) & (right >= SIDE - o))
+        if not len(rows):
+            continue
+        pair = at_left[rows, o].astype(np.int64) << 32 | at_right[rows, SIDE - o]
+        order = np.argsort(pair, kind="stable")
+        p, d = pair[order], doc[rows[order]]
+        begin = np.flatnonzero(np.concatenate([[True], p[1:] != p[:-1]]))
+        least = np.repeat(np.minimum.reduceat(d, begin), np.diff(begin, append=len(p)))
+        masks[rows[order]] |= (least < d).astype(np.uint64) << np.uint64(o)
+    return masks
+
+
+def _all_strings(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """A bit for every string of each run."""
+    one, low = np.uint64(1), np.maximum(SIDE - right, 0).astype(np.uint64)
+    return (one << (left.astype(np.uint64) + one)) - (one << low)
+
+
+def match_masks(key: np.ndarray, doc: np.ndarray, left: np.ndarray, right: np.ndarray, pieces: bytes) -> np.ndarray:
     """For runs (anchor key, document, lengths of left and right, bytes one
     after the other) the strings that a smaller document has: bit ``o`` for the
     string in which the anchor is at ``o``."""
-    lengths = left + K + right
-    starts = np.cumsum(lengths) - lengths
+    ends = np.cumsum(left + K + right)
+    # equal contents are one, with the smallest of their documents
+    seen: dict = {}
+    view, begin = memoryview(pieces), 0
+    named = np.empty(len(key), np.int64)
+    for i, (k, a, end) in enumerate(zip(key.tolist(), left.tolist(), ends.tolist())):
+        named[i] = seen.setdefault((k, a, view[begin:end].tobytes()), len(seen))
+        begin = end
+    least = np.full(len(seen), np.iinfo(np.int64).max)
+    np.minimum.at(least, named, doc)
     # equal hashes of different anchors are told apart by their bytes
-    anchor = pieces[(starts + left)[:, None] + np.arange(K)]
-    named = np.ascontiguousarray(np.column_stack([key.astype("<u8").view(np.uint8).reshape(-1, 8), anchor]))
-    group = np.unique(named.view(np.dtype((np.void, 8 + K))).ravel(), return_inverse=True)[1]
-    masks = np.zeros(len(key), np.uint64)
-    smallest = np.full(group.max() + 1, np.iinfo(np.int64).max)
-    largest = np.full(group.max() + 1, np.iinfo(np.int64).min)
-    np.minimum.at(smallest, group, doc)
-    np.maximum.at(largest, group, doc)
-    rows = np.flatnonzero((smallest < largest)[group])     # groups of a single document say nothing
-    if not len(rows):
-        return masks
-    lefts = _depth_classes(group[rows], _padded(pieces, starts[rows] + left[rows] - 1, left[rows], -1))
-    rights = _depth_classes(group[rows], _padded(pieces, starts[rows] + left[rows] + K, right[rows], 1))
-    for o in range(SPAN):
-        has = (left[rows] >= o) & (right[rows] >= SIDE - o)
-        at = rows[has]
-        if not len(at):
-            continue
-        pair = lefts[has, o].astype(np.int64) << 32 | rights[has, SIDE - o]
-        order = np.lexsort((doc[at], pair))
-        p = pair[order]
-        begin = np.concatenate([[True], p[1:] != p[:-1]])
-        least = doc[at][order][begin][np.cumsum(begin) - 1]
-        hit = np.empty(len(at), bool)
-        hit[order] = least < doc[at][order]
-        masks[at] |= hit.astype(np.uint64) << np.uint64(o)
-    return masks
+    anchors: dict = {}
+    contents = list(seen)
+    group = np.array([anchors.setdefault((k, t[a:a + K]), len(anchors)) for k, a, t in contents], np.int64)
+    n = np.bincount(group)
+    lowest, highest = np.full(len(n), np.iinfo(np.int64).max), np.full(len(n), np.iinfo(np.int64).min)
+    np.minimum.at(lowest, group, least)
+    np.maximum.at(highest, group, least)
+    # a group of one content, or of one document, says nothing more
+    open_ = np.flatnonzero((n > 1)[group] & (lowest < highest)[group])
+    open_ = open_[np.argsort(group[open_], kind="stable")]
+    masks = np.zeros(len(contents), np.uint64)
+    if len(open_):
+        picked = [contents[i] for i in open_.tolist()]
+        sides = np.array([(a, len(t) - a - K) for _, a, t in picked], np.int64)
+        masks[open_] = _string_masks(group[open_], least[open_], sides, [t for _, _, t in picked])
+    return np.where(doc > least[named], _all_strings(left, right), masks[named])
 
 
 def _answer_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part, rows in _by_key(batches, "part"):
-        blobs = [_unblob(x["data"]) for x in rows]
-        sides = np.concatenate([np.frombuffer(b[2], np.uint8) for b in blobs]).reshape(-1, 2).astype(np.int64)
-        masks = match_masks(np.concatenate([np.frombuffer(b[0], "<u8") for b in blobs]),
-                            np.concatenate([np.frombuffer(b[1], "<i8") for b in blobs]),
-                            sides[:, 0], sides[:, 1], np.frombuffer(b"".join(b[3] for b in blobs), np.uint8))
-        at = 0
-        for x in rows:
-            yield _rows([(x["chunk"], MASKS, part, x["n"], _blob(masks[at:at + x["n"]].astype("<u8")))])
-            at += x["n"]
-
-
-def _removed(c: Chunk, rows: list[dict], parts: int) -> np.ndarray:
+    for (part,), rows in _by_key(batches, "part"):
+        sent = Contents.join([Contents.unpack(x["data"]) for x in rows])
+        masks = match_masks(sent.key, sent.doc, sent.sides[:, 0].astype(np.int64), sent.sides[:, 1].astype(np.int64), sent.pieces)
+        order = np.argsort(sent.chunk, kind="stable")       # the order within a chunk stays
+        chunk, masks = sent.chunk[order], masks[order].astype("<u8")
+        begin = np.flatnonzero(np.diff(chunk, prepend=-1))
+        for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(chunk)]):
+            yield _rows([(int(chunk[a]), MASKS, part, b - a, _blob(masks[a:b]))])
+
+
+def _removed(c: Chunk, rows: list[dict], shards: Shards) -> np.ndarray:
     """Per byte of the chunk: removed or not."""
     r, first, content, _ = _shared_runs(c, rows)
     cover = np.zeros(len(c.buf) + 1, np.int32)
     if not len(first):
         return cover[:-1].astype(bool)
-    part = (_short(r.key[first]).astype(np.int64)) % parts
+    part = shards.last(r.key[first])
     masks = np.zeros(len(first), np.uint64)
     for x in rows:
         if x["kind"] == MASKS:
@@ -500,19 +576,22 @@ def _removed(c: Chunk, rows: list[dict], parts: int) -> np.ndarray:
     least = c.ids[r.doc[first]][content]
     # a copy in a larger document of this chunk: all strings are in the smaller one
     mask = np.where(c.ids[r.doc] > least, ~np.uint64(0), masks[content])
+    some = mask > 0
+    mask, anchor, lo, hi = mask[some], r.anchor[some], r.lo[some], r.hi[some]
+    # every string starts in one run, so a place is hit once
     for o in range(SPAN):
-        s = r.anchor - o
-        hit = s[((mask >> np.uint64(o)) & np.uint64(1)).astype(bool) & (s >= r.lo) & (s <= r.hi)]
-        np.add.at(cover, hit, 1)
-        np.add.at(cover, hit + LENGTH, -1)
+        s = anchor - o
+        hit = s[((mask >> np.uint64(o)) & np.uint64(1)).astype(bool) & (s >= lo) & (s <= hi)]
+        cover[hit] += 1
+        cover[hit + LENGTH] -= 1
     return np.cumsum(cover)[:-1] > 0
 
 
-def _digest(parts: int):
+def _digest(shards: Shards):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _by_key(batches, "chunk"):
             c = Chunk(next(x["data"] for x in rows if x["kind"] == DOCS))
-            gone = _removed(c, rows, parts)
+            gone = _removed(c, rows, shards)
             buf = np.frombuffer(c.buf, np.uint8)
             out: dict[str, list] = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "removed")}
             starts = np.concatenate([[0], c.ends[:-1]])
@@ -532,19 +611,21 @@ def _digest(parts: int):
 
 
 def dedup_substrings(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+                     chunk_bytes: int = CHUNK_BYTES, fan: int = FAN) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, removed`` per
     document; ``removed``: start and end (int64, in bytes) of each removed span."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     chunks = written(spark, rows.mapInArrow(_pack(chunk_bytes), ROW_SCHEMA), "dedup-chunks")
-    # shards: about one per chunk, so a shard grows no faster than a chunk's share of anchors
-    parts = max(1, min(20_000, chunks.count() // 2))
+    # as many shards as chunks need, so a shard grows no faster than a chunk's share of anchors
+    n_chunks = chunks.count()
+    shards = Shards(max(1, n_chunks // CHUNKS_PER_SHARD), fan)
 
     def by(df: DataFrame, column: str) -> DataFrame:
         return df.repartition(column).sortWithinPartitions(column, "kind", "chunk", "part")
 
-    keys = by(chunks.mapInArrow(_send_keys(parts), ROW_SCHEMA), "part")
+    keys = by(route(chunks.mapInArrow(_send_keys(shards), ROW_SCHEMA), shards, SHARED, n_chunks), "part")
     shared = written(spark, keys.mapInArrow(_answer_keys, ROW_SCHEMA), "dedup-shared")
-    runs = by(chunks.unionByName(shared), "chunk").mapInArrow(_send_runs(parts), ROW_SCHEMA)
-    masks = written(spark, by(runs, "part").mapInArrow(_answer_runs, ROW_SCHEMA), "dedup-masks")
-    return by(chunks.unionByName(shared).unionByName(masks), "chunk").mapInArrow(_digest(parts), DIGEST_SCHEMA)
+    runs = by(chunks.unionByName(shared), "chunk").mapInArrow(_send_runs(shards), ROW_SCHEMA)
+    runs = by(route(runs, shards, MASKS, n_chunks), "part")
+    masks = written(spark, runs.mapInArrow(_answer_runs, ROW_SCHEMA), "dedup-masks")
+    return by(chunks.unionByName(shared).unionByName(masks), "chunk").mapInArrow(_digest(shards), DIGEST_SCHEMA)
