@@ -3,8 +3,9 @@ import zlib
 import numpy as np
 import pytest
 from helpers import awkward_docs, key, no_docs
+from tokenizers import Tokenizer
 
-from txprep.llm.encoding import PieceEncoder, load_tokenizer
+from txprep.llm.encoding import PieceEncoder
 from txprep.llm.queries import tokenizer_path
 from txprep.llm.token_io import Shard, pack, pack_shard, read_tokens, unpack, width_for, write_tokens
 from txprep.scratch import scratch_path
@@ -34,10 +35,11 @@ def test_random_access_reads_the_range():
 
 
 def test_piece_encoder_equals_the_library():
-    texts = ["", " ", "  a", "a  b", "\n\n x", " a\n b\t", "a' b's it's, 12.5 x;;", "é à,b <|endoftext|> z", "日本 語。a",
+    texts = ["<|endoftext|>", "a <|endoftext|> b", "x<|endoftext|><|endoftext|>  y", "<|endoftext", "", " ", "  a", "a  b", "\n\n x", " a\n b\t", "a' b's it's, 12.5 x;;", "é à,b <|endoftext|> z", "日本 語。a",
              "a  b  c", "x\x1c y", "can't won't,. 'll", "word.Next, \"quoted\" (x) -- y", "tab\t\tend \r\n", "trail "]
     enc = PieceEncoder(tokenizer_path())
-    tok = load_tokenizer(tokenizer_path())
+    tok = Tokenizer.from_file(tokenizer_path())
+    assert tok.encode(texts[1], add_special_tokens=False).ids == [64, 220, 50256, 275]
     for _ in range(2):                                     # cold and from the cache
         got = [np.frombuffer(x, "<u4").tolist() for x in enc.encode_batch(texts)]
         assert got == [tok.encode(t, add_special_tokens=False).ids for t in texts]
@@ -45,7 +47,9 @@ def test_piece_encoder_equals_the_library():
 
 def test_written_ids_equal_the_library(spark):
     docs = awkward_docs(spark)
-    tok = load_tokenizer(tokenizer_path())
+    docs = docs.unionByName(spark.createDataFrame([(90, "some <|endoftext|> text")], "doc_id long, text string"),
+                            allowMissingColumns=True)
+    tok = Tokenizer.from_file(tokenizer_path())
     rows = sorted([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()],
                   key=lambda r: (r[0] is not None, r[0] or 0))
     path = scratch_path(spark, "test-tokens")
@@ -62,6 +66,20 @@ def test_written_ids_equal_the_library(spark):
         at += n
 
 
+def test_rows_without_an_id_are_spread(spark):
+    docs = spark.range(4000).selectExpr("cast(null as long) as doc_id", "if(id % 2 = 0, 'same text', concat('text ', id)) as text")
+    path = scratch_path(spark, "test-tokens")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")      # 4,000 rows would be one partition
+    try:
+        write_tokens(docs.repartition(8), path, tokenizer_path())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = spark.read.parquet(path).groupBy("part").agg({"n_docs": "sum"}).collect()
+    assert len(parts) >= 6 and max(r[1] for r in parts) < 1500
+    got = read_tokens(spark, path).select("start", "n_tokens").orderBy("start").collect()
+    assert len(got) == 4000 and [r.start for r in got] == [0, *np.cumsum([r.n_tokens for r in got]).tolist()[:-1]]
+
+
 def test_empty_table(spark):
     path = scratch_path(spark, "test-tokens")
     write_tokens(no_docs(spark), path, tokenizer_path())

@@ -13,15 +13,18 @@ A *shard* is one self-contained binary image::
     doc ids i64[n_docs] | doc starts u64[n_docs + 1] | id is null u8[n_docs]
     payload
 
-``write_tokens`` range-partitions the documents by id (one shuffle of the
-texts), encodes and packs them in the tasks and lets Spark commit the images,
-one row each, to the shared folder; ``image`` saved as a file is the shard as
-it stands. Nothing passes through the driver.
+``write_tokens`` range-partitions the documents by id, then by a hash of the text
+and a number that tells repeated rows apart (one shuffle of the texts), so that
+an id, or none, shared by many rows is spread over many tasks. They encode and
+pack and let Spark commit the images, one row each, to the shared folder;
+``image`` saved as a file is the shard as it stands. Nothing passes through the
+driver.
 
 Defined results: a null text is empty; every document ends with ``end_id``, so
 an empty one has one id; a null ``doc_id`` is kept and sorts first; rows with
-the same ``doc_id`` follow each other, each with its own ids; an empty table
-gives an empty directory of shards and no rows; other columns are ignored.
+the same ``doc_id`` follow each other by the text's hash, each with its own ids;
+a very long text has a shard of its own; an empty table gives an empty directory
+of shards and no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -167,7 +170,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, sh
                  id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode ``docs`` and write the shards to ``path`` in ascending id order."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    order = ["doc_id", "hash", "copy"]
+    keyed = rows.withColumns({"hash": F.xxhash64("text"), "copy": F.monotonically_increasing_id() % 1024})
+    ordered = keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     ordered.mapInArrow(_encode_partition(tokenizer, end_id, shard_ids), SHARD_SCHEMA).write.parquet(path)
 
 
