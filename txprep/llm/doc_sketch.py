@@ -14,12 +14,14 @@ Defined results: a null text is empty; a text without words has the empty sketch
 two empty sketches are alike (1), an empty and another are not (0); fewer than
 ``shingle`` words are one shingle; equal texts have equal sketches. For the next
 document, ties of the id go by the text's hash, repeated rows follow each other, a
-null id comes first and the only document is its own next one; an empty table
-gives no rows; other columns are carried along.
+null id comes first and the only document is its own next one; a very long text
+is sketched whole; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -83,16 +85,21 @@ def with_next(docs: DataFrame, id_col: str, tie: str, take: str, derive: dict, r
     follows in ascending ``id_col``, then ``tie``; after the last, the first.
 
     Rows go to ranges of ids (bounds from a quantile sketch of the ids), so one
-    shuffle brings neighbours together. What follows a range's last row is the
-    first row of the next range: at most ``max_ranges`` rows of ids, broadcast and
-    looked up. A single id with very many rows stays in one range, which Spark
-    sorts and spills.
+    shuffle brings neighbours together. An id that fills several ranges, or rows
+    without one, are cut further by ``tie``, a uniform hash. What follows a range's
+    last row is the first row of the next range: some ``max_ranges`` rows of ids,
+    broadcast and looked up. Only rows alike in id and text stay together, and
+    Spark sorts and spills them.
     """
-    n_ranges = min(max_ranges, max(1, docs.count() // rows_per_range))
+    n, ids = docs.agg(F.count("*"), F.count(id_col)).first()
+    n_ranges = min(max_ranges, max(1, n // rows_per_range))
     quantiles = [i / n_ranges for i in range(1, n_ranges)]
-    bounds = sorted(set(docs.agg(F.percentile_approx(id_col, quantiles, 10 * n_ranges)).first()[0] or [])) \
-        if quantiles else []
-    docs = docs.withColumn("_range", range_of(F.col(id_col), bounds))
+    found = (docs.agg(F.percentile_approx(id_col, quantiles, 10 * n_ranges)).first()[0] or []) if quantiles else []
+    # an id that is several quantiles has ranges of its own
+    heavy = {b: c for b, c in Counter(found).items() if c > 1}
+    bounds = sorted({*found, *(b + 1 for b in heavy)})
+    cuts = {bounds.index(b) + 1: c + 1 for b, c in heavy.items()} | {-1: max(1, n_ranges * (n - ids) // max(n, 1))}
+    docs = docs.withColumn("_range", range_code(F.col(id_col), F.col(tie), bounds, cuts))
     inside = Window.partitionBy("_range").orderBy(F.col(id_col).asc_nulls_first(), tie)
     led = docs.withColumns({c: f(F.col(take)) for c, f in derive.items()})
     led = led.select("*", F.lead(F.lit(True)).over(inside).alias("_has"),
@@ -113,6 +120,15 @@ def with_next(docs: DataFrame, id_col: str, tie: str, take: str, derive: dict, r
                                for c in (take, *derive)}).drop("_range", "_has", *[f"_n_{c}" for c in (take, *derive)])
 
 
+def range_code(value: Column, tie: Column, bounds: list, cuts: dict[int, int]) -> Column:
+    """A number per range, ascending with (value, tie), nulls first; ``cuts``:
+    pieces of a range (by ``tie``, any long) where it has more than one."""
+    at = F.when(value.isNull(), F.lit(-1)).otherwise(range_of(value, bounds))
+    pieces = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x).cast("int") for kv in cuts.items() for x in kv]), at), F.lit(1))
+    piece = F.least(pieces - 1, F.floor((tie / float(1 << 64) + 0.5) * pieces))
+    return (at.cast("long") + 1) * (1 << 20) + piece
+
+
 def range_of(value: Column, bounds: list) -> Column:
     """How many of the ascending ``bounds`` are not above ``value``; two short
     scans instead of a long one. 0 for null."""
@@ -131,7 +147,7 @@ def sketch_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     floor(n / 2) code points give way to the first ones of the next document) and
     the likenesses to the edited text and to the next document."""
     text = text_or_empty(text_col)
-    base = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).withColumn("tie", F.xxhash64("text"))
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).withColumn("tie", F.xxhash64("text"))
     linked = with_next(base, "doc_id", "tie", "text", {"sketch": sketch})
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
