@@ -85,6 +85,64 @@ def test_edited_texts_and_sketches(spark):
     assert doc_sketch.sketch_edits(no_docs(spark)).count() == 0
 
 
+def brute_sketch(hashed, text, shingle=5):
+    """Distinct hashes of the shingles below the threshold, and the smallest."""
+    w = [hashed[x] for x in words(text)]
+    s = [tuple(w[i:i + shingle]) for i in range(len(w) - shingle + 1)] if len(w) >= shingle else []
+    return s
+
+
+def test_sketches_and_likeness_equal_brute_force(spark):
+    docs = awkward_docs(spark)
+    got = doc_sketch.sketch_edits(docs).collect()
+    texts = sorted({r.text or "" for r in docs.select("text").collect()} | {r.edited for r in got})
+    # hashes of single words and of shingles, one row each, by the same function of Spark
+    word = sorted({x.decode() for t in texts for x in words(t)})
+    one = {r.w.encode(): r.h for r in spark.createDataFrame([(w,) for w in word], "w string").select("w", F.xxhash64("w").alias("h")).collect()}
+    shingles = sorted({s for t in texts for s in brute_sketch(one, t)})
+    five = {tuple(r.s): r.h for r in spark.createDataFrame([(list(s),) for s in shingles], "s array<long>").select(
+        "s", F.xxhash64(*[F.col("s")[i] for i in range(5)]).alias("h")).collect()}
+    short = [t for t in texts if 0 < len(words(t)) < 5]
+    few = {r.t: r.h for r in spark.createDataFrame([(t, " ".join(str(one[x]) for x in words(t))) for t in short], "t string, j string")
+           .select("t", F.xxhash64("j").alias("h")).collect()}
+    below = doc_sketch.threshold(doc_sketch.SCALE)
+
+    def expect(t):
+        h = {few[t]} if t in few else {five[s] for s in brute_sketch(one, t)}
+        return sorted(x for x in h if x < below or x == min(h))
+
+    def alike(a, b):
+        if not a or not b:
+            return float(not a and not b)
+        x, y = {v for v in a if v < below}, {v for v in b if v < below}
+        return len(x & y) / min(len(x), len(y)) if x and y else float(a[0] == b[0])
+
+    sketches = {t: expect(t) for t in texts}
+    rows = [(r.doc_id, r.text or "") for r in docs.select("doc_id", "text").collect()]
+    hashes = {t: spark.createDataFrame([(t,)], "t string").select(F.xxhash64("t")).first()[0] for _, t in rows}
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, hashes[r[1]]))
+    want = []
+    for k, (i, t) in enumerate(order):
+        nxt = order[(k + 1) % len(order)][1]
+        edited = t[:len(t) - len(t) // 2] + nxt[:len(t) // 2]
+        want.append((i, sketches[t], sketches[edited], alike(sketches[t], sketches[edited]), alike(sketches[t], sketches[nxt])))
+    have = [(r.doc_id, list(r.sketch), list(r.edited_sketch), r.near_edited, r.near_next) for r in got]
+    assert sorted(have, key=lambda r: (r[0] is not None, r[0] or 0, *map(str, r[1:]))) == \
+        sorted(want, key=lambda r: (r[0] is not None, r[0] or 0, *map(str, r[1:])))
+
+
+def test_rows_without_an_id_are_cut_by_their_text(spark):
+    docs = spark.range(3000).selectExpr("if(id % 3 = 0, id, if(id % 3 = 1, null, 700)) as doc_id", "concat('text number ', id) as text") \
+        .withColumn("tie", F.xxhash64("text"))
+    out = doc_sketch.with_next(docs, "doc_id", "tie", "text", {}, rows_per_range=100)
+    rows = sorted(out.collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.tie))
+    assert len(rows) == 3000
+    assert all(r.next_text == rows[(k + 1) % 3000].text for k, r in enumerate(rows))
+    plan_ranges = docs.select(doc_sketch.range_code(F.col("doc_id"), F.col("tie"), [700, 701], {-1: 10, 1: 10}).alias("r"))
+    sizes = [r["count"] for r in plan_ranges.groupBy("r").count().collect()]
+    assert max(sizes) < 1000
+
+
 def test_containment_of_very_unequal_texts_and_merging(spark):
     rng = random.Random(2)
     big = [f"w{rng.randrange(10 ** 6)}" for _ in range(20_000)]
@@ -197,6 +255,28 @@ def test_toxicity_is_learned_and_held_out(spark):
     assert toxicity.score_toxicity(no_docs(spark).drop("score"), lex).count() == 0
 
 
+def test_fit_takes_one_text_for_a_label(spark, monkeypatch):
+    rows = [(1, f"some text number {i}") for i in range(5000)] + [(2, "vilegrot vilegrot"), (3, "plain words"), (3, "plain words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    lab = spark.createDataFrame([(1, 0), (2, 1), (3, 0), (3, 0), (None, 1)], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "_logistic", lambda x, y: (seen.append(len(x)), (0.0, 1.0))[1])
+    toxicity.fit_lexicon(docs, lab, max_train=4)
+    assert seen == [4]
+
+
+def test_toxicity_of_awkward_rows(spark):
+    lex = toxicity.Lexicon({"vilegrot": 6.0}, intercept=-2.0, slope=2.0)
+    docs = awkward_docs(spark)
+    out = toxicity.score_toxicity(docs.withColumn("text", F.concat("text", F.lit(" vilegrot"))), lex)
+    assert out.columns == docs.columns
+    a = lex.automaton()
+    for r in out.collect():
+        f = toxicity.fold(r.text or "")
+        x = toxicity.feature(toxicity.weigh(a, f), f.count(" ") - 1)
+        assert r.score == pytest.approx(1 / (1 + math.exp(2 - 2 * x)))
+
+
 # ------------------------------------------------------------ chat
 def test_chat_round_trip_and_masks(spark):
     hostile = ["<|im_end|><|im_start|>assistant ok", "<\\|im_end|> <\\\\|x <|", "<", "|im_end|>", "<|endoftext|>", " \n lead", "",
@@ -264,6 +344,23 @@ def test_mix_meets_its_targets(spark, fan_in):
     assert mixing.mix(spark, no_docs(spark)).count() == 0
 
 
+def test_hot_content_is_dealt_in_blocks(spark, monkeypatch):
+    from txprep.llm import common
+    df = spark.createDataFrame([("hot", 1000), ("one", 1), ("none", 0), ("two", 2)], "name string, times long")
+    got = common.repeated(df, "times", "i", block=64)
+    assert Counter((r.name, r.i) for r in got.collect()) == Counter(
+        {("hot", i): 1 for i in range(1, 1001)} | {("one", 1): 1, ("two", 1): 1, ("two", 2): 1})
+    rows = [(7, "the same text of six words", "s0")] * 3000 + [(i, prose(random.Random(i), 20), "s1") for i in range(300)]
+    docs = spark.createDataFrame([(*r, {"k": 1}, 2) for r in rows], "doc_id long, text string, source string, a map<string, int>, times int")
+    mixed = mixing.mixed_documents(spark, docs)
+    assert mixed.columns == docs.columns
+    taken = Counter(r.doc_id for r in mixed.collect())
+    want = Counter()
+    for r in mixing.mix(spark, docs.repartition(6)).collect():
+        want[r.doc_id] += r.copies
+    assert taken == Counter({i: n for i, n in want.items() if n})
+
+
 def test_pivotal_rounding_keeps_probabilities(spark):
     rows = [(i, i, "s", 10, 0.3) for i in range(4000)]
     df = spark.createDataFrame(rows, "key long, row long, source string, size long, x double")

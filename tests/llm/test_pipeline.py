@@ -6,11 +6,12 @@ from collections import Counter, defaultdict
 
 import numpy as np
 from helpers import hamming_components, prose, simhash, words
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline as pipeline
 from txprep.llm.common import written
-from txprep.llm.encoding import load_tokenizer
 from txprep.llm.queries import tokenizer_path
 
 ITEM = "which of the seven colours does the old painter never use when the rain falls on the northern hills"
@@ -59,7 +60,7 @@ def test_stages_against_brute_force(spark, tmp):
     assert set(copies) <= set(clean) and max(copies.values()) <= 3
     total = sum(len(words(first[i].text)) for i in clean)
     assert abs(sum(len(words(first[i].text)) * n for i, n in copies.items()) - total) <= 0.02 * total
-    tok, at = load_tokenizer(tokenizer_path()), 0
+    tok, at = Tokenizer.from_file(tokenizer_path()), 0
     tokens = sorted(out["token_output"], key=lambda r: r.start)
     assert [r.doc_id for r in tokens] == sorted(copies.elements())
     for r in tokens:
@@ -85,11 +86,33 @@ def test_null_and_repeated_ids_are_judged_by_their_texts(spark, tmp):
     assert texts(pipeline.drop_contaminated(spark, docs, tmp)) == texts(docs) - Counter([(None, leak), (8, leak)])
 
 
+NAMES = ["_a", "_b", "_copies", "_n", "_id", "_none", "_hash", "_row", "_toxicity", "score", "doc", "none", "id", "hash", "a", "b",
+         "rows", "copies", "times", "row", "part", "place", "number", "one", "tie", "w", "x", "key", "first"]
+
+
+def test_clashing_names_and_a_map_column(spark, tmp):
+    sf = corpus(tmp, spark)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    many = docs.filter("doc_id = 5 or doc_id = 1005").crossJoin(spark.range(30)).drop("id")       # repeated rows
+    long_text = docs.limit(1).withColumns({"doc_id": F.lit(3000).cast("long"), "text": F.lit(prose(random.Random(1), 30_000))})
+    docs = docs.unionByName(many).unionByName(long_text)
+    docs = docs.withColumns({c: F.lit(7) for c in NAMES}).withColumn("map", F.create_map(F.lit("k"), F.col("doc_id")))
+    names = docs.columns
+    for name, stage in pipeline.STAGES[:-1]:
+        docs = written(spark, stage(spark, docs, sf), f"names-{name}")
+        assert docs.columns == names
+        rows = docs.collect()
+        assert rows and all(r["map"] == {"k": r["doc_id"]} and r["_toxicity"] == r["score"] == r["place"] == 7 for r in rows)
+        if name == "simhash_near_dedup":
+            assert len(rows) == len({r["doc_id"] for r in rows}) and 5 in {r["doc_id"] for r in rows}
+    assert 3000 in {r["doc_id"] for r in rows}
+
+
 def test_run_of_no_documents(spark, tmp):
     assert pipeline.run(spark, corpus(tmp, spark, empty=True)).count() == 0
 
 
-def test_entry_registers_eleven_queries():
+def test_entry_registers_all_queries():
     names = entry.queries()
     assert "pipeline" in names
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 14))

@@ -43,6 +43,23 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+#: Repeats that one array holds when rows are multiplied.
+REPEAT_BLOCK = 100_000
+
+
+def repeated(df: DataFrame, times: str, number: str, block: int = REPEAT_BLOCK) -> DataFrame:
+    """Every row ``times`` times (a long column), numbered from 1 in ``number``.
+
+    A row that repeats more than ``block`` times is first split to blocks, which
+    are dealt over the tasks, so no array grows with a repeat count."""
+    n = F.col(times)
+    once = df.filter((n > 0) & (n <= block)).withColumn(number, F.explode(F.sequence(F.lit(1).cast("long"), n)))
+    starts = df.filter(n > block).withColumn("_from", F.explode(F.sequence(F.lit(1).cast("long"), n, F.lit(block).cast("long"))))
+    dealt = starts.repartition(F.col("_from"))
+    many = dealt.withColumn(number, F.explode(F.sequence(F.col("_from"), F.least(F.col("_from") + (block - 1), n)))).drop("_from")
+    return once.unionByName(many)
+
+
 def prefix_sums(df: DataFrame, part: str, order: list[str], amount: str, out: str) -> DataFrame:
     """``out``: the sum of ``amount`` over all rows before this one, in the
     order of ``part`` and within it of ``order``.

@@ -17,8 +17,10 @@ All draws are hashes of the documents and the seed, so reruns agree.
 
 Defined results: a null text has size 0; an empty document is taken
 ``floor(rate)`` times (its words are none either way); null is a source, the
-last one; a source without words has target 0; repeated rows are rounded as
-documents of their own; an empty table gives no rows.
+last one; a null id is an id like any other; a source without words has target
+0; repeated rows are rounded as documents of their own, however many they are; a
+very long text is one document, counted whole; an empty table gives no rows;
+extra columns, whatever their names and types, don't matter.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, text_or_empty, written
+from .common import WORD, prefix_sums, repeated, text_or_empty, written
 
 FAN_IN = 512
 MAX_COPIES = 3
@@ -134,7 +136,7 @@ def settle(rows: DataFrame, decided: DataFrame) -> DataFrame:
     words = F.col("size") * F.col("x")
     off = rows.groupBy("source").agg(F.sum(words).alias("want")).withColumnRenamed("source", "_s").join(
         decided.groupBy("source").agg(F.sum(words).alias("have")), F.col("_s").eqNullSafe(F.col("source"))) \
-        .select("_s", (F.col("want") - F.col("have")).alias("off"))
+        .select("_s", F.round(F.col("want") - F.col("have"), 6).alias("off"))      # sums differ in their last digits by order
     turned = F.when(F.col("off") > 0, F.col("x") == 0.0).otherwise(F.col("x") == 1.0)
     rest = F.abs(F.abs("off") - F.col("size"))
     able = decided.join(off, F.col("source").eqNullSafe(F.col("_s"))).filter(turned & (rest < F.abs("off")))
@@ -157,7 +159,7 @@ def mix(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
     # only whole repeats share a group
     sized = written(spark, sized, "mix-sizes")
     counted = sized.groupBy("doc_id", "source", "text_hash", "size").agg(F.count("*").alias("repeats"))
-    rows = counted.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("repeats")))).drop("repeats")
+    rows = repeated(counted, "repeats", "row").drop("repeats")
     targets = source_targets(sized, cycle, max_copies)
     rows = rows.join(targets.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))) \
         .drop("_source")
@@ -179,27 +181,34 @@ def mixed_documents(spark: SparkSession, docs: DataFrame, **options) -> DataFram
     """The mix itself: every row of ``docs`` as often as it is taken, with the
     columns of ``docs``.
 
-    Rows are found by their content; a repeated row takes the copies of all its
-    repeats together, so copies are counted per content and dealt to its first row.
+    Rows are found by their content; rows of one content take the copies of all
+    of them together and share them evenly, and the first ones, in order of a
+    hash of the whole row, take the odd copies. Their numbers come from ranges
+    over all such rows, so a content may hold any share of the table.
     """
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
     source_col = options.get("source_col", "source")
     taken = mix(spark, docs, **options).groupBy("doc_id", "source", "text_hash", "size").agg(
-        F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
-    taken = taken.select(F.xxhash64("doc_id", "source").alias("_a"), F.col("text_hash").alias("_b"), "_copies", "_rows")
-    keyed = docs.withColumn("_a", F.xxhash64(F.col(id_col), F.col(source_col))) \
-        .withColumn("_b", F.xxhash64(text_or_empty(text_col)))
-    joined = keyed.join(taken, ["_a", "_b"])
-    once = joined.filter(F.col("_rows") == 1).withColumn("_times", F.col("_copies"))
-    # repeated rows: counted first, so that a hot content is one row per task; then
-    # its rows share its copies evenly and the first ones take the odd copies
-    columns = [f"`{c}`" for c in docs.columns]
-    kinds = joined.filter(F.col("_rows") > 1).groupBy(*columns, "_a", "_b", "_copies", "_rows") \
-        .agg(F.count("*").alias("_same"))
-    before = Window.partitionBy("_a", "_b").orderBy(F.xxhash64(*columns)).rowsBetween(Window.unboundedPreceding, -1)
-    odd = F.greatest(F.lit(0), F.least(F.col("_same"), F.col("_copies") % F.col("_rows")
-                                       - F.coalesce(F.sum("_same").over(before), F.lit(0))))
-    many = kinds.withColumn("_times", F.col("_same") * F.floor(F.col("_copies") / F.col("_rows")).cast("long") + odd)
-    both = once.drop("_rows").unionByName(many.drop("_rows", "_same")).filter(F.col("_times") > 0)
-    return both.withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times")))) \
-        .select(*[F.col(c) for c in columns])
+        F.sum("copies").alias("copies"), F.count("*").alias("rows"))
+    taken = taken.select(F.xxhash64("doc_id", "source").alias("a"), F.col("text_hash").alias("b"), "copies", "rows")
+    # the caller's row is one column here, so its names meet no others
+    packed = docs.select(F.xxhash64(F.col(id_col), F.col(source_col)).alias("a"),
+                         F.xxhash64(text_or_empty(text_col)).alias("b"), F.struct("*").alias("doc"))
+    taken = written(spark, taken, "mix-copies")
+    once = packed.join(taken.filter("rows = 1"), ["a", "b"]).select("doc", F.col("copies").alias("times"))
+    ranged = packed.join(taken.filter("rows > 1"), ["a", "b"]).withColumns(
+        {"row": row_hash("doc"), "tie": F.monotonically_increasing_id() % 1024, "one": F.lit(1)})
+    order = ["a", "b", "row", "tie"]
+    ranged = ranged.repartitionByRange(*order).withColumn("part", F.spark_partition_id())
+    places = prefix_sums(written(spark, ranged, "mix-repeats"), "part", order, "one", "place")
+    places = written(spark, places, "mix-places")
+    first = places.groupBy("a", "b").agg(F.min("place").alias("first"))
+    share = F.floor(F.col("copies") / F.col("rows")).cast("long")
+    odd = (F.col("place") - F.col("first") < F.col("copies") % F.col("rows")).cast("long")
+    shared = places.join(first, ["a", "b"]).select("doc", (share + odd).alias("times"))
+    return repeated(once.unionByName(shared).filter("times > 0"), "times", "number").select("doc.*")
+
+
+def row_hash(row: str) -> Column:
+    """A hash of a struct column with fields of any type."""
+    return F.xxhash64(F.to_json(F.col(row)))

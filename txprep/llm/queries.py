@@ -83,7 +83,7 @@ def op6_decontamination(spark, sf_dir):
 def op7_toxicity(spark, sf_dir):
     from .toxicity import fit_lexicon, score_toxicity
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
     lexicon = fit_lexicon(docs, table(spark, sf_dir, "labels").filter(~held_out))
     scored = score_toxicity(docs, lexicon)
     return scored.select("doc_id", held_out.alias("held_out"), "score",

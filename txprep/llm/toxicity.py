@@ -11,14 +11,18 @@ exceptions in one pass over a text. The score is the logistic function of the
 logarithm of the weight over the root of the number of words, fitted on the
 training rows.
 
-The fit takes at most ``max_train`` labelled documents, those with the smallest
-hash of their id; scoring and its statistics cover every text whole.
-
-Defined results: a null or empty text has no hits; a null label is no label;
-repeated labels of a document count once each; without labels of either kind
+The fit takes at most ``max_train`` labels, those with the smallest hash of
+their id, and one text for each: of rows with the same ``doc_id`` the one with
+the smallest hash, found by a partial aggregate, so an id on any number of rows
+is one row of the fit. Scoring covers every text whole.
+
+Defined results: a null or empty text has no hits; a null label is no label, and
+a label or row without an id takes no part in the fit; repeated labels of a
+document count once each; without labels of either kind
 the lexicon is empty and every score is the smoothed share of toxic labels;
-rows with the same ``doc_id`` are scored each by its own text; an empty table
-gives no rows; other columns are ignored.
+every row, also one without an id or with another's, is scored by its own text,
+a very long one whole; an empty table gives no rows; other columns are carried
+along, and one with the name of the score is replaced.
 """
 
 import math
@@ -198,12 +202,14 @@ def fit_lexicon(docs: DataFrame, labels: DataFrame, max_train: int = 20_000, max
     """Learn lexicon, exceptions and curve from ``labels`` (already without
     held-out rows). What reaches the driver is bounded by ``max_train`` (one
     number a row) and ``max_words``."""
-    known = labels.filter(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("_id"),
+    known = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"),
                                                               F.col(label_col).cast("int").alias("toxic"))
     sample = known.orderBy(F.xxhash64("_id"), "_id", "toxic").limit(max_train)
-    train = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("text")) \
-        .join(F.broadcast(sample), "_id").select("text", "toxic")
-    train = written(docs.sparkSession, train, "toxicity-train")      # read three times; at most max_train rows of labels
+    text = text_or_empty(text_col)
+    one = docs.select(F.col(id_col).alias("_id"), F.struct(F.xxhash64(text), text.alias("text")).alias("t")) \
+        .join(F.broadcast(sample.select("_id").distinct()), "_id", "left_semi").groupBy("_id").agg(F.min("t").alias("t"))
+    # read three times; at most max_train rows
+    train = written(docs.sparkSession, one.join(F.broadcast(sample), "_id").select("t.text", "toxic"), "toxicity-train")
     totals = {r["toxic"]: r["n"] for r in train.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n1, n0 = totals.get(1, 0), totals.get(0, 0)
     if not n1 or not n0:
