@@ -9,8 +9,9 @@ return the columns of ``docs``.
 
 Defined results: a null text is empty in every stage and stays null in the rows
 that are kept; rows with the same ``doc_id``, or with none, are judged each by
-its own text, and one row of each near-duplicate group stays; empty input gives empty output at every stage; extra
-columns are carried along.
+its own text, and one row of each near-duplicate group stays; very long texts are
+judged whole; empty input gives empty output at every stage; extra columns of
+any name and type are carried along.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from txprep.llm.common import text_or_empty, written
 from txprep.llm.decontaminate import leaks
-from txprep.llm.mixing import mixed_documents
+from txprep.llm.mixing import mixed_documents, row_hash
 from txprep.llm.queries import table, tokenizer_path
 from txprep.llm.simhash import survivors
 from txprep.llm.token_io import read_tokens, write_tokens
@@ -28,41 +29,52 @@ from txprep.llm.toxicity import fit_lexicon, score_toxicity
 from txprep.scratch import scratch_path
 
 
+def packed(docs: DataFrame, *columns: Column) -> DataFrame:
+    """``docs`` as one column ``doc`` beside ``columns``: names of the caller's
+    columns and of ours never meet."""
+    return docs.select(F.struct("*").alias("doc"), *columns)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score under 0.5; the lexicon is learned from
     the labels that are not held out."""
     held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
     lexicon = fit_lexicon(docs, table(spark, sf_dir, "labels").filter(~held_out))
-    scored = score_toxicity(docs, lexicon, out="_toxicity")
-    return scored.filter(F.col("_toxicity") < 0.5).drop("_toxicity")
+    scored = score_toxicity(packed(docs, F.col("text")), lexicon)
+    return scored.filter("score < 0.5").select("doc.*")
 
 
 #: What tells rows apart besides copies: null or not, the id, the text's hash.
-KEY = ["_none", "_id", "_hash"]
+KEY = ["none", "id", "hash"]
 
 
-def _keyed(df: DataFrame, text_hash: Column) -> DataFrame:
-    """``df`` with ``KEY``, which holds no null."""
+def key_columns(text_hash: Column) -> list[Column]:
+    """``KEY``, which holds no null."""
     doc_id = F.col("doc_id").cast("long")
-    return df.select("*", doc_id.isNull().alias("_none"), F.coalesce(doc_id, F.lit(0)).alias("_id"),
-                     text_hash.alias("_hash"))
+    return [doc_id.isNull().alias("none"), F.coalesce(doc_id, F.lit(0)).alias("id"), text_hash.alias("hash")]
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each component: the smallest ``doc_id``, null last."""
-    kept = _keyed(survivors(spark, docs), F.col("doc_hash")).select(*KEY)
-    # rows with one id and text become one; combined before the shuffle, which the join uses too
-    row = F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
-    one = _keyed(docs, F.xxhash64(text_or_empty("text"))).groupBy(*KEY).agg(row.alias("_row"))
-    return one.join(kept, KEY, "left_semi").select("_row.*")
+    """One row of each component: the smallest ``doc_id``, null last; of rows
+    alike in id and text the one with the smallest hash of all its columns."""
+    keyed = packed(docs, *key_columns(F.xxhash64(text_or_empty("text"))))
+    rows = docs.select(*key_columns(F.xxhash64(text_or_empty("text")))).groupBy(*KEY).agg(F.count("*").alias("rows"))
+    best = survivors(spark, docs).select(*key_columns(F.col("doc_hash")))
+    kept = written(spark, best.join(rows, KEY), "pipeline-survivors")
+    single = keyed.join(kept.filter("rows = 1").select(*KEY), KEY, "left_semi").select("doc")
+    # few keys as a rule: written by themselves, so that Spark sees their size and broadcasts them; the
+    # rows of a key then combine in each task before they are shuffled
+    many = written(spark, kept.filter("rows > 1").select(*KEY), "pipeline-repeated")
+    repeats = keyed.join(many, KEY, "left_semi").groupBy(*KEY).agg(F.min_by("doc", row_hash("doc")).alias("doc")).select("doc")
+    return single.unionByName(repeats).select("doc.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     found = leaks(spark, docs, table(spark, sf_dir, "benchmark"))
-    bad = _keyed(found, F.col("doc_hash")).select(*KEY).distinct()
-    clean = _keyed(docs, F.xxhash64(text_or_empty("text"))).join(bad, KEY, "left_anti")
-    return clean.select(*[F.col(f"`{c}`") for c in docs.columns])
+    bad = found.select(*key_columns(F.col("doc_hash"))).distinct()
+    keyed = packed(docs, *key_columns(F.xxhash64(text_or_empty("text"))))
+    return keyed.join(bad, KEY, "left_anti").select("doc.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
