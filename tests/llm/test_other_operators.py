@@ -214,6 +214,89 @@ def test_every_alignment_is_tried(spark):
     assert len({r.n_slots for r in got if r.doc_id != 6}) == 1
 
 
+def template_of(text):
+    """Template words and their values, by Python's regular expressions."""
+    import regex
+    t = text.translate(dict.fromkeys(map(ord, "<>="), "|"))
+    t = regex.sub(r"(?<=[\p{Ll},;] )(\p{Lu}\p{Ll}+)", r"<name=\1>", t)
+    t = regex.sub(r"([0-9]+)", r"<num=\1>", t)
+    t = regex.sub(r"(?<=[0-9]> ?)(" + "|".join(decontaminate.UNITS) + r")(?![\p{L}\p{N}])", r"<unit=\1>", t, flags=regex.I)
+    marked = regex.sub(r"[^\p{L}\p{N}<>=]+", " ", t.lower()).split()
+    return marked, [regex.sub("=[^>]*>", ">", w) for w in marked]
+
+
+def leaks_by_hand(doc, item, least=0.8, window=5):
+    """Whether ``item`` leaks into ``doc``: enough windows, and slots consistent
+    along an offset that enough (or most) windows agree on."""
+    dm, dt = template_of(doc)
+    im, it = template_of(item)
+    nm, nt = template_of("a " + item.lstrip())
+    n = min(window, len(it))
+    if not it:
+        return False
+    grams = [it[i:i + n] for i in range(len(it) - n + 1)]
+    named = nt[1:1 + n]
+    at = {}
+    found = set()
+    for j in range(len(dt) - n + 1):
+        for i, g in enumerate(grams):
+            if dt[j:j + n] == g or (i == 0 and dt[j:j + n] == named):
+                at.setdefault(j - i, set()).add(i)
+                found.add(tuple(g))
+    if len(found) < least * len({tuple(g) for g in grams}) - 1e-9 or not at:
+        return False
+    most = max(map(len, at.values()))
+    kind = lambda w: w[:w.index("=")] if "=" in w else w
+    for offset, hit in at.items():
+        if len(hit) < min(most, least * len(grams)):
+            continue
+        pairs = set()
+        for i, w in enumerate(im):
+            if 0 <= i + offset < len(dm):
+                b = dm[i + offset]
+                a = nm[1] if i == 0 and kind(b) == kind(nm[1]) else w
+                if "=" in a and kind(a) == kind(b):
+                    pairs.add((a, b))
+        if len({a for a, _ in pairs}) == len(pairs):
+            return True
+    return False
+
+
+def test_leaks_equal_brute_force(spark):
+    rng = random.Random(21)
+    word = lambda: rng.choice(["alpha", "beta", "Gamma", "Delta", "12", "5 km", "7kg", "and", "of", "said,", "=x", "don't"])
+    items = [" ".join(word() for _ in range(rng.choice([1, 2, 3, 4, 6, 9, 14]))) for _ in range(40)]
+    docs = []
+    for k in range(150):
+        parts = [" ".join(word() for _ in range(rng.randrange(0, 7)))]
+        for _ in range(rng.randrange(0, 3)):
+            w = rng.choice(items).split()
+            if rng.random() < 0.6:
+                old, new = rng.choice(w), word()
+                w = [new if x == old and rng.random() < 0.8 else x for x in w]
+            parts += [" ".join(w), " ".join(word() for _ in range(rng.randrange(0, 5)))]
+        docs.append(" ".join(parts))
+    docs += [items[0], "a tiny " + items[1], "\ue000 \ue001 " + items[5]]
+    d = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(4)
+    b = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(spark, d, b).collect()}
+    want = {(i, j) for i, t in enumerate(docs) for j, x in enumerate(items) if leaks_by_hand(t, x)}
+    assert got == want and len(want) > 100
+
+
+def test_a_long_document_with_many_items(spark):
+    rng = random.Random(2)
+    items = [f"item {i} asks what the painter number {i} did with " + prose(rng, 12, 9000) for i in range(300)]
+    doc = " ".join(f"{prose(rng, 100)} {x}." for x in items)
+    # one window that all items have, and templates that many items share
+    items += [f"how many apples are there if Anna has {i} and takes {i + 1} of them away" for i in range(50)]
+    doc += " how many apples are there if Berta has 3 and takes 4 of them away"
+    d = spark.createDataFrame([(1, doc), (2, prose(rng, 200))], "doc_id long, text string")
+    b = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id) for r in decontaminate.contaminated(spark, d, b).collect())
+    assert got == [(1, i) for i in range(350)]
+
+
 def test_shuffled_join_beyond_the_broadcast_bound(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
     d = spark.createDataFrame([(1, ITEMS[1][1]), (2, "nothing of the kind in here")], "doc_id long, text string")
