@@ -94,6 +94,15 @@ def suffix_array(text) -> list[int]:
 
 
 # ------------------------------------------------------------ anchors and runs
+def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A hash of K = 16 bytes, from their halves."""
+    h = (a * np.uint64(0x9E3779B97F4A7C15)) ^ ((b * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(7))
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(32)
+    return h
+
+
 def _least_places(h: np.ndarray, width: int) -> np.ndarray:
     """The place of the first smallest value, by its upper half, in every window
     of ``width``. Hash and place share a word, so one minimum does for both."""
@@ -102,17 +111,25 @@ def _least_places(h: np.ndarray, width: int) -> np.ndarray:
         step = min(k, width - k)                 # the last step overlaps
         v = np.minimum(v[:-step], v[step:])
         k += step
-    return (v & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    return (v & np.uint64(0xFFFFFFFF)).view(np.int64)
 
 
-def _hashes(buf: bytes) -> np.ndarray:
-    """A hash of every K = 16 bytes."""
-    u = np.ndarray(shape=(max(len(buf) - 7, 0),), dtype="<u8", buffer=buf, strides=(1,)).copy()
-    h = (u[:-8] * np.uint64(0x9E3779B97F4A7C15)) ^ ((u[8:] * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(7))
-    h ^= h >> np.uint64(29)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
-    h ^= h >> np.uint64(32)
-    return h
+def _eights(buf: bytes) -> np.ndarray:
+    """The 8 bytes from every place on, as a view."""
+    return np.ndarray(shape=(max(len(buf) - 7, 0),), dtype="<u8", buffer=buf, strides=(1,))
+
+
+def _anchors(buf: bytes, block: int = 1 << 15) -> np.ndarray:
+    """The anchor's place of the string that starts at each place, in pieces
+    that stay in a processor's cache."""
+    n = len(buf) - LENGTH + 1
+    eights, out = _eights(buf), np.empty(n, np.int64)
+    for lo in range(0, n, block):
+        hi = min(n, lo + block)
+        m = hi - lo + SPAN - 1
+        u = eights[lo:lo + m + 8].copy()
+        out[lo:hi] = _least_places(_mix(u[:m], u[8:8 + m]), SPAN) + lo
+    return out
 
 
 class Runs:
@@ -123,17 +140,21 @@ class Runs:
         self.doc = self.key = self.anchor = self.lo = self.hi = np.empty(0, np.int64)
         if len(buf) < LENGTH:
             return
-        h = _hashes(buf)
-        at = _least_places(h, SPAN)                         # the anchor of the string that starts here
-        doc = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))[:len(at)]
-        s = np.flatnonzero((np.arange(len(at)) + LENGTH <= ends[doc]) & usable[doc])
-        if not len(s):
-            return
-        anchor, doc = at[s].astype(np.int64), doc[s]
-        cut = np.flatnonzero((anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])) + 1
-        a, b = np.concatenate([[0], cut]), np.concatenate([cut, [len(s)]]) - 1
-        self.lo, self.hi, self.doc, self.anchor = s[a], s[b], doc[a], anchor[a]
-        self.key = h[self.anchor]
+        at = _anchors(buf)                                  # the anchor of the string that starts here
+        starts = np.concatenate([[0], ends[:-1]])
+        whole = usable & (ends - starts >= LENGTH)
+        edge = np.zeros(len(at) + 1, np.int8)               # where strings inside a document start
+        edge[starts[whole]] += 1
+        edge[ends[whole] - LENGTH + 1] -= 1
+        inside = np.cumsum(edge[:-1], dtype=np.int8).astype(bool)
+        # strings of two documents have no anchor in common
+        new = np.concatenate([[True], at[1:] != at[:-1]])
+        self.lo = np.flatnonzero(inside & (new | ~np.concatenate([[False], inside[:-1]])))
+        self.hi = np.flatnonzero(inside & np.concatenate([new[1:] | ~inside[1:], [True]]))
+        self.anchor = at[self.lo]
+        self.doc = np.searchsorted(ends, self.lo, side="right")
+        eights = _eights(buf)
+        self.key = _mix(eights[self.anchor], eights[self.anchor + 8])
 
     def take(self, which: np.ndarray) -> None:
         for name in ("lo", "hi", "doc", "key", "anchor"):
@@ -252,13 +273,15 @@ class Shards:
 def _split(message: "Keys | Contents", shards: Shards, level: int, kind: int) -> list[tuple]:
     """The rows of a message, by the leading digits of its keys."""
     part = shards.of(message.key, level)
-    order = np.argsort(part, kind="stable")
-    begin = np.flatnonzero(np.diff(part[order], prepend=-1))
+    if (part[1:] < part[:-1]).any():
+        order = np.argsort(part, kind="stable")
+        message, part = message.take(order), part[order]
+    begin = np.flatnonzero(np.diff(part, prepend=-1))
     rows = []
-    for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(order)]):
-        mine = message.take(order[a:b])
+    for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(part)]):
+        mine = message.between(a, b)
         # rows of one round are named by the first of their chunks
-        rows.append((int(mine.chunk[0]), kind, int(part[order[a]]), b - a, mine.pack()))
+        rows.append((int(mine.chunk[0]), kind, int(part[a]), b - a, mine.pack()))
     return rows
 
 
@@ -290,6 +313,9 @@ class Keys:
     def take(self, at: np.ndarray) -> "Keys":
         return Keys(self.chunk[at], self.key[at], self.many[at])
 
+    def between(self, a: int, b: int) -> "Keys":
+        return Keys(self.chunk[a:b], self.key[a:b], self.many[a:b])
+
     def pack(self) -> bytes:
         """Six bytes a key, and each chunk once."""
         begin = np.flatnonzero(np.diff(self.chunk, prepend=-1))
@@ -388,16 +414,16 @@ class Contents:
     def __init__(self, chunk, key, doc, sides, pieces: bytes):
         self.chunk, self.key, self.doc, self.sides, self.pieces = chunk, key, doc, sides, pieces
 
-    def ends(self) -> np.ndarray:
-        return np.cumsum(self.sides.sum(axis=1, dtype=np.int64) + K)
+        self.ends = np.concatenate([[0], np.cumsum(sides.sum(axis=1, dtype=np.int64) + K)])
 
     def take(self, at: np.ndarray) -> "Contents":
-        ends = self.ends()
-        starts = ends - self.sides.sum(axis=1, dtype=np.int64) - K
         view = memoryview(self.pieces)
-        pieces = b"".join([view[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())])
+        pieces = b"".join([view[a:b] for a, b in zip(self.ends[at].tolist(), self.ends[at + 1].tolist())])
         return Contents(self.chunk[at], self.key[at], self.doc[at], self.sides[at], pieces)
 
+    def between(self, a: int, b: int) -> "Contents":
+        return Contents(self.chunk[a:b], self.key[a:b], self.doc[a:b], self.sides[a:b], self.pieces[self.ends[a]:self.ends[b]])
+
     def pack(self) -> bytes:
         begin = np.flatnonzero(np.diff(self.chunk, prepend=-1))
         return _blob(self.chunk[begin].astype("<i8"), begin.astype("<i8"), self.key.astype("<u8"), self.doc.astype("<i8"),
@@ -423,6 +449,7 @@ def _send_runs(shards: Shards):
             r, first, _, sides = _shared_runs(c, rows)
             if not len(first):
                 continue
+            first = first[np.argsort(shards.of(r.key[first], 1), kind="stable")]
             pieces = b"".join([c.buf[a:b] for a, b in zip(r.lo[first].tolist(), (r.hi[first] + LENGTH).tolist())])
             yield _rows(_split(Contents(np.full(len(first), chunk, np.int64), r.key[first], c.ids[r.doc[first]],
                                         sides[first].astype(np.uint8), pieces), shards, 1, MASKS))
@@ -480,7 +507,11 @@ def _depth_classes(group: np.ndarray, sides: list[bytes]) -> np.ndarray:
     named = np.array([seen.setdefault((g, s), len(seen)) for g, s in zip(group.tolist(), sides)], np.int64)
     groups = np.array([g for g, _ in seen], np.int64)
     strings = _matrix([s for _, s in seen])
-    order = np.lexsort((_ranks(strings, groups), groups))
+    rank = np.arange(len(groups))
+    # two sides are neighbours in any order
+    many = np.bincount(groups)[groups] > 2
+    rank[many] = _ranks(strings[many], groups[many])
+    order = np.lexsort((rank, groups))
     ordered, g = strings[order], groups[order]
     same = np.full(len(order), -1, np.int64)               # common prefix with the one before, -1 across groups
     if len(order) > 1:
