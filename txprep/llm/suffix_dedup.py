@@ -510,7 +510,8 @@ def _depth_classes(group: np.ndarray, sides: list[bytes]) -> np.ndarray:
     rank = np.arange(len(groups))
     # two sides are neighbours in any order
     many = np.bincount(groups)[groups] > 2
-    rank[many] = _ranks(strings[many], groups[many])
+    if many.any():
+        rank[many] = _ranks(strings[many], groups[many])
     order = np.lexsort((rank, groups))
     ordered, g = strings[order], groups[order]
     same = np.full(len(order), -1, np.int64)               # common prefix with the one before, -1 across groups
