@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from ..functions.predicates import all_of, is_valid, label_consistent, validation_rules
 from ..schema import DEFAULT_COLUMNS, TxColumns
+from ..scratch import scratch_path
 from ._long import melt_row, ratio_pct
 from .quantiles import quantiles
 
@@ -127,6 +128,34 @@ def dedup(df: DataFrame, key: str, order_by: Sequence[str] | None = None,
     return df.groupBy(key).agg(best, *extra).select(*out, *([count_as] if count_as else []))
 
 
+#: Duplicated keys that are broadcast by ``dedup_known``: some 16 MB of longs.
+BROADCAST_KEYS = 1_000_000
+
+
+def dedup_known(df: DataFrame, key: str, order_by: Sequence[str] | None = None,
+                max_keys: int = BROADCAST_KEYS) -> DataFrame:
+    """``dedup``'s rows, finding the duplicated keys first.
+
+    One pass counts keys (a hash aggregate of the key column alone) and writes
+    those that occur twice. If they are few enough to broadcast (they are
+    counted first), rows with any other key pass as they are, without a shuffle
+    or a sort, and only the rest go through ``dedup``. Beyond ``max_keys`` it is
+    ``dedup`` for all rows. Reads ``df`` three times, so it pays for wide rows with
+    few duplicates that are cheap to read again (a stored table), not for a
+    costly plan.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "duplicated-keys")
+    df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_key").write.parquet(path)
+    keys = spark.read.parquet(path)
+    if keys.count() > max_keys:
+        return dedup(df, key, order_by)
+    twice = F.broadcast(keys)
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    once = df.join(twice, same, "left_anti")
+    return once.unionByName(dedup(df.join(twice, same, "left_semi"), key, order_by))
+
+
 # ---------------------------------------------------------------- stage 4
 def check_consistency(df: DataFrame, cols: TxColumns = DEFAULT_COLUMNS) -> DataFrame:
     return df.filter(label_consistent(cols))

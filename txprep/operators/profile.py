@@ -29,11 +29,12 @@ def partition_count(df: DataFrame) -> DataFrame:
 def class_distribution(df: DataFrame, label: str = "tx_fraud") -> DataFrame:
     """Rows per label value and their share of all rows.
 
-    One grouped aggregation (partial counts map-side); the total is a second
-    aggregate of one row, so no task sees all classes of a label with many.
+    One grouped aggregation (partial counts map-side); the total is the sum of
+    its counts as a scalar subquery, which reuses its shuffle: the input is
+    read once, and no task sees all classes of a label with many.
     """
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("count"))
-    total = df.agg(F.count(F.lit(1))).scalar()
+    total = counts.agg(F.coalesce(F.sum("count"), F.lit(0))).scalar()
     return counts.select(label, "count", ratio_pct(F.col("count"), total).alias("pct"))
 
 
@@ -83,6 +84,12 @@ def _metric(section, item, metric, value=None, text=None):
                     (text if text is not None else F.lit(None)).cast("string").alias("text"))
 
 
+def schema_metrics(schema: T.StructType) -> list[tuple]:
+    """Two metric rows per column: its type, and whether it may be NULL."""
+    rows = [("schema", f.name, "type", float(i + 1), f.dataType.simpleString()) for i, f in enumerate(schema.fields)]
+    return rows + [("schema", f.name, "nullable", 1.0 if f.nullable else 0.0, None) for f in schema.fields]
+
+
 def report_metrics(df: DataFrame, label: str | None = "tx_fraud", max_columns: int | None = None,
                    digits: int | None = None, include_partitions: bool = True) -> DataFrame:
     """Profile of a dataset as metric rows (sections: general, incl. the
@@ -94,10 +101,7 @@ def report_metrics(df: DataFrame, label: str | None = "tx_fraud", max_columns: i
     """
     spark = df.sparkSession
     parts = []
-    schema_rows = [(("schema", f.name, "type", float(i + 1), f.dataType.simpleString())) for i, f in
-                   enumerate(df.schema.fields)]
-    schema_rows += [("schema", f.name, "nullable", 1.0 if f.nullable else 0.0, None) for f in df.schema.fields]
-    parts.append(spark.createDataFrame(schema_rows, METRIC_SCHEMA))
+    parts.append(spark.createDataFrame(schema_metrics(df.schema), METRIC_SCHEMA))
     if include_partitions:
         parts.append(partition_count(df).select(
             F.inline(F.array(_metric("general", "", "partitions", F.col("partitions"))))))

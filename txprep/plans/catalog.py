@@ -13,17 +13,18 @@ from pyspark.sql import functions as F
 
 from .. import fixtures
 from ..fixtures import oracle_with_tx
-from ..operators import (add_features, check_consistency, class_distribution, clean, dedup,
+from ..operators import (add_features, add_files, check_consistency, class_distribution, clean, dedup, dedup_known,
                          null_profile, numeric_stats, outlier_bounds, partition_count,
-                         plan_partitions_col, quantiles, remove_outliers, report_metrics,
-                         resolve_bounds, row_count, rule_failures, validate, waterfall)
+                         plan_partitions_col, quantiles, remove_outliers, repartition_hot, report_metrics,
+                         resolve_bounds, row_count, rule_failures, sample, stored_metrics, stored_nulls, stored_quantiles,
+                         validate, waterfall)
 from ..operators.cleaning import OUTLIER_PROBS
 from ..operators.profile import METRIC_SCHEMA
 from ..schema import DEFAULT_COLUMNS as C
 from ..schema import ML_READY_COLUMNS, TX_SCHEMA
 from ..scratch import scratch_path
 from ..sinks import write_json, write_partitioned, write_text_report
-from ..sources import (inventory, inventory_totals, read_delimited, read_json, read_parquet,
+from ..sources import (inventory, inventory_totals, quarantine, read_delimited, read_json, read_parquet,
                        read_untyped)
 from .prepare import ml_ready, prepare
 from .report import analyze
@@ -191,7 +192,122 @@ def q_repartition(spark, sf_dir):
     return tx(spark, sf_dir).repartition("transaction_id")
 
 
+HOT = "CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_orderkey END"
+HOT_PARTS = 16
+
+
+@register("repartition_hot", f"""SELECT count(*) AS rows, CAST(sum(k) AS BIGINT) AS keys, count(*) FILTER (WHERE k = 0) AS hot_rows,
+  count(*) > 0 AS spread FROM (SELECT {HOT} AS k FROM lineitem) s""")
+def q_repartition_hot(spark, sf_dir):
+    # a third of the rows have one key; no partition may hold twice its share all the same
+    li = fixtures.table(spark, sf_dir, "lineitem").select(F.expr(HOT).alias("k"))
+    parts = repartition_hot(li, "k", HOT_PARTS).groupBy(F.spark_partition_id().alias("p")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("k").alias("s"), F.count_if(F.col("k") == 0).alias("hot"))
+    return parts.agg(F.sum("n").alias("rows"), F.sum("s").alias("keys"), F.sum("hot").alias("hot_rows"),
+                     (F.max("n") * HOT_PARTS <= 2 * F.sum("n")).alias("spread"))
+
+
+REJECT_COLS = TX_COLS.split(", ")
+
+
+def reject_line() -> str:
+    """A line of the fixture, as text: some with a bad amount, a bad scenario, a
+    field too many or too few, by the number of the transaction. Runs in both engines."""
+    amount = "CASE WHEN transaction_id % 17 = 3 THEN 'n/a' ELSE coalesce(CAST(tx_amount AS VARCHAR(40)), '') END"
+    scenario = "CASE WHEN transaction_id % 19 = 4 THEN '300' ELSE coalesce(CAST(tx_fraud_scenario AS VARCHAR(40)), '') END"
+    texts = [amount if c == "tx_amount" else scenario if c == "tx_fraud_scenario" else f"coalesce(CAST({c} AS VARCHAR(40)), '')"
+             for c in REJECT_COLS]
+    whole = " || ',' || ".join(texts)
+    return (f"CASE WHEN transaction_id % 23 = 5 THEN {whole} || ',more' "
+            f"WHEN transaction_id % 29 = 6 THEN CAST(transaction_id AS VARCHAR(40)) || ',short' ELSE {whole} END")
+
+
+REJECT_CAUSE = """CASE WHEN transaction_id % 23 <> 5 AND transaction_id % 29 = 6 THEN 'fields'
+  WHEN transaction_id % 17 = 3 THEN 'tx_amount' WHEN transaction_id % 19 = 4 THEN 'tx_fraud_scenario'
+  WHEN transaction_id % 23 = 5 THEN 'fields' END"""
+
+
+def quarantined(spark, sf_dir):
+    path = scratch_path(spark, "tx_lines")
+    lines = tx(spark, sf_dir).select(F.expr(reject_line()).alias("value"))
+    lines.write.text(path)
+    return quarantine(spark, path, scratch_path(spark, "quarantine"), TX_SCHEMA, header=False)
+
+
+@register("src_csv_rejects", oracle_with_tx(
+    f"SELECT * FROM (SELECT {reject_line()} AS line, {REJECT_CAUSE} AS cause FROM tx) s WHERE cause IS NOT NULL"))
+def q_src_csv_rejects(spark, sf_dir):
+    return quarantined(spark, sf_dir)[1].select(F.col("_line").alias("line"), F.col("_cause").alias("cause"))
+
+
+@register("src_csv_accepted", oracle_with_tx(
+    f"SELECT {TX_COLS} FROM (SELECT *, {REJECT_CAUSE} AS cause FROM tx) s WHERE cause IS NULL"))
+def q_src_csv_accepted(spark, sf_dir):
+    return quarantined(spark, sf_dir)[0]
+
+
+def renamed(spark, folder: str, name: str) -> None:
+    """The one part file of ``folder`` under another name."""
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(folder).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    part = next(f.getPath() for f in fs.listStatus(fs_path(folder)) if f.getPath().getName().startswith("part-"))
+    fs.rename(part, fs_path(f"{folder}/{name}"))
+
+
+@register("inventory_errors", """SELECT 'orders.parquet' AS file, count(*) AS rows, CAST(NULL AS VARCHAR) AS reason FROM orders
+UNION ALL SELECT 'text.parquet', NULL, CASE WHEN count(*) > 3 THEN 'no magic number' END FROM region
+UNION ALL SELECT 'short.parquet', NULL, CASE WHEN min(r_regionkey) < 10 THEN 'too short' END FROM region""")
+def q_inventory_errors(spark, sf_dir):
+    # two files of one format that can't be read, each for its own reason, beside a good one
+    root = scratch_path(spark, "inventory-errors")
+    fixtures.table(spark, sf_dir, "orders").coalesce(1).write.parquet(f"{root}/good")
+    renamed(spark, f"{root}/good", "orders.parquet")
+    region = fixtures.table(spark, sf_dir, "region")
+    region.select(F.concat_ws(",", *region.columns).alias("value")).coalesce(1).write.text(f"{root}/text")
+    renamed(spark, f"{root}/text", "text.parquet")
+    region.agg(F.min("r_regionkey").cast("string").alias("value")).write.text(f"{root}/short")
+    renamed(spark, f"{root}/short", "short.parquet")
+    files = inventory(spark, root)
+    reason = F.when(F.col("error").contains("length is too low"), "too short").when(
+        F.col("error").contains("magic number"), "no magic number").otherwise(F.col("error"))
+    return files.select("file", "rows", reason.alias("reason"))
+
+
+@register("inventory_missing", f"SELECT format, count(*) AS files, CAST(sum(rows) AS BIGINT) AS rows FROM ({INVENTORY_SQL}) i "
+          "GROUP BY format")
+def q_inventory_missing(spark, sf_dir):
+    # a location that isn't there adds nothing, and says nothing
+    there, missing = inventory(spark, sf_dir), inventory(spark, f"{sf_dir.rstrip('/')}/no/such/folder")
+    return inventory_totals(there.unionByName(missing))
+
+
+@register("sample_rows", "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS foreign_rows, count(*) > 0 AS share_kept, "
+          "count(*) > 0 AS same_again FROM orders")
+def q_sample_rows(spark, sf_dir):
+    # a tenth of the rows, within five standard deviations; rows of the table only; the same in a second run
+    orders = fixtures.table(spark, sf_dir, "orders")
+    kept = sample(orders, 0.1)
+    rows = orders.join(kept.select(F.col("o_orderkey").alias("k"), F.lit(1).alias("one")), F.col("o_orderkey") == F.col("k"), "full")
+    again = sample(orders, 0.1).agg(F.sum("o_orderkey")).scalar()
+    n, m = F.count("o_orderkey"), F.count("one")
+    return rows.agg(n.alias("rows"), F.count_if(F.col("o_orderkey").isNull()).alias("foreign_rows"),
+                    (F.abs(m - 0.1 * n) <= 5 * F.sqrt(0.09 * n)).alias("share_kept"),
+                    (F.sum(F.when(F.col("one") == 1, F.col("o_orderkey"))) == again).alias("same_again"))
+
+
 # ------------------------------------------------------------------ quality
+@register("null_profile_exclude", oracle_with_tx(
+    "SELECT ordinal, column_name AS \"column\", nulls, rows, " + pct("nulls", "rows") + " AS null_pct FROM ("
+    + " UNION ALL ".join(
+        f"SELECT {i + 1} AS ordinal, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL"
+        + (f" OR {c} = ''" if c == "tx_datetime" else "") + ") AS nulls, count(*) AS rows FROM tx"
+        for i, c in enumerate(x for x in TX_COLS.split(", ") if not x.startswith("tx_time_"))) + ") s"))
+def q_null_profile_exclude(spark, sf_dir):
+    # all columns but those with a prefix
+    raw = tx(spark, sf_dir)
+    return null_profile(raw, exclude=[c for c in raw.columns if c.startswith("tx_time_")])
+
+
 @register("null_profile", oracle_with_tx(
     "SELECT ordinal, column_name AS \"column\", nulls, rows, " + pct("nulls", "rows") + " AS null_pct FROM ("
     + " UNION ALL ".join(
@@ -260,6 +376,14 @@ def q_clean_dedup_any(spark, sf_dir):
     return dedup(remove_outliers(valid, exact_bounds(spark, sf_dir)), C.id, deterministic=False)
 
 
+@register("clean_dedup_known", oracle_with_tx("SELECT * FROM d", [V, Q, B, FENCE, DEDUP]))
+def q_clean_dedup_known(spark, sf_dir):
+    path = scratch_path(spark, "dedup-input")
+    valid = validate(tx(spark, sf_dir))
+    remove_outliers(valid, exact_bounds(spark, sf_dir)).write.parquet(path)
+    return dedup_known(read_parquet(spark, path), C.id)
+
+
 @register("clean_consistency", oracle_with_tx(f"SELECT * FROM tx WHERE {CONSISTENT}"))
 def q_clean_consistency(spark, sf_dir):
     return check_consistency(tx(spark, sf_dir))
@@ -363,6 +487,17 @@ def q_sink_parquet_roundtrip(spark, sf_dir):
     return written_ml_ready(spark, sf_dir).withColumn("tx_amount_log", F.round("tx_amount_log", 9))
 
 
+@register("sink_rebalanced", oracle_with_tx(
+    "SELECT CAST(tx_fraud AS INTEGER) AS tx_fraud, count(*) AS rows, CAST(ceil(count(*) / 1000.0) AS BIGINT) AS files "
+    "FROM ml GROUP BY tx_fraud", ML_READY_CTES))
+def q_sink_rebalanced(spark, sf_dir):
+    # a class with most of the rows and one with few: neither has more files than its rows need
+    path = scratch_path(spark, "ml_rebalanced")
+    write_partitioned(ml(spark, sf_dir), path, label="tx_fraud", max_records_per_file=1000, rebalance=True)
+    rows = read_parquet(spark, path).select("tx_fraud", F.col("_metadata.file_path").alias("file"))
+    return rows.groupBy("tx_fraud").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("file").alias("files"))
+
+
 FLOATING = ("tx_amount_log", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "o_totalprice")
 
 
@@ -494,20 +629,71 @@ def q_percentiles_special(spark, sf_dir):
 RANK_BOUND = 1e-3
 
 
-@register("percentiles_rank_error", "SELECT true AS sketch_within, true AS approx_within")
+def _near_probs() -> dict[str, float]:
+    """Ranks a bound below and above each of ``LINEITEM_PROBS``."""
+    return {f"{end}_{name}": min(1.0, max(0.0, p + sign * RANK_BOUND)) for name, p in LINEITEM_PROBS.items()
+            for end, sign in (("lo", -1), ("hi", 1))}
+
+
+@register("percentiles_rank_error", "SELECT count(l_extendedprice) AS n, " + ", ".join(
+    f"quantile_disc(l_extendedprice, {p}) AS {k}" for k, p in _near_probs().items())
+          + ", count(*) > 0 AS sketch_within, count(*) > 0 AS approx_within FROM lineitem")
 def q_percentiles_rank_error(spark, sf_dir):
+    # the exact values a bound below and above each rank, and whether the estimates lie between them
     x = fixtures.table(spark, sf_dir, "lineitem").select("l_extendedprice")
-    n = x.count()
-    out = []
+    exact = quantiles(x, "l_extendedprice", _near_probs())
     for method in ("sketch", "approx"):
         row = quantiles(x, "l_extendedprice", LINEITEM_PROBS, method=method).first()
         near = F.lit(True)
-        for name, p in LINEITEM_PROBS.items():
-            v = F.lit(row[name])
-            near = near & (F.count_if(F.col("l_extendedprice") < v) / n <= p + RANK_BOUND) \
-                & (F.count_if(F.col("l_extendedprice") <= v) / n >= p - RANK_BOUND)
-        out.append(near.alias(f"{method}_within"))
-    return x.agg(*out)
+        for name in LINEITEM_PROBS:
+            near = near & F.lit(row[name]).between(F.col(f"lo_{name}"), F.col(f"hi_{name}"))
+        exact = exact.withColumn(f"{method}_within", near)
+    return exact
+
+
+# ------------------------------------------------------------------ stored states
+def stored_lineitem(spark, sf_dir):
+    """A store over two batches of files, the second added after the first."""
+    path, store = scratch_path(spark, "stored-lineitem"), scratch_path(spark, "store")
+    li = fixtures.table(spark, sf_dir, "lineitem")
+    for half in (0, 1):
+        li.filter(F.col("l_linenumber") % 2 == half).repartition(3).write.mode("append").parquet(path)
+        add_files(spark, path, store, sketches=["l_extendedprice"])
+    return store, li.schema
+
+
+@register("stored_percentiles", "SELECT count(l_extendedprice) AS n, " + ", ".join(
+    f"quantile_disc(l_extendedprice, {p}) AS {k}" for k, p in _near_probs().items())
+          + ", count(*) > 0 AS stored_within FROM lineitem")
+def q_stored_percentiles(spark, sf_dir):
+    store, schema = stored_lineitem(spark, sf_dir)
+    row = stored_quantiles(spark, store, schema, "l_extendedprice", LINEITEM_PROBS).first()
+    exact = quantiles(fixtures.table(spark, sf_dir, "lineitem"), "l_extendedprice", _near_probs())
+    near = F.col("n") == row["n"]
+    for name in LINEITEM_PROBS:
+        near = near & F.lit(row[name]).between(F.col(f"lo_{name}"), F.col(f"hi_{name}"))
+    return exact.withColumn("stored_within", near)
+
+
+@register("stored_nulls", " UNION ALL ".join(
+    f"SELECT {i + 1} AS ordinal, '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL"
+    + (f" OR CAST({c} AS VARCHAR) = ''" if c in ("l_returnflag", "l_linestatus") else "")
+    + f") AS nulls, count(*) AS rows, {pct('count(*) FILTER (WHERE ' + c + ' IS NULL)', 'count(*)')} AS null_pct FROM lineitem"
+    for i, c in enumerate(LINEITEM_COLS)))
+def q_stored_nulls(spark, sf_dir):
+    store, schema = stored_lineitem(spark, sf_dir)
+    return stored_nulls(spark, store, schema)
+
+
+@register("profile_stored", PROFILE_SQL)
+def q_profile_stored(spark, sf_dir):
+    # the same profile, from states of files that were added in two batches
+    path, store = scratch_path(spark, "stored-ml"), scratch_path(spark, "store")
+    out = ml(spark, sf_dir)
+    for half in (0, 1):
+        write_partitioned(out.filter(F.col("transaction_id") % 2 == half), path, label="tx_fraud", mode="append")
+        add_files(spark, path, store, label="tx_fraud")
+    return stored_metrics(spark, store, read_parquet(spark, path).schema, digits=6)
 
 
 ORDERS_SCHEMA = [("o_orderkey", "bigint", True), ("o_custkey", "bigint", True),
@@ -651,3 +837,16 @@ def q_stream_ready(spark, sf_dir):
                        checkpoint=scratch_path(spark, "stream-ckpt"))
     q.awaitTermination()
     return read_parquet(spark, out).withColumn("tx_amount_log", F.round("tx_amount_log", 9))
+
+
+@register("stream_dedup", ROUNDTRIP_SQL)
+def q_stream_dedup(spark, sf_dir):
+    # the stream stops after the first files and goes on with the same checkpoint when others have come
+    from ..streaming import stream_prepare
+    src, out, ckpt = (scratch_path(spark, f"stream-{x}") for x in ("dedup-in", "dedup-out", "dedup-ckpt"))
+    rows, bounds = scratch_path(spark, "stream-rows"), exact_bounds(spark, sf_dir)
+    tx(spark, sf_dir).withColumn("half", F.monotonically_increasing_id() % 2).write.parquet(rows)
+    for half in (0, 1):
+        read_parquet(spark, rows).filter(F.col("half") == half).drop("half").write.mode("append").option("header", True).csv(src)
+        stream_prepare(spark, src, out, bounds=bounds, checkpoint=ckpt, dedup_within="7 days").awaitTermination()
+    return read_parquet(spark, out).withColumn("tx_amount_log", F.round("tx_amount_log", 9))

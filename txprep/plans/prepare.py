@@ -1,7 +1,10 @@
 """The preparation job: raw transactions -> profile -> clean -> features ->
 label-partitioned Parquet, with per-stage accounting.
 
-Two passes over the input, two Spark jobs (three with exact percentiles):
+Scans of the input: two, and one or two more with exact percentiles (the
+default), whose histograms count the amounts around each rank. With adaptive
+execution each shuffle of a scan is a Spark job of its own, so the job counter
+shows more jobs than scans.
 
 * pass 1 (one scan; per-task partial aggregates merged as a two-level
   tree): input rows, NULL profile, per-rule failures, validated rows and
@@ -140,12 +143,13 @@ def prepare(spark: SparkSession, source, output_path: str, cols: TxColumns = DEF
             method: str = "exact", accuracy: int = 10000,
             max_output_partitions: int | None = None, source_format: str = "delimited",
             min_rows: int = 0, iqr_factor=IQR_FACTOR,
-            label_classes: Sequence[int] = LABEL_CLASSES) -> PrepareResult:
+            label_classes: Sequence[int] = LABEL_CLASSES, rebalance: bool = False) -> PrepareResult:
     """Run the whole preparation job; ``source`` is a DataFrame or a path, glob
     or list of ``source_format`` files (delimited and JSON are read with the raw
     schema). The output may not overlap the input in any form: that is refused
     before anything is written. ``min_rows`` validated rows are needed for the
-    fence (the reference: 1,000; default: always applied)."""
+    fence (the reference: 1,000; default: always applied). ``rebalance`` deals the
+    output by label before it is written, see ``write_partitioned``."""
     raw = read_source(spark, source, source_format)
     refuse_overlap(spark, raw, output_path, [source] if isinstance(source, str) else
                    source if isinstance(source, list) else [])
@@ -179,7 +183,7 @@ def prepare(spark: SparkSession, source, output_path: str, cols: TxColumns = DEF
     # sized before the write from the validated rows, an upper bound of the
     # output rows; coalesce only ever lowers the partition count
     k = plan_partitions(n_valid, max_partitions=max_output_partitions)
-    write_partitioned(out, output_path, label=cols.label, partitions=k)
+    write_partitioned(out, output_path, label=cols.label, partitions=k, rebalance=rebalance)
     counts = obs.get
     s2 = int(counts["s2"] or 0)
     rows_out = int(counts["s4"])

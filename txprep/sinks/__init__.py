@@ -35,13 +35,22 @@ def refuse_overlap(spark: SparkSession, df: DataFrame, output_path: str, sources
 
 def write_partitioned(df: DataFrame, path: str, label: str = "tx_fraud", partitions: int | None = None,
                       max_records_per_file: int = MAX_RECORDS_PER_FILE,
-                      compression: str = COMPRESSION, mode: str = "overwrite") -> None:
+                      compression: str = COMPRESSION, mode: str = "overwrite", rebalance: bool = False) -> None:
     """Parquet, Hive-partitioned by ``label``. ``partitions`` only ever
     coalesces (never shuffles), so it caps the file count of small outputs
-    and is a no-op for outputs that already have fewer partitions."""
+    and is a no-op for outputs that already have fewer partitions; every task
+    then writes a file of every label.
+
+    ``rebalance`` shuffles the rows by label instead (adaptive execution must be
+    on): a label with most of the rows is split by size, one with few is a single
+    partition, so neither is shredded: about rows / ``max_records_per_file`` + 1
+    files a label. It costs one shuffle of the output, and pays where the files
+    are read often or labels are many."""
     if mode == "overwrite":
         refuse_overlap(df.sparkSession, df, path)
-    if partitions is not None:
+    if rebalance:
+        df = df.hint("rebalance", label)
+    elif partitions is not None:
         df = df.coalesce(partitions)
     (df.write.mode(mode)
        .option("compression", compression)

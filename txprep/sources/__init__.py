@@ -1,17 +1,16 @@
-"""Readers and the dataset inventory."""
+"""Readers, the dataset inventory and the quarantine of lines that do not parse."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from contextlib import contextmanager
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import TX_SCHEMA
-from ..scratch import scratch_path
+from .inventory import INVENTORY_FORMATS, error_text, inventory, inventory_totals
+from .rejects import quarantine
+
+__all__ = ["INVENTORY_FORMATS", "error_text", "inventory", "inventory_totals", "quarantine", "read_delimited", "read_json",
+           "read_parquet", "read_untyped"]
 
 
 def read_delimited(spark: SparkSession, path, schema: T.StructType = TX_SCHEMA,
@@ -50,108 +49,3 @@ def read_parquet(spark: SparkSession, path) -> DataFrame:
 def read_json(spark: SparkSession, path, schema: T.StructType = TX_SCHEMA) -> DataFrame:
     """JSON lines with an explicit schema (no inference pass)."""
     return spark.read.schema(schema).json(path)
-
-
-# File kinds the inventory looks for, and how each is read.
-INVENTORY_FORMATS = {
-    "parquet": ("*.parquet", "parquet"),
-    "txt": ("*.txt", "csv"),
-    "csv": ("*.csv", "csv"),
-    "json": ("*.json", "json"),
-}
-
-
-def error_text(e: Exception) -> str:
-    """The whole message of an error on one line, without the JVM's stack trace."""
-    lines = [x for x in str(e).split("JVM stacktrace:")[0].splitlines() if not x.startswith(("\tat ", "\t..."))]
-    return " ".join(" ".join(lines).split()) or type(e).__name__
-
-
-INVENTORY_SCHEMA = "format string, path string, file string, rows bigint, error string"
-
-
-def _count_files(spark: SparkSession, paths, reader: str, root: str | None = None, glob: str | None = None) -> DataFrame:
-    """Rows per file, without reading data columns. An empty or fixed read
-    schema: nothing is inferred from one file for the others."""
-    r = spark.read.option("recursiveFileLookup", True).schema("_value string")
-    if glob is not None:
-        r = r.option("pathGlobFilter", glob)
-    if reader == "csv":
-        r = r.option("header", True)
-    df = r.format(reader).load(root if root is not None else paths)
-    return df.select(F.col("_metadata.file_path").alias("path")).groupBy("path").agg(F.count(F.lit(1)).alias("rows"))
-
-
-def _listed(spark: SparkSession, root: str, glob: str) -> DataFrame | None:
-    """The files of a format, by listing only; None where there is no ``root``."""
-    try:
-        return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob) \
-            .load(root).select(F.col("_metadata.file_path").alias("path"))
-    except AnalysisException as e:
-        if (e.getCondition() or "").startswith("PATH_NOT_FOUND"):
-            return None
-        raise
-
-
-def inventory(spark: SparkSession, root: str, formats: Sequence[str] = tuple(INVENTORY_FORMATS)) -> DataFrame:
-    """Rows per file under ``root``, each file counted once, format by extension.
-
-    Columns: ``format, path, file, rows, error``. Per format one scan that reads
-    no data columns, grouped by file. A file that can't be read has a row with
-    ``error`` and null ``rows``, so a total can be seen to be partial; only the
-    absence of files is silent. The good files of a format with a bad one are
-    counted in a second scan that skips what can't be read.
-    """
-    parts = []
-    for fmt in formats:
-        glob, reader = INVENTORY_FORMATS[fmt]
-        files = _listed(spark, root, glob)
-        if files is None or files.isEmpty():
-            continue
-        error = F.lit(None).cast("string")
-        counts = _count_files(spark, None, reader, root, glob)
-        try:
-            # the result is needed to know whether all can be read: keep it, one row per file
-            path = scratch_path(spark, "inventory")
-            counts.write.parquet(path)
-            counts = spark.read.parquet(path)
-        except Exception as e:
-            path = scratch_path(spark, "inventory")
-            spark_read = _count_files(spark, None, reader, root, glob)
-            with _skip_corrupt(spark):
-                spark_read.write.parquet(path)
-            counts = spark.read.parquet(path)
-            error = F.lit(error_text(e))
-        # listing and counts meet in one aggregate, a row or two per file
-        readable = files.select("path", F.lit(None).cast("bigint").alias("rows")).unionByName(counts) \
-            .groupBy("path").agg(F.max("rows").alias("rows"))
-        # files without rows are left out, as before; only a format with a failure has errors
-        bad = F.col("rows").isNull() & error.isNotNull()
-        readable = readable.filter((F.col("rows") > 0) | bad)
-        parts.append(readable.select(F.lit(fmt).alias("format"), "path", F.element_at(F.split("path", "/"), -1).alias("file"),
-                                     "rows",
-                                     F.when(bad, error).alias("error")))
-    if not parts:
-        return spark.createDataFrame([], INVENTORY_SCHEMA)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-@contextmanager
-def _skip_corrupt(spark: SparkSession):
-    """Reads skip files that can't be read, for as long as this lasts."""
-    key = "spark.sql.files.ignoreCorruptFiles"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
-def inventory_totals(files: DataFrame) -> DataFrame:
-    """Per format: number of readable files and their rows."""
-    good = files.filter(F.col("error").isNull())
-    return good.groupBy("format").agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"))
