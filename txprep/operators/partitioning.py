@@ -55,11 +55,15 @@ def heavy_keys(df: DataFrame, key: str, at_least: float, tracked: int = TRACKED)
     grouped = df.groupBy(task_group()).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col(key).isNull()).alias("nulls"),
         F.call_function("approx_top_k_accumulate", F.col(key), F.lit(tracked)).alias("s"))
-    row = grouped.agg(F.sum("n").alias("n"), F.sum("nulls").alias("nulls"),
-                      F.call_function("approx_top_k_combine", F.col("s"), F.lit(tracked)).alias("s")).select(
-        "n", "nulls", F.when(F.col("n") > F.col("nulls"), F.call_function("approx_top_k_estimate", F.col("s"), F.lit(k)))
-        .alias("top")).first()                    # the sketch counts NULL as a key
-    n, nulls = int(row["n"] or 0), int(row["nulls"] or 0)
+    # grouped by a constant: without rows there is nothing to combine
+    row = grouped.groupBy(F.lit("all")).agg(
+        F.sum("n").alias("n"), F.sum("nulls").alias("nulls"),
+        F.call_function("approx_top_k_combine", F.col("s"), F.lit(tracked)).alias("s")).select(
+            "n", "nulls", F.when(F.col("n") > F.col("nulls"), F.call_function("approx_top_k_estimate", F.col("s"), F.lit(k)))
+            .alias("top")).first()                # the sketch counts NULL as a key
+    if row is None:
+        return 0, 0, {}
+    n, nulls = row["n"], row["nulls"]
     top = {r["item"]: r["count"] for r in row["top"] or [] if r["item"] is not None}
     return n, nulls, {key: count for key, count in top.items() if count >= at_least * n}
 
