@@ -42,8 +42,7 @@ class PieceEncoder:
         self.starts = np.zeros(self.vocab_size, dtype=bool)
         for token, i in self.tok.get_vocab().items():
             self.starts[i] = token.startswith("Ġ")      # the byte-level form of a space
-        added = [re.escape(t.content) for t in self.tok.get_added_tokens_decoder().values()]
-        self.added = re.compile("|".join(added) or r"(?!)")
+        self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.max_entries = max_entries
         self.cache: dict[str, bytes] = {}                # word -> ids of " " + word
 
@@ -77,7 +76,7 @@ class PieceEncoder:
         """Ids of each text; an empty text has none."""
         if len(self.cache) > self.max_entries:
             self.cache.clear()
-        whole = [self.added.search(t) is not None for t in texts]
+        whole = [any(a in t for a in self.added) for t in texts]
         plain = [None if not t or w or _ADJACENT.search(t) else t.split(" ") for t, w in zip(texts, whole)]
         self._fill(set().union(*[p[1:] for p in plain if p]))
         look = self.cache.__getitem__
