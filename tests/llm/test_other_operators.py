@@ -60,6 +60,110 @@ def test_exchange_finds_the_classes():
     assert [len(set(cls[i:i + 4])) for i in (0, 4, 8)] == [1, 1, 1] and len(set(cls)) == 3
 
 
+def class_likelihood(table):
+    f = lambda x: (x * np.log(np.maximum(x, 1.0))).sum()
+    return f(table) - f(table.sum(axis=1)) - f(table.sum(axis=0))
+
+
+def test_words_go_where_the_likelihood_grows_most():
+    rng = np.random.default_rng(7)
+    k, width = 5, 7
+    table = rng.integers(0, 400, size=(width, width))
+    table[:, k] = 0
+    p = brown_lm.Placement(table)
+    slots = np.array([s for s in range(2 * width) if s not in (k, width + k + 1)])
+    for _ in range(40):
+        # neighbours of another word, none of the context classes on the wrong side
+        counts = rng.integers(0, 60, size=len(slots)) * (rng.random(len(slots)) < 0.5)
+        at, n = slots[counts > 0], counts[counts > 0]
+        gain = p.gains(at, n).sum(axis=0)
+        best = p.choose(gain[None, :], np.array([n[at < width].sum()]), np.array([n[at >= width].sum()]))[0]
+        after = []
+        for c in range(k):
+            t = table.astype(float).copy()
+            for s, m in zip(at, n):
+                if s < width:
+                    t[s, c] += m
+                else:
+                    t[c, s - width] += m
+            after.append(class_likelihood(t))
+        assert after[best] == pytest.approx(max(after)) or not len(at)
+
+
+def plain_scores(rows, held, classes, core):
+    """The model in plain Python: counts, exchange, placement, tables, scores."""
+    texts = [words(t) + [b""] for _, t in rows]
+    train = [w for w, h in zip(texts, held) if not h]
+    count = Counter(x for w in train for x in w)
+    top = sorted(count, key=lambda w: (-count[w], w))[:core]
+    k = len(top)
+    classes = max(1, min(classes, k))
+    number = {w: i for i, w in enumerate(top)}
+    big = np.zeros((k + 2, k + 2))
+    for w in train:
+        before = k + 1
+        for x in w:
+            big[before, number.get(x, k)] += 1
+            before = number.get(x, k)
+    of = dict(zip(top, brown_lm.exchange(big, classes).tolist()))
+    to = np.eye(classes + 2)[[*of.values(), classes, classes + 1]]
+    table = to.T @ big @ to
+    place = brown_lm.Placement(table)
+    width = classes + 2
+    near = defaultdict(Counter)
+    for w in train:
+        for i, x in enumerate(w):
+            if x not in of or x not in number:
+                before = of[w[i - 1]] if i and w[i - 1] in number else None if i else classes + 1
+                after = of[w[i + 1]] if i + 1 < len(w) and w[i + 1] in number else None
+                if before is not None:
+                    near[x][before] += 1
+                if after is not None:
+                    near[x][width + after] += 1
+    for x in count:
+        if x not in number:
+            s, m = np.array(list(near[x].keys()), int), np.array(list(near[x].values()), int)
+            gain = place.gains(s, m).sum(axis=0) if len(s) else np.zeros(classes)
+            of[x] = int(place.choose(gain[None, :], np.array([m[s < width].sum()]), np.array([m[s >= width].sum()]))[0])
+    cells = np.zeros((classes + 2, classes + 2), np.int64)
+    for w in train:
+        before, once = classes, False
+        for i, x in enumerate(w):
+            cells[before, of[x]] += 1
+            if count[x] == 1:
+                cells[before, classes + 1] += 1
+            if i and once:
+                cells[classes + 1, of[x]] += 1
+            before, once = of[x], count[x] == 1
+    model = brown_lm.Model.fit(cells, len(count))
+    out = []
+    for w in texts:
+        before, total = classes, 0.0
+        for x in w:
+            c = of[x] if x in count else classes + 1
+            total += model.step[before, c]
+            if x in count:
+                total += math.log10(count[x]) - math.log10(max(model.size[c], 1.0))
+            before = c
+        out.append(total)
+    return out
+
+
+@pytest.mark.parametrize("batch", [60, 10_000])
+def test_scores_equal_a_plain_model(spark, batch):
+    rng = random.Random(17)
+    rows = [(i, " ".join(prose(rng, 1, 6) if j % 2 else "y" + prose(rng, 1, 9) for j in range(rng.randrange(0, 60)))) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = [zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in rows]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)       # words that fill several batches
+    try:
+        got = {r.doc_id: r.score for r in brown_lm.score_documents(spark, docs, held(), classes=5, core=20, chunk_bytes=150).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for (i, _), score in zip(rows, plain_scores(rows, out, 5, 20)):
+        assert got[i] == pytest.approx(score, abs=1e-6)
+
+
 def test_lm_beats_its_base_on_held_out_text(spark):
     rng = random.Random(8)
     docs = [(i, " ".join(prose(rng, 1, 5) if j % 2 else "x" + prose(rng, 1, 5) for j in range(200))) for i in range(150)]

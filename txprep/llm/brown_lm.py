@@ -11,17 +11,20 @@ exchanged one after the other, each to the class that raises the class bigram
 likelihood most, until a sweep moves none; that needs the bigrams among ``core``
 words, a bounded matrix that Spark sums over the whole corpus. Every other word
 then goes, in parallel, to the class that raises the likelihood most given its
-neighbours of the core.
+neighbours of the core; it is placed once, and neighbours outside the core don't
+count for it.
 
 Work is dealt in chunks of documents, each with its own word numbers, so counts
 and answers travel once per chunk and word instead of once per token: a word's
-rows meet in one task, which places it and answers every chunk that asked. The
-most frequent word has one row per chunk.
+rows meet in one task, which sums them to one row of neighbour counts, places the
+word and answers every chunk that asked. The most frequent word has one row per
+chunk; of those only the chunk's name and the place are kept until it is placed.
 
 Defined results: a null text is empty; an empty text is one end token; a null
 ``doc_id`` is never held out by a predicate that is null for it; repeated rows
-are documents of their own; without training tokens every token is unknown and
-each score is 0; an empty table gives no rows; other columns are ignored.
+are documents of their own; a very long text is a chunk of its own; without training
+tokens every token is unknown and each score is 0; an empty table gives no rows;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -180,17 +183,19 @@ def _f(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1.0))
 
 
-def exchange(bigrams: np.ndarray, classes: int, sweeps: int = 20) -> np.ndarray:
+def exchange(bigrams: np.ndarray, classes: int) -> np.ndarray:
     """Class of each of the first n - 2 words of a bigram matrix, whose last two
     rows are contexts with classes of their own. Words start in the order of
     their frequency, dealt round; each in turn moves to the class that raises
-    the class bigram log-likelihood most, until a sweep moves none."""
+    the class bigram log-likelihood most, until a sweep moves none. Every move
+    raises the likelihood by a least amount, so the sweeps end."""
     b = bigrams.astype(float)
     n = len(b) - 2
     cls = np.concatenate([np.arange(n) % classes, [classes, classes + 1]])
     to = np.eye(classes + 2)[cls]
     table = to.T @ b @ to
-    for _ in range(sweeps):
+    moved = 1
+    while moved:
         moved = 0
         for w in range(n):
             old = cls[w]
@@ -208,7 +213,7 @@ def exchange(bigrams: np.ndarray, classes: int, sweeps: int = 20) -> np.ndarray:
             gain = by_row.sum(axis=1) - by_row[d, d] + by_col.sum(axis=0) - by_col[d, d] + _f(both) - base[d, d]
             gain -= _f(out + row.sum() + own) - _f(out) + _f(into + col.sum() + own) - _f(into)
             new = int(np.argmax(gain[:classes]))
-            if gain[new] <= gain[old] + 1e-9:
+            if gain[new] <= gain[old] + 1e-6:
                 new = old
             table[new] += row
             table[:, new] += col
@@ -216,8 +221,6 @@ def exchange(bigrams: np.ndarray, classes: int, sweeps: int = 20) -> np.ndarray:
             if new != old:
                 cls[w], moved = new, moved + 1
                 to[w, old], to[w, new] = 0.0, 1.0
-        if not moved:
-            break
     return cls[:n]
 
 
@@ -269,56 +272,131 @@ def _flat(column: pa.Array, dtype: str) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data.tobytes(), dtype), np.diff(offsets) // size
 
 
+#: Neighbour counts up to this are looked up, larger ones computed.
+TABLED = 32
+
+
+class Placement:
+    """The class that raises the class bigram likelihood most for a word outside
+    the core, given counts of the classes before and after it (slots)."""
+
+    def __init__(self, table: np.ndarray):
+        self.table, self.classes = table, len(table) - 2
+        # slot v: class v comes before, so column counts grow; slot width + v: class v comes after
+        self.cells = np.concatenate([table[:, :self.classes], table[:self.classes].T]).astype(float)
+        self.out, self.into = table.sum(axis=1)[:self.classes], table.sum(axis=0)[:self.classes]
+        self.known = np.stack([self._cell(np.arange(len(self.cells)), np.full(len(self.cells), float(c))) for c in range(TABLED + 1)])
+        self.common = int(np.argmax(self.into)) if self.classes else 0
+
+    def _cell(self, slots: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        now = self.cells[slots]
+        return _f(now + counts[:, None]) - _f(now)
+
+    def gains(self, slots: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """What each (slot, count) adds to a word's gain, per class."""
+        out = self.known[np.minimum(counts, TABLED), slots]
+        large = np.flatnonzero(counts > TABLED)
+        out[large] = self._cell(slots[large], counts[large].astype(float))
+        return out
+
+    def choose(self, gain: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
+        """The best class of words with summed ``gain``; ``before`` and ``after``
+        are their neighbours in all. Words without any go to the commonest class."""
+        if not self.classes:
+            return np.zeros(len(gain), np.int64)
+        margins = _f(self.into + before[:, None]) - _f(self.into) + _f(self.out + after[:, None]) - _f(self.out)
+        best = np.argmax(gain - margins, axis=1)
+        return np.where(before + after > 0, best, self.common)
+
+
 def _answer(core: dict[bytes, int], cls: np.ndarray, table: np.ndarray):
     """Place every word (rows come sorted by word) and answer each row."""
     classes = len(table) - 2
-    n = max(table.sum(), 1.0)
-    out, into = table.sum(axis=1), table.sum(axis=0)
-    pmi = np.log((table + 0.1) / (np.outer(out, into) / n + 0.1))
-    gains = np.concatenate([pmi[:, :classes], pmi[:classes, :].T])      # slot -> gain of each class
-    common = int(np.argmax(into[:classes])) if classes else 0
+    width = classes + 2
+    placement = Placement(table)
 
-    def place(batch: pa.RecordBatch) -> pa.RecordBatch:
-        words = batch.column("word").dictionary_encode()
-        at, names = words.indices.to_numpy(zero_copy_only=False), words.dictionary.to_pylist()
-        total = np.bincount(at, weights=batch.column("n").to_numpy(), minlength=len(names)).astype(np.int64)
-        slots, per_row = _flat(batch.column("slots"), "<i2")
-        counts, _ = _flat(batch.column("counts"), "<i4")
-        word = np.repeat(at, per_row)
-        chosen = np.full(len(names), common, np.int64)
-        score = np.zeros((len(names), classes))
+    def sums(word: np.ndarray, n_words: int, slots: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct (word, slot) with their counts, from many chunks."""
+        pair = word * (2 * width) + slots
+        found, at = np.unique(pair, return_inverse=True)
+        return found // (2 * width), found % (2 * width), np.bincount(at, weights=counts, minlength=len(found)).astype(np.int64)
+
+    def chosen(names: list[bytes], word: np.ndarray, slots: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        gain = np.zeros((len(names), classes))
         for lo in range(0, len(slots), 100_000):
             s = slice(lo, lo + 100_000)
-            w = word[s]                                  # ascending: rows are sorted by word
+            w = word[s]                                  # ascending
             cut = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
-            score[w[cut]] += np.add.reduceat(gains[slots[s]] * counts[s][:, None], cut, axis=0)
-        touched = np.unique(word)
-        chosen[touched] = np.argmax(score[touched], axis=1)
+            gain[w[cut]] += np.add.reduceat(placement.gains(slots[s], counts[s]), cut, axis=0)
+        sides = [np.bincount(word[side], weights=counts[side], minlength=len(names)) for side in (slots < width, slots >= width)]
+        out = placement.choose(gain, *sides)
         for i, w in enumerate(names):
             if w in core:
-                chosen[i] = cls[core[w]]
-        first = np.concatenate([[True], at[1:] != at[:-1]]) & (total[at] > 0)
-        return pa.RecordBatch.from_arrays(
-            [batch.column("chunk"), batch.column("place"), pa.array(total[at]), pa.array(chosen[at], pa.int32()),
-             pa.array(first)], names=["chunk", "place", "n", "cls", "first"])
+                out[i] = cls[core[w]]
+        return out
+
+    def answers(batch: pa.RecordBatch, n: np.ndarray, at: np.ndarray, of: np.ndarray, first: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([batch.column("chunk"), batch.column("place"), pa.array(n[at]),
+                                           pa.array(of[at], pa.int32()), pa.array(first)], names=["chunk", "place", "n", "cls", "first"])
+
+    def numbers(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        slots, per_row = _flat(batch.column("slots"), "<i2")
+        return per_row, slots.astype(np.int64), _flat(batch.column("counts"), "<i4")[0].astype(np.int64)
+
+    def place(batch: pa.RecordBatch) -> pa.RecordBatch:
+        """Answers to rows of words that are whole in ``batch``."""
+        words = batch.column("word").dictionary_encode()
+        at, names = words.indices.to_numpy(zero_copy_only=False), words.dictionary.to_pylist()
+        total = np.bincount(at, weights=batch.column("n").to_numpy(), minlength=len(names)).astype(np.int64)
+        per_row, slots, counts = numbers(batch)
+        of = chosen(names, *sums(np.repeat(at, per_row).astype(np.int64), len(names), slots, counts))
+        return answers(batch, total, at, of, np.concatenate([[True], at[1:] != at[:-1]]) & (total[at] > 0))
+
+    class Long:
+        """A word whose rows fill whole batches: its sums, and whom to answer."""
+
+        def __init__(self, word: bytes):
+            self.word, self.n, self.slots, self.rows = word, 0, np.zeros(2 * width, np.int64), []
+
+        def add(self, batch: pa.RecordBatch) -> None:
+            _, slots, counts = numbers(batch)
+            self.n += int(batch.column("n").to_numpy().sum())
+            self.slots += np.bincount(slots, weights=counts, minlength=2 * width).astype(np.int64)
+            self.rows.append(batch.select(["chunk", "place"]))
+
+        def answer(self) -> Iterator[pa.RecordBatch]:
+            at = np.flatnonzero(self.slots)
+            of = chosen([self.word], np.zeros(len(at), np.int64), at, self.slots[at])
+            for i, rows in enumerate(self.rows):
+                none = np.zeros(rows.num_rows, np.int64)
+                first = np.zeros(rows.num_rows, bool)
+                first[0] = i == 0 and self.n > 0
+                yield answers(rows, np.array([self.n]), none, of, first)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
+        held: Long | None = None                        # the word that the batches so far ended with
         for batch in batches:
             if not batch.num_rows:
                 continue
             word = batch.column("word")
-            last = word[batch.num_rows - 1].as_py()
-            a = batch.num_rows - 1                      # where the last word's rows begin
-            while a > 0 and word[a - 1].as_py() == last:
-                a -= 1
-            if a == 0 and (not held or held[0].column("word")[0].as_py() == last):
-                held.append(batch)
-                continue
-            yield place(pa.Table.from_batches([*held, batch.slice(0, a)]).combine_chunks().to_batches()[0])
-            held = [batch.slice(a)]
-        if held:
-            yield place(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+            a, last = 0, word[batch.num_rows - 1].as_py()
+            if held is not None:
+                while a < batch.num_rows and word[a].as_py() == held.word:
+                    a += 1
+                if a:
+                    held.add(batch.slice(0, a))
+                if a == batch.num_rows:
+                    continue
+                yield from held.answer()
+            b = batch.num_rows - 1                      # where the last word's rows begin
+            while b > a and word[b - 1].as_py() == last:
+                b -= 1
+            if b > a:
+                yield place(batch.slice(a, b - a))
+            held = Long(last)
+            held.add(batch.slice(b))
+        if held is not None:
+            yield from held.answer()
     return run
 
 
