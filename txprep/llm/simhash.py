@@ -238,7 +238,9 @@ def fingerprint_links(distinct: DataFrame, n: int, max_bits: int = MAX_BITS) ->
         return seen
 
     trees = F.array(*[F.struct(F.lit(i).alias("tree"), path(m, points[i]).alias("path")) for i, m in enumerate(masks)])
-    sent = distinct.select("fp", F.explode(trees).alias("t")).select(F.col("t.tree"), F.col("t.path"), "fp")
+    # a number of its own: few bytes in would be few tasks, and each row becomes one a tree
+    spread = distinct.repartition(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    sent = spread.select("fp", F.explode(trees).alias("t")).select(F.col("t.tree"), F.col("t.path"), "fp")
     shards = sent.repartition("tree", "path").sortWithinPartitions("tree", "path")
     return shards.mapInArrow(_shard_links(max_bits), "src long, dst long").distinct()
 
@@ -290,7 +292,10 @@ def components(spark: SparkSession, docs: DataFrame, k: int = SHINGLE, max_bits:
     fps = written(spark, fingerprints(docs, k, seed, id_col, text_col), "fingerprints")
     classes = _classes(spark, fps, F.min("doc_id"), max_bits)
     lowest = classes.groupBy("root").agg(F.min("low").alias("component_id"))
-    return fps.join(classes.select("fp", "root"), "fp").join(lowest, "root").select("doc_id", "fp", "component_id")
+    # all about fingerprints first: documents are dealt once, by a key that a hot text's copies share, and as
+    # nothing is dealt after that, adaptive execution may split those
+    named = written(spark, classes.join(lowest, "root").select("fp", "component_id"), "components")
+    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
 def survivors(spark: SparkSession, docs: DataFrame, k: int = SHINGLE, max_bits: int = MAX_BITS, seed: int = SEED,
