@@ -37,6 +37,21 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def _session_folder(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark)}/txprep/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path below the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/txprep/{name}-{uuid.uuid4().hex}"
+    """A fresh, unique path below the shared checkpoint folder, in a folder of
+    this application."""
+    return f"{_session_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Remove everything this application has put below the shared folder: call
+    it when the results have been read or written elsewhere, since DataFrames
+    that still read from there fail afterwards. Other applications' files stay.
+    Returns whether there was anything to remove."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_session_folder(spark))
+    fs = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return bool(fs.delete(folder, True))
