@@ -489,6 +489,14 @@ def test_chat_round_trip_and_masks(spark):
     assert chat.read_back(chat.format_conversations(empty, tokenizer_path())).count() == 0
 
 
+def test_chat_of_a_very_long_conversation(spark):
+    long = "word <|im_end|> 日本 " * 20_000
+    rows = [(1, t, ["user", "assistant"][t % 2], long if t == 1 else "x") for t in range(6)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    r = chat.read_back(chat.format_conversations(df, tokenizer_path())).first()
+    assert r.n_turns == 6 and r.loss_chars == len(long) + 2 and r.loss_sha256 == sha(long + "xx")
+
+
 # ------------------------------------------------------------ mixing
 def water_fill(sizes: dict) -> dict:
     order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
@@ -531,6 +539,20 @@ def test_mix_meets_its_targets(spark, fan_in):
     assert mixing.mix(spark, no_docs(spark)).count() == 0
 
 
+def test_mix_of_awkward_rows(spark):
+    docs = awkward_docs(spark)
+    rows = [(r.doc_id, r.text, r.source) for r in docs.collect()]
+    got = mixing.mix(spark, docs).collect()
+    assert Counter((r.doc_id, r.size) for r in got) == Counter((i, len(words(t))) for i, t, _ in rows)
+    assert max(r.size for r in got) == 20_000 and all(0 <= r.copies <= 3 for r in got)
+    size = Counter()
+    for _, t, s in rows:
+        size[s] += len(words(t))
+    targets = water_fill(dict(size))
+    assert all(r.target == pytest.approx(targets[r.source]) for r in got)
+    assert mixing.mixed_documents(spark, docs).count() == sum(r.copies for r in got)
+
+
 def test_hot_content_is_dealt_in_blocks(spark, monkeypatch):
     from txprep.llm import common
     df = spark.createDataFrame([("hot", 1000), ("one", 1), ("none", 0), ("two", 2)], "name string, times long")

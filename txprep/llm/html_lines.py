@@ -27,8 +27,8 @@ BLOCK = frozenset("""address article aside blockquote body br caption center dd
 JUNK_TAGS = frozenset("""aside audio button canvas datalist dialog embed footer form head iframe input map menu nav noembed
     noframes noscript object optgroup option script select style svg template textarea title video""".split())
 #: Words of class names and ids that mark menus, notices, adverts, forms, sidebars and comments.
-JUNK_WORDS = frozenset("""ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent
-    cookie cookies disqus footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices pager pagination
+JUNK_WORDS = frozenset("""ad adbox ads adsense adslot adunit advert adverts advertisement advertising banner breadcrumb breadcrumbs
+    comment commentlist comments consent cookie cookiebanner cookiebar cookieconsent cookienotice cookies disqus footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices pager pagination
     popup promo promotion recommended related replies reply respond share sharing sidebar signup sponsor sponsored
     sponsors subscribe subscription toolbar widget widgets""".split())
 #: In a class name with one of these, a word of ``JUNK_WORDS`` tells of the layout, not of the element.
