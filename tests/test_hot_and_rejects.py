@@ -122,6 +122,15 @@ def test_inventory_of_good_files_is_one_pass(spark):
     assert "ReadSchema: struct<>" in text                     # footers only
 
 
+def test_footer_count_reads_no_column(spark, tmp):
+    from txprep.sources import footer_count
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    spark.range(1000).repartition(3).write.parquet(f"{tmp}/p")
+    out = footer_count(spark, f"{tmp}/p")
+    assert out.collect() == [(1000,)] and "PushedAggregation: [COUNT(*)]" in plan(out)
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == before
+
+
 def test_duplicates_first_equals_dedup_and_sorts_no_unique_row(spark, tmp, monkeypatch):
     df = spark.range(3000).select(F.expr("if(id % 10 = 0, id - 10, if(id % 97 = 1, null, id))").alias("k"),
                                   F.xxhash64("id").alias("v"), F.concat(F.lit("t"), "id").alias("t"))

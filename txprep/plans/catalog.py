@@ -24,7 +24,7 @@ from ..schema import DEFAULT_COLUMNS as C
 from ..schema import ML_READY_COLUMNS, TX_SCHEMA
 from ..scratch import scratch_path
 from ..sinks import write_json, write_partitioned, write_text_report
-from ..sources import (inventory, inventory_totals, quarantine, read_delimited, read_json, read_parquet,
+from ..sources import (footer_count, inventory, inventory_totals, quarantine, read_delimited, read_json, read_parquet,
                        read_untyped)
 from .prepare import ml_ready, prepare
 from .report import analyze
@@ -122,6 +122,11 @@ def q_row_count(spark, sf_dir):
     return row_count(tx(spark, sf_dir))
 
 
+@register("row_count_footers", "SELECT count(*) AS rows FROM lineitem")
+def q_row_count_footers(spark, sf_dir):
+    return footer_count(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet")
+
+
 @register("src_csv_typed", oracle_with_tx(f"SELECT {TX_COLS} FROM tx"))
 def q_src_csv_typed(spark, sf_dir):
     path = scratch_path(spark, "tx_csv")

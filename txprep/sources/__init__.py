@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import TX_SCHEMA
 from .inventory import INVENTORY_FORMATS, error_text, inventory, inventory_totals
 from .rejects import quarantine
 
-__all__ = ["INVENTORY_FORMATS", "error_text", "inventory", "inventory_totals", "quarantine", "read_delimited", "read_json",
+__all__ = ["INVENTORY_FORMATS", "error_text", "footer_count", "inventory", "inventory_totals", "quarantine", "read_delimited", "read_json",
            "read_parquet", "read_untyped"]
 
 
@@ -46,6 +47,19 @@ def read_parquet(spark: SparkSession, path) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def footer_count(spark: SparkSession, path) -> DataFrame:
+    """One row, ``rows``: the rows of Parquet files from their footers alone.
+
+    The count is pushed into the reader, which opens no column chunk and loops
+    over no rows. That needs the newer reader and a setting of it, so the
+    frame belongs to a session of its own; the caller's settings stay."""
+    own = spark.newSession()
+    old = [x for x in own.conf.get("spark.sql.sources.useV1SourceList").split(",") if x != "parquet"]
+    own.conf.set("spark.sql.sources.useV1SourceList", ",".join(old))
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own.read.parquet(path).agg(F.count("*").alias("rows"))
+
+
 def read_json(spark: SparkSession, path, schema: T.StructType = TX_SCHEMA) -> DataFrame:
     """JSON lines with an explicit schema (no inference pass)."""
     return spark.read.schema(schema).json(path)
