@@ -13,6 +13,7 @@ committed by Spark: a job that fails leaves the store as it was.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -39,6 +40,16 @@ def _read(spark: SparkSession, store: str, part: str) -> DataFrame | None:
         raise
 
 
+def _read_schema(spark: SparkSession, store: str) -> T.StructType | None:
+    try:
+        row = spark.read.text(f"{store}/schema", wholetext=True).first()
+    except AnalysisException as e:
+        if (e.getCondition() or "").startswith("PATH_NOT_FOUND"):
+            return None
+        raise
+    return None if row is None else T.StructType.fromJson(json.loads(row["value"]))
+
+
 def _moments(x: Column) -> dict[str, Column]:
     """Count, mean and sum of squared deviations of the values, as doubles."""
     value = x.cast("double")
@@ -49,9 +60,13 @@ def add_files(spark: SparkSession, path: str, store: str, label: str | None = No
               sketches: Sequence[str] = (), k: int = SKETCH_K) -> int:
     """Add the states of the Parquet files under ``path`` that ``store`` doesn't
     have; ``sketches`` names columns to keep a quantile sketch of. Returns the
-    number of files added. Only the new files are opened."""
+    number of files added. The store keeps the schema of its first files, so
+    later calls list the others and open only the new ones."""
     store = store.rstrip("/")
-    df = spark.read.parquet(path)
+    kept = _read_schema(spark, store)
+    df = (spark.read if kept is None else spark.read.schema(kept)).parquet(path)
+    if kept is None:
+        spark.createDataFrame([(df.schema.json(),)], "value string").write.mode("overwrite").text(f"{store}/schema")
     listed = set(listed_files(df))
     known = _read(spark, store, "files")
     if known is not None:
