@@ -8,7 +8,7 @@ to 1.
 
 Classes come from exchange clustering. The ``core`` most frequent words are
 exchanged one after the other, each to the class that raises the class bigram
-likelihood most, until a sweep moves none; that needs the bigrams among ``core``
+likelihood most, until the likelihood stops rising; that needs the bigrams among ``core``
 words, a bounded matrix that Spark sums over the whole corpus. Every other word
 then goes, in parallel, to the class that raises the likelihood most given its
 neighbours of the core; it is placed once, and neighbours outside the core don't
@@ -183,20 +183,29 @@ def _f(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1.0))
 
 
-def exchange(bigrams: np.ndarray, classes: int) -> np.ndarray:
+#: A sweep of the exchange that raises the log-likelihood by less than this share of it is the last.
+TOLERANCE = 1e-6
+
+
+def class_likelihood(table: np.ndarray) -> float:
+    """What the class bigram log-likelihood owes to the classes."""
+    return float(_f(table).sum() - _f(table.sum(axis=1)).sum() - _f(table.sum(axis=0)).sum())
+
+
+def exchange(bigrams: np.ndarray, classes: int, tolerance: float = TOLERANCE) -> np.ndarray:
     """Class of each of the first n - 2 words of a bigram matrix, whose last two
     rows are contexts with classes of their own. Words start in the order of
     their frequency, dealt round; each in turn moves to the class that raises
-    the class bigram log-likelihood most, until a sweep moves none. Every move
-    raises the likelihood by a least amount, so the sweeps end."""
+    the class bigram log-likelihood most, until a sweep raises it by less than
+    ``tolerance`` of it. No move lowers it, so the sweeps end."""
     b = bigrams.astype(float)
     n = len(b) - 2
     cls = np.concatenate([np.arange(n) % classes, [classes, classes + 1]])
     to = np.eye(classes + 2)[cls]
     table = to.T @ b @ to
-    moved = 1
-    while moved:
-        moved = 0
+    before, now = -np.inf, class_likelihood(table)
+    while now - before > tolerance * abs(now):
+        before = now
         for w in range(n):
             old = cls[w]
             row, col, own = b[w] @ to, b[:, w] @ to, b[w, w]
@@ -205,7 +214,8 @@ def exchange(bigrams: np.ndarray, classes: int) -> np.ndarray:
             table[old] -= row
             table[:, old] -= col
             table[old, old] -= own
-            out, into = table.sum(axis=1), table.sum(axis=0)
+            # what other classes get from the word's neighbours doesn't depend on its class
+            out, into = table.sum(axis=1) + col, table.sum(axis=0) + row
             base = _f(table)
             by_row, by_col = _f(table + row) - base, _f(table + col[:, None]) - base
             d = np.arange(classes + 2)
@@ -219,8 +229,9 @@ def exchange(bigrams: np.ndarray, classes: int) -> np.ndarray:
             table[:, new] += col
             table[new, new] += own
             if new != old:
-                cls[w], moved = new, moved + 1
+                cls[w] = new
                 to[w, old], to[w, new] = 0.0, 1.0
+        now = class_likelihood(table)
     return cls[:n]
 
 
@@ -278,7 +289,8 @@ TABLED = 32
 
 class Placement:
     """The class that raises the class bigram likelihood most for a word outside
-    the core, given counts of the classes before and after it (slots)."""
+    the core, given counts of the classes before and after it (slots). Class
+    totals are taken without the word's own neighbours, which are few to them."""
 
     def __init__(self, table: np.ndarray):
         self.table, self.classes = table, len(table) - 2
