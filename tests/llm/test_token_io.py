@@ -45,6 +45,37 @@ def test_piece_encoder_equals_the_library():
         assert got == [tok.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_cuts_at_any_character_equal_the_library():
+    enc, tok = PieceEncoder(tokenizer_path()), Tokenizer.from_file(tokenizer_path())
+    chars = [*range(0x800), 0x1680, 0x180E, *range(0x2000, 0x2070), 0x3000, 0x65E5, 0xAC00, 0xFEFF, 0x1F600]
+    texts = [f"a{c} b{c}, c{c}\nd {c}  {c}\n\n{c}'s {c}\n" for c in map(chr, chars)]
+    got = [np.frombuffer(x, "<u4").tolist() for x in enc.encode_batch(texts)]
+    assert got == [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_kept_pieces_are_few_and_short():
+    enc, tok = PieceEncoder(tokenizer_path()), Tokenizer.from_file(tokenizer_path())
+    letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz", "S1").astype(str)
+    for lo in range(0, 700_000, 100_000):                  # each word once, and a text without a cut
+        n = np.arange(lo, lo + 100_000)
+        words = ["".join(w) for w in zip(*[letters[n // 26 ** k % 26] for k in range(5)])]
+        texts = [" ".join(words[i:i + 1000]) for i in range(0, len(words), 1000)] + ["a " + "\u65e5" * 5000]
+        got = enc.encode_batch(texts)
+        for i in (0, -1):
+            assert np.frombuffer(got[i], "<u4").tolist() == tok.encode(texts[i], add_special_tokens=False).ids
+    kept = [k for held in vars(enc).values() if isinstance(held, dict) for k in held]
+    assert len(kept) <= 600_000 and max(map(len, kept)) <= 100
+
+
+def test_a_piece_is_learned_once_whatever_follows_it():
+    enc = PieceEncoder(tokenizer_path())
+    enc.encode_batch(["x caf\u00e9 word", "x. x, \u00e9. \u00e9, word\nx"])
+    sent, plain = [], enc.tok
+    enc.tok = type("Spy", (), {"encode_batch_fast": lambda self, texts, **k: sent.extend(texts) or plain.encode_batch_fast(texts, **k)})()
+    enc.encode_batch(["x caf\u00e9, word. caf\u00e9. word,\nx word caf\u00e9"])
+    assert sent == []
+
+
 def test_written_ids_equal_the_library(spark):
     docs = awkward_docs(spark)
     docs = docs.unionByName(spark.createDataFrame([(90, "some <|endoftext|> text")], "doc_id long, text string"),

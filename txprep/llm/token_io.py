@@ -120,7 +120,7 @@ class Shard:
 
 
 def _encode_partition(path: str, end_id: int, shard_ids: int):
-    end = np.array([end_id], "<u4").tobytes()
+    end = np.array([end_id], "<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -136,17 +136,15 @@ def _encode_partition(path: str, end_id: int, shard_ids: int):
                 "width": pa.array([width_for(enc.vocab_size)], pa.int32()), "image": pa.array([image], pa.binary())})
 
         for batch in batches:
-            doc_ids = batch.column("doc_id").to_pylist()
-            for lo in range(0, len(doc_ids), 500):
-                texts = batch.column("text").slice(lo, 500).to_pylist()
-                for doc_id, raw in zip(doc_ids[lo:lo + 500], enc.encode_batch(texts)):
-                    doc = np.frombuffer(raw + end, "<u4")
-                    if docs and size + len(doc) > shard_ids:
-                        yield flush()
-                        ids, docs, size, shard = [], [], 0, shard + 1
-                    ids.append(doc_id)
-                    docs.append(doc)
-                    size += len(doc)
+            texts = batch.column("text").cast(pa.string())
+            for doc_id, encoded in zip(batch.column("doc_id").to_pylist(), enc.encode_slices(texts)):
+                doc = np.append(encoded, end)
+                if docs and size + len(doc) > shard_ids:
+                    yield flush()
+                    ids, docs, size, shard = [], [], 0, shard + 1
+                ids.append(doc_id)
+                docs.append(doc)
+                size += len(doc)
         if docs:
             yield flush()
     return run
