@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from txprep.operators import add_files, null_profile, numeric_stats, report_metrics, stored_metrics, stored_nulls, stored_quantiles, stored_stats
 from txprep.operators import stored as module
+from txprep.plans.catalog import stored_lineitem
 
 
 def rows_of(df):
@@ -51,3 +52,22 @@ def test_added_files_equal_a_fresh_run_and_old_ones_are_not_read(spark, tmp):
 def test_a_store_must_exist(spark, tmp):
     with pytest.raises(ValueError, match="not a store"):
         module.stored_nulls(spark, f"{tmp}/none", numbers(spark, 0, 1).schema)
+
+
+def test_a_batch_of_more_rows_has_more_files_not_larger_ones(spark, tmp):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    most = []
+    try:
+        for n in (40_000, 400_000):
+            lineitem = spark.range(n).select(F.col("id").alias("l_orderkey"), (F.col("id") % 7).cast("int").alias("l_linenumber"),
+                                             F.rand(1).alias("l_extendedprice"))
+            lineitem.write.parquet(f"{tmp}/{n}/lineitem.parquet")
+            store, schema = stored_lineitem(spark, f"{tmp}/{n}")
+            files = spark.read.parquet(f"{store}/files")
+            assert files.agg(F.sum("rows")).first()[0] == n
+            assert {r["rows"] for r in stored_nulls(spark, store, schema).collect()} == {n}
+            assert stored_quantiles(spark, store, schema, "l_extendedprice", {"m": 0.5}).first()["n"] == n
+            most.append(files.agg(F.max("rows")).first()[0])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert most[1] < 3 * most[0], most

@@ -658,11 +658,12 @@ def q_percentiles_rank_error(spark, sf_dir):
 
 # ------------------------------------------------------------------ stored states
 def stored_lineitem(spark, sf_dir):
-    """A store over two batches of files, the second added after the first."""
+    """A store over two batches of files, the second added after the first; a
+    batch is dealt evenly to files of a bounded size, so they grow in number."""
     path, store = scratch_path(spark, "stored-lineitem"), scratch_path(spark, "store")
     li = fixtures.table(spark, sf_dir, "lineitem")
     for half in (0, 1):
-        li.filter(F.col("l_linenumber") % 2 == half).repartition(3).write.mode("append").parquet(path)
+        li.filter(F.col("l_linenumber") % 2 == half).hint("rebalance").write.mode("append").parquet(path)
         add_files(spark, path, store, sketches=["l_extendedprice"])
     return store, li.schema
 
