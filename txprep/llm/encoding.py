@@ -35,7 +35,7 @@ LEARN = 250
 #: Longer pieces (texts without a cut) are not kept.
 MAX_PIECE = 64
 #: Bytes of texts that are encoded at once, about.
-SLICE = 4 << 20
+SLICE = 2 << 20
 
 _WORKER: dict = {}
 
@@ -142,12 +142,12 @@ class PieceEncoder:
             .dictionary_encode()
         number = pieces.indices.to_numpy()
         ids = self._look(_values(pieces.dictionary))
-        length = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        length = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
         flat = np.frombuffer(b"".join(ids), "<u4")
         n = length[number]
         at = np.concatenate([[0], np.cumsum(n)])
-        place = np.repeat((np.cumsum(length) - length)[number] - at[:-1], n)
-        place += np.arange(len(place))
+        place = np.repeat(((np.cumsum(length) - length)[number] - at[:-1]).astype(np.int32), n)      # fewer ids than bytes
+        place += np.arange(len(place), dtype=np.int32)
         return flat[place], at[np.searchsorted(cuts, ends)]
 
     def encode_slices(self, texts: pa.Array) -> Iterator[np.ndarray]:
